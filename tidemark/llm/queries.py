@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import crc_fold, table
 
 PIECES, WORDS = "piece_bpe_32k.model", "word_bpe_49k.json"
 
@@ -36,8 +36,33 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .personal_data import personal_data
+
+    found = personal_data(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language_id import identify
+
+    docs = table(spark, sf_dir, "documents")
+    found = identify(docs, crc_fold("doc_id") != 0)
+    return found.select("doc_id", (crc_fold("doc_id") == 0).alias("held_out"), "lang_pred", "score")
+
+
+def op9_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_quality import line_quality
+
+    found = line_quality(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines", "n_lines_removed")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op3_personal_data": op3_personal_data,
+    "op8_language_id": op8_language_id,
+    "op9_line_quality": op9_line_quality,
     "op10_bpe_codec": op10_bpe_codec,
 }
 
