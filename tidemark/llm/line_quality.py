@@ -54,10 +54,11 @@ def line_fails(line: Column) -> Column:
     separators = _count_of(line, SEPARATORS)
     noise = (symbols >= 3) & (symbols * 3 >= words)
     shouting = (bangs >= 3) & (bangs * 2 >= words)
-    bare = (words >= LONG_LINE_WORDS) & (_count_of(line, ".,;:!?…。，") == 0)
     navigation = (separators >= 3) & (words <= 4 * (separators + 1))
+    bare = ~line.rlike("[.,;:!?…。，]") & (words >= LONG_LINE_WORDS)
     boilerplate = F.lower(line).rlike("|".join(BOILERPLATE))
-    return noise | shouting | bare | navigation | boilerplate
+    # Counting is left to the few lines with a character worth counting.
+    return (line.rlike("[#*$%&|<>!»•·]") & (noise | shouting | navigation)) | bare | boilerplate
 
 
 def line_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -74,8 +75,8 @@ def line_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     t = t.withColumns({"_w": _words(F.col("_t")), "_l": F.filter(F.split("_t", "\n"), lambda x: F.btrim(x, ws) != "")})
     t = t.withColumns({
         "n_words": F.size("_w").cast("long"),
-        "word_chars": F.char_length(F.translate("_t", SPACE, "")).cast("long"),
-        "n_symbols": _count_of(F.col("_t"), SYMBOLS).cast("long"),
+        "word_chars": F.char_length(F.array_join("_w", "")).cast("long"),
+        "n_symbols": F.char_length(F.regexp_replace("_t", "[^#*$%&|<>]+", "")).cast("long"),
         "n_dup_lines": (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long"),
         "_g": F.expr("""CASE WHEN size(_w) >= 3
             THEN transform(sequence(0, size(_w) - 3), i -> xxhash64(_w[i], _w[i + 1], _w[i + 2])) ELSE array() END"""),

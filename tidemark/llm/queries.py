@@ -36,6 +36,12 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .near_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .personal_data import personal_data
 
@@ -43,6 +49,13 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substring_dedup import remove_repeats
+
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .language_id import identify
 
@@ -60,7 +73,9 @@ def op9_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_near_dedup": op2_near_dedup,
     "op3_personal_data": op3_personal_data,
+    "op5_substring_dedup": op5_substring_dedup,
     "op8_language_id": op8_language_id,
     "op9_line_quality": op9_line_quality,
     "op10_bpe_codec": op10_bpe_codec,
