@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: The white space that separates words, as a character class body: U+0020 and U+0009..U+000D.
@@ -15,12 +17,27 @@ SPACE = " \t\n\x0b\f\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once an application; they need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        _shipped.add(context.applicationId)
+        folder = tempfile.mkdtemp(prefix="tidemark-package-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        package = Path(__file__).resolve().parents[1]
+        context.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the data folder, read by Spark.
 
     Python operators see texts in Arrow batches; a batch of the default 10,000
     very long texts would not fit a worker, so an unset limit is lowered.
     """
+    ship(spark)
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -66,6 +83,12 @@ def text_or_empty(col: str):
     return F.coalesce(F.col(col), F.lit(""))
 
 
+def words_col(text: Column) -> Column:
+    """The words of a text column: runs of other characters than the six of white space."""
+    trimmed = F.btrim(text, F.lit(SPACE))
+    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, r"[\x20\x09-\x0D]+"))
+
+
 _U = np.uint64
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, text_or_empty
+from .common import SPACE, text_or_empty, words_col
 
 SYMBOLS = "#*$%&|<>"
 SEPARATORS = "|>»•·"
@@ -40,15 +40,9 @@ def _count_of(text: Column, characters: str) -> Column:
     return F.char_length(text) - F.char_length(F.translate(text, characters, ""))
 
 
-def _words(text: Column) -> Column:
-    """The words of a text: runs of other characters than the six of white space."""
-    trimmed = F.btrim(text, F.lit(SPACE))
-    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, r"[\x20\x09-\x0D]+"))
-
-
 def line_fails(line: Column) -> Column:
     """Whether a line with a word fails: symbol noise, shouting, no punctuation at length, navigation, boilerplate."""
-    words = F.size(_words(line))
+    words = F.size(words_col(line))
     symbols = _count_of(line, SYMBOLS)
     bangs = _count_of(line, "!")
     separators = _count_of(line, SEPARATORS)
@@ -72,7 +66,7 @@ def line_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     ws = F.lit(SPACE)
     t = docs.select(F.col(id_col), text_or_empty(text_col).alias("_t"))
-    t = t.withColumns({"_w": _words(F.col("_t")), "_l": F.filter(F.split("_t", "\n"), lambda x: F.btrim(x, ws) != "")})
+    t = t.withColumns({"_w": words_col(F.col("_t")), "_l": F.filter(F.split("_t", "\n"), lambda x: F.btrim(x, ws) != "")})
     t = t.withColumns({
         "n_words": F.size("_w").cast("long"),
         "word_chars": F.char_length(F.array_join("_w", "")).cast("long"),

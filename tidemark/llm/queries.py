@@ -56,6 +56,18 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .embedding_dedup import embedding_links
+
+    return embedding_links(table(spark, sf_dir, "embeddings"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack
+
+    return pack(table(spark, sf_dir, "documents"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .language_id import identify
 
@@ -76,6 +88,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_near_dedup": op2_near_dedup,
     "op3_personal_data": op3_personal_data,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_embedding_dedup": op6_embedding_dedup,
+    "op7_packing": op7_packing,
     "op8_language_id": op8_language_id,
     "op9_line_quality": op9_line_quality,
     "op10_bpe_codec": op10_bpe_codec,
