@@ -1,18 +1,65 @@
-"""The training-data pipeline: language ID, near-dedup, substring dedup, PII, packing."""
+"""The training-data pipeline: language ID, near-dedup, substring dedup, PII, packing.
+
+``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and works on
+all its predecessor kept.  ``run`` writes every stage to the shared folder and rereads it.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm.common import stored, table
+from tidemark.llm.common import crc_fold, ship, stored, table
+from tidemark.llm.language_id import keep_identified
+from tidemark.llm.near_dedup import drop_near_duplicates
+from tidemark.llm.packing import pack
+from tidemark.llm.personal_data import redact
+from tidemark.llm.substring_dedup import cut_repeats
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is found, with that language as ``lang``; texts without a letter go."""
+    ship(spark)
+    return keep_identified(docs, crc_fold("doc_id") != 0)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of each group of near duplicates."""
+    ship(spark)
+    return drop_near_duplicates(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages of 50 words and more that a document with a smaller id has."""
+    ship(spark)
+    return cut_repeats(docs)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data masked."""
+    ship(spark)
+    return redact(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document's length bucket, batch and place in it."""
+    ship(spark)
+    return pack(docs)
+
 
-STAGES: list = []
+STAGES = [
+    ("language_id", language_id),
+    ("near_dedup", near_dedup),
+    ("substring_dedup", substring_dedup),
+    ("personal_data", personal_data),
+    ("packing", packing),
+]
 
+#: A trained classifier and an alignment search are beyond SQL; tests compare every stage with a plain version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every stage over all its predecessor kept, written to the shared folder and reread in between."""
+    """All stages over the documents of ``sf_dir``."""
     docs = table(spark, sf_dir, "documents")
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

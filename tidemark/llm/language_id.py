@@ -134,7 +134,7 @@ def train(docs: DataFrame, train_on: Column, id_col: str = "doc_id", text_col: s
 
 
 def predict(docs: DataFrame, model: KernelModel | None, text_col: str = "text") -> DataFrame:
-    """``docs`` with a struct column ``_lang`` of lang_pred and score, from the text alone."""
+    """_doc (the row as a struct) and _lang (struct of lang_pred and score), from the text alone."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")
@@ -161,7 +161,7 @@ def predict(docs: DataFrame, model: KernelModel | None, text_col: str = "text")
             flush()
             yield pd.DataFrame({"lang_pred": names, "score": best})
 
-    return docs.withColumn("_lang", scored(F.col(text_col)))
+    return docs.select(F.struct("*").alias("_doc"), scored(F.col(text_col)).alias("_lang"))
 
 
 def identify(docs: DataFrame, train_on: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> DataFrame:
@@ -173,4 +173,16 @@ def identify(docs: DataFrame, train_on: Column, id_col: str = "doc_id", text_col
     """
     own = docs.select(F.col(id_col), F.col(text_col), F.col(label_col))
     model = train(own, train_on, id_col, text_col, label_col)
-    return predict(own.select(id_col, text_col), model, text_col).select(id_col, "_lang.lang_pred", "_lang.score")
+    return predict(own.select(id_col, text_col), model, text_col).select(F.col(f"_doc.`{id_col}`").alias(id_col), "_lang.lang_pred", "_lang.score")
+
+
+def keep_identified(docs: DataFrame, train_on: Column, least: float = 0.4, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> DataFrame:
+    """``docs`` without those that are undetermined or score under ``least``; the label becomes the language found.
+
+    All columns stay, whatever their names.  With nothing to learn from, no row can be
+    identified and none is left.
+    """
+    model = train(docs, train_on, id_col, text_col, label_col)
+    found = predict(docs, model, text_col)
+    found = found.where((F.col("_lang.lang_pred") != UNDETERMINED) & (F.col("_lang.score") >= least))
+    return found.select(*[(F.col("_lang.lang_pred") if c == label_col else F.col(f"_doc.`{c}`")).alias(c) for c in docs.columns])

@@ -49,6 +49,13 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
 
 
+def op4_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .class_lm import class_scores
+
+    found = class_scores(table(spark, sf_dir, "documents"), crc_fold("doc_id") != 1)
+    return found.select("doc_id", (crc_fold("doc_id") == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substring_dedup import remove_repeats
 
@@ -87,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_near_dedup": op2_near_dedup,
     "op3_personal_data": op3_personal_data,
+    "op4_class_lm": op4_class_lm,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_embedding_dedup": op6_embedding_dedup,
     "op7_packing": op7_packing,

@@ -11,6 +11,7 @@ windows are hashed to 128 bits and counted.  Repeated windows merge into maximal
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, stored
+from .common import SPACE, WORD, mix64, stored
 from .word_hash import BASE_B, Rolling, hashed, words_of
 
 WIDTH = 50
@@ -149,6 +150,41 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id",
     return both.select(F.col("_id").alias(id_col), "_text", cut("_text", "_gone").alias("c")).select(id_col, "c.*", "_text")
 
 
+def cut_text(text: str, spans: list[tuple[int, int]]) -> str:
+    """The text without the words of the maximal intervals and the white space after each of them."""
+    at = [m.start() for m in re.finditer(WORD, text)] + [len(text)]
+    parts, done = [], 0
+    for start, end in spans:
+        parts.append(text[done : at[start]])
+        done = at[end]
+    return "".join(parts) + text[done:]
+
+
+def cut_repeats(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+    """``docs`` with repeated passages cut out of ``text_col`` and ``length_col``, if there, counted anew.
+
+    All columns stay, whatever their names, and so does the white space between the words
+    left.  A document of which no word is left goes; one that had none to begin with stays.
+    """
+    gone = repeated_intervals(docs, width, id_col, text_col)
+
+    @F.pandas_udf("string")
+    def cut(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for texts, gones in parts:
+            out = [cut_text(t, merged([(x["start"], x["end"]) for x in g])) for t, g in zip(texts, gones)]
+            yield pd.Series(out, dtype="object")
+
+    rows = docs.select(F.struct("*").alias("_doc"), F.col(id_col).cast("long").alias("_id"), F.xxhash64(text_col).alias("_h"))
+    rows = rows.join(gone, ["_id", "_h"], "left")  # a null id meets nothing and stays
+    same = rows.where("_gone IS NULL").select("_doc", F.col(f"_doc.`{text_col}`").alias("_new"))
+    less = rows.where("_gone IS NOT NULL").select("_doc", cut(F.col(f"_doc.`{text_col}`"), "_gone").alias("_new"))
+    both = same.unionByName(less.where(F.btrim("_new", F.lit(SPACE)) != ""))
+    new = {text_col: F.col("_new")}
+    if length_col in docs.columns:
+        new[length_col] = F.char_length("_new").cast(docs.schema[length_col].dataType)
+    return both.select(*[new.get(c, F.col(f"_doc.`{c}`")).alias(c) for c in docs.columns])
+
+
 def brute_force(texts: dict[int, str | None], width: int = WIDTH) -> dict[int, tuple[int, int, str]]:
     """id -> (n_words, n_removed, SHA-256 of the kept words), by comparing windows as tuples; for tests."""
     first: dict[tuple[str, ...], int] = {}
