@@ -103,4 +103,57 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_bpe_codec": op10_bpe_codec,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_WORD = r"[^\x20\x09-\x0D]+"
+_SPACES = r"[\x20\x09-\x0D]"
+
+
+def _line_quality_sql() -> str:
+    from . import line_quality as q
+
+    count = lambda chars: f"len(regexp_extract_all(x, '[{chars}]'))"
+    words = f"len(regexp_extract_all(x, '{_WORD}'))"
+    fails = f"""(({count(q.SYMBOLS)} >= 3 AND {count(q.SYMBOLS)} * 3 >= {words}) OR ({count('!')} >= 3 AND {count('!')} * 2 >= {words})
+      OR ({count(q.SEPARATORS)} >= 3 AND {words} <= 4 * ({count(q.SEPARATORS)} + 1))
+      OR (NOT regexp_matches(x, '[.,;:!?…。，]') AND {words} >= {q.LONG_LINE_WORDS})
+      OR regexp_matches(lower(x), '{"|".join(q.BOILERPLATE)}'))"""
+    return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, t, regexp_extract_all(t, '{_WORD}') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_WORD}')) AS l FROM d),
+grams AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, unnest(w[1:len(w) - 2]) AS x, unnest(w[2:len(w) - 1]) AS y, unnest(w[3:len(w)]) AS z FROM w WHERE len(w) >= 3),
+counted AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, x, y, z) AS n FROM grams),
+repeated AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM counted WHERE n > 1) GROUP BY 1),
+b AS (SELECT *, list_filter(l, lambda x: {fails}) AS bad FROM w),
+c AS (SELECT b.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(len(regexp_extract_all(t, '[{q.SYMBOLS}]')) AS BIGINT) AS n_symbols, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words, CAST(len(l) AS BIGINT) AS n_lines, CAST(len(bad) AS BIGINT) AS n_lines_removed,
+    length(regexp_replace(array_to_string(bad, ''), '{_SPACES}', '', 'g')) AS lost
+  FROM b LEFT JOIN repeated r USING (doc_id)),
+f AS (SELECT *, n_words < {q.MIN_WORDS} OR 100 * n_repeat_words > {q.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM c)
+SELECT * EXCLUDE (lost), NOT base_failed AND 100 * lost <= {q.MAX_LOST_PERCENT} * word_chars AS kept FROM f"""
+
+
+def _substring_sql(width: int = 50) -> str:
+    return f"""WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
+windows AS (SELECT doc_id, p, array_to_string(w[p:p + {width - 1}], ' ') AS x FROM (SELECT doc_id, w, unnest(range(1, len(w) - {width - 2})) AS p FROM w WHERE len(w) >= {width})),
+later AS (SELECT doc_id, p FROM (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY x) AS first FROM windows) WHERE first < doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + {width})) AS p FROM later),
+words AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM w),
+kept AS (SELECT a.doc_id, string_agg(x, ' ' ORDER BY a.p) AS k, count(*) AS n FROM words a LEFT JOIN gone g ON a.doc_id = g.doc_id AND a.p = g.p WHERE g.p IS NULL GROUP BY 1)
+SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(k, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)"""
+
+
+_EMBEDDING_SQL = """WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+good AS (SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (SELECT a AS x, a AS y FROM links UNION SELECT r.x, l.b FROM reach r JOIN links l ON l.a = r.y),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY 1),
+c AS (SELECT x AS vec_id, min(y) AS component_id FROM reach GROUP BY 1)
+SELECT v.vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, coalesce(component_id, v.vec_id) AS component_id, v.vec_id = coalesce(component_id, v.vec_id) AS kept
+FROM v LEFT JOIN n USING (vec_id) LEFT JOIN c USING (vec_id)"""
+
+#: The others follow tokenizers, trained models, positions of matches or searches, which SQL can't express.
+ORACLE_SQL: dict[str, str] = {
+    "op5_substring_dedup": _substring_sql(),
+    "op6_embedding_dedup": _EMBEDDING_SQL,
+    "op9_line_quality": _line_quality_sql(),
+}
