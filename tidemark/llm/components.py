@@ -23,7 +23,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
-        large = large.distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(least, "u")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
