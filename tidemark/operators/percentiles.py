@@ -20,16 +20,16 @@ def _keys(cfg: Prep, level) -> list:
 def fit_percentiles(acquisitions: DataFrame, cfg: Prep, where=None) -> DataFrame:
     """column, level, keys, n, edges[101] for every cell of every level; ``where`` can hold the fit to training rows."""
     spark = acquisitions.sparkSession
-    out = spark.createDataFrame([], GRID)
-    if not cfg.percentiles:
-        return out
+    grouped = [(name, level, keys) for name, spec in cfg.numerics.items() for level, keys in enumerate(spec.percentile_group or ())]
+    if not cfg.percentiles or not grouped:
+        return spark.createDataFrame([], GRID)
     rows = acquisitions if where is None else acquisitions.where(where)
-    for name, spec in cfg.numerics.items():
-        for level, keys in enumerate(spec.percentile_group or ()):
-            cell = [f"_g{i}" for i in range(len(keys))]
-            fitted = quantiles(rows.select(*_keys(cfg, keys), F.col(name)), cell, name, [k / 100 for k in range(101)])
-            out = out.unionByName(fitted.select(F.lit(name).alias("column"), F.lit(level).alias("level"), F.array(*cell).alias("keys"), "n", "edges"))
-    return out
+    # One pass for all columns and levels; values are counted on the map side, so the copies never travel.
+    cells = F.array(*[
+        F.struct(F.lit(name).alias("column"), F.lit(level).alias("level"), F.array(*_keys(cfg, keys)).alias("keys"), F.col(name).alias("value"))
+        for name, level, keys in grouped])
+    tall = rows.select(F.explode(cells).alias("x")).select("x.*")
+    return quantiles(tall, ["column", "level", "keys"], "value", [k / 100 for k in range(101)]).select("column", "level", "keys", "n", "edges")
 
 
 def apply_percentiles(acquisitions: DataFrame, grid: DataFrame, cfg: Prep, levels: bool = False) -> DataFrame:

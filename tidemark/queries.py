@@ -19,6 +19,7 @@ from .operators.features import build_features, visible
 from .operators.percentiles import apply_percentiles, fit_percentiles
 from .operators.sampling import downsample_negatives, group_folds
 from .sources.raw import FAMILY, ORDERS, ingest, orders_as_raw, split_outcomes
+from .sources.shared import stored
 
 CFG = ORDERS
 SEED, FRACTION, SPLITS, BINS, LIFTS, CAL_BINS = 42, 0.25, 5, 4, (0.01, 0.05, 0.10), 5
@@ -54,7 +55,7 @@ def _anchors(spark: SparkSession, d: str, design: str) -> DataFrame:
 
 def _ranked(spark: SparkSession, d: str, levels: bool = False) -> DataFrame:
     acquired = _acquired(spark, d)
-    return apply_percentiles(acquired, fit_percentiles(acquired, CFG), CFG, levels)
+    return apply_percentiles(acquired, stored(fit_percentiles(acquired, CFG), "grid"), CFG, levels)
 
 
 def _features(spark: SparkSession, d: str, design: str, cfg=CFG, ranked: bool = True) -> DataFrame:
@@ -453,8 +454,6 @@ def coef_stability(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _model_input(spark: SparkSession, d: str) -> DataFrame:
-    from .sources.shared import stored
-
     return stored(hazard_dataset(_features(spark, d, "hazard"), _anchors(spark, d, "hazard"), CFG), "hazard")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -18,7 +19,22 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """The rows of ``df`` written to the shared folder and read back: a cut in the lineage that outlives executors."""
-    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    """The rows of ``df`` written to the shared folder and read back.
+
+    This cuts the lineage in a way that outlives a lost executor: later stages
+    reread the files instead of recomputing.  The files go with the application.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    atexit.register(_remove, spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    try:
+        context = spark.sparkContext
+        target = context._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+    except Exception:  # the session is gone already; the application's folder goes with it
+        pass
