@@ -5,13 +5,16 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
-import uuid
 from pathlib import Path
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import stored
+
+__all__ = ["Memo", "SPACE", "WORD", "crc_fold", "mix64", "ship", "stored", "table", "text_or_empty", "words_col"]
+
 #: The white space that separates words, as a character class body: U+0020 and U+0009..U+000D.
 SPACE = " \t\n\x0b\f\r"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -43,37 +46,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; a temporary one only where it is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """The rows of ``df`` written to the shared folder and read back.
-
-    This cuts the lineage in a way that outlives a lost executor: later stages
-    reread the files instead of recomputing.  The files go with the application.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    try:
-        jvm = spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-    except Exception:  # the session is gone already; the application's folder goes with it
-        pass
-
-
 def crc_fold(id_col: str, folds: int = 5):
     """crc32 of the id as text, modulo ``folds``."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % F.lit(folds)
