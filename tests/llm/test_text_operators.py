@@ -1,0 +1,194 @@
+"""Token counts, BPE, personal data, line rules and language ID against libraries and plain versions."""
+
+import json
+import random
+import re
+import struct
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+
+from tidemark.llm import bpe_codec, language_id, line_quality, personal_data, token_count
+from tidemark.llm.common import crc_fold
+
+PIECES, WORDS = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("word_bpe_49k.json")
+ALPHABET = [*" \t\n▁abeothn.,'<>|0123é日😀ß́ΣİΑ\x1c\x85​Ａ", "<|endoftext|>", "<s>", "'s", "'ll", "    ", "http://"]
+
+
+def fuzz(n, alphabet=ALPHABET, most=50, seed=1):
+    rnd = random.Random(seed)
+    return ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, most))) for _ in range(n)]
+
+
+LONG = ["a" * 5000, "th" * 3000, " " * 777, "tion" * 1000 + " ", "#" * 500]
+
+
+def edge_rows(spark, texts=()):
+    """Nulls, empties, repeats, a long text and columns whose names clash with what the operators add."""
+    rows = [(1, None), (2, ""), (3, " \n\t"), (4, "Some plain words here."), (4, "Some plain words here."), (None, "No id at all."), (5, "word " * 30000), *texts]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    clash = ("_id", "_h", "_text", "n_tokens", "_doc", "_gone", "_lang", "_row", "kept", "n_words", "_new", "lo", "key", "score")
+    return df.withColumns({c: F.lit("x") for c in clash})
+
+
+def test_token_counts_equal_the_library():
+    import sentencepiece
+
+    merger = token_count.PieceMerger(token_count.piece_costs(PIECES))
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    for text in [*fuzz(4000), *LONG]:
+        assert merger.count(text) == len(library.encode(text)), text
+
+
+def test_memo_stays_bounded():
+    merger = token_count.PieceMerger(token_count.piece_costs(PIECES))
+    merger.memo.limit = 100
+    for text in fuzz(500):
+        merger.count(text)
+    assert len(merger.memo) <= 100
+
+
+def test_codec_equals_the_library():
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(WORDS)
+    with open(WORDS, encoding="utf-8") as f:
+        codec = bpe_codec.WordCodec(json.load(f))
+    for text in [*fuzz(4000), *LONG]:
+        want = library.encode(text, add_special_tokens=False).ids
+        ids, decoded = codec.encode(text)
+        assert ids == struct.pack(f"<{len(want)}I", *want), text
+        assert decoded == library.decode(want, skip_special_tokens=False) == codec.decode(ids)
+
+
+def test_certain_cuts_are_outside_every_token():
+    with open(WORDS, encoding="utf-8") as f:
+        codec = bpe_codec.WordCodec(json.load(f))
+    for token in list(codec.vocab)[::37]:
+        bare = token.removesuffix("</w>")
+        assert all(bare[i : i + 2] in codec.inner for i in range(len(bare) - 1))
+
+
+def test_counts_and_codec_on_edge_rows(spark):
+    rows = edge_rows(spark)
+    counts = {(r.doc_id, r.n_bytes, r.n_tokens, r.over_limit) for r in token_count.token_counts(rows, PIECES).collect()}
+    assert {(1, 0, 0, False), (2, 0, 0, False), (5, 150000, 30001, True)} <= counts and token_count.token_counts(rows, PIECES).count() == 7
+    coded = bpe_codec.encode_decode(rows, WORDS)
+    assert coded.count() == 7 and {(r.doc_id, len(r.ids)) for r in coded.collect()} >= {(1, 0), (2, 0), (3, 0)}
+    back = bpe_codec.decode_ids(coded, WORDS)
+    assert sorted(map(str, back.collect())) == sorted(map(str, coded.select("doc_id", "decoded").collect()))
+    assert token_count.token_counts(rows.limit(0), PIECES).count() == 0 and bpe_codec.encode_decode(rows.limit(0), WORDS).count() == 0
+
+
+def base_spans(text):
+    out = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(p) <= 255 for p in m[0].split(".")):
+            out.append((m.start(), 1, m.end()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        d = [int(c) for c in re.sub("[^0-9]", "", m[0])][::-1]
+        if 12 <= len(d) <= 19 and sum(x if i % 2 == 0 else sum(divmod(2 * x, 10)) for i, x in enumerate(d)) % 10 == 0:
+            out.append((m.start(), 2, m.end()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 9 <= len(re.sub("[^0-9]", "", m[0])) <= 15:
+            out.append((m.start(), 3, m.end()))
+    return sorted(out)
+
+
+def test_base_spans_equal_the_patterns():
+    cues = personal_data.automaton()
+    pieces = [*"ab.@+-0123456789 ()_%é", "1.2.3.4", "@a.b", "+1", "4111 1111 1111 1111", "255.255.0.1", "token: "]
+    for text in fuzz(20000, pieces):
+        assert [s for s in personal_data.find_spans(text, cues) if s[1] < 4] == base_spans(text), text
+
+
+def test_added_spans_and_masking():
+    cues = personal_data.automaton()
+    text = 'mail a.b@c.de, token = "abe29cfcdae4f03e1e" ftp://u:p@h.org/x on 10.0.0.1'
+    assert personal_data.masked(text, personal_data.find_spans(text, cues)) == 'mail <EMAIL>, token = "<ACCOUNT>" <URL> on <IP>'
+    for clean in ("the token was lost in the account", "see https://example.org/a/b", "section 1.2.3 of 2020-01-01", ""):
+        assert personal_data.find_spans(clean, cues) == []
+
+
+def test_personal_data_on_edge_rows(spark):
+    rows = edge_rows(spark, [(9, "write to x@y.org")])
+    found = {r.doc_id: r for r in personal_data.personal_data(rows).collect()}
+    assert found[9].spans == "email:9:16" and found[1].spans == "" and found[2].n_email == 0
+    out = personal_data.redact(rows)
+    assert out.columns == rows.columns and out.count() == 8
+    nine = out.where("doc_id = 9").first()
+    assert (nine.text, nine.n_chars) == ("write to <EMAIL>", 16) and out.where("doc_id = 1").first().text is None
+    assert personal_data.redact(rows.limit(0)).count() == 0
+
+
+def plain_counts(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    grams = list(zip(w, w[1:], w[2:]))
+    seen = Counter(grams)
+    covered = {i + k for i, g in enumerate(grams) if seen[g] > 1 for k in range(3)}
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return len(w), sum(map(len, w)), sum(map(text.count, "#*$%&|<>")), len(lines) - len(set(lines)), len(covered)
+
+
+def test_line_counts_equal_a_plain_version(spark):
+    rnd = random.Random(3)
+    texts = ["".join(rnd.choice(["a", "b", "c", "#", "é", " ", "  ", "\n", "\t", "\x0b", "|"]) for _ in range(rnd.randint(0, 200))) for _ in range(400)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in line_quality.line_quality(rows).collect():
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == plain_counts(texts[r.doc_id])
+
+
+def test_long_texts_sort_pairs(spark, monkeypatch):
+    monkeypatch.setattr(line_quality, "_POSITION_BITS", 4)
+    text = "a b c d e f g h i j a b c k l m n o p q r s"
+    row = line_quality.line_quality(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert row.n_repeat_words == 6
+
+
+def test_line_rules(spark):
+    prose = "\n".join(" ".join(f"Word{i}{chr(97 + k)}" for k in range(10)) + ", and so on." for i in range(8))
+    noise = "\n".join(f"wo{i}## rd{i}** an{i}$$ ot{i}%% he{i}&& r{i}###." for i in range(20))
+    menu = "Home | News | Sport | Travel | Contact | Login"
+    rows = [(1, prose), (2, noise), (3, f"{prose}\n{menu}\nAll rights reserved by us."), (4, "few words"), (5, ("same words again " * 40))]
+    got = {r.doc_id: r for r in line_quality.line_quality(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1].kept and got[1].cleaned == prose
+    assert not got[2].kept and not got[2].base_failed
+    assert got[3].kept and got[3].cleaned == prose and got[3].n_lines_removed == 2
+    assert got[4].base_failed and got[5].base_failed and not got[5].kept
+
+
+def test_line_quality_on_edge_rows(spark):
+    rows = edge_rows(spark)
+    got = line_quality.line_quality(rows)
+    assert got.count() == 7 and {(r.doc_id, r.n_words) for r in got.collect()} >= {(1, 0), (2, 0), (3, 0), (5, 30000)}
+    assert line_quality.line_quality(rows.limit(0)).count() == 0
+
+
+def test_language_id(spark):
+    words = {"en": "the of and with thing".split(), "de": "der und nicht straße über".split(), "fr": "être où leçon déjà vous".split()}
+    rnd = random.Random(5)
+    rows = [(i, " ".join(rnd.choice(words[x]) for _ in range(30)), x) for i in range(600) for x in [rnd.choice(list(words))]]
+    rows += [(1000, None, "en"), (1001, "123 ...", "en"), (1002, "", None), (1003, "der und der über", None), (None, "the thing of", "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("_lang", F.lit(1)).withColumn("score", F.lit(2))
+    got = {r.doc_id: r for r in language_id.identify(df, crc_fold("doc_id") != 0).collect()}
+    assert len(got) == len(rows)
+    held = [r for r in df.where((crc_fold("doc_id") == 0) & (F.col("doc_id") < 600)).collect()]
+    assert sum(got[r.doc_id].lang_pred == r.lang for r in held) >= 0.99 * len(held)
+    assert [got[i].lang_pred for i in (1000, 1001, 1002)] == ["und"] * 3 and got[1003].lang_pred == "de"
+    assert all(0 <= r.score <= 1 for r in got.values())
+    kept = language_id.keep_identified(df, crc_fold("doc_id") != 0)
+    assert kept.columns == df.columns and kept.where("doc_id in (1000, 1001, 1002)").count() == 0 and kept.where("doc_id = 1003").first().lang == "de"
+    unlabelled = df.withColumn("lang", F.lit(None).cast("string"))
+    assert {r.lang_pred for r in language_id.identify(unlabelled, F.lit(True)).collect()} == {"und"}
+    assert language_id.identify(df.limit(0), F.lit(True)).count() == 0
+
+
+def test_lang_and_source_are_never_inputs(spark):
+    df = spark.createDataFrame([(i, "der und nicht" if i % 2 else "the of and", "de" if i % 2 else "en") for i in range(100)], "doc_id long, text string, lang string")
+    model = language_id.train(df, F.lit(True))
+    swapped = df.withColumn("lang", F.lit("xx")).withColumn("doc_id", F.lit(1))
+    one, two = (language_id.predict(x, model).groupBy("_lang.lang_pred").count().collect() for x in (df, swapped))
+    assert sorted(map(str, one)) == sorted(map(str, two))
