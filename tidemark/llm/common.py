@@ -24,7 +24,13 @@ _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Give this package to the Python workers, once an application; they need not have it installed."""
+    """Give this package to the Python workers, once an application; they need not have it installed.
+
+    Python operators see texts in Arrow batches; a batch of the default 10,000 very long
+    texts would not fit a worker, so an unset limit is lowered.
+    """
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         _shipped.add(context.applicationId)
@@ -35,14 +41,8 @@ def ship(spark: SparkSession) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the data folder, read by Spark.
-
-    Python operators see texts in Arrow batches; a batch of the default 10,000
-    very long texts would not fit a worker, so an unset limit is lowered.
-    """
+    """A table of the data folder, read by Spark."""
     ship(spark)
-    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -53,7 +53,7 @@ def op4_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .class_lm import class_scores
 
     found = class_scores(table(spark, sf_dir, "documents"), crc_fold("doc_id") != 1)
-    return found.select("doc_id", (crc_fold("doc_id") == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return found.select("doc_id", F.coalesce(crc_fold("doc_id") == 1, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +80,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     found = identify(docs, crc_fold("doc_id") != 0)
-    return found.select("doc_id", (crc_fold("doc_id") == 0).alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", F.coalesce(crc_fold("doc_id") == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
 def op9_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

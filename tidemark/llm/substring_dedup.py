@@ -24,6 +24,7 @@ from .common import SPACE, WORD, mix64, stored
 from .word_hash import BASE_B, Rolling, hashed, words_of
 
 WIDTH = 50
+_ROWS = 1 << 16  # windows looked at in one step: memory stays flat for texts of any length
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -36,7 +37,7 @@ def _stretches(hashes: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
     rolling = Rolling(hashes)
     grams = mix64(rolling.windows(gram))
     named = np.lib.stride_tricks.sliding_window_view(grams, width - gram + 1)
-    place = named.argmin(axis=1) + np.arange(len(named))
+    place = np.concatenate([named[i : i + _ROWS].argmin(axis=1) for i in range(0, len(named), _ROWS)]) + np.arange(len(named))
     starts = np.flatnonzero(np.diff(place, prepend=-1))
     ends = np.append(starts[1:], len(place))
     content = rolling.spans(starts, ends + (width - 1)) + (ends - starts).astype(np.uint64)
