@@ -24,7 +24,7 @@ TRAIN_PER_LANGUAGE = 96  # the bound of the labelled sample
 LANDMARKS_PER_LANGUAGE = 24
 RIDGE = 0.05
 SHARPNESS = 4.0  # of the softmax that maps ridge outputs to scores
-BATCH = 128  # texts in one matrix product
+BATCH = 64  # texts in one matrix product
 
 _letters: list[np.ndarray] = []
 
@@ -176,7 +176,7 @@ def identify(docs: DataFrame, train_on: Column, id_col: str = "doc_id", text_col
     return predict(own.select(id_col, text_col), model, text_col).select(F.col(f"_doc.`{id_col}`").alias(id_col), "_lang.lang_pred", "_lang.score")
 
 
-def keep_identified(docs: DataFrame, train_on: Column, least: float = 0.4, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> DataFrame:
+def keep_identified(docs: DataFrame, train_on: Column, least: float = 0.3, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> DataFrame:
     """``docs`` without those that are undetermined or score under ``least``; the label becomes the language found.
 
     All columns stay, whatever their names.  With nothing to learn from, no row can be

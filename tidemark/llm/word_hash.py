@@ -11,7 +11,7 @@ from .common import WORD, Memo
 
 _U = np.uint64
 BASE_A, BASE_B = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93  # odd, so that they have inverses modulo 2**64
-MEMO_WORDS = 600_000
+MEMO_WORDS = 100_000
 
 _find = re.compile(WORD).findall
 _memo = Memo(lambda w: xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")), MEMO_WORDS)
