@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from .common import stored
 
 
+SMALL_EDGES = 100_000  # a graph of so few edges is stepped through without shuffles
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node, component: the smallest node reachable from each node that has an edge.
 
     Edges are undirected; loops, repeats and nulls do no harm.  Each step is a grouped minimum and
     a join, both of which Spark can spread however many neighbours a node has; every
-    step is written to the shared folder.  The number of steps follows the logarithm of
+    step is written to the shared folder.  Once few edges are left, they share a partition.  The number of steps follows the logarithm of
     the longest path.
     """
     edges = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
@@ -35,4 +38,5 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
 def _settled(edges: DataFrame) -> tuple[DataFrame, tuple]:
     edges = stored(edges, "edges")
-    return edges, tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+    mark = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+    return (edges.coalesce(1) if mark[0] <= SMALL_EDGES else edges), mark
