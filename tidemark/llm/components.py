@@ -21,6 +21,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     edges = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
     edges, mark = _settled(edges)
+    few = mark[0] <= SMALL_EDGES
+    if few:  # in one file, for the steps read it several times
+        edges = stored(edges, "edges").coalesce(1)
     while True:
         before = mark
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -29,7 +32,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(least, "u")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        edges, mark = _settled(small.where("u <> v").distinct())
+        edges, mark = _settled((small.coalesce(1) if few else small).where("u <> v").distinct())
         if mark == before:
             break
     return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")).unionByName(
