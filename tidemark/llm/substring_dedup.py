@@ -172,14 +172,13 @@ def cut_repeats(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", tex
     @F.pandas_udf("string")
     def cut(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for texts, gones in parts:
-            out = [cut_text(t, merged([(x["start"], x["end"]) for x in g])) for t, g in zip(texts, gones)]
+            out = [t if g is None else cut_text(t, merged([(x["start"], x["end"]) for x in g])) for t, g in zip(texts, gones)]
             yield pd.Series(out, dtype="object")
 
     rows = docs.select(F.struct("*").alias("_doc"), F.col(id_col).cast("long").alias("_id"), F.xxhash64(text_col).alias("_h"))
     rows = rows.join(gone, ["_id", "_h"], "left")  # a null id meets nothing and stays
-    same = rows.where("_gone IS NULL").select("_doc", F.col(f"_doc.`{text_col}`").alias("_new"))
-    less = rows.where("_gone IS NOT NULL").select("_doc", cut(F.col(f"_doc.`{text_col}`"), "_gone").alias("_new"))
-    both = same.unionByName(less.where(F.btrim("_new", F.lit(SPACE)) != ""))
+    both = rows.select("_doc", "_gone", cut(F.col(f"_doc.`{text_col}`"), "_gone").alias("_new"))  # one join: texts travel once
+    both = both.where(F.col("_gone").isNull() | (F.btrim("_new", F.lit(SPACE)) != ""))
     new = {text_col: F.col("_new")}
     if length_col in docs.columns:
         new[length_col] = F.char_length("_new").cast(docs.schema[length_col].dataType)
