@@ -81,6 +81,25 @@ def test_near_duplicates_equal_all_pairs(spark):
     assert all(r.kept == (i == r.group_id) for i, r in got.items())
 
 
+def test_near_duplicates_in_a_crowd_equal_all_pairs(spark):
+    """2,000 texts round one passage, a tenth of them with a partner just under, at or over the threshold."""
+    rnd = random.Random(5)
+    passage, fresh = [f"p{i}" for i in range(89)], itertools.count()
+    own = [[f"w{next(fresh)}" for _ in range(15)] for _ in range(2000)]
+    own += [x[:k] + [f"w{next(fresh)}" for _ in range(15 - k)] for i, x in enumerate(own[:200]) for k in [3 + i % 3]]
+    rnd.shuffle(own)
+    texts = [" ".join(passage + x) for x in own]
+    labels = [near_dedup.shingles(t) for t in texts]
+    known, counts = np.unique(np.concatenate(labels), return_counts=True)
+    known = known[counts > 1]
+    held = np.stack([np.isin(known, x) for x in labels]).astype(np.float32)
+    common = held @ held.T
+    links = [(int(a), int(b)) for a, b in zip(*np.nonzero(np.triu(common / (200 - common) >= 0.79, 1))) if near_dedup.alignment(labels[a], labels[b]) >= 0.8]
+    assert len(links) == 133
+    got = {r.doc_id: r.group_id for r in near_dedup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == roots(dict(enumerate(texts)), links)
+
+
 def test_alignment_is_the_longest_common_chain():
     rng = np.random.default_rng(3)
     for _ in range(200):

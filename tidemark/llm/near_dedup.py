@@ -4,11 +4,11 @@ A sketch takes the LENGTH occurrence-labelled word shingles with the smallest ha
 one hash function and keeps them in the order of the text, so it answers to edits and to
 reordering alike (Marcais et al., 2019).  Sketches are strung into trees; at the chosen
 depths of a tree, documents with the same sketches meet in a bucket, and each is paired
-with the bucket's leader, so candidates grow with the documents and not with the square of
-a bucket.  A banded alignment of the shingles verifies every pair.  Further rounds look for
-links between documents not yet joined: within small buckets pair by pair, elsewhere with
-the shortest documents of each size class as leaders, then with leaders drawn at random
-until a round finds no link.
+with the bucket's leader.  A banded alignment of the shingles verifies every pair.  A second
+round looks for links between documents not yet joined: within small buckets pair by pair,
+elsewhere with the shortest documents of each size class as leaders.  A last one decides all
+pairs of different components in the larger buckets, dealt out block against block; lengths
+and histograms of labels rule most of them out before the alignment.
 """
 
 from __future__ import annotations
@@ -30,7 +30,8 @@ SIMILARITY = 0.8
 TREES = 16
 DEPTHS = (2, 3)  # sketches that must agree in a bucket
 LENGTH = 2  # shingles in a sketch
-PAIRED = 24  # documents of a bucket that are compared pair by pair
+PAIRED = 24  # documents of a bucket that are compared pair by pair in a join
+BLOCK = 1024  # documents of a larger bucket compared at once; it is dealt out block against block
 BROADCAST_IDS = 1_000_000  # ids sent to every task at most; beyond that the join shuffles
 
 _U = np.uint64
@@ -197,12 +198,65 @@ def _by_pair(placed: DataFrame) -> DataFrame:
     return rows.join(other, "key").where("_id > leader")
 
 
-def _by_draw(placed: DataFrame, turn: int) -> DataFrame:
-    """Each row of a bucket with several components, with a leader drawn anew each turn."""
-    leaders = placed.groupBy("key").agg(
-        F.min_by(F.struct("_id", "component", "n"), F.xxhash64("_id", F.lit(turn))).alias("l"),
-        F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 < c2")
-    return placed.join(leaders.select("key", F.col("l._id").alias("leader"), F.col("l.component").alias("other"), F.col("l.n").alias("m")), "key")
+def linked(labels: list[np.ndarray], component: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
+    """Places of pairs, one of ``left`` and one of ``right``, that join all components which some such pair joins.
+
+    Every pair of different components is decided: by length, by the histograms of its labels, whose
+    distance is at most the number of labels not shared, or else by alignment.
+    """
+    n = np.array([len(x) for x in labels])
+    order = np.argsort(n, kind="stable")
+    root, out = component.copy(), []
+    bins = 1 << np.maximum(6, np.ceil(np.log2(np.maximum(n, 1))).astype(int))  # as many as labels, or more
+    for width in np.unique(bins[order]):
+        reach = order[(n[order] * 2 > width if width > 64 else n[order] > 0) & (SIMILARITY * n[order] <= width)]
+        table = np.stack([np.minimum(np.bincount(labels[i] % np.uint32(width), minlength=width), 255) for i in reach]).astype(np.uint8)
+        for at in np.flatnonzero(bins[reach] == width):
+            i = reach[at]
+            last = np.searchsorted(n[reach], n[i] / SIMILARITY + 1e-6, side="right")
+            ahead = np.arange(at + 1, last)
+            j = reach[ahead]
+            ahead = ahead[(root[j] != root[i]) & (left[i] & right[j] | right[i] & left[j])]
+            for k in range(0, len(ahead), max(1, _WIDE // width)):
+                part = ahead[k : k + max(1, _WIDE // width)]
+                apart = (np.maximum(table[part], table[at]) - np.minimum(table[part], table[at])).sum(axis=1, dtype=np.int64)
+                total = n[i] + n[reach[part]]
+                for j in reach[part[(total - apart) / 2 * (1 + SIMILARITY) >= SIMILARITY * total - 1e-6]]:
+                    if root[i] != root[j] and alignment(labels[i], labels[j]) >= SIMILARITY:
+                        root[root == root[j]] = root[i]
+                        out.append((int(i), int(j)))
+    return out
+
+
+def _by_block(placed: DataFrame, docs: DataFrame) -> DataFrame:
+    """x, y of links between components in buckets above PAIRED: all their pairs, block against block in tasks of at most about 2 BLOCK documents.
+
+    Members of a bucket's largest component are compared with the other members only.
+    """
+    parts = placed.groupBy("key", "component").agg(F.count("*").alias("c"))
+    crowds = parts.groupBy("key").agg(F.sum("c").alias("c"), F.max(F.struct("c", "component")).alias("most"))
+    crowds = crowds.where((F.col("c") > PAIRED) & (F.col("most.c") < F.col("c")))
+    blocks = lambda c: F.ceil(c / BLOCK).cast("int")
+    crowds = crowds.select("key", F.col("most.component").alias("most"), blocks(F.col("most.c")).alias("m"), blocks(F.col("c") - F.col("most.c")).alias("o"))
+    rows = placed.join(crowds, "key").withColumn("main", F.col("component") == F.col("most"))
+    rows = rows.withColumn("at", F.pmod(F.xxhash64("_id"), F.when(F.col("main"), F.col("m")).otherwise(F.col("o"))).cast("int"))
+    # Blocks of the others are 0 .. o - 1, those of the largest component follow.
+    rows = rows.withColumn("at", F.when(F.col("main"), F.col("at") + F.col("o")).otherwise(F.col("at")))
+    last = F.col("o") + F.when(F.col("main"), 0).otherwise(F.col("m")) - 1
+    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), last)))
+    rows = rows.select("key", F.least("at", "with").alias("p"), F.greatest("at", "with").alias("q"), "at", "_id", "component")
+    rows = stored(rows, "crowds")
+    ids = stored(rows.select("_id").distinct(), "crowd-ids")
+    few = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    labels = stored(_labels(docs.join(few, "_id", "left_semi")), "crowd-labels")
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        at, p, q = pdf["at"].to_numpy(), pdf["p"].iloc[0], pdf["q"].iloc[0]
+        found = linked([np.frombuffer(x, np.uint32) for x in pdf["labels"]], pdf["component"].to_numpy(), at == p, at == q)
+        ids = pdf["_id"].to_numpy()
+        return pd.DataFrame([(ids[i], ids[j]) for i, j in found], columns=["x", "y"], dtype="int64")
+
+    return rows.join(labels, "_id").groupBy("key", "p", "q").applyInPandas(compare, "x long, y long").distinct()
 
 
 def _joined(groups: DataFrame, links: DataFrame) -> DataFrame:
@@ -228,30 +282,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     keyed = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
     signed = stored(_signatures(keyed.where("_id IS NOT NULL")), "signatures")
     classes = signed.groupBy("a", "b").agg(F.min("_id").alias("copy_of"), F.min_by("keys", "_id").alias("keys"), F.first("n").alias("n"))
-    rows = classes.select(F.col("copy_of").alias("_id"), "n", F.explode("keys").alias("key"))
+    rows = classes.select(F.col("copy_of").alias("_id"), "n", F.posexplode("keys").alias("place", "key"))
+    rows = rows.withColumn("least", F.col("place") < TREES).drop("place")
     met = rows.groupBy("key").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi")).where("lo < hi")
     rows = stored(rows.join(met.select("key", "lo"), "key"), "buckets")
     sizes = rows.select(F.col("_id").alias("y"), F.col("n").alias("m")).distinct()
     alike = F.least("n", "m") >= SIMILARITY * F.greatest("n", "m")
     pairs = rows.where("_id <> lo").select(F.col("_id").alias("x"), "n", F.col("lo").alias("y")).distinct()
     pairs = stored(pairs.join(sizes, "y").where(alike).select("x", "y"), "pairs")
-    tested = pairs
     groups = stored(components(stored(_verified(pairs, keyed), "links"), "x", "y"), "groups")
-    turn = 0
-    while True:
-        placed = rows.join(groups.withColumnRenamed("node", "_id"), "_id", "left").withColumn("component", F.coalesce("component", "_id"))
-        wanted = "_id", "component", "n", "leader", "other", "m"
-        apart = _by_size(placed).select(*wanted).unionByName(_by_pair(placed).select(*wanted)) if turn == 0 else _by_draw(placed, turn)
-        near = F.least("n", "m") >= SIMILARITY * F.greatest("n", "m")
-        pairs = apart.where(near & (F.col("component") != F.col("other"))).select(F.greatest("_id", "leader").alias("x"), F.least("_id", "leader").alias("y")).distinct()
-        pairs = stored(pairs.join(tested, ["x", "y"], "left_anti"), "pairs")
-        found = None if pairs.isEmpty() else stored(_verified(pairs, keyed), "links")
-        if turn and (found is None or found.isEmpty()):
-            break
-        if found is not None and not found.isEmpty():
-            tested = tested.unionByName(pairs)
-            groups = stored(_joined(groups, found), "groups")
-        turn += 1
+    tested = pairs
+
+    def placed_rows() -> DataFrame:
+        return rows.join(groups.withColumnRenamed("node", "_id"), "_id", "left").withColumn("component", F.coalesce("component", "_id"))
+
+    placed = placed_rows()
+    wanted = "_id", "component", "n", "leader", "other", "m"
+    apart = _by_size(placed).select(*wanted).unionByName(_by_pair(placed).select(*wanted))
+    pairs = apart.where(alike & (F.col("component") != F.col("other"))).select(F.greatest("_id", "leader").alias("x"), F.least("_id", "leader").alias("y")).distinct()
+    pairs = stored(pairs.join(tested, ["x", "y"], "left_anti"), "pairs")
+    if not pairs.isEmpty():
+        groups = stored(_joined(groups, stored(_verified(pairs, keyed), "links")), "groups")
+    # Buckets of the least depth hold those of the others.
+    crowded = stored(_by_block(placed_rows().where("least"), keyed), "links")
+    if not crowded.isEmpty():
+        groups = stored(_joined(groups, crowded), "groups")
     placed = signed.select("_id", "a", "b").join(classes.select("a", "b", "copy_of"), ["a", "b"])
     placed = placed.groupBy("_id").agg(F.min("copy_of").alias("copy_of"))
     placed = placed.join(groups.withColumnRenamed("node", "copy_of"), "copy_of", "left")
