@@ -142,3 +142,21 @@ def test_streamed_histories(spark, tmp_path):
     query = refresh_features(arriving, str(tmp_path / "history"), spark.createDataFrame([], GRID), cfg, str(tmp_path / "out"), str(tmp_path / "ckpt"))
     query.awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "out")).count() > 0
+
+
+def test_model_queries_run_the_reference_configuration(monkeypatch):
+    from tidemark import queries
+    from tidemark.plans import modelling
+
+    runs = []
+    monkeypatch.setattr(queries, "_model_input", lambda spark, d: "rows")
+    monkeypatch.setattr(modelling, "cross_validate", lambda rows, cfg, *a: runs.append(cfg) or ("predictions", []))
+    monkeypatch.setattr(modelling, "load", lambda df, cfg: df)
+    for module in (modelling, queries):
+        monkeypatch.setattr(module, "downsample_negatives", lambda rows, *a: rows)
+    monkeypatch.setattr("tidemark.operators.sampling.downsample_negatives", lambda rows, *a: rows)
+    monkeypatch.setattr(modelling, "stored", lambda df, label: df)
+    monkeypatch.setattr(modelling, "customer_scores", lambda predictions, cfg: predictions)
+    assert queries.cv_logistic_oof(None, "") == queries.cv_gbt_oof(None, "") == "predictions"
+    assert runs == [Model(), Model(type="gbm")]
+    assert (Model().n_splits, Model().n_repeats, Model().max_iter, Model().gbm_max_iter, Model().gbm_max_depth) == (5, 2, 400, 300, 3)

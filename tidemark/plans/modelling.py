@@ -129,12 +129,17 @@ def permutation_importance(df: DataFrame, fold: Fold, cfg: Model, features: list
     return spark.createDataFrame(rows, "feature string, mean_importance double, std_importance double").orderBy(F.desc("mean_importance"), "feature")
 
 
-def report(df: DataFrame, cfg: Model) -> dict[str, DataFrame]:
-    """metrics, metrics_by_repeat, calibration, predictions, features of a dataset."""
+def out_of_fold(df: DataFrame, cfg: Model) -> tuple[DataFrame, DataFrame, list[Fold]]:
+    """(scores of the customers in every repeat, the sampled modelling rows, fitted folds) of a dataset."""
     cfg = cfg.checked()
     rows = stored(downsample_negatives(load(df, cfg), cfg.group, cfg.label, cfg.negative_customer_fraction, cfg.random_state), "modelling")
     predictions, folds = cross_validate(rows, cfg)
-    scores = stored(customer_scores(predictions, cfg), "scores")
+    return stored(customer_scores(predictions, cfg), "scores"), rows, folds
+
+
+def report(df: DataFrame, cfg: Model) -> dict[str, DataFrame]:
+    """metrics, metrics_by_repeat, calibration, predictions, features of a dataset."""
+    scores, rows, folds = out_of_fold(df, cfg)
     by_repeat = metrics.ranking_metrics(scores, cfg.id, cfg.lift_at)
     if cfg.type == "logistic":
         features = metrics.coefficient_stability(coefficients(df.sparkSession, folds)).orderBy(F.desc(F.abs("mean_coef")), "feature")

@@ -459,19 +459,16 @@ def _model_input(spark: SparkSession, d: str) -> DataFrame:
 
 @query(None)
 def cv_logistic_oof(spark: SparkSession, d: str) -> DataFrame:
-    from .plans.modelling import report
+    from .plans.modelling import out_of_fold
 
-    return report(_model_input(spark, d), Model(n_repeats=1, n_splits=3, max_iter=50))["predictions"]
+    return out_of_fold(_model_input(spark, d), Model())[0]
 
 
 @query(None)
 def cv_gbt_oof(spark: SparkSession, d: str) -> DataFrame:
-    from .plans.modelling import cross_validate, customer_scores, load
-    from .operators.sampling import downsample_negatives as sample
+    from .plans.modelling import out_of_fold
 
-    cfg = Model(type="gbm", n_repeats=1, n_splits=2, gbm_max_iter=3, gbm_max_depth=2)
-    rows = sample(load(_model_input(spark, d), cfg), cfg.group, cfg.label, cfg.negative_customer_fraction, cfg.random_state)
-    return customer_scores(cross_validate(rows, cfg)[0], cfg)
+    return out_of_fold(_model_input(spark, d), Model(type="gbm"))[0]
 
 
 @query(None)
