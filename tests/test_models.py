@@ -160,3 +160,14 @@ def test_model_queries_run_the_reference_configuration(monkeypatch):
     assert queries.cv_logistic_oof(None, "") == queries.cv_gbt_oof(None, "") == "predictions"
     assert runs == [Model(), Model(type="gbm")]
     assert (Model().n_splits, Model().n_repeats, Model().max_iter, Model().gbm_max_iter, Model().gbm_max_depth) == (5, 2, 400, 300, 3)
+
+
+def test_permutation_importance_reports_the_boosted_trees(monkeypatch):
+    from tidemark import queries
+    from tidemark.plans import modelling
+
+    runs = []
+    monkeypatch.setattr(queries, "_model_input", lambda spark, d: "rows")
+    monkeypatch.setattr(modelling, "report", lambda df, cfg: runs.append((df, cfg)) or {"features": "every feature"})
+    assert queries.permutation_importance(None, "") == "every feature"
+    assert runs == [("rows", Model(type="gbm"))] and runs[0][1].permutation_repeats == 5

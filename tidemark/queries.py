@@ -473,13 +473,9 @@ def cv_gbt_oof(spark: SparkSession, d: str) -> DataFrame:
 
 @query(None)
 def permutation_importance(spark: SparkSession, d: str) -> DataFrame:
-    from .plans.modelling import Fold, fit, load
-    from .plans.modelling import permutation_importance as importance
+    from .plans.modelling import report
 
-    cfg = Model(permutation_repeats=1, max_iter=20)
-    rows = load(_model_input(spark, d), cfg).withColumn("_sample_weight", F.lit(1.0))
-    fold = Fold(0, 0, *fit(rows, ["agg_n_acquisitions", "agg_tenure_months"], ["interval"], cfg))
-    return importance(rows, fold, cfg)
+    return report(_model_input(spark, d), Model(type="gbm"))["features"]
 
 
 @query(None)
