@@ -8,11 +8,15 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_paths: dict[str, SparkSession] = {}
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; a temporary folder only where it is unset, as in tests."""
+    """spark.checkpoint.dir; where it is unset, a temporary folder for a local master, as in tests, and an error for a cluster."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if spark.conf.get("spark.master", "local").split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir names the folder that driver and executors share; it is not set")
         found = "file://" + tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -22,13 +26,31 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows of ``df`` written to the shared folder and read back.
 
     This cuts the lineage in a way that outlives a lost executor: later stages
-    reread the files instead of recomputing.  The files go with the application.
+    reread the files instead of recomputing.  The files go with ``discard`` or the application.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    if not _paths:
+        atexit.register(_remove_all)
+    _paths[path] = spark
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes the files of ``stored`` tables that no later step reads; others are left alone."""
+    for table in tables:
+        path = getattr(table, "_stored_at", None)
+        if path in _paths:
+            _remove(_paths.pop(path), path)
+
+
+def _remove_all() -> None:
+    while _paths:
+        path, spark = _paths.popitem()
+        _remove(spark, path)
 
 
 def _remove(spark: SparkSession, path: str) -> None:
