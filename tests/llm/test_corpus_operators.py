@@ -255,6 +255,26 @@ def test_boundaries_are_optimal():
         assert cost(got) == best and len(got) <= k
 
 
+def least_padding(lengths, counts, buckets):
+    """The plain quadratic programme."""
+    n = len(lengths)
+    number = np.concatenate([[0], np.cumsum(counts)])
+    best = [lengths[i] * number[i + 1] for i in range(n)]
+    for _ in range(buckets - 1):
+        best = [min(best[i], *(best[k] + lengths[i] * (number[i + 1] - number[k + 1]) for k in range(i))) if i else best[0] for i in range(n)]
+    return best[-1] - int((np.asarray(lengths) * counts).sum())
+
+
+def test_padding_is_least_over_long_lengths(spark):
+    rng = np.random.default_rng(9)
+    drawn = np.minimum(20000, rng.lognormal(6, 1.2, 1500).astype(int))
+    lengths, counts = np.unique(drawn, return_counts=True)
+    assert lengths[-1] > 10000 and len(lengths) > 600
+    df = spark.createDataFrame(list(enumerate(drawn.tolist())), "doc_id long, n long").withColumn("text", F.lit(None).cast("string"))
+    got = packing.pack(df, length=F.col("n"), buckets=6).collect()
+    assert sum(r.padding for r in got) == least_padding(lengths.tolist(), counts, 6)
+
+
 def test_packing(spark, monkeypatch):
     monkeypatch.setattr(packing, "SHARD_ROWS", 50)
     rnd = random.Random(8)

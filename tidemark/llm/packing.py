@@ -16,14 +16,6 @@ from .common import stored, words_col
 BUCKETS = 16
 TOKEN_BUDGET = 16384
 SHARD_ROWS = 20_000  # documents numbered in one task, by expectation
-FINE = 512  # lengths up to here have a histogram cell each; beyond, each octave has FINE / 2 cells
-
-
-def cell(length: Column) -> Column:
-    """The histogram cell of a length: so few cells, whatever the lengths, that the histogram fits the driver."""
-    step = F.greatest(F.lit(0), F.floor(F.log2(F.greatest(length, F.lit(1)).cast("double")) - 8 - 1e-9)).cast("int")
-    width = F.pow(F.lit(2.0), step).cast("long")
-    return F.ceil(length / width).cast("long") * width
 
 
 def boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int = BUCKETS) -> list[int]:
@@ -31,7 +23,7 @@ def boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int = BUCKETS)
 
     A document is padded to the first boundary not below its length.  The padding of a
     bucket satisfies the quadrangle inequality, so the best split moves one way and each
-    layer is found by divide and conquer.
+    layer is found by divide and conquer: O(buckets * n * log n) for n distinct lengths.
     """
     n = len(lengths)
     if n == 0:
@@ -70,7 +62,9 @@ def pack(docs: DataFrame, id_col: str = "doc_id", length: Column | None = None,
          buckets: int = BUCKETS, token_budget: int = TOKEN_BUDGET) -> DataFrame:
     """One row per input row: id, n_tokens, bucket, padded_length, batch, slot, padding.
 
-    ``length`` defaults to the words of ``text_col``; null counts as 0.  Bucket b takes
+    ``length`` defaults to the words of ``text_col``, so ``token_budget`` counts words; pass a column of
+    model tokens to pack by those.  Null counts as 0.  The boundaries are those of least
+    padding over the exact histogram.  Bucket b takes
     lengths above boundary b-1 up to boundary b, and a batch of it holds
     floor(token_budget / boundary) documents, one at least; only the last batch of a
     bucket may hold fewer.  No document is cut or dropped.  Batches are numbered within
@@ -80,9 +74,10 @@ def pack(docs: DataFrame, id_col: str = "doc_id", length: Column | None = None,
     """
     measured = F.size(words_col(F.coalesce(F.col(text_col), F.lit("")))) if length is None else F.coalesce(length, F.lit(0))
     rows = stored(docs.select(F.col(id_col), measured.cast("long").alias("n_tokens")), "lengths")
-    cells = rows.groupBy(cell(F.col("n_tokens")).alias("c")).agg(F.count("*").alias("n"), F.max("n_tokens").alias("top")).orderBy("c").collect()
-    ends = boundaries(np.array([r.top for r in cells], np.int64), np.array([r.n for r in cells], np.int64), buckets)
-    total = sum(r.n for r in cells)
+    # One cell for each distinct length: the histogram grows with the range of lengths, not with the documents.
+    cells = rows.groupBy("n_tokens").count().toPandas().sort_values("n_tokens")
+    ends = boundaries(cells["n_tokens"].to_numpy(np.int64), cells["count"].to_numpy(np.int64), buckets)
+    total = int(cells["count"].sum())
     edges = F.array(*[F.lit(e).cast("long") for e in ends]) if ends else F.array().cast("array<long>")
     rows = rows.withColumn("bucket", F.size(F.filter(edges, lambda e: e < F.col("n_tokens"))))
     rows = rows.withColumn("padded_length", F.element_at(edges, F.col("bucket") + 1) if ends else F.lit(0).cast("long"))
