@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, WORD, mix64, stored
+from .common import SPACE, WORD, discard, mix64, stored
 from .word_hash import BASE_B, Rolling, hashed, words_of
 
 WIDTH = 50
@@ -40,7 +40,7 @@ def _stretches(hashes: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
     place = np.concatenate([named[i : i + _ROWS].argmin(axis=1) for i in range(0, len(named), _ROWS)]) + np.arange(len(named))
     starts = np.flatnonzero(np.diff(place, prepend=-1))
     ends = np.append(starts[1:], len(place))
-    content = rolling.spans(starts, ends + (width - 1)) + (ends - starts).astype(np.uint64)
+    content = Rolling(hashes, BASE_B).spans(starts, ends + (width - 1)) + (ends - starts).astype(np.uint64)
     return _signed(grams[place[starts]]), _signed(mix64(content)), starts.astype(np.int32), (ends - starts).astype(np.int32)
 
 
@@ -105,17 +105,20 @@ def repeated_intervals(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_i
     """
     keyed = _keyed(docs, id_col, text_col).where("_id IS NOT NULL")
     rows = stored(stretches(keyed, width), "stretches")
-    shared = rows.groupBy("gram").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi")).where("lo < hi").select("gram")
-    rows = stored(rows.join(shared, "gram"), "shared-stretches")
-    contents = rows.groupBy("gram", "content", "n").agg(F.min("_id").alias("first"))
-    several = contents.groupBy("gram").agg(F.count("*").alias("forms")).where("forms > 1").select("gram", F.lit(True).alias("several"))
-    contents = contents.join(several, "gram", "left")
-    settled = stored(rows.join(contents, ["gram", "content", "n"]).where("first < _id OR several"), "settled-stretches")
+    # Equal stretches count as one class before anything meets by its gram, however many documents hold them.
+    # Every grouped table is stored before it is joined, so that a hot key's rows can be split over tasks.
+    classes = stored(rows.groupBy("gram", "content", "n").agg(F.min("_id").alias("first"), F.max("_id").alias("last")), "stretch-classes")
+    grams = classes.groupBy("gram").agg(F.min("first").alias("lo"), F.max("last").alias("hi"), F.count("*").alias("forms")).where("lo < hi")
+    grams = stored(grams.select("gram", (F.col("forms") > 1).alias("several")), "shared-grams")
+    open_classes = classes.join(grams, "gram").where("several OR first < last").select("gram", "content", "n", "first", "several")
+    settled = rows.join(stored(open_classes, "shared-classes"), ["gram", "content", "n"]).where("first < _id OR several")
+    settled = stored(settled.select("_id", "_h", "start", "n", "first", "several"), "settled-stretches")
+    discard(rows, classes)
     whole = settled.where("first < _id").select("_id", "_h", "start", (F.col("start") + F.col("n") + (width - 1)).alias("end"))
     open_ = settled.where("first = _id AND several").groupBy("_id", "_h").agg(F.collect_list(F.struct("start", "n")).alias("_at"))
-    single = _windows(keyed.join(open_, ["_id", "_h"]), width)
+    single = stored(_windows(keyed.join(open_, ["_id", "_h"]), width), "single-windows")
     firsts = single.groupBy("a", "b").agg(F.min("_id").alias("first"), F.max("_id").alias("last")).where("first < last").select("a", "b", "first")
-    later = single.join(firsts, ["a", "b"]).where("first < _id").select("_id", "_h", "start", (F.col("start") + width).alias("end"))
+    later = single.join(stored(firsts, "repeated-windows"), ["a", "b"]).where("first < _id").select("_id", "_h", "start", (F.col("start") + width).alias("end"))
     return whole.unionByName(later).groupBy("_id", "_h").agg(F.collect_set(F.struct("start", "end")).alias("_gone"))
 
 
