@@ -220,27 +220,100 @@ def test_class_scores(spark):
         assert got[i].base_score == pytest.approx(base, rel=1e-9)
     held = [got[i] for i in range(400) if zlib.crc32(str(i).encode()) % 5 == 1]
     assert sum(r.score for r in held) > sum(r.base_score for r in held) * 0.9  # classes explain the order of words
+    assert all(r.perplexity == pytest.approx(10 ** (-r.score / r.n_tokens)) for r in got.values())
     assert class_lm.class_scores(df.limit(0), F.lit(True)).count() == 0
     alone = class_lm.class_scores(df, F.lit(False)).where("doc_id = 901").first()
     assert (alone.n_tokens, alone.n_known, alone.train_tokens) == (1, 0, 0) and alone.score <= 0
 
 
+def sentences(seed, n=300):
+    """Texts whose words alternate between two sides, with many rare and single words on either."""
+    rnd = random.Random(seed)
+    side = lambda x: f"{x}{min(int(rnd.paretovariate(0.6)), 10**9)}"
+    return {i: " ".join(w for _ in range(rnd.randint(1, 25)) for w in (side("a"), side("b"))) for i in range(n)}
+
+
+def test_class_scores_equal_brute_force(spark, monkeypatch):
+    """Given the words' classes, scores follow from plain counts; words carried, joined, rare and unseen alike."""
+    monkeypatch.setattr(class_lm, "CORE", 6)
+    monkeypatch.setattr(class_lm, "CARRIED", 40)
+    texts = sentences(11) | {900: None, 901: "", 902: "a1 unseen B2 never"}
+    df = spark.createDataFrame([(i, t, i) for i, t in texts.items()] + [(None, "a1 b1", 1), (5, texts[5], 5)], "doc_id long, text string, _id long")
+    train = (F.col("_id") % 4 != 0) & (F.col("_id") < 900)
+    rows = [(i, (t or "").lower().split(), i % 4 != 0 and i < 900) for i, t in texts.items()] + [(None, ["a1", "b1"], True), (5, texts[5].split(), True)]
+    classes = {r.word: r for r in class_lm.word_classes(df, train).collect()}
+    counts = Counter(w for _, ws, t in rows if t for w in [*ws, ""])
+    assert {w: r.c for w, r in classes.items()} == {w: c for w, c in counts.items() if w}
+    assert all((r.kind is None) == (r.c < 2) for r in classes.values()) and len({r.kind for r in classes.values()}) > 5
+    kind = lambda w: "end" if w == "" else classes[w].kind if w in classes and classes[w].kind is not None else "unknown"
+    pairs = Counter((kind(a), kind(b)) for _, ws, t in rows if t for a, b in zip(["", *ws], [*ws, ""]))
+    mass, start, types = Counter(), Counter(), Counter(kind(w) for w in counts)
+    for (a, b), n in pairs.items():
+        mass[b] += n
+        start[a] += n
+    types["unknown"] += 1
+    total = sum(mass.values())
+
+    def probability(before, word):
+        a, b = kind(before), kind(word)
+        prior = (mass[b] + 0.5) / (total + 0.5 * len(types))
+        step = (pairs[a, b] + 20 * prior) / (start[a] + 20)
+        return step * (counts[word] + 0.5) / (mass[b] + 0.5 * types[b])
+
+    got = sorted(((str(r.doc_id), r.n_tokens, r.n_classed, round(r.score, 6)) for r in class_lm.class_scores(df, train).collect()), key=str)
+    want = [(str(i), len(ws) + 1, sum(kind(w) not in ("unknown", "end") for w in ws), round(sum(math.log10(probability(a, b)) for a, b in zip(["", *ws], [*ws, ""])), 6)) for i, ws, _ in rows]
+    assert got == sorted(want, key=str)
+    for before in ("", "a1", "unseen", *list(counts)[:5]):
+        assert sum(probability(before, w) for w in [*counts, "unseen"]) == pytest.approx(1)
+
+
+def test_placed_words_take_their_best_class(spark):
+    """Words outside the core against the plain likelihood of each choice, with rows of a word spread over batches."""
+    rng = np.random.default_rng(12)
+    kinds, words, k = 10, 400, 8
+    matrix = rng.integers(0, 400, (kinds, kinds)).astype(float)
+    seen = [(int(w), rng.integers(0, kinds, (int(rng.integers(1, 9)), 2)).astype(np.uint16)) for w in rng.integers(-200, 200, 3000)]
+    seen.append((9999, np.zeros((1, 2), np.uint16)))
+    df = spark.createDataFrame([(w, x.tobytes()) for w, x in seen], "key long, seen binary")
+    got = {r.key: (r.c, r.kind) for r in class_lm.placed_words(df, matrix).collect()}
+    by_word = defaultdict(list)
+    for w, x in seen:
+        by_word[w].append(x)
+    assert 9999 not in got and set(got) == {w for w, x in by_word.items() if sum(map(len, x)) > 1}
+    phi = lambda x: float((x * np.log(np.maximum(x, 1))).sum())
+    for w, (c, kind) in got.items():
+        x = np.concatenate(by_word[w])
+        before, after = (np.bincount(x[:, i], minlength=kinds).astype(float) for i in (0, 1))
+        gains = []
+        for i in range(k):
+            row, column = matrix[i].sum(), matrix[:, i].sum()
+            gain = phi(matrix[i] + after) - phi(matrix[i]) + phi(matrix[:, i] + before) - phi(matrix[:, i])
+            gains.append(gain - phi(np.array([row + c, column + c])) + phi(np.array([row, column])))
+        assert c == len(x) and gains[kind] == pytest.approx(max(gains))
+
+
+def test_word_keys_equal_those_of_spark(spark):
+    words = ["", "a", "straße", "x" * 40]
+    got = [r[0] for r in spark.createDataFrame([(w,) for w in words], "w string").select(F.xxhash64(F.col("w").cast("binary"))).collect()]
+    assert got == [class_lm.word_key(w.encode()) for w in words]
+
+
 def test_carried_and_joined_words_score_alike(spark, monkeypatch):
-    rows = [(i, f"alpha beta w{i % 9} gamma x{i}") for i in range(60)]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    one = {r.doc_id: (r.n_known, round(r.base_score, 9)) for r in class_lm.class_scores(df, F.col("doc_id") < 40).collect()}
-    monkeypatch.setattr(class_lm, "CARRIED", 3)
-    two = {r.doc_id: (r.n_known, round(r.base_score, 9)) for r in class_lm.class_scores(df, F.col("doc_id") < 40).collect()}
-    assert one == two
+    df = spark.createDataFrame(list(sentences(13, 80).items()), "doc_id long, text string")
+    monkeypatch.setattr(class_lm, "CORE", 3)
+    scores = lambda: {r.doc_id: (r.n_known, round(r.base_score, 9), round(r.score, 9)) for r in class_lm.class_scores(df, F.col("doc_id") < 60).collect()}
+    one = scores()
+    monkeypatch.setattr(class_lm, "CARRIED", 12)
+    assert one == scores()
 
 
 def test_exchange_raises_the_likelihood(spark):
-    rows = [(a, b, 5 if (a % 2) != (b % 2) else 1) for a in range(60) for b in range(60)]
-    pairs = spark.createDataFrame(rows, "w1 int, w2 int, n long")
-    kind, matrix = class_lm.exchange(pairs, 60)
+    rows = [(a, b, 5 if (a % 2) != (b % 2) else 1) for a in range(62) for b in range(62)]
+    kind, matrix = class_lm.exchange(spark.createDataFrame(rows, "w1 int, w2 int, n long"), 60, 8)
     start = np.zeros_like(matrix)
+    of = [*(i % 8 for i in range(60)), 8, 9]
     for a, b, n in rows:
-        start[a % class_lm.CLASSES, b % class_lm.CLASSES] += n
+        start[of[a], of[b]] += n
     assert class_lm.likelihood(matrix) >= class_lm.likelihood(start) and matrix.sum() == start.sum()
 
 

@@ -1,16 +1,18 @@
 """Language-model scoring with Brown classes.
 
-Exchange clustering assigns the frequent words to classes so that class bigrams predict
-best; the other words have a class by their ending.  A word is scored by the transition
-from the class before it to its own and by its emission from that class, both smoothed.
+Exchange clustering assigns words to classes so that class bigrams predict best: first the
+most frequent words, in rounds of exchange until the likelihood settles, then every other
+word that occurs at least twice, by the same criterion and its own neighbours.  Words seen
+once and unseen words share an explicit unknown class.  A word is scored by the transition
+from the class before it to its own and by its emission from that class, both smoothed, so
+that the probabilities of all words and the unseen one add up to 1.
 """
 
 from __future__ import annotations
 
-import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
@@ -20,33 +22,34 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, Memo, stored, text_or_empty
+from .common import Memo, discard, stored, text_or_empty
 
-CLUSTERED = 4000  # most frequent words, which the exchange assigns to classes
-CLASSES = 48  # of the clustered words
-ENDINGS = 32  # classes of the other words, by a hash of their last two letters
-EXCHANGES = 6  # rounds of the exchange; each moves half of the words
-CARRIED = 150_000  # most frequent words whose counts are sent to every task; the others are joined
+CORE = 4000  # most frequent words, which are exchanged until the likelihood settles; the others are placed after them
+ROUNDS = 40  # of the exchange at most; each moves half of the words
+SETTLED = 1e-4  # share of the likelihood that two rounds must gain for the exchange to go on
+LEAST_COUNT = 2  # occurrences of a word with a class of its own choice
+CARRIED = 150_000  # most frequent words that tasks know by heart; the others are joined by key
 HELD_COUNTS = 1_000_000  # distinct words or pairs a task holds before it hands partial counts on
 SMOOTH = 0.5  # added to counts
 BACKOFF = 20.0  # weight of the class's own probability in a transition
 
-_KINDS = CLASSES + ENDINGS + 1  # the last is the end of a text
-_END = _KINDS - 1
-_find = re.compile(WORD).findall
+_WAITING = 0xFFFF  # kind of a word whose class is still to be joined
 
 
-def words_of(text: str | None) -> list[str]:
-    """The words with A-Z in lower case."""
-    return _find(text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")) if text else []
+def classes_for(distinct: int) -> int:
+    """The number of classes grows with the vocabulary: 30 for 86,000 words, 85 for 3 million."""
+    return max(8, min(60_000, round(distinct**0.3)))
 
 
-def ending_class(word: str) -> int:
-    return CLASSES + zlib.crc32(word[-2:].encode("utf-8", "surrogatepass")) % ENDINGS
+def words_of(text: str | None) -> list[bytes]:
+    """The words with A-Z in lower case, in UTF-8; splitting bytes knows the six white-space characters and no others."""
+    return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
-def word_key(word: str) -> int:
-    return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) - (1 << 63)
+def word_key(word: bytes) -> int:
+    """What Spark's xxhash64 gives for the word."""
+    key = xxhash.xxh64_intdigest(word, 42)
+    return key - (1 << 64) if key >> 63 else key
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -56,50 +59,66 @@ def word_counts(texts: DataFrame) -> DataFrame:
         counts: Counter = Counter()
 
         def out() -> pa.RecordBatch:
-            batch = pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["word", "n"])
+            batch = pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], ["word", "n"])
             counts.clear()
             return batch
 
         for batch in batches:
             for text in batch.column("_text").to_pylist():
                 counts.update(words_of(text))
-                counts[""] += 1
+                counts[b""] += 1
                 if len(counts) > HELD_COUNTS:
                     yield out()
         if counts:
             yield out()
 
-    @F.pandas_udf("long")
-    def key(words: pd.Series) -> pd.Series:
-        return words.map(word_key)
+    summed = texts.mapInArrow(of, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
+    return summed.select("word", F.xxhash64("word").alias("key"), "c")
 
-    summed = texts.mapInArrow(of, "word string, n long").groupBy("word").agg(F.sum("n").alias("c"))
-    return summed.select("word", key("word").alias("key"), "c")
 
-
-def most_frequent(vocabulary: DataFrame, most: int) -> list[tuple[str, int]]:
-    """The end and at most ``most`` words with their counts, by falling count: those above a count that a small histogram tells."""
+def most_frequent(vocabulary: DataFrame, most: int) -> list[tuple[bytes, int]]:
+    """At most ``most`` words with their counts, by falling count: all above a count that a small histogram tells."""
+    words = vocabulary.where(F.octet_length("word") > 0)
     step = F.floor(F.log2("c") * 64).cast("int")
     room, least = most, None
-    for s, n in sorted(vocabulary.groupBy(step.alias("s")).count().collect(), reverse=True):
+    for s, n in sorted(words.groupBy(step.alias("s")).count().collect(), reverse=True):
         if n > room:
             break
         room, least = room - n, s
-    few = F.col("word") == "" if least is None else (step >= least) | (F.col("word") == "")
-    rows = vocabulary.where(few).select("word", "c").collect()
-    return sorted(((r[0], r[1]) for r in rows), key=lambda x: (-x[1], x[0]))
+    if least is None:
+        return []
+    return sorted(((bytes(r[0]), r[1]) for r in words.where(step >= least).select("word", "c").collect()), key=lambda x: (-x[1], x[0]))
+
+
+def tokenized(rows: DataFrame, places) -> DataFrame:
+    """_row, _id, _train, places (of the carried words as 32-bit integers, -1 for others), rest (keys of the others, in order)."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, keys = places.value, Memo(word_key, 300_000)
+        for batch in batches:
+            at, rest, ends = [], [], [0]
+            for text in batch.column("_text").to_pylist():
+                words = words_of(text)
+                one = np.fromiter(map(place.get, words, repeat(-1)), np.int32, len(words))
+                rest += [keys[words[i]] for i in np.flatnonzero(one < 0)]
+                ends.append(len(rest))
+                at.append(one.tobytes())
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(rest, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("_row", "_id", "_train")), pa.array(at, pa.binary()), lists], ["_row", "_id", "_train", "places", "rest"])
 
+    kinds = f"_row long, _id {rows.schema['_id'].dataType.simpleString()}, _train boolean, places binary, rest array<long>"
+    return rows.mapInArrow(of, kinds)
 
-def _pairs(texts: DataFrame, places) -> DataFrame:
+
+def core_pairs(tokens: DataFrame, core: int) -> DataFrame:
     """w1, w2, n: how often two tokens follow each other; a text begins after an end.
 
-    Tokens are the place of a clustered word, CLUSTERED + ending for others and, last, the end.
+    Tokens are places of core words, ``core`` for all other words and core + 1 for the end.
     """
-    width = CLUSTERED + ENDINGS + 1
+    width = core + 2
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place_of = Memo(lambda w: CLUSTERED + ending_class(w) - CLASSES, 400_000)
-        frequent = places.value
         parts, held = [], 0
 
         def out() -> pa.RecordBatch:
@@ -108,22 +127,19 @@ def _pairs(texts: DataFrame, places) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array((codes // width).astype(np.int32)), pa.array((codes % width).astype(np.int32)), pa.array(n)], ["w1", "w2", "n"])
 
         for batch in batches:
-            for text in batch.column("_text").to_pylist():
-                words = words_of(text)
-                tokens = np.empty(len(words) + 2, np.int64)
-                tokens[0] = tokens[-1] = width - 1
-                tokens[1:-1] = np.fromiter(map(frequent.get, words, repeat(-1)), np.int64, len(words))
-                for i in np.flatnonzero(tokens < 0):
-                    tokens[i] = place_of[words[i - 1]]
-                parts.append(tokens[:-1] * width + tokens[1:])
-                held += len(tokens)
+            for places in batch.column("places").to_pylist():
+                at = np.frombuffer(places, np.int32)
+                token = np.full(len(at) + 2, width - 1, np.int64)
+                token[1:-1] = np.where((at >= 0) & (at < core), at, core)
+                parts.append(token[:-1] * width + token[1:])
+                held += len(token)
                 if held > 4 * HELD_COUNTS:
                     held = 0
                     yield out()
         if parts:
             yield out()
 
-    return texts.mapInArrow(of, "w1 int, w2 int, n long").groupBy("w1", "w2").agg(F.sum("n").alias("n"))
+    return tokens.select("places").mapInArrow(of, "w1 int, w2 int, n long").groupBy("w1", "w2").agg(F.sum("n").alias("n"))
 
 
 def _phi(x: np.ndarray) -> np.ndarray:
@@ -136,150 +152,358 @@ def likelihood(matrix: np.ndarray) -> float:
 
 
 def best_class(matrix: np.ndarray, own: int, after: np.ndarray, before: np.ndarray) -> int:
-    """Where a word, now in class ``own``, adds most to the likelihood, given how often each class follows and precedes it."""
+    """Where a word, now in class ``own``, adds most to the likelihood, given how often each kind follows and precedes it.
+
+    The last two kinds, other words and the end, are no classes to move to.
+    """
+    k = len(matrix) - 2
     m = matrix.copy()
     m[own] -= after
     m[:, own] -= before
     np.maximum(m, 0, out=m)  # pairs of the word with its own class are counted on both sides
-    rows, columns, n = m[:CLASSES], m[:, :CLASSES].T, after.sum()
+    rows, columns, n = m[:k], m[:, :k].T, after.sum()
     gain = (_phi(rows + after) - _phi(rows)).sum(1) + (_phi(columns + before) - _phi(columns)).sum(1)
     one, two = rows.sum(1), columns.sum(1)
-    return int((gain - (_phi(one + n) - _phi(one)) - (_phi(two + n) - _phi(two))).argmax())
+    gain -= _phi(one + n) - _phi(one) + _phi(two + n) - _phi(two)
+    best = int(gain.argmax())
+    # A tie is no reason to move: words that tie would all leave for the same class at once.
+    return best if gain[best] > gain[own] + 1e-6 * (n + abs(gain[own])) else own
 
 
-def exchange(pairs: DataFrame, clustered: int) -> tuple[np.ndarray, np.ndarray]:
-    """(class of every token of ``_pairs``, counts of class pairs) after EXCHANGES rounds.
+def exchange(pairs: DataFrame, core: int, classes: int) -> tuple[np.ndarray, np.ndarray]:
+    """(kind of every token of ``core_pairs``, counts of kind pairs) once the likelihood settles.
 
-    In a round, Spark sums for each word how often each class follows and precedes it and
-    the word's task finds its best class; half of the words move at once, so that
-    neighbours do not chase each other.  The driver holds one class for each
-    clustered word and a matrix of classes, whatever the size of the corpus.
+    In a round, Spark sums for half of the words how often each kind follows and precedes
+    each; then the words choose in turn, the most frequent first, and every move changes
+    the counts that the next word looks at.  What the driver holds of this, a vector of
+    kinds for each core word, is bounded by CORE and the number of classes, whatever the
+    size of the corpus.
     """
-    spark = pairs.sparkSession
-    kind = np.concatenate([np.arange(CLUSTERED) % CLASSES, CLASSES + np.arange(ENDINGS + 1)])
+    spark, kinds = pairs.sparkSession, classes + 2
+    kind = np.concatenate([np.arange(core) % classes, [classes, classes + 1]])
+    history: list[float] = []
     best: tuple[float, np.ndarray, np.ndarray] | None = None
-    for turn in range(EXCHANGES + 1):
+    for turn in range(ROUNDS + 1):
         table = spark.createDataFrame(pd.DataFrame({"w": np.arange(len(kind), dtype=np.int32), "k": kind.astype(np.int32)}))
         one, two = (F.broadcast(table.select(F.col("w").alias(f"w{i}"), F.col("k").alias(f"k{i}"))) for i in (1, 2))
         placed = pairs.join(one, "w1").join(two, "w2")
-        matrix = np.zeros((_KINDS, _KINDS))
+        matrix = np.zeros((kinds, kinds))
         for a, b, n in placed.groupBy("k1", "k2").agg(F.sum("n")).collect():
             matrix[a, b] = n
         value = likelihood(matrix)
         if best is None or value > best[0]:
             best = value, kind.copy(), matrix
-        if turn == EXCHANGES or not clustered:
+        history.append(value)
+        if turn == ROUNDS or not core or (turn > 2 and history[-1] - history[-3] < SETTLED * abs(history[-1])):
             break
-        moving = lambda w: (F.col(w) < clustered) & (F.col(w) % 2 == turn % 2)
+        moving = lambda w: (F.col(w) < core) & (F.col(w) % 2 == turn % 2)
         sides = placed.where(moving("w1")).select(F.col("w1").alias("w"), F.col("k2").alias("k"), "n").unionByName(
-            placed.where(moving("w2")).select(F.col("w2").alias("w"), (F.col("k1") + _KINDS).alias("k"), "n"))
-        vectors = sides.groupBy("w", "k").agg(F.sum("n").alias("n")).groupBy("w").agg(F.collect_list("k").alias("k"), F.collect_list("n").alias("n"))
-        now, counts = kind.copy(), matrix
-
-        @F.pandas_udf("int")
-        def moved(ws: pd.Series, ks: pd.Series, ns: pd.Series) -> pd.Series:
-            out = []
-            for w, k, n in zip(ws, ks, ns):
-                vector = np.zeros(2 * _KINDS)
-                vector[np.asarray(k)] = n
-                out.append(best_class(counts, now[w], vector[:_KINDS], vector[_KINDS:]))
-            return pd.Series(out, dtype="int32")
-
-        for w, k in vectors.select("w", moved("w", "k", "n")).collect():
-            kind[w] = k
+            placed.where(moving("w2")).select(F.col("w2").alias("w"), (F.col("k1") + kinds).alias("k"), "n"))
+        found = sides.groupBy("w", "k").agg(F.sum("n").alias("n")).toArrow()
+        words, at = np.unique(found["w"].to_numpy(), return_inverse=True)
+        vectors = np.zeros((len(words), 2 * kinds))
+        vectors[at, found["k"].to_numpy()] = found["n"].to_numpy()
+        counts = matrix.copy()
+        for w, vector in zip(words, vectors):
+            own, after, before = kind[w], vector[:kinds], vector[kinds:]
+            to = best_class(counts, own, after, before)
+            if to != own:
+                for k, sign in ((own, -1), (to, 1)):
+                    counts[k] += sign * after
+                    counts[:, k] += sign * before
+                np.maximum(counts, 0, out=counts)
+                kind[w] = to
     return best[1], best[2]
 
 
-class Scorer:
-    """Log10 tables of the model: carried words with counts and classes, transitions, emission denominators."""
-
-    def __init__(self, carried: list[tuple[str, int]], kind: np.ndarray, matrix: np.ndarray, types: np.ndarray, total: int, distinct: int):
-        self.place = {w: i for i, (w, _) in enumerate(carried) if w}
-        self.log_count = np.log10(np.array([c for _, c in carried], np.float64) + SMOOTH)
-        frequent = [w for w, _ in carried if w][:CLUSTERED]
-        cluster = dict(zip(frequent, kind))
-        self.kind = np.array([_END if not w else cluster[w] if w in cluster else ending_class(w) for w, _ in carried], np.int64)
-        self.end = next((float(np.log10(c + SMOOTH)) for w, c in carried if not w), float(np.log10(SMOOTH)))
-        mass = matrix.sum(0)
-        prior = (mass + SMOOTH) / (mass.sum() + SMOOTH * _KINDS)
-        self.transition = np.log10((matrix + BACKOFF * prior) / (matrix.sum(1, keepdims=True) + BACKOFF))
-        self.emission = np.log10(mass + SMOOTH * (types + 1))
-        self.base = float(np.log10(total + SMOOTH * (distinct + 1)))
-
-    def score(self, words: list[str]) -> tuple[int, int, float, float, Counter]:
-        """n_tokens, known carried tokens, base and model score without the other words' counts, and those words."""
-        n = len(words)
-        places = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, n)
-        kinds = np.empty(n + 2, np.int64)
-        kinds[0] = kinds[-1] = _END
-        kinds[1:-1] = self.kind[places] if len(self.kind) else _END
-        rest = np.flatnonzero(places < 0)
-        other: Counter = Counter(words[i] for i in rest)
-        of = {w: ending_class(w) for w in other}
-        for i in rest:
-            kinds[i + 1] = of[words[i]]
-        numerators = float(self.log_count[places[places >= 0]].sum()) + self.end
-        score = numerators + float(self.transition[kinds[:-1], kinds[1:]].sum() - self.emission[kinds[1:]].sum())
-        return n + 1, n - len(rest) + (self.end > np.log10(SMOOTH)), numerators - (n + 1) * self.base, score, other
+def neighbours(tokens: DataFrame, kind: np.ndarray, carried_keys: np.ndarray) -> DataFrame:
+    """key, seen: for every word outside the core, the kinds before and after each occurrence, packed as 16-bit pairs."""
+    core, other = len(kind) - 2, int(kind[-2])
 
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held = [], 0
 
-def class_scores(docs: DataFrame, train_on, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, n_tokens, n_known, train_tokens, base_score, score.
+        def out() -> pa.RecordBatch:
+            keys, seen = (np.concatenate(x) for x in zip(*parts))
+            parts.clear()
+            order = np.argsort(keys, kind="stable")
+            keys, seen = keys[order], np.ascontiguousarray(seen[order])
+            first = np.flatnonzero(np.diff(keys, prepend=keys[0] - 1))
+            ends = np.append(first, len(keys)).astype(np.int32) * 4
+            packed = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(seen)])
+            return pa.RecordBatch.from_arrays([pa.array(keys[first]), packed], ["key", "seen"])
 
-    Learned from the rows where ``train_on`` holds.  base_score sums
-    log10((c + 0.5) / (N + 0.5 (V + 1))) over the tokens; score is the log10 probability
-    under the class model; the perplexity is 10 ** (-score / n_tokens).  Null and empty
-    texts are an end alone; with nothing to learn from, every count is 0.  Repeated rows
-    count and are scored each; null ids are scored; further columns are not read.  Counts
-    of all words come from all training rows; what tasks carry of them is bounded by
-    CARRIED, and the rest is joined by a 64-bit key.
+        for batch in batches:
+            rest = batch.column("rest")
+            ends, values = rest.offsets.to_numpy(), rest.values.to_numpy(zero_copy_only=False)
+            for i, places in enumerate(batch.column("places").to_pylist()):
+                at = np.frombuffer(places, np.int32)
+                ours = (at >= 0) & (at < core)
+                around = np.full(len(at) + 2, other, np.uint16)
+                around[0] = around[-1] = other + 1
+                around[1:-1][ours] = kind[at[ours]]
+                where = np.flatnonzero(~ours)
+                keys = np.where(at >= 0, carried_keys[np.maximum(at, 0)], 0) if len(carried_keys) else np.zeros(len(at), np.int64)
+                keys[at < 0] = values[ends[i] : ends[i + 1]]
+                parts.append((keys[where], np.stack([around[where], around[where + 2]], axis=1)))
+                held += len(where)
+                if held > 2 * HELD_COUNTS:
+                    held = 0
+                    yield out()
+        if held:
+            yield out()
+
+    return tokens.select("places", "rest").mapInArrow(of, "key long, seen binary")
+
+
+def placed_words(seen: DataFrame, matrix: np.ndarray) -> DataFrame:
+    """key, c, kind of every word seen LEAST_COUNT times or more: the class where it adds most to the likelihood.
+
+    Rows are dealt out and sorted by key and read as a stream: of a word, a task holds one
+    vector of kinds at a time, however many rows it has.
     """
-    spark = docs.sparkSession
-    own = docs.select(F.col(id_col), text_or_empty(text_col).alias("_text"), F.coalesce(train_on, F.lit(False)).alias("_train"))
-    training = own.where("_train").select("_text")
-    vocabulary = stored(word_counts(training), "vocabulary")
-    total, distinct = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    carried = most_frequent(vocabulary, CARRIED)
-    frequent = [w for w, _ in carried if w][:CLUSTERED]
-    places = spark.sparkContext.broadcast({w: i for i, w in enumerate(frequent)})
-    kind, matrix = exchange(stored(_pairs(training, places), "word-pairs"), len(frequent))
-    # Distinct words of each class: the clustered ones are known here, the others are counted by their ending.
-    types = np.bincount(kind[: len(frequent)], minlength=_KINDS).astype(np.float64)
-    types[_END] = 1
-    ending = (F.crc32(F.right("word", F.lit(2)).cast("binary")) % ENDINGS).cast("int")
-    known = np.zeros(ENDINGS)
-    for e, n in vocabulary.where("word <> ''").groupBy(ending).count().collect():
-        known[e] = n
-    for w in frequent:
-        known[ending_class(w) - CLASSES] -= 1
-    types[CLASSES:_END] = known
-    model = spark.sparkContext.broadcast(Scorer(carried, kind, matrix, types, total, distinct))
+    kinds, k = len(matrix), len(matrix) - 2
+    counts = np.concatenate([matrix[:, :k], matrix[:k].T])  # a row for each kind before, then for each kind after
+    known, rows, columns = _phi(counts), matrix[:k].sum(1), matrix[:, :k].sum(0)
+
+    def best(word: np.ndarray, j: np.ndarray, n: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+        """(occurrences, class) of each word from its sparse vector, sorted by word."""
+        starts = np.searchsorted(word, np.arange(words))
+        gain = np.empty((words, k))
+        step = max(1, (1 << 21) // k)
+        at = 0
+        while at < words:  # whole words, about ``step`` entries at once
+            to = max(at + 1, int(np.searchsorted(starts, starts[at] + step)))
+            lo, hi = starts[at], starts[to] if to < words else len(word)
+            one = _phi(counts[j[lo:hi]] + n[lo:hi, None]) - known[j[lo:hi]]
+            gain[at:to] = np.add.reduceat(one, starts[at:to] - lo, axis=0)
+            at = to
+        total = np.bincount(word, weights=n, minlength=words) / 2
+        t = total[:, None]
+        gain -= _phi(rows + t) - _phi(rows) + _phi(columns + t) - _phi(columns)
+        return total.astype(np.int64), gain.argmax(1).astype(np.int32)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer, keys = model.value, Memo(word_key, 300_000)
+        last, vector = None, np.zeros(2 * kinds)  # the word whose rows may go on
+        held: list[pa.RecordBatch] = []
+
+        def work(end: bool) -> pa.RecordBatch:
+            nonlocal last, vector
+            keys = np.concatenate([b.column("key").to_numpy() for b in held] or [np.zeros(0, np.int64)])
+            packed = [b.column("seen") for b in held]
+            sizes = np.concatenate([np.diff(p.offsets.to_numpy() if hasattr(p, "offsets") else np.frombuffer(p.buffers()[1], np.int32)[p.offset : p.offset + len(p) + 1]) for p in packed] or [np.zeros(0, np.int32)])
+            pairs = np.frombuffer(b"".join(x for p in packed for x in p.to_pylist()), np.uint16).reshape(-1, 2)
+            held.clear()
+            if last is not None:
+                keys = np.concatenate([[last], keys])
+                sizes = np.concatenate([[0], sizes])
+            if not len(keys):
+                return None
+            change = np.diff(keys, prepend=keys[0]) != 0
+            word = np.cumsum(change)
+            names = keys[np.flatnonzero(np.concatenate([[True], change[1:]]))]
+            each = np.repeat(word, sizes // 4)
+            codes = np.concatenate([each * (2 * kinds) + pairs[:, 0], each * (2 * kinds) + kinds + pairs[:, 1]])
+            codes, n = np.unique(codes, return_counts=True)
+            n = n.astype(np.float64)
+            if last is not None:
+                more = np.flatnonzero(vector)
+                codes, place = np.unique(np.concatenate([codes, more]), return_inverse=True)
+                n = np.bincount(place, weights=np.concatenate([n, vector[more]]))
+            words = len(names)
+            if not end:  # the last word waits for further rows
+                words -= 1
+                mine = codes >= words * 2 * kinds
+                last, vector = names[-1], np.zeros(2 * kinds)
+                vector[codes[mine] - words * 2 * kinds] = n[mine]
+                codes, n, names = codes[~mine], n[~mine], names[:-1]
+            if not words:
+                return None
+            total, kind = best(codes // (2 * kinds), codes % (2 * kinds), n, words)
+            good = total >= LEAST_COUNT
+            return pa.RecordBatch.from_arrays([pa.array(names[good]), pa.array(total[good]), pa.array(kind[good])], ["key", "c", "kind"])
+
         for batch in batches:
-            rows, key, n, ends = [], [], [], [0]
-            for text in batch.column("_text").to_pylist():
-                *one, other = scorer.score(words_of(text))
-                rows.append(one)
-                key += map(keys.__getitem__, other)
-                n += other.values()
-                ends.append(len(key))
-            columns = [pa.array(c) for c in zip(*rows)]
-            lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(x, pa.int64())) for x in (key, n)]
-            if rows:
-                yield pa.RecordBatch.from_arrays([batch.column("_row"), batch.column("_id"), *columns, *lists],
-                                                 ["_row", "_id", "n_tokens", "carried", "base", "model", "keys", "n"])
-
-    rows = own.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("_id"), "_text")
-    kinds = f"_row long, _id {own.schema[id_col].dataType.simpleString()}, n_tokens long, carried long, base double, model double, keys array<long>, n array<long>"
-    local = stored(rows.mapInArrow(of, kinds), "local-scores")
-    rest = local.select("_row", F.explode(F.arrays_zip("keys", "n")).alias("k")).select("_row", F.col("k.keys").alias("key"), F.col("k.n").alias("n"))
-    rest = rest.join(vocabulary.select("key", "c"), "key", "left").groupBy("_row").agg(
-        F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + SMOOTH)).alias("numerators"),
-        F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("known"))
-    both = local.select("_row", "_id", "n_tokens", "carried", "base", "model").join(rest, "_row", "left")
-    more = F.coalesce("numerators", F.lit(0.0))
+            held.append(batch)
+            if sum(map(len, held)) >= 32768 and (found := work(False)):
+                yield found
+        if found := work(True):
+            yield found
+
+    return seen.repartition("key").sortWithinPartitions("key").mapInArrow(of, "key long, c long, kind int")
+
+
+@dataclass
+class Tables:
+    """Log10 tables of the model over kinds: classes, then the unknown class, then the end."""
+
+    transition: np.ndarray
+    emission: np.ndarray
+    base: float
+
+    @classmethod
+    def of(cls, matrix: np.ndarray, types: np.ndarray, total: int, distinct: int) -> Tables:
+        """``types`` counts the distinct words of each kind; the unknown class holds the unseen word besides."""
+        mass, room = matrix.sum(0), types.copy()
+        room[-2] += 1
+        prior = np.where(room > 0, mass + SMOOTH, 0.0)  # a class without words is never entered
+        transition = (matrix + BACKOFF * prior / prior.sum()) / (matrix.sum(1, keepdims=True) + BACKOFF)
+        emission = np.maximum(mass + SMOOTH * room, SMOOTH)
+        with np.errstate(divide="ignore"):
+            return cls(np.log10(transition), np.log10(emission), float(np.log10(total + SMOOTH * (distinct + 1))))
+
+    def score(self, kinds: np.ndarray, numerators: float) -> float:
+        """Log10 probability of a text from the kinds of its tokens, ends included, and the sum of log10(count + SMOOTH)."""
+        return numerators + float(self.transition[kinds[:-1], kinds[1:]].sum() - self.emission[kinds[1:]].sum())
+
+
+def _resolved(tokens: DataFrame, words: DataFrame, counts: np.ndarray, kinds: np.ndarray, end: int, classes: int) -> DataFrame:
+    """_row, _id, _train, kinds (16-bit, ends included), numerators, n_known: tokens with the classes and counts of all their words."""
+    logs, unknown = np.log10(counts + SMOOTH), classes
+
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out, numerators, known = [], [], []
+            for places in batch.column("places").to_pylist():
+                at = np.frombuffer(places, np.int32)
+                kind = np.full(len(at) + 2, classes + 1, np.uint16)
+                ours = at >= 0
+                kind[1:-1] = _WAITING
+                kind[1:-1][ours] = kinds[at[ours]]
+                out.append(kind.tobytes())
+                numerators.append(float(logs[at[ours]].sum()) + float(np.log10(end + SMOOTH)))
+                known.append(int(ours.sum()) + (end > 0))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("_row", "_id", "_train")), pa.array(out, pa.binary()), pa.array(numerators, pa.float64()), pa.array(known, pa.int64())],
+                ["_row", "_id", "_train", "kinds", "numerators", "known"])
+
+    own = f"_row long, _id {tokens.schema['_id'].dataType.simpleString()}, _train boolean, kinds binary, "
+    mine = tokens.select("_row", "_id", "_train", "places").mapInArrow(local, own + "numerators double, known long")
+    others = tokens.select("_row", F.posexplode("rest").alias("pos", "key")).join(words, "key", "left").groupBy("_row").agg(
+        F.sum(F.log10(F.coalesce("c", F.lit(0)) + SMOOTH)).alias("more"), F.count("c").alias("found"),
+        F.array_sort(F.collect_list(F.struct("pos", F.coalesce("kind", F.lit(unknown)).cast("int").alias("kind")))).alias("rest"))
+    others = others.select("_row", "more", "found", F.transform("rest", lambda x: x["kind"]).alias("rest"))
+
+    @F.pandas_udf("binary")
+    def filled(kinds: pd.Series, rest: pd.Series) -> pd.Series:
+        out = []
+        for kind, late in zip(kinds, rest):
+            if late is not None:
+                kind = np.frombuffer(kind, np.uint16).copy()
+                kind[kind == _WAITING] = late
+                kind = kind.tobytes()
+            out.append(kind)
+        return pd.Series(out)
+
+    both = mine.join(others, "_row", "left")
     return both.select(
-        F.col("_id").alias(id_col), "n_tokens", (F.col("carried") + F.coalesce("known", F.lit(0))).alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + more).alias("base_score"), (F.col("model") + more).alias("score"))
+        "_row", "_id", "_train", filled("kinds", "rest").alias("kinds"),
+        (F.col("numerators") + F.coalesce("more", F.lit(0.0))).alias("numerators"), (F.col("known") + F.coalesce("found", F.lit(0))).alias("n_known"))
+
+
+def kind_pairs(texts: DataFrame, kinds: int) -> np.ndarray:
+    """How often kinds follow each other in the rows of ``_resolved``; a matrix of kinds comes to the driver."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matrix = np.zeros(kinds * kinds, np.int64)
+        for batch in batches:
+            for packed in batch.column("kinds").to_pylist():
+                kind = np.frombuffer(packed, np.uint16).astype(np.int64)
+                codes, n = np.unique(kind[:-1] * kinds + kind[1:], return_counts=True)
+                matrix[codes] += n
+        codes = np.flatnonzero(matrix)
+        yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(matrix[codes])], ["code", "n"])
+
+    matrix = np.zeros(kinds * kinds)
+    for code, n in texts.select("kinds").mapInArrow(of, "code long, n long").groupBy("code").agg(F.sum("n")).collect():
+        matrix[code] = n
+    return matrix.reshape(kinds, kinds)
+
+
+@dataclass
+class Learned:
+    classes: int  # the unknown class has this number, the end the next
+    total: int  # training tokens
+    vocabulary: DataFrame  # word, key, c
+    words: DataFrame  # key, kind of the words with a class
+    texts: DataFrame  # as of ``_resolved``
+    tables: Tables
+
+
+def _own(docs: DataFrame, train_on, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(
+        F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"),
+        F.coalesce(train_on, F.lit(False)).alias("_train"))
+
+
+def learn(own: DataFrame) -> Learned:
+    """The model of the rows with _train, and all rows with the classes of their words."""
+    spark = own.sparkSession
+    vocabulary = stored(word_counts(own.where("_train").select("_text")), "vocabulary")
+    total, distinct = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    end = vocabulary.where(F.octet_length("word") == 0).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    carried = most_frequent(vocabulary, CARRIED)
+    core, classes = min(CORE, sum(c >= LEAST_COUNT for _, c in carried)), classes_for(distinct)
+    keys = np.array([word_key(w) for w, _ in carried], np.int64)
+    places = spark.sparkContext.broadcast({w: i for i, (w, _) in enumerate(carried)})
+    tokens = stored(tokenized(own, places), "tokens")
+    training = tokens.where("_train")
+    pairs = stored(core_pairs(training, core), "core-pairs")
+    kind, matrix = exchange(pairs, core, classes)
+    discard(pairs)
+    placed = stored(placed_words(neighbours(training, kind, keys), matrix), "placed-words")
+    # The carried words outside the core are those of the highest counts; their classes come to the driver.
+    found = dict(placed.where(F.col("c") >= carried[-1][1]).select("key", "kind").collect()) if carried else {}
+    of_carried = np.array([kind[i] if i < core else found.get(int(key), classes) for i, key in enumerate(keys)], np.uint16)
+    of_core = spark.createDataFrame(pd.DataFrame({"key": keys[:core], "kind": kind[:core].astype(np.int32)}), "key long, kind int")
+    words = stored(placed.select("key", "kind").unionByName(of_core), "word-classes")
+    types = np.zeros(classes + 2)
+    for k, n in words.groupBy("kind").count().collect():
+        types[k] = n
+    types[classes + 1] = 1
+    types[classes] = max(0, distinct - (1 if end else 0) - types[:classes].sum())
+    counts = np.array([c for _, c in carried], np.float64)
+    known = vocabulary.select("key", "c").join(words, "key", "left")
+    texts = stored(_resolved(tokens, known, counts, of_carried, end, classes), "resolved-texts")
+    discard(tokens, placed)
+    tables = Tables.of(kind_pairs(texts.where("_train"), classes + 2), types, total, distinct)
+    return Learned(classes, total, vocabulary, words, texts, tables)
+
+
+def word_classes(docs: DataFrame, train_on, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """word, c, kind of every training word; kind is null in the unknown class."""
+    learned = learn(_own(docs, train_on, id_col, text_col))
+    words = learned.vocabulary.where(F.octet_length("word") > 0).join(learned.words, "key", "left")
+    return words.select(F.col("word").cast("string").alias("word"), "c", "kind")
+
+
+def class_scores(docs: DataFrame, train_on, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: id, n_tokens, n_known, n_classed, train_tokens, base_score, score, perplexity.
+
+    Learned from the rows where ``train_on`` holds.  base_score sums
+    log10((c + 0.5) / (N + 0.5 (V + 1))) over the tokens; score is the log10 probability
+    under the class model; perplexity is 10 ** (-score / n_tokens); n_classed counts the
+    words with a class of the exchange.  Null and empty texts are an end alone; with nothing to
+    learn from, every count is 0.  Repeated rows count and are scored each; null ids are
+    scored; further columns are not read.  Counts of all words come from all training
+    rows; what tasks carry of them is bounded by CARRIED, and the rest is joined by a
+    64-bit key.
+    """
+    spark = docs.sparkSession
+    learned = learn(_own(docs, train_on, id_col, text_col))
+    discard(learned.vocabulary, learned.words)
+    classes, model = learned.classes, spark.sparkContext.broadcast(learned.tables)
+
+    @F.pandas_udf("n_tokens long, n_classed long, base_score double, score double")
+    def scored(kinds: pd.Series, numerators: pd.Series) -> pd.DataFrame:
+        tables, out = model.value, []
+        for packed, numerator in zip(kinds, numerators):
+            kind = np.frombuffer(packed, np.uint16)
+            n = len(kind) - 1
+            out.append((n, int((kind < classes).sum()), numerator - n * tables.base, tables.score(kind, numerator)))
+        return pd.DataFrame(out, columns=["n_tokens", "n_classed", "base_score", "score"])
+
+    out = learned.texts.select("_id", "n_known", scored("kinds", "numerators").alias("s"))
+    return out.select(
+        F.col("_id").alias(id_col), "s.n_tokens", "n_known", "s.n_classed", F.lit(learned.total).cast("long").alias("train_tokens"), "s.base_score", "s.score",
+        F.pow(F.lit(10.0), -F.col("s.score") / F.col("s.n_tokens")).alias("perplexity"))

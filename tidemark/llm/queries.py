@@ -53,7 +53,7 @@ def op4_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .class_lm import class_scores
 
     found = class_scores(table(spark, sf_dir, "documents"), crc_fold("doc_id") != 1)
-    return found.select("doc_id", F.coalesce(crc_fold("doc_id") == 1, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return found.select("doc_id", F.coalesce(crc_fold("doc_id") == 1, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_classed", "perplexity")
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
