@@ -113,6 +113,20 @@ def test_added_spans_and_masking():
         assert personal_data.find_spans(clean, cues) == []
 
 
+@pytest.mark.parametrize(("text", "value"), [
+    ("access_token=abcd1234efgh5678", "abcd1234efgh5678"), ("aws_secret_access_key = AKIA1234ABCD5678", "AKIA1234ABCD5678"),
+    ("client_secret: a1b2c3d4e5f6", "a1b2c3d4e5f6"), ("Account number: 12345678", "12345678"), ("Passport No. X1234567", "X1234567"),
+    ("IBAN DE89 3704 0044 0532 0130 00 and more", "DE89 3704 0044 0532 0130 00"), ("iban: GB82WEST12345698765432.", "GB82WEST12345698765432"),
+    ("IBAN DE88 3704 0044 0532 0130 00", None), ("account: 1234 5678 9012", "1234 5678 9012"), ("my ssn 123-45-6789", "123-45-6789"),
+    ("secret=" + "0f" * 64, "0f" * 64), ("aPI_kEY='zz99zz99zz'", "zz99zz99zz"), ("accessToken: abcd1234", "abcd1234"),
+    ("subaccount 12345678", None), ("token on 2020-01-01 or token 2020-01-01", None), ("account number of the year", None), ("tokens12345678", None),
+    ("İstanbul token: 1234abcd", "1234abcd"), ("password: short1", None), ("account no", None),
+])
+def test_identifiers_after_cues(text, value):
+    spans = [(s, e) for s, k, e in personal_data.find_spans(text, personal_data.automaton()) if k == 4]
+    assert [text[s:e] for s, e in spans] == ([value] if value else [])
+
+
 def test_personal_data_on_edge_rows(spark):
     rows = edge_rows(spark, [(9, "write to x@y.org")])
     found = {r.doc_id: r for r in personal_data.personal_data(rows).collect()}
@@ -153,11 +167,27 @@ def test_line_rules(spark):
     noise = "\n".join(f"wo{i}## rd{i}** an{i}$$ ot{i}%% he{i}&& r{i}###." for i in range(20))
     menu = "Home | News | Sport | Travel | Contact | Login"
     rows = [(1, prose), (2, noise), (3, f"{prose}\n{menu}\nAll rights reserved by us."), (4, "few words"), (5, ("same words again " * 40))]
+    links = "\n".join(f"https://example.org/{i} https://example.org/x{i} more" for i in range(30))
+    hindi = " ".join(f"शब्द{i}" for i in range(60)) + "।"
+    rows += [(6, "\n".join(f"Entry{i}" for i in range(80))), (7, links), (8, f"{prose} You may sign up for it.".replace("\n", " ")), (9, hindi), (10, f"Heading\n{prose}")]
     got = {r.doc_id: r for r in line_quality.line_quality(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[1].kept and got[1].cleaned == prose
     assert not got[2].kept and not got[2].base_failed
     assert got[3].kept and got[3].cleaned == prose and got[3].n_lines_removed == 2
     assert got[4].base_failed and got[5].base_failed and not got[5].kept
+    assert not got[6].kept and not got[7].kept and not got[6].base_failed and not got[7].base_failed
+    assert got[8].kept and got[8].n_lines_removed == 0 and got[9].kept and got[10].kept and got[10].cleaned == prose
+
+
+def test_repeated_lines_at_the_loss_limit(spark):
+    """Losing exactly half of the text is allowed, losing more is not."""
+    good = " ".join(f"w{i:03d}" for i in range(59)) + " end."
+    bad = " ".join(f"#x{i}##" for i in range(3))
+    size = len(good.replace(" ", ""))
+    lost = "\n".join([bad] * (size // len(bad.replace(" ", ""))))
+    lost += "\n" + "#" * (size - len(lost.replace(" ", "").replace("\n", "")))
+    got = {r.doc_id: r for r in line_quality.line_quality(spark.createDataFrame([(1, f"{good}\n{lost}"), (2, f"{good}\n{lost}#")], "doc_id long, text string")).collect()}
+    assert got[1].kept and not got[2].kept and got[1].n_dup_lines > 5
 
 
 def test_line_quality_on_edge_rows(spark):

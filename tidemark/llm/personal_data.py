@@ -21,8 +21,11 @@ from .common import text_or_empty
 KINDS = ("email", "ip", "card", "phone", "account", "url")
 BASE = KINDS[:4]
 
-# Words after which an identifier or a secret is expected.
-IDENTIFIER_CUES = ("account", "acct", "api_key", "apikey", "iban", "passport", "password", "secret", "ssn", "token")
+# Words after which an identifier or a secret is expected, in any case.
+IDENTIFIER_CUES = (
+    "access_key", "account", "acct", "api_key", "apikey", "auth_key", "iban", "passport", "passwd", "password",
+    "private_key", "secret", "secret_key", "ssn", "token",
+)
 
 _DIGITS = "0123456789"
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -30,7 +33,12 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _OCTETS = re.compile(r"(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_IDENTIFIER = re.compile(r"[\x20\t]{0,3}(?:[:=#][\x20\t]{0,3})?[\"']?([A-Za-z0-9](?:[A-Za-z0-9]|[_-](?=[A-Za-z0-9])){7,63})(?![A-Za-z0-9])")
+# What may stand between a cue and its value: "number", "no." and their like, white space and a sign of assignment.
+_BRIDGE = re.compile(r"\.?(?:[\x20\t_-]{0,3}(?:number|num|no|nr|id|key|code)(?![A-Za-z0-9])\.?){0,2}[\"']?[\x20\t]{0,3}(?:[:=#]{1,2}>?[\x20\t]{0,3})?[\"']?", re.IGNORECASE)
+_VALUE = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9]|[_-](?=[A-Za-z0-9]))*")
+_GROUPS = re.compile(r"[0-9]{2,6}(?:[\x20-][0-9]{2,6})+(?![A-Za-z0-9])")
+_DATE = re.compile(r"(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}")
+_IBAN = re.compile(r"[A-Za-z]{2}[0-9]{2}(?:[\x20-]?[A-Za-z0-9]){11,30}")
 _AUTHORITY = re.compile(r"[^\s/?#\"'<>@]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*[^\s\"'<>]*")
 
 
@@ -41,8 +49,7 @@ def automaton():
     for cue in ("@", "://", *_DIGITS, *("." + d for d in _DIGITS), *("+" + d for d in _DIGITS)):
         found.add_word(cue, (len(cue), cue[0], None))
     for word in IDENTIFIER_CUES:
-        for form in {word, word.upper(), word.capitalize()}:
-            found.add_word(form, (len(form), "w", None))
+        found.add_word(word, (len(word), "w", word))
     found.make_automaton()
     return found
 
@@ -52,11 +59,52 @@ def luhn(digits: str) -> bool:
     return (total + sum((0, 2, 4, 6, 8, 1, 3, 5, 7, 9)[int(d)] for d in digits[-2::-2])) % 10 == 0
 
 
+def iban_end(text: str, at: int) -> int | None:
+    """Where an IBAN at ``at`` ends: the longest run of 15 to 34 letters and digits, perhaps spaced, whose check digits hold."""
+    m = _IBAN.match(text, at)
+    if not m:
+        return None
+    marks = [i for i in range(at, m.end()) if text[i].isalnum()]
+    for n in range(len(marks), 14, -1):
+        end = marks[n - 1] + 1
+        if end == len(text) or not text[end].isalnum():
+            compact = "".join(text[i] for i in marks[:n])
+            if int("".join(str(int(c, 36)) for c in compact[4:] + compact[:4])) % 97 == 1:
+                return end
+    return None
+
+
+def identifier(text: str, after: int, cue: str) -> tuple[int, int] | None:
+    """The span of the identifier or secret whose cue ends at ``after``.
+
+    An IBAN is valid by its check digits.  Other values have eight characters or more, four
+    of them digits, without an upper bound; digits may stand in groups if a sign or word
+    joins them to the cue.  A date is no identifier.
+    """
+    m = _BRIDGE.match(text, after)
+    at = m.end()
+    if cue == "iban":
+        end = iban_end(text, at)
+        return (at, end) if end else None
+    if m[0].strip(" \t") and (g := _GROUPS.match(text, at)) and 8 <= sum(map(g[0].count, _DIGITS)) <= 24:
+        return None if _DATE.fullmatch(g[0]) else (at, g.end())
+    v = _VALUE.match(text, at)
+    if not v or at == after or len(v[0]) < 8 or sum(map(v[0].count, _DIGITS)) < 4 or _DATE.fullmatch(v[0]):
+        return None
+    return at, v.end()
+
+
+def _lowered(text: str) -> str:
+    """The text in lower case, each character in its place."""
+    low = text.lower()
+    return low if len(low) == len(text) else text.translate({c: c + 32 for c in range(65, 91)})
+
+
 def find_spans(text: str, cues) -> list[tuple[int, int, int]]:
     """(start, place of the kind in KINDS, end) of every span, in that order."""
     spans: list[tuple[int, int, int]] = []
     end_email = end_ip = end_card = end_account = end_url = 0
-    for last, (length, cue, _) in cues.iter(text):
+    for last, (length, cue, word) in cues.iter(_lowered(text)):
         at = last - length + 1
         if cue == "@":
             start = at
@@ -86,11 +134,11 @@ def find_spans(text: str, cues) -> list[tuple[int, int, int]]:
             if (m := _PHONE.match(text, at)) and 9 <= sum(map(m[0].count, _DIGITS)) <= 15:
                 spans.append((at, 3, m.end()))
         elif cue == "w":
-            if at >= end_account and not (at and (text[at - 1].isalnum() or text[at - 1] == "_")):
-                m = _IDENTIFIER.match(text, last + 1)
-                if m and sum(map(m[1].count, _DIGITS)) >= 4:
-                    end_account = m.end()
-                    spans.append((m.start(1), 4, end_account))
+            # A cue begins a word, or a part of one that an underscore or a capital sets off.
+            inside = at and text[at - 1].isalnum() and not (text[at].isupper() and text[at - 1].islower())
+            if at >= end_account and not inside and (found := identifier(text, last + 1, word)):
+                spans.append((found[0], 4, found[1]))
+                end_account = found[1]
         elif at >= end_url:
             start = at
             while start > end_url and text[start - 1].isascii() and text[start - 1].isalpha():
