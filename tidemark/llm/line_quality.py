@@ -1,6 +1,6 @@
 """Quality rules that clean lines first.
 
-Every line is judged by punctuation, navigation and boilerplate rules; failing lines are
+Every line is judged by punctuation, navigation, link and boilerplate rules; failing lines are
 removed, and a document that loses too much text is rejected.  DataFrame functions only.
 """
 
@@ -16,21 +16,32 @@ SEPARATORS = "|>»•·"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MAX_LOST_PERCENT = 50
-LONG_LINE_WORDS = 20
+LONG_LINE_WORDS = 20  # a line of so many words has some punctuation
+FRAGMENT_WORDS = 4  # a line of so few words that does not end as a sentence is a heading or an entry of a menu
+BOILERPLATE_WORDS = 15  # a longer line fails by phrases only if they are a fifth of it
+
+# What ends a sentence, with the quotes and brackets that may follow; addresses of links.
+SENTENCE_END = r"[.!?:;…。！？；：؟؛।॥][\p{Pe}\p{Pf}\"'*_]*[ \t\n\x0b\f\r]*$"
+LINK = r"https?://|www\."
 
 # Phrases of site boilerplate and license lines.
 BOILERPLATE = (
     "all rights reserved",
+    "alle rechte vorbehalten",
     "click here",
     "cookie policy",
     "enable javascript",
     "licensed under",
+    "mentions légales",
+    "politique de confidentialité",
     "privacy policy",
     "released under the",
     "sign up",
     "subscribe to",
     "terms of service",
     "terms of use",
+    "todos los derechos reservados",
+    "tous droits réservés",
 )
 
 _POSITION_BITS = 20  # of a packed (hash, position); texts of more words sort pairs instead
@@ -41,7 +52,7 @@ def _count_of(text: Column, characters: str) -> Column:
 
 
 def line_fails(line: Column) -> Column:
-    """Whether a line with a word fails: symbol noise, shouting, no punctuation at length, navigation, boilerplate."""
+    """Whether a line with a word fails: symbol noise, shouting, fragments, no punctuation at length, navigation, links, boilerplate."""
     words = F.size(words_col(line))
     symbols = _count_of(line, SYMBOLS)
     bangs = _count_of(line, "!")
@@ -49,10 +60,15 @@ def line_fails(line: Column) -> Column:
     noise = (symbols >= 3) & (symbols * 3 >= words)
     shouting = (bangs >= 3) & (bangs * 2 >= words)
     navigation = (separators >= 3) & (words <= 4 * (separators + 1))
-    bare = ~line.rlike("[.,;:!?…。，]") & (words >= LONG_LINE_WORDS)
-    boilerplate = F.lower(line).rlike("|".join(BOILERPLATE))
-    # Counting is left to the few lines with a character worth counting.
-    return (line.rlike("[#*$%&|<>!»•·]") & (noise | shouting | navigation)) | bare | boilerplate
+    fragment = ~line.rlike(SENTENCE_END) & (words <= FRAGMENT_WORDS)
+    bare = ~line.rlike(r"\p{P}") & (words >= LONG_LINE_WORDS)
+    links = (F.contains(line, F.lit("://")) | F.contains(line, F.lit("www."))) & line.rlike(LINK) & (F.size(F.split(line, LINK)) * 2 > words)
+    phrases = F.lit("|".join(BOILERPLATE))
+    low = F.lower(line)
+    heavy = 5 * (F.char_length(line) - F.char_length(F.regexp_replace(low, phrases, F.lit("")))) >= F.char_length(line)
+    boilerplate = F.rlike(low, phrases) & ((words <= BOILERPLATE_WORDS) | heavy)
+    # Words are counted last, and only for the few lines with a reason to count them.
+    return (line.rlike("[#*$%&|<>!»•·]") & (noise | shouting | navigation)) | fragment | bare | links | boilerplate
 
 
 def line_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -112,10 +112,15 @@ def _line_quality_sql() -> str:
 
     count = lambda chars: f"len(regexp_extract_all(x, '[{chars}]'))"
     words = f"len(regexp_extract_all(x, '{_WORD}'))"
+    end = q.SENTENCE_END.replace("'", "''")
+    phrases = "|".join(q.BOILERPLATE)
     fails = f"""(({count(q.SYMBOLS)} >= 3 AND {count(q.SYMBOLS)} * 3 >= {words}) OR ({count('!')} >= 3 AND {count('!')} * 2 >= {words})
       OR ({count(q.SEPARATORS)} >= 3 AND {words} <= 4 * ({count(q.SEPARATORS)} + 1))
-      OR (NOT regexp_matches(x, '[.,;:!?…。，]') AND {words} >= {q.LONG_LINE_WORDS})
-      OR regexp_matches(lower(x), '{"|".join(q.BOILERPLATE)}'))"""
+      OR ({words} <= {q.FRAGMENT_WORDS} AND NOT regexp_matches(x, '{end}'))
+      OR ({words} >= {q.LONG_LINE_WORDS} AND NOT regexp_matches(x, '\\p{{P}}'))
+      OR (regexp_matches(x, '{q.LINK}') AND (len(regexp_extract_all(x, '{q.LINK}')) + 1) * 2 > {words})
+      OR (regexp_matches(lower(x), '{phrases}') AND ({words} <= {q.BOILERPLATE_WORDS}
+        OR 5 * (length(x) - length(regexp_replace(lower(x), '{phrases}', '', 'g'))) >= length(x))))"""
     return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT doc_id, t, regexp_extract_all(t, '{_WORD}') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_WORD}')) AS l FROM d),
 grams AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, unnest(w[1:len(w) - 2]) AS x, unnest(w[2:len(w) - 1]) AS y, unnest(w[3:len(w)]) AS z FROM w WHERE len(w) >= 3),
