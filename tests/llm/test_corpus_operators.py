@@ -190,19 +190,47 @@ def test_large_buckets_are_compared_block_by_block(spark, monkeypatch):
     assert {r.vec_id: r.n_links for r in embedding_dedup.embedding_links(df).collect()} == dict(enumerate(want.tolist()))
 
 
-def test_bands_keep_their_recall():
-    rng = np.random.default_rng(5)
-    a = rng.standard_normal((400, 64))
+def pairs_at_the_threshold(rng, n=400, dim=64):
+    a, b = rng.standard_normal((2, n, dim))
     a /= np.linalg.norm(a, axis=1, keepdims=True)
-    b = rng.standard_normal((400, 64))
     b -= (b * a).sum(1, keepdims=True) * a
-    b = 0.93 * a + math.sqrt(1 - 0.93**2) * b / np.linalg.norm(b, axis=1, keepdims=True)
-    for most in (1000, 10**6, 10**9):
+    return a, 0.9301 * a + math.sqrt(1 - 0.9301**2) * b / np.linalg.norm(b, axis=1, keepdims=True)
+
+
+def test_bands_keep_their_recall():
+    a, b = (embedding_dedup.encoded(x)[2] for x in pairs_at_the_threshold(np.random.default_rng(5)))
+    assert embedding_dedup.bands_for(5000) == (0, 1)
+    for most in (20_000, 10**6, 10**9):
         bits, bands = embedding_dedup.bands_for(most)
         met = (embedding_dedup.band_keys(a, bits, bands) == embedding_dedup.band_keys(b, bits, bands)).any(1)
         assert met.mean() >= 0.98
 
 
+def test_estimates_are_unbiased_and_keep_the_links():
+    a, b = pairs_at_the_threshold(np.random.default_rng(8), 500)
+    code, factor, small, scale, residual = embedding_dedup.encoded(a)
+    assert np.allclose(small * scale[:, None], a @ embedding_dedup.rotation(64, 0), atol=1 / 127)
+    signs = np.unpackbits(code, axis=1) * 2.0 - 1
+    estimate = (signs * (b @ embedding_dedup.rotation(64, 0))).sum(1) / (8 * factor)
+    assert abs(estimate.mean() - 0.9301) < 0.005 and estimate.std() > 0.01
+    own = embedding_dedup.encoded(b)
+    keep = embedding_dedup.survivors(code, factor, own[2], own[3], own[4])
+    assert keep.diagonal().all() and keep.mean() < 0.2
+
+
+def test_links_in_bands_equal_all_pairs(spark, monkeypatch):
+    """Labels split into bands; each pair counts once."""
+    monkeypatch.setattr(embedding_dedup, "BUCKET", 20)
+    monkeypatch.setattr(embedding_dedup, "MISSED", 1e-9)
+    rng = np.random.default_rng(14)
+    x = np.repeat(rng.standard_normal((60, 32)), 4, axis=0) + rng.standard_normal((240, 32)) * 0.2
+    assert embedding_dedup.bands_for(240)[0] == 4
+    df = spark.createDataFrame([(i, r.tolist(), "a") for i, r in enumerate(x)], "vec_id long, embedding array<double>, label string")
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = (unit @ unit.T >= 0.93).sum(1) - 1
+    assert {r.vec_id: r.n_links for r in embedding_dedup.embedding_links(df).collect()} == dict(enumerate(want.tolist())) and want.sum() > 200
+
+
 def test_class_scores(spark):
     rnd = random.Random(6)
     nouns, verbs, ends = [f"N{i}" for i in range(30)], [f"v{i}" for i in range(30)], [f"e{i}" for i in range(30)]
