@@ -171,3 +171,55 @@ def test_permutation_importance_reports_the_boosted_trees(monkeypatch):
     monkeypatch.setattr(modelling, "report", lambda df, cfg: runs.append((df, cfg)) or {"features": "every feature"})
     assert queries.permutation_importance(None, "") == "every feature"
     assert runs == [("rows", Model(type="gbm"))] and runs[0][1].permutation_repeats == 5
+
+
+def test_draws_hold_for_ids_of_any_size(spark):
+    from tidemark.functions.exprs import draw, draw_sql
+
+    ids = [0, 1, 2, 5_000_000_000, 2**62, 2**63 - 1]
+    df = spark.createDataFrame([(i,) for i in ids], "i long")
+    got = [r[0] for r in df.select(draw("i", 42, "bigint")).collect()]
+    assert len(set(got)) == len(ids) and all(0 <= x < 2**32 for x in got)
+    assert spark.createDataFrame([(-1,), (-(2**63),)], "i long").select(draw("i", 42, "bigint").alias("d")).where("d BETWEEN 0 AND 4294967295").count() == 2
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t AS SELECT unnest($1::BIGINT[]) AS i", [ids])
+    assert got == [r[0] for r in con.execute(f"SELECT {draw_sql('i', 42)} FROM t").fetchall()]
+    share = spark.range(100_000).select(draw("id", 7, "bigint").alias("d")).agg(F.avg((F.col("d") < 2**30).cast("int")), F.avg((F.col("d") % 2).cast("double"))).first()
+    assert abs(share[0] - 0.25) < 0.01 and abs(share[1] - 0.5) < 0.01
+    big = spark.createDataFrame([(10**18 + i, i % 10 == 0) for i in range(500)], "customer long, event boolean")
+    assert downsample_negatives(big, "customer", "event", 0.5, 1).count() > 200 and group_folds(big, "customer", "event", 5, 1).count() == 500
+
+
+def test_running_sums_spread_narrow_bands_and_ties(spark):
+    """100,000 values in one narrow band and one tied score: no task holds more than a few of the ranges' rows."""
+    from tidemark.functions.exprs import running_sums
+
+    rng = np.random.default_rng(2)
+    values = rng.uniform(0.50, 0.51, 100_000)
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(values)], "id long, v double").withColumn("one", F.lit(1))
+    spread = df.repartitionByRange(4, F.lit(0), "v").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert spread < 40_000
+    got = {r.id: (r.n, r.n_all) for r in running_sums(df, [], [F.col("v"), F.col("id")], {"n": "one"}).collect()}
+    order = np.lexsort((np.arange(len(values)), values))
+    assert all(got[int(i)] == (n, 100_000) for n, i in enumerate(order))
+    tied = df.withColumn("v", F.lit(0.0))
+    got = {r.id: r.n for r in running_sums(tied, [], [F.col("v").desc(), F.col("id")], {"n": "one"}).collect()}
+    assert got == {i: i for i in range(100_000)}
+    edges = quantiles(df, [], "v", [k / 100 for k in range(101)]).first().edges
+    assert np.array_equal(edges, np.percentile(values, np.arange(101)))
+
+
+def test_equal_or_null_tiebreaks_keep_the_order_of_the_input(spark, tmp_path):
+    from tidemark.config import Columns, Prep
+    from tidemark.operators.features import visible
+    from tidemark.sources.raw import ingest, split_outcomes
+
+    cfg = Prep(columns=Columns(tiebreak="tie"), percentiles=False)
+    rows = [("a", "2015-01-01", None, "p", 1.0 * i, None, None, tie) for i, tie in enumerate([None, 3, 3, None, 1])]
+    schema = "customer_id string, origination_date string, target boolean, product_type string, deposit_balance double, loan_balance double, credit_exposure double, tie int"
+    acquired, _ = split_outcomes(ingest(spark.createDataFrame(rows, schema).coalesce(1), cfg), cfg)
+    kept = spark.sql("SELECT 'a' AS customer, timestamp_ntz'2016-01-01' AS anchor_date")
+    order = [r.deposit_balance for r in visible(acquired, kept, cfg).orderBy("_n").collect()]
+    assert order == [3.0, 0.0, 2.0, 1.0, 4.0]

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..sources.shared import stored
+
 
 def months(start, end) -> Column:
     """Calendar months from start to end: the day is ignored and the sign kept."""
@@ -34,27 +36,21 @@ def lerp(a: Column, b: Column, t: Column) -> Column:
     return F.when(t >= 0.5, b - (b - a) * (1 - t)).otherwise(a + (b - a) * t)
 
 
-def order_bucket(value: Column) -> Column:
-    """A coarse key that never falls as a number grows: 32 steps for each factor of e. Null and NaN come first and last."""
-    v = value.cast("double")
-    size = F.floor(F.ln(F.abs(v)) * 32) + 25000
-    return (
-        F.when(v.isNull(), F.lit(-99999)).when(F.isnan(v), F.lit(99999))
-        .when(v == 0, F.lit(0)).when(F.abs(v) == float("inf"), F.signum(v) * 90000)
-        .otherwise(F.signum(v) * size).cast("int"))
-
-
-def running_sums(df: DataFrame, cell: Sequence[str], bucket: Column, order: Sequence[Column], sums: dict[str, str]) -> DataFrame:
+def running_sums(df: DataFrame, cell: Sequence[str], order: Sequence[Column], sums: dict[str, str]) -> DataFrame:
     """``df`` with, for each name -> column of ``sums``, the sum over the rows before it in its cell, and ``<name>_all`` over the whole cell.
 
-    ``bucket`` must never fall along ``order``.  Totals of the few buckets are summed up
-    first, then only rows of one bucket meet in a task: a cell may hold any number of rows.
+    Rows are dealt out by ranges of the cell and ``order``, whose bounds Spark draws from the
+    data; the totals of the ranges are summed up, then only rows of one range meet in a
+    task.  A cell may hold any number of rows, however close their values, as long as
+    ``order`` tells them apart.
     """
-    df = df.withColumn("_bucket", bucket)
-    keys = [*cell, "_bucket"]
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = df.repartitionByRange(parts, *[F.col(c) for c in cell], *order).withColumn("_part", F.spark_partition_id())
+    df = stored(ranges, "ranges")  # later steps must see the same ranges
+    keys = [*cell, "_part"]
     totals = df.groupBy(*keys).agg(*[F.sum(c).alias(f"_t_{n}") for n, c in sums.items()])
     within = W.partitionBy(*cell) if cell else W.partitionBy(F.lit(1))
-    before = within.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    before = within.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     totals = totals.select(
         *[F.col(k).alias(f"_k_{k}") for k in keys],
         *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_b_{n}") for n in sums],
@@ -62,35 +58,59 @@ def running_sums(df: DataFrame, cell: Sequence[str], bucket: Column, order: Sequ
     match = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
     joined = df.join(totals, match).drop(*[f"_k_{k}" for k in keys])
     local = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-    return joined.withColumns({n: F.col(f"_b_{n}") + F.coalesce(F.sum(c).over(local), F.lit(0)) for n, c in sums.items()}).drop("_bucket", *[f"_b_{n}" for n in sums])
+    return joined.withColumns({n: F.col(f"_b_{n}") + F.coalesce(F.sum(c).over(local), F.lit(0)) for n, c in sums.items()}).drop("_part", *[f"_b_{n}" for n in sums])
 
 
 def quantiles(df: DataFrame, cell: Sequence[str], value: str, fractions: Sequence[float]) -> DataFrame:
     """cell columns, n, edges: the exact quantiles of the non-null values of each cell, linearly interpolated.
 
-    Equal values are counted first; then each order statistic that some fraction needs is
-    found by its place among the running counts.  No cell is gathered anywhere.
+    Equal values are counted first.  The order statistics that a value stands for follow
+    from its place among the running counts by arithmetic, so all but the few values that
+    some fraction needs are gone before anything is gathered.  ``fractions`` rise from 0 to 1
+    in equal steps, or are few.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(*cell, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_c"))
-    placed = running_sums(counts, cell, order_bucket(F.col("_v")), [F.col("_v")], {"_lo": "_c"})
-    at = F.array(*[F.lit(float(f)) for f in fractions])
-    place = lambda f: (F.col("_lo_all") - 1) * f
+    placed = running_sums(counts, cell, [F.col("_v")], {"_lo": "_c"})
+    top, last = F.col("_lo_all") - 1, len(fractions) - 1
+    even = last > 0 and all(abs(f - i / last) < 1e-12 for i, f in enumerate(fractions))
+    if even:  # which fractions may fall on the value or just below it
+        step = last / F.greatest(top, F.lit(1))
+        least = F.greatest(F.lit(0), F.ceil((F.col("_lo") - 1) * step - 1e-6)).cast("int")
+        most = F.least(F.lit(last), F.ceil((F.col("_lo") + F.col("_c")) * step + 1e-6) - 1).cast("int")
+        most = F.when(top == 0, F.lit(last)).otherwise(most)
+    else:
+        least, most = F.lit(0), F.lit(last)
+    rows = placed.withColumns({"_i": least, "_j": most}).where("_i <= _j")
+    rows = rows.select(*cell, "_v", "_lo", "_c", F.col("_lo_all").alias("n"), F.explode(F.sequence("_i", "_j")).alias("i"))
+    place = (F.col("n") - 1) * F.element_at(F.array(*[F.lit(float(f)) for f in fractions]), F.col("i") + 1)
     inside = lambda p: (p >= F.col("_lo")) & (p < F.col("_lo") + F.col("_c"))
-    wanted = F.filter(
-        F.transform(at, lambda f, i: F.struct(
-            i.alias("i"), (place(f) - F.floor(place(f))).alias("t"), inside(F.floor(place(f))).alias("a"),
-            inside(F.least(F.floor(place(f)) + 1, F.col("_lo_all") - 1)).alias("b"))),
-        lambda x: x["a"] | x["b"])
-    rows = placed.where(F.size(wanted) > 0).select(*cell, "_v", F.col("_lo_all").alias("n"), F.explode(wanted).alias("w"))
-    rows = rows.groupBy(*cell, "n", F.col("w.i").alias("i")).agg(
-        F.first("w.t").alias("t"), F.max(F.when(F.col("w.a"), F.col("_v"))).alias("a"), F.max(F.when(F.col("w.b"), F.col("_v"))).alias("b"))
+    rows = rows.withColumn("p", place).withColumn("q", F.floor("p"))
+    rows = rows.groupBy(*cell, "n", "i").agg(
+        F.first(F.col("p") - F.col("q")).alias("t"), F.max(F.when(inside(F.col("q")), F.col("_v"))).alias("a"),
+        F.max(F.when(inside(F.least(F.col("q") + 1, F.col("n") - 1)), F.col("_v"))).alias("b"))
     rows = rows.withColumn("edge", lerp(F.col("a"), F.col("b"), F.col("t")))
     edges = F.transform(F.array_sort(F.collect_list(F.struct("i", "edge"))), lambda x: x["edge"])
     return rows.groupBy(*cell).agg(F.first("n").cast("long").alias("n"), edges.alias("edges"))
 
 
+WORD = 1 << 32
+MIXES = (16, 73244475), (16, 73244475)  # a shift and a factor below 2**31 each, so that nothing overflows
+
+
 def draw(key: str, seed: int, kind: str) -> Column:
-    """A number in 0 .. 2**32-1 for an id: multiplicative for integers (below 2**31), xxhash64 for others."""
-    if kind in ("bigint", "int", "smallint", "tinyint"):
-        return F.pmod(F.col(key).cast("long").bitwiseXOR(F.lit(seed)) * F.lit(2654435761), F.lit(4294967296))
-    return F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(4294967296))
+    """A number in 0 .. 2**32-1 for an id: shifts and multiplications for integers of any size, xxhash64 for others."""
+    if kind not in ("bigint", "int", "smallint", "tinyint"):
+        return F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(WORD))
+    x = F.col(key).cast("long")
+    x = F.pmod(x.bitwiseXOR(F.shiftright(x, 32)).bitwiseXOR(F.lit(seed)), F.lit(WORD))
+    for shift, factor in MIXES:
+        x = x.bitwiseXOR(F.shiftright(x, shift)) * F.lit(factor) % F.lit(WORD)
+    return x.bitwiseXOR(F.shiftright(x, 16))
+
+
+def draw_sql(key: str, seed: int) -> str:
+    """``draw`` of a non-negative integer column in SQL."""
+    x = f"(xor(xor({key}, {key} >> 32), {seed}) % {WORD})"
+    for shift, factor in MIXES:
+        x = f"(xor({x}, {x} >> {shift}) * {factor} % {WORD})"
+    return f"xor({x}, {x} >> 16)"

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import order_bucket, quantiles, running_sums
+from ..functions.exprs import quantiles, running_sums
 
 
 def survival_scores(predictions: DataFrame, id_col: str, label: str, bins: int) -> DataFrame:
@@ -30,13 +30,12 @@ def ranking_metrics(scores: DataFrame, id_col: str, lift_at: Sequence[float]) ->
     """A row for each repeat with an event: n_customers, n_events, prevalence, pr_auc, roc_auc, brier and the lifts.
 
     Ties are exact: equal scores form one step of both curves.  Lift takes the first
-    max(1, round(n * fraction)) by score, ties by id.  Running sums spread over score
-    buckets, so a repeat of any size is ranked without meeting in one task.
+    max(1, round(n * fraction)) by score, ties by id.  Running sums go over ranges
+    of score and id, so a repeat of any size is ranked without meeting in one task, even if all scores tie.
     """
     a = F.col("actual").cast("long")
     steps = scores.groupBy("repeat", "score").agg(F.sum(a).alias("p"), F.count("*").alias("k"), F.sum(F.pow(F.col("score") - a, F.lit(2.0))).alias("b"))
-    down = -order_bucket(F.col("score"))
-    steps = running_sums(steps, ["repeat"], down, [F.col("score").desc()], {"tp": "p", "seen": "k"})
+    steps = running_sums(steps, ["repeat"], [F.col("score").desc()], {"tp": "p", "seen": "k"})
     tp, seen = F.col("tp") + F.col("p"), F.col("seen") + F.col("k")
     positives, n = F.col("tp_all"), F.col("seen_all")
     out = steps.where(positives > 0).groupBy("repeat").agg(
@@ -45,7 +44,7 @@ def ranking_metrics(scores: DataFrame, id_col: str, lift_at: Sequence[float]) ->
         F.when(F.first(n) > F.first(positives), F.sum((F.col("k") - F.col("p")) * (tp - F.col("p") / 2)) / F.first(positives) / F.first(n - positives)).alias("roc_auc"),
         (F.sum("b") / F.first(n)).alias("brier"))
     if lift_at:
-        ranked = running_sums(scores.withColumn("_1", F.lit(1)), ["repeat"], down, [F.col("score").desc(), F.col(id_col)], {"at": "_1"})
+        ranked = running_sums(scores.withColumn("_1", F.lit(1)), ["repeat"], [F.col("score").desc(), F.col(id_col)], {"at": "_1"})
         top = lambda f: F.greatest(F.lit(1), F.bround(F.col("at_all") * F.lit(f)).cast("long"))
         hit = lambda f: F.avg(F.when(F.col("at") < top(f), a))
         lifts = ranked.groupBy("repeat").agg(*[(hit(f) / F.avg(a)).alias(lift_name(f)) for f in dict.fromkeys(lift_at)])

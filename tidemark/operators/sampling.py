@@ -31,10 +31,9 @@ def group_folds(df: DataFrame, group: str, label: str, splits: int, seed: int) -
     """group, has_event, fold: customers dealt out in turn, in the order of a hash, with and without event apart.
 
     Folds are disjoint by customer, hold equal shares of events up to one, and repeat for
-    a seed.  The turn is a running count over hash buckets, so no stratum meets in a task.
+    a seed.  The turn is a running count over ranges, so no stratum meets in a task.
     """
     customers = df.where(F.col(group).isNotNull()).groupBy(group).agg(F.coalesce(F.max(F.col(label).cast("int")), F.lit(0)).alias("has_event"))
     customers = customers.withColumn("_d", draw(group, seed, _kind(df, group))).withColumn("_1", F.lit(1))
-    bucket = F.floor(F.col("_d") / (1 << 20)).cast("int")
-    dealt = running_sums(customers, ["has_event"], bucket, [F.col("_d"), F.col(group)], {"_n": "_1"})
+    dealt = running_sums(customers, ["has_event"], [F.col("_d"), F.col(group)], {"_n": "_1"})
     return dealt.select(group, "has_event", (F.col("_n") % splits).cast("int").alias("fold"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .config import Model
-from .functions.exprs import months
+from .functions.exprs import draw_sql, months
 from .operators import metrics as M
 from .operators.anchors import DESIGNS, anchor_facts, anchors
 from .operators.anchors import exclusions as exclusion_report
@@ -64,7 +64,11 @@ def _features(spark: SparkSession, d: str, design: str, cfg=CFG, ranked: bool =
 
 
 def _predictions(spark: SparkSession, d: str) -> DataFrame:
-    """Hazard rows of two repeats with a score that is a formula of customer, interval and repeat."""
+    """Hazard rows of two repeats with a score that is a formula of customer, interval and repeat.
+
+    A fixture: measures, calibration and lift of such scores, with all their ties, can be had
+    from SQL as well; ``cv_metrics`` has the measures of a fitted model.
+    """
     rows = hazard_skeleton(_anchors(spark, d, "hazard"), CFG).withColumn("repeat", F.explode(F.array(F.lit(0), F.lit(1))))
     score = F.pmod(F.col("customer") * 31 + F.col("interval") * 17 + F.col("repeat") * 7, F.lit(97)) / 1000 + 0.01
     return rows.select("repeat", "customer", "interval", score.alias("score"), "event")
@@ -311,6 +315,31 @@ def agg_numerics_by_family(spark: SparkSession, d: str) -> DataFrame:
     return rounded(f.select("customer", *[c for c in f.columns if c.startswith("agg_")]))
 
 
+_REDUCED = ("mean", "count_nonnull", "min", "median", "std", "var", "nunique", "prod")
+_REDUCED_SQL = {"mean": "avg", "count_nonnull": "count", "std": "stddev_samp", "var": "var_samp", "nunique": "count(DISTINCT ", "prod": "product"}
+
+
+def _reduced_sql(column: str) -> list[str]:
+    out = []
+    for how in _REDUCED:
+        fn = _REDUCED_SQL.get(how, how)
+        value = f"{fn}{column})" if fn.endswith(" ") else f"{fn}({column})"
+        value = f"CASE WHEN {value} > 0 THEN round(log10({value}), 4) END" if how == "prod" else f"round({value}, {0 if how == 'var' else 6})"
+        out.append(f"{value} AS agg_{column}_{how}")
+    return [*out, f"CASE WHEN avg({column}) >= 0 THEN round(ln(1 + avg({column})), 6) END AS agg_{column}_mean_log1p"]
+
+
+@query(_select(_BOTH_SQL + _hist_sql("fixed"), f"SELECT customer, {', '.join([*_reduced_sql('deposit_balance'), *_reduced_sql('loan_balance')])} FROM hist GROUP BY 1"))
+def agg_reducers(spark: SparkSession, d: str) -> DataFrame:
+    """Every other reducer that may be named; products are shown by their logarithm and variances without places."""
+    from .config import Numeric
+
+    both = ("deposit_balance", "loan_balance")
+    f = _features(spark, d, "fixed", ranked=False, cfg=_plain(numerics={c: Numeric(aggregations=_REDUCED) for c in both}))
+    f = f.withColumns({f"agg_{c}_prod": F.round(F.log10(f"agg_{c}_prod"), 4) for c in both} | {f"agg_{c}_var": F.round(f"agg_{c}_var", 0) for c in both})
+    return rounded(f.select("customer", *[c for c in f.columns if c.startswith("agg_deposit") or c.startswith("agg_loan")]))
+
+
 @query(_select(_BOTH_SQL + _hist_sql("hazard"), f"SELECT customer, {', '.join(_position_sql(percentiles=False))} FROM hist GROUP BY 1"))
 def sequence_positions(spark: SparkSession, d: str) -> DataFrame:
     f = _features(spark, d, "hazard", ranked=False, cfg=_plain())
@@ -354,7 +383,7 @@ def hazard(spark: SparkSession, d: str) -> DataFrame:
     return rounded(hazard_dataset(_features(spark, d, "hazard"), _anchors(spark, d, "hazard"), CFG))
 
 
-_DRAW = f"((xor(customer, {SEED}) * 2654435761) % 4294967296)"
+_DRAW = draw_sql("customer", SEED)
 
 
 @query(_select(_BOTH_SQL + _SKELETON_SQL + f"ever AS (SELECT customer, max(event) AS ever FROM skeleton GROUP BY 1),",
@@ -435,7 +464,12 @@ def onehot_infrequent(spark: SparkSession, d: str) -> DataFrame:
     return category_levels(_wide(spark, d), _CATEGORIC, 0.01)
 
 
-@query(None)
+_TYPES_SQL = f"""SELECT CASE WHEN column_name = 'interval' OR column_type = 'VARCHAR' THEN 'categorical'
+  WHEN column_type IN ('TINYINT', 'SMALLINT', 'INTEGER', 'BIGINT', 'HUGEINT', 'FLOAT', 'DOUBLE', 'BOOLEAN') THEN 'numeric' ELSE 'skipped' END AS role, column_name AS feature
+FROM (DESCRIBE {ORACLE_SQL["hazard"]}) WHERE column_name NOT IN ('customer', 'event', 'exposure_frac', 'anchor_date', 'months_low', 'months_high')"""
+
+
+@query(_TYPES_SQL)
 def column_types(spark: SparkSession, d: str) -> DataFrame:
     found = column_roles(hazard(spark, d), {"customer", "event", "exposure_frac", "anchor_date", "months_low", "months_high"}, ("interval",))
     rows = [(role, name) for role, names in zip(("numeric", "categorical", "skipped"), found) for name in names]
@@ -464,6 +498,14 @@ def cv_logistic_oof(spark: SparkSession, d: str) -> DataFrame:
     return out_of_fold(_model_input(spark, d), Model())[0]
 
 
+@query(None)
+def cv_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """Measures over the repeats of the cross-validated logistic model."""
+    from .plans.modelling import out_of_fold
+
+    return M.summary(M.ranking_metrics(out_of_fold(_model_input(spark, d), Model())[0], "customer", LIFTS))
+
+
 @query(None)
 def cv_gbt_oof(spark: SparkSession, d: str) -> DataFrame:
     from .plans.modelling import out_of_fold
@@ -482,7 +524,7 @@ def permutation_importance(spark: SparkSession, d: str) -> DataFrame:
 def synthetic_acquisitions(spark: SparkSession, d: str) -> DataFrame:
     from .sources.synthetic import acquisitions
 
-    return acquisitions(spark, 2000)
+    return acquisitions(spark, 25_000)
 
 
 @query(_select(_BOTH_SQL + _hist_sql("fixed"), f"SELECT customer, tie, {_month('origination_date', 'anchor_date')} AS months_before, rn AS place FROM hist"))

@@ -47,7 +47,7 @@ def ingest(df: DataFrame, cfg: Prep) -> DataFrame:
     typed[col.date] = F.col(col.date).cast("timestamp_ntz")
     df = df.withColumns(typed)
     if ROW not in df.columns:
-        df = df.withColumn(ROW, F.monotonically_increasing_id() if not col.tiebreak else F.lit(0).cast("long"))
+        df = df.withColumn(ROW, F.monotonically_increasing_id())  # also beside a tiebreak, which may tie or be null
     return with_family(df, cfg)
 
 
