@@ -23,10 +23,10 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName(f"tidemark {args.command}").getOrCreate()
     if args.command == "synthesize":
-        from .sources.synthetic import acquisitions
+        from .sources.synthetic import acquisitions, ordered
 
         rows = acquisitions(spark, args.customers, args.seed, args.base_rate)
-        rows.write.mode("overwrite").option("header", True).format(args.format).save(args.out)
+        ordered(rows).write.mode("overwrite").option("header", True).format(args.format).save(args.out)
     elif args.command == "preprocess":
         from .plans.preprocess import run
 
@@ -35,7 +35,8 @@ def main(argv: list[str] | None = None) -> None:
     else:
         from .plans.modelling import run as model
 
-        model(spark, args.config, args.format)
+        for name, size in model(spark, args.config, args.format).items():
+            print(name, size)
 
 
 if __name__ == "__main__":

@@ -150,20 +150,31 @@ def _tuples(value):
 
 def _known(kind, values: dict):
     names = {f.name for f in fields(kind)}
-    return kind(**{k: _tuples(v) for k, v in values.items() if k in names})
+    if odd := sorted(set(values) - names):
+        raise ValueError(f"unknown settings: {', '.join(odd)}")
+    return kind(**{k: _tuples(v) for k, v in values.items()})
+
+
+def _sections(raw: dict, *known: str) -> None:
+    if odd := sorted(set(raw) - set(known)):
+        raise ValueError(f"unknown sections: {', '.join(odd)}")
+
+
+def _renamed(section: dict, where: str, **names: str) -> dict:
+    """The settings of a section under the names of the dataclass; others are errors."""
+    if odd := sorted(set(section) - set(names)):
+        raise ValueError(f"{where}: unknown settings: {', '.join(odd)}")
+    return {names[k]: v for k, v in section.items()}
 
 
 def prep_config(raw: dict) -> Prep:
     """A preprocessing configuration from the nested mapping of a YAML file."""
-    families = raw.get("product_families", {})
-    sequence, aggregates = raw.get("sequence", {}), raw.get("aggregates", {})
-    flat = {**raw.get("io", {}), **raw.get("labeling", {}), **raw.get("hazard", {}), **aggregates}
-    flat |= {k: sequence[k] for k in ("window", "carry_percentiles", "emit_gaps") if k in sequence}
-    flat |= {"carry": sequence["carry_columns"]} if "carry_columns" in sequence else {}
-    flat |= {"families": families["map"]} if "map" in families else {}
-    flat |= {"default_family": families["default_family"]} if "default_family" in families else {}
-    percentiles = raw.get("percentiles", {})
-    flat |= {"percentiles": percentiles.get("enable", True), "min_cell_size": percentiles.get("min_cell_size", 30)}
+    _sections(raw, "io", "columns", "product_families", "numeric_columns", "percentiles", "sequence", "aggregates", "labeling", "hazard")
+    flat = {**raw.get("io", {}), **raw.get("labeling", {}), **raw.get("hazard", {}), **raw.get("aggregates", {})}
+    sequence = dict(window="window", carry_columns="carry", carry_percentiles="carry_percentiles", emit_gaps="emit_gaps")
+    flat |= _renamed(raw.get("sequence", {}), "sequence", **sequence)
+    flat |= _renamed(raw.get("product_families", {}), "product_families", map="families", default_family="default_family")
+    flat |= _renamed(raw.get("percentiles", {}), "percentiles", enable="percentiles", min_cell_size="min_cell_size")
     if "columns" in raw:
         flat["columns"] = _known(Columns, raw["columns"])
     if "numeric_columns" in raw:
@@ -172,14 +183,19 @@ def prep_config(raw: dict) -> Prep:
 
 
 def model_config(raw: dict) -> Model:
-    """A modelling configuration from the nested mapping of a YAML file."""
-    model = raw.get("model", {})
+    """A modelling configuration from the nested mapping of a YAML file.
+
+    ``model.gbm.l2_regularization`` is read over: Spark's boosted trees have no such term.
+    """
+    _sections(raw, "io", "design", "columns", "encoding", "model", "sampling", "cv", "evaluation")
+    model, gbm = raw.get("model", {}), dict(raw.get("model", {}).get("gbm", {}))
+    _sections(model, "type", "logistic", "gbm")
+    gbm.pop("l2_regularization", None)
     flat = {**raw.get("io", {}), **raw.get("columns", {}), **raw.get("encoding", {}), **raw.get("cv", {}), **raw.get("evaluation", {})}
     flat |= {"type": model.get("type", "logistic"), **model.get("logistic", {})}
-    gbm = model.get("gbm", {})
+    flat |= {"permutation_repeats": gbm.pop("permutation_repeats", 5), "design": raw.get("design", "hazard")}
     flat |= {f"gbm_{k}": v for k, v in gbm.items()}
-    flat |= {"permutation_repeats": gbm.get("permutation_repeats", 5), "design": raw.get("design", "hazard")}
-    flat["negative_customer_fraction"] = raw.get("sampling", {}).get("negative_customer_fraction", 1.0)
+    flat |= _renamed({"negative_customer_fraction": 1.0} | raw.get("sampling", {}), "sampling", negative_customer_fraction="negative_customer_fraction")
     return _known(Model, flat).checked()
 
 

@@ -150,10 +150,17 @@ def report(df: DataFrame, cfg: Model) -> dict[str, DataFrame]:
         "predictions": scores, "features": features}
 
 
-def run(spark: SparkSession, config_path: str, form: str = "parquet") -> None:
-    """The run of a configuration file: reads a dataset, writes the five reports."""
+def run(spark: SparkSession, config_path: str, form: str = "parquet") -> dict[str, dict]:
+    """The run of a configuration file: reads a dataset, writes the five reports; returns the size of the input and the mean measures."""
     cfg = model_config(load_yaml(config_path))
     path = cfg.input_path
     df = spark.read.option("header", True).option("inferSchema", True).csv(path) if path.endswith(".csv") else spark.read.parquet(path)
+    require(df, [cfg.id, cfg.group, cfg.label, cfg.weight], "model input")
+    counts = df.agg(F.count(cfg.label).alias("rows"), F.countDistinct(cfg.group).alias("customers"), F.sum(F.col(cfg.label).cast("int")).alias("events"))
+    numeric, categorical, _ = column_roles(load(df, cfg), {cfg.id, cfg.group, cfg.label, cfg.weight, *cfg.drop}, cfg.force_categorical)
+    sizes = {"input": {"design": cfg.design} | counts.first().asDict() | {"numeric": len(numeric), "categorical": len(categorical)}}
     for name, out in report(df, cfg).items():
         out.write.mode("overwrite").option("header", True).format(form).save(f"{cfg.output_dir}/{name}")
+        if name == "metrics":
+            sizes[name] = {r.metric: r["mean"] for r in out.collect()}
+    return sizes

@@ -48,18 +48,32 @@ def load_grid(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(GRID).parquet(path)
 
 
+#: The order of rows in the files; a sort by ranges of these columns comes before each write.
+ORDER = {"flat_dataset": ["customer"], "hazard_dataset": ["customer", "interval"], "exclusions": ["design", "customer"]}
+
+
 def run(spark: SparkSession, config_path: str, form: str = "parquet") -> dict[str, dict]:
-    """The run of a configuration file: reads the raw table, writes datasets, exclusions and grids; returns their sizes."""
+    """The run of a configuration file: reads the raw table, writes ordered datasets, exclusions and grids; returns their sizes.
+
+    ``loaded`` counts rows, acquisitions, outcomes and customers of the input; a dataset its
+    rows, customers, events, summed exposure (hazard) and columns.
+    """
     cfg = prep_config(load_yaml(config_path))
-    path = cfg.input_path
+    path, c = cfg.input_path, cfg.columns
     raw = spark.read.parquet(path) if path.rstrip("/").endswith(".parquet") else read_csv(spark, path)
-    done = prepare(ingest(raw, cfg), cfg)
+    raw = ingest(raw, cfg)
+    outcome = F.count(c.target)
+    sizes = {"loaded": raw.agg(F.count("*").alias("rows"), (F.count("*") - outcome).alias("acquisitions"), outcome.alias("outcomes"), F.countDistinct(c.id).alias("customers")).first().asDict()}
+    done = prepare(raw, cfg)
     save_grid(done.grid, f"{cfg.artifact_dir}/percentile_grids")
-    sizes = {}
     for name, df in (("flat_dataset", done.flat), ("hazard_dataset", done.hazard), ("exclusions", done.exclusions)):
-        out = df.write.mode("overwrite").option("header", True).format(form)
+        out = df.orderBy(*ORDER[name]).write.mode("overwrite").option("header", True).format(form)
         out.save(f"{cfg.output_dir}/{name}")
         back = spark.read.option("header", True).format(form).load(f"{cfg.output_dir}/{name}")
-        counts = back.agg(F.count("*"), F.countDistinct("customer")).first()
-        sizes[name] = {"rows": counts[0], "customers": counts[1], "columns": len(df.columns)}
+        counts = {"rows": F.count("*"), "customers": F.countDistinct("customer")}
+        if label := next((x for x in ("label", "event") if x in df.columns), None):
+            counts["events"] = F.sum(F.col(label).cast("long"))
+        if "exposure_frac" in df.columns:
+            counts["exposure"] = F.sum(F.col("exposure_frac").cast("double"))
+        sizes[name] = back.agg(*[v.alias(k) for k, v in counts.items()]).first().asDict() | {"columns": len(df.columns)}
     return sizes
