@@ -100,6 +100,28 @@ def test_near_duplicates_in_a_crowd_equal_all_pairs(spark):
     assert got == roots(dict(enumerate(texts)), links)
 
 
+def test_independent_near_copies_equal_all_pairs(spark):
+    """500 copies of one text with three to five words changed: few are links, and all share buckets."""
+    rnd = random.Random(21)
+    base, texts = [f"b{i}" for i in range(200)], []
+    for i in range(500):
+        words = list(base)
+        for at in rnd.sample(range(200), rnd.randint(3, 5)):
+            words[at] = f"x{i}w{at}"
+        texts.append(" ".join(words))
+    labels = [near_dedup.shingles(t) for t in texts]
+    known, counts = np.unique(np.concatenate(labels), return_counts=True)
+    known = known[counts > 1]
+    held = np.stack([np.isin(known, x) for x in labels]).astype(np.float32)
+    common, total = held @ held.T, np.add.outer([len(x) for x in labels], [len(x) for x in labels])
+    near = np.triu(common / (total - common) >= 0.8, 1)
+    links = [(int(a), int(b)) for a, b in zip(*np.nonzero(near)) if near_dedup.alignment(labels[a], labels[b]) >= 0.8]
+    want = roots(dict(enumerate(texts)), links)
+    assert 300 < len(links) and 200 < len(set(want.values())) < 400
+    got = {r.doc_id: r.group_id for r in near_dedup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == want
+
+
 def test_alignment_is_the_longest_common_chain():
     rng = np.random.default_rng(3)
     for _ in range(200):

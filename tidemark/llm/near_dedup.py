@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, stored
+from .common import discard, mix64, stored
 from .components import components
 from .word_hash import Rolling, hashed, words_of
 
@@ -32,6 +32,7 @@ DEPTHS = (2, 3)  # sketches that must agree in a bucket
 LENGTH = 2  # shingles in a sketch
 PAIRED = 24  # documents of a bucket that are compared pair by pair in a join
 BLOCK = 1024  # documents of a larger bucket compared at once; it is dealt out block against block
+BLOCK_LABELS = 4_000_000  # shingles in a block at most, so that blocks of long texts hold fewer documents
 BROADCAST_IDS = 1_000_000  # ids sent to every task at most; beyond that the join shuffles
 
 _U = np.uint64
@@ -151,14 +152,11 @@ def _signatures(docs: DataFrame) -> DataFrame:
 
 
 def _labels(docs: DataFrame) -> DataFrame:
-    """_id, labels: the shingle labels of each document, 32 bits each, as bytes.
-
-    So few bits suffice to compare two texts: a chance match is one in 2**32 for each pair of shingles.
-    """
+    """_id, labels: the shingle labels of each document as bytes."""
 
     @F.pandas_udf("binary")
     def of(texts: pd.Series) -> pd.Series:
-        return pd.Series([(shingles(t) >> _U(32)).astype(np.uint32).tobytes() for t in texts])
+        return pd.Series([shingles(t).tobytes() for t in texts])
 
     return docs.select("_id", of("_text").alias("labels"))
 
@@ -168,15 +166,18 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     ids = stored(pairs.select(F.explode(F.array("x", "y")).alias("_id")).distinct(), "candidate-ids")
     few = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     labels = stored(_labels(docs.join(few, "_id", "left_semi")), "labels")
+    discard(ids)
 
     @F.pandas_udf("double")
     def aligned(xs: pd.Series, ys: pd.Series) -> pd.Series:
-        return pd.Series([alignment(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)) for x, y in zip(xs, ys)], dtype="float64")
+        return pd.Series([alignment(np.frombuffer(x, _U), np.frombuffer(y, _U)) for x, y in zip(xs, ys)], dtype="float64")
 
     pairs = F.broadcast(pairs) if pairs.count() <= BROADCAST_IDS else pairs
     of_y = labels.select(F.col("_id").alias("y"), F.col("labels").alias("ly"))
     both = labels.select(F.col("_id").alias("x"), F.col("labels").alias("lx")).join(pairs, "x").join(of_y, "y")
-    return both.withColumn("s", aligned("lx", "ly")).where(F.col("s") >= SIMILARITY).select("x", "y")
+    links = stored(both.withColumn("s", aligned("lx", "ly")).where(F.col("s") >= SIMILARITY).select("x", "y"), "links")
+    discard(labels)
+    return links
 
 
 def _by_size(placed: DataFrame) -> DataFrame:
@@ -186,14 +187,13 @@ def _by_size(placed: DataFrame) -> DataFrame:
     """
     size = F.floor(F.log2(F.col("n").cast("double")) * 6).cast("int")  # a step is a factor of 1.12
     shortest = placed.groupBy("key", size.alias("size")).agg(F.min(F.struct("n", "_id", "component")).alias("l"))
-    shortest = shortest.select("key", "size", F.col("l._id").alias("leader"), F.col("l.component").alias("other"), F.col("l.n").alias("m"))
+    shortest = stored(shortest.select("key", "size", F.col("l._id").alias("leader"), F.col("l.component").alias("other"), F.col("l.n").alias("m")), "shortest")
     return placed.withColumn("size", F.explode(F.array(size - 2, size - 1, size))).join(shortest, ["key", "size"])
 
 
 def _by_pair(placed: DataFrame) -> DataFrame:
     """Every pair of a bucket of no more than PAIRED documents; larger ones are left to leaders and to deeper buckets."""
-    small = placed.groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") <= PAIRED).select("key")
-    rows = placed.join(small, "key")
+    rows = placed.where(F.col("c") <= PAIRED)
     other = rows.select("key", F.col("_id").alias("leader"), F.col("component").alias("other"), F.col("n").alias("m"))
     return rows.join(other, "key").where("_id > leader")
 
@@ -210,7 +210,7 @@ def linked(labels: list[np.ndarray], component: np.ndarray, left: np.ndarray, ri
     bins = 1 << np.maximum(6, np.ceil(np.log2(np.maximum(n, 1))).astype(int))  # as many as labels, or more
     for width in np.unique(bins[order]):
         reach = order[(n[order] * 2 > width if width > 64 else n[order] > 0) & (SIMILARITY * n[order] <= width)]
-        table = np.stack([np.minimum(np.bincount(labels[i] % np.uint32(width), minlength=width), 255) for i in reach]).astype(np.uint8)
+        table = np.stack([np.minimum(np.bincount((labels[i] & _U(width - 1)).astype(np.int64), minlength=width), 255) for i in reach]).astype(np.uint8)
         for at in np.flatnonzero(bins[reach] == width):
             i = reach[at]
             last = np.searchsorted(n[reach], n[i] / SIMILARITY + 1e-6, side="right")
@@ -229,16 +229,20 @@ def linked(labels: list[np.ndarray], component: np.ndarray, left: np.ndarray, ri
 
 
 def _by_block(placed: DataFrame, docs: DataFrame) -> DataFrame:
-    """x, y of links between components in buckets above PAIRED: all their pairs, block against block in tasks of at most about 2 BLOCK documents.
+    """x, y of links between components in buckets above PAIRED: all their pairs, block against block.
+
+    A task holds at most about 2 BLOCK documents and 2 BLOCK_LABELS shingles, but for single longer texts.
 
     Members of a bucket's largest component are compared with the other members only.
     """
-    parts = placed.groupBy("key", "component").agg(F.count("*").alias("c"))
-    crowds = parts.groupBy("key").agg(F.sum("c").alias("c"), F.max(F.struct("c", "component")).alias("most"))
-    crowds = crowds.where((F.col("c") > PAIRED) & (F.col("most.c") < F.col("c")))
-    blocks = lambda c: F.ceil(c / BLOCK).cast("int")
+    placed = placed.where(F.col("c") > PAIRED)
+    parts = placed.groupBy("key", "component").agg(F.count("*").alias("c"), F.max("n").alias("n"))
+    crowds = parts.groupBy("key").agg(F.sum("c").alias("c"), F.max(F.struct("c", "component")).alias("most"), F.max("n").alias("n"))
+    crowds = crowds.where(F.col("most.c") < F.col("c"))
+    block = F.greatest(F.lit(1), F.least(F.lit(BLOCK), F.floor(F.lit(BLOCK_LABELS) / F.col("n"))))
+    blocks = lambda c: F.ceil(c / block).cast("int")
     crowds = crowds.select("key", F.col("most.component").alias("most"), blocks(F.col("most.c")).alias("m"), blocks(F.col("c") - F.col("most.c")).alias("o"))
-    rows = placed.join(crowds, "key").withColumn("main", F.col("component") == F.col("most"))
+    rows = placed.select("key", "_id", "component").join(stored(crowds, "crowd-keys"), "key").withColumn("main", F.col("component") == F.col("most"))
     rows = rows.withColumn("at", F.pmod(F.xxhash64("_id"), F.when(F.col("main"), F.col("m")).otherwise(F.col("o"))).cast("int"))
     # Blocks of the others are 0 .. o - 1, those of the largest component follow.
     rows = rows.withColumn("at", F.when(F.col("main"), F.col("at") + F.col("o")).otherwise(F.col("at")))
@@ -249,14 +253,17 @@ def _by_block(placed: DataFrame, docs: DataFrame) -> DataFrame:
     ids = stored(rows.select("_id").distinct(), "crowd-ids")
     few = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     labels = stored(_labels(docs.join(few, "_id", "left_semi")), "crowd-labels")
+    discard(ids)
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         at, p, q = pdf["at"].to_numpy(), pdf["p"].iloc[0], pdf["q"].iloc[0]
-        found = linked([np.frombuffer(x, np.uint32) for x in pdf["labels"]], pdf["component"].to_numpy(), at == p, at == q)
+        found = linked([np.frombuffer(x, _U) for x in pdf["labels"]], pdf["component"].to_numpy(), at == p, at == q)
         ids = pdf["_id"].to_numpy()
         return pd.DataFrame([(ids[i], ids[j]) for i, j in found], columns=["x", "y"], dtype="int64")
 
-    return rows.join(labels, "_id").groupBy("key", "p", "q").applyInPandas(compare, "x long, y long").distinct()
+    links = stored(rows.join(labels, "_id").groupBy("key", "p", "q").applyInPandas(compare, "x long, y long").distinct(), "links")
+    discard(rows, labels)
+    return links
 
 
 def _joined(groups: DataFrame, links: DataFrame) -> DataFrame:
@@ -281,16 +288,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     keyed = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
     signed = stored(_signatures(keyed.where("_id IS NOT NULL")), "signatures")
+    # Grouped tables are stored before they are joined, so that the rows of a hot key can be split over tasks.
     classes = signed.groupBy("a", "b").agg(F.min("_id").alias("copy_of"), F.min_by("keys", "_id").alias("keys"), F.first("n").alias("n"))
     rows = classes.select(F.col("copy_of").alias("_id"), "n", F.posexplode("keys").alias("place", "key"))
     rows = rows.withColumn("least", F.col("place") < TREES).drop("place")
-    met = rows.groupBy("key").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi")).where("lo < hi")
-    rows = stored(rows.join(met.select("key", "lo"), "key"), "buckets")
+    met = rows.groupBy("key").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi"), F.count("*").alias("c")).where("lo < hi")
+    rows = stored(rows.join(stored(met.select("key", "lo", "c"), "met"), "key"), "buckets")
+    copies = stored(signed.groupBy("a", "b").agg(F.min("_id").alias("copy_of")), "copies")
     sizes = rows.select(F.col("_id").alias("y"), F.col("n").alias("m")).distinct()
     alike = F.least("n", "m") >= SIMILARITY * F.greatest("n", "m")
     pairs = rows.where("_id <> lo").select(F.col("_id").alias("x"), "n", F.col("lo").alias("y")).distinct()
     pairs = stored(pairs.join(sizes, "y").where(alike).select("x", "y"), "pairs")
-    groups = stored(components(stored(_verified(pairs, keyed), "links"), "x", "y"), "groups")
+    groups = stored(components(_verified(pairs, keyed), "x", "y"), "groups")
     tested = pairs
 
     def placed_rows() -> DataFrame:
@@ -301,13 +310,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     apart = _by_size(placed).select(*wanted).unionByName(_by_pair(placed).select(*wanted))
     pairs = apart.where(alike & (F.col("component") != F.col("other"))).select(F.greatest("_id", "leader").alias("x"), F.least("_id", "leader").alias("y")).distinct()
     pairs = stored(pairs.join(tested, ["x", "y"], "left_anti"), "pairs")
+    discard(tested)
     if not pairs.isEmpty():
-        groups = stored(_joined(groups, stored(_verified(pairs, keyed), "links")), "groups")
+        groups = stored(_joined(groups, _verified(pairs, keyed)), "groups")
     # Buckets of the least depth hold those of the others.
-    crowded = stored(_by_block(placed_rows().where("least"), keyed), "links")
+    crowded = _by_block(placed_rows().where("least"), keyed)
     if not crowded.isEmpty():
         groups = stored(_joined(groups, crowded), "groups")
-    placed = signed.select("_id", "a", "b").join(classes.select("a", "b", "copy_of"), ["a", "b"])
+    discard(pairs, rows)
+    placed = signed.select("_id", "a", "b").join(copies, ["a", "b"])
     placed = placed.groupBy("_id").agg(F.min("copy_of").alias("copy_of"))
     placed = placed.join(groups.withColumnRenamed("node", "copy_of"), "copy_of", "left")
     out = docs.select(F.col(id_col), F.col(id_col).cast("long").alias("_id")).join(placed, "_id", "left")
