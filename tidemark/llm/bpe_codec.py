@@ -15,6 +15,7 @@ import unicodedata
 from collections.abc import Iterator
 from operator import add
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
@@ -67,32 +68,28 @@ class WordCodec:
         text = self.white.sub(" ", unicodedata.normalize("NFC", text))
         return text.replace("Σ", "σ").lower()  # sigma without regard to its place in the word
 
-    def encode(self, text: str) -> tuple[bytes, str]:
-        """(identifiers as little-endian uint32, their token strings joined by a space)."""
-        ids, shown = [], []
+    def encode(self, text: str) -> bytes:
+        """Identifiers as little-endian uint32."""
+        ids = []
         for part in self.special.split(text) if self.special else [text]:
             if part in self.added:
                 ids.append(struct.pack("<I", self.added[part]))
-                shown.append(part)
             elif part:
                 memo = self.memo
                 words = self.words.findall(self.normalised(part))
                 if not words:
                     continue
                 if max(map(len, words)) <= MEMO_LENGTH:
-                    codes, names = zip(*map(memo.__getitem__, words))
+                    ids += map(memo.__getitem__, words)
                 else:
-                    codes, names = zip(*[memo[w] if len(w) <= MEMO_LENGTH else self._word(w) for w in words])
-                ids += codes
-                shown += filter(None, names)
-        return b"".join(ids), " ".join(shown)
+                    ids += [memo[w] if len(w) <= MEMO_LENGTH else self._word(w) for w in words]
+        return b"".join(ids)
 
     def decode(self, ids: bytes) -> str:
         """The token strings of packed identifiers joined by a space, unknown ones left out."""
-        names = self.names
-        return " ".join(names[i] for (i,) in struct.iter_unpack("<I", ids) if i in names)
+        return " ".join(filter(None, map(self.names.get, np.frombuffer(ids, "<u4").tolist())))
 
-    def _word(self, word: str) -> tuple[bytes, str]:
+    def _word(self, word: str) -> bytes:
         chars = word if word.isascii() and word.isprintable() else "".join([self.bytes[b] for b in word.encode("utf-8")])
         inner = self.inner
         if inner.issuperset(map(add, chars, chars[1:])):
@@ -103,7 +100,7 @@ class WordCodec:
             for start, end in zip([0, *cuts], cuts):
                 ids += self._merged(chars[start:end], False)
             ids += self._merged(chars[cuts[-1] :], True)
-        return struct.pack(f"<{len(ids)}I", *ids), " ".join([self.names[i] for i in ids])
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _merged(self, chars: str, last: bool) -> list[int]:
         """Identifiers of a fragment: the lowest-ranked pair merges first, the leftmost among equals."""
@@ -163,7 +160,7 @@ def _codec(spec) -> WordCodec:
 
 
 def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, ids (binary, little-endian uint32), decoded (string).
+    """One row per input row: id, ids (binary, little-endian uint32), decoded (string) from those ids.
 
     Null and empty texts give no identifiers and an empty decoded text.  Every row stands
     alone: repeated rows, null ids and further columns change nothing.  A scan without
@@ -176,7 +173,8 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     def coded(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         codec = _codec(spec)
         for texts in parts:
-            yield pd.DataFrame([codec.encode(t) for t in texts], columns=["ids", "decoded"])
+            ids = [codec.encode(t) for t in texts]
+            yield pd.DataFrame({"ids": ids, "decoded": [codec.decode(i) for i in ids]})
 
     return docs.select(F.col(id_col), coded(text_or_empty(text_col)).alias("c")).select(id_col, "c.ids", "c.decoded")
 
