@@ -223,3 +223,21 @@ def test_equal_or_null_tiebreaks_keep_the_order_of_the_input(spark, tmp_path):
     kept = spark.sql("SELECT 'a' AS customer, timestamp_ntz'2016-01-01' AS anchor_date")
     order = [r.deposit_balance for r in visible(acquired, kept, cfg).orderBy("_n").collect()]
     assert order == [3.0, 0.0, 2.0, 1.0, 4.0]
+
+
+def test_permutation_importance_finds_the_column_that_matters(spark):
+    from tidemark.plans import modelling
+
+    rng = np.random.default_rng(3)
+    x, noise = rng.normal(size=(2, 600))
+    label = (x + rng.normal(size=600) * 0.3 > 0).astype(int)
+    kind = np.where(rng.random(600) < 0.5, "u", "v")
+    df = spark.createDataFrame([(i, float(a), float(b), k, int(y)) for i, (a, b, k, y) in enumerate(zip(x, noise, kind, label))], "customer long, x double, noise double, kind string, event int")
+    df = df.withColumn("_sample_weight", F.lit(1.0))
+    cfg = Model(weight=None, type="gbm", gbm_max_iter=5, permutation_repeats=3)
+    fold = modelling.Fold(0, 0, *modelling.fit(df, ["x", "noise"], ["kind"], cfg))
+    got = {r.feature: r for r in modelling.permutation_importance(df, fold, cfg).collect()}
+    assert set(got) == {"x", "noise", "kind"} and got["x"].mean_importance > 0.3 and got["x"].std_importance > 0
+    assert abs(got["noise"].mean_importance) < 0.05 and abs(got["kind"].mean_importance) < 0.05
+    dealt = modelling.shuffled(df.withColumn("_r", F.monotonically_increasing_id()), ["x"], 1).collect()
+    assert sorted(r._other.x for r in dealt) == sorted(x) and sum(r._other.x == r.x for r in dealt) < 20

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,10 @@ from ..sources.raw import require
 from ..sources.shared import stored
 
 
+FIT_ROWS = 50_000  # of a partition that a model is fitted on
+SHARD_ROWS = 20_000  # among which values are dealt anew
+
+
 @dataclass
 class Fold:
     repeat: int
@@ -51,9 +56,11 @@ def estimator(cfg: Model, total_weight: float):
 def fit(train: DataFrame, numeric: list[str], categorical: list[str], cfg: Model) -> tuple[Encoder, object, list[str]]:
     encoder = Encoder.fit(train, numeric, categorical, cfg.min_category_frequency, cfg.add_missing_indicators)
     weight = F.col("_sample_weight") * (F.coalesce(F.col(cfg.weight).cast("double"), F.lit(0.0)) if cfg.weight else F.lit(1.0))
-    rows = balanced_weights(encoder.transform(train), cfg.label, weight).select("_features", cfg.label, "_weight").cache()
-    total = rows.agg(F.sum("_weight")).first()[0] or 1.0
-    model = estimator(cfg, total).fit(rows)
+    rows = balanced_weights(encoder.transform(train), cfg.label, weight).select("_features", cfg.label, "_weight")
+    count, total = rows.agg(F.count("*"), F.sum("_weight")).first()
+    # Hundreds of passes go over the rows: small sets are held in few partitions, large ones in as many as they have.
+    rows = rows.coalesce(max(1, -(-count // FIT_ROWS))).cache()
+    model = estimator(cfg, total or 1.0).fit(rows)
     rows.unpersist()
     return encoder, model, list(encoder.columns())
 
@@ -100,33 +107,40 @@ def coefficients(spark: SparkSession, folds: list[Fold]) -> DataFrame:
     return spark.createDataFrame(rows, "repeat int, fold int, feature string, coef double")
 
 
-def shuffled(df: DataFrame, column: str, seed: int) -> DataFrame:
-    """``df`` with the values of a column dealt anew: row places and value places, both by hash, are joined within shards."""
-    shards = 4096
-    keyed = df.withColumn("_r", F.monotonically_increasing_id())
-    keyed = stored(keyed.withColumn("_s", F.pmod(F.xxhash64("_r", F.lit(seed)), F.lit(shards))), "shuffle")
+def shuffled(df: DataFrame, columns: list[str], seed: int) -> DataFrame:
+    """``df`` with _other, a struct of ``columns`` from another row: row places and value places, both by hash, are joined within shards.
+
+    ``df`` has _r, a number for each row, and is stored.
+    """
+    shards = max(1, -(-df.count() // SHARD_ROWS))
+    keyed = df.withColumn("_s", F.pmod(F.xxhash64("_r", F.lit(seed)), F.lit(shards)))
     by = lambda salt: W.partitionBy("_s").orderBy(F.xxhash64("_r", F.lit(salt)), "_r")
-    values = keyed.select("_s", F.col(column).alias("_v"), F.row_number().over(by(seed + 1)).alias("_n"))
-    rows = keyed.withColumn("_n", F.row_number().over(by(seed + 2)))
-    return rows.join(values, ["_s", "_n"]).withColumn(column, F.col("_v")).drop("_s", "_n", "_r", "_v")
+    values = keyed.select("_s", F.struct(*columns).alias("_other"), F.row_number().over(by(seed + 1)).alias("_n"))
+    return keyed.withColumn("_n", F.row_number().over(by(seed + 2))).join(values, ["_s", "_n"]).drop("_s", "_n")
 
 
 def permutation_importance(df: DataFrame, fold: Fold, cfg: Model, features: list[str] | None = None) -> DataFrame:
-    """feature, mean_importance, std_importance: the loss of average precision when a column is dealt anew, on all rows."""
-    spark = df.sparkSession
-    df = stored(df, "importance")
-
-    def precision(rows: DataFrame) -> float:
-        out = scored(rows, fold).select(F.lit(0).alias("repeat"), F.col(cfg.id), "score", F.col(cfg.label).alias("actual"))
-        first = metrics.ranking_metrics(out, cfg.id, []).first()
-        return first.pr_auc if first else 0.0
-
-    base, rows = precision(df), []
-    for name in features or [*fold.encoder.numeric, *fold.encoder.categorical]:
-        lost = [base - precision(shuffled(df, name, cfg.random_state + 10 * r)) for r in range(cfg.permutation_repeats)]
+    """feature, mean_importance, std_importance: the loss of average precision when a column is dealt anew, on all rows.
+
+    A repeat deals one order for all columns.  Every (repeat, column) is a group of one pass:
+    a row is scored once for each with that column taken from the row dealt to it, and the
+    measures of all groups come from one aggregation.
+    """
+    names, spark = features or [*fold.encoder.numeric, *fold.encoder.categorical], df.sparkSession
+    df = stored(df.withColumn("_r", F.monotonically_increasing_id()), "importance")
+    parts = [shuffled(df, names, cfg.random_state + 10 * r).withColumn("_turn", F.lit(r)) for r in range(cfg.permutation_repeats)]
+    rows = reduce(DataFrame.unionByName, parts).withColumn("_f", F.explode(F.sequence(F.lit(0), F.lit(len(names) - 1))))
+    rows = rows.withColumns({c: F.when(F.col("_f") == i, F.col(f"_other.`{c}`")).otherwise(F.col(c)) for i, c in enumerate(names)})
+    keep = [F.col(cfg.id), "score", F.col(cfg.label).alias("actual")]
+    every = scored(rows, fold).select((F.col("_turn") * len(names) + F.col("_f")).alias("repeat"), *keep)
+    every = every.unionByName(scored(df, fold).select(F.lit(-1).alias("repeat"), *keep))
+    found = {r.repeat: r.pr_auc for r in metrics.ranking_metrics(every, cfg.id, []).select("repeat", "pr_auc").collect()}
+    out = []
+    for i, name in enumerate(names):
+        lost = [found.get(-1, 0.0) - found.get(r * len(names) + i, 0.0) for r in range(cfg.permutation_repeats)]
         mean = sum(lost) / len(lost)
-        rows.append((name, mean, (sum((x - mean) ** 2 for x in lost) / len(lost)) ** 0.5))
-    return spark.createDataFrame(rows, "feature string, mean_importance double, std_importance double").orderBy(F.desc("mean_importance"), "feature")
+        out.append((name, mean, (sum((x - mean) ** 2 for x in lost) / len(lost)) ** 0.5))
+    return spark.createDataFrame(out, "feature string, mean_importance double, std_importance double").orderBy(F.desc("mean_importance"), "feature")
 
 
 def out_of_fold(df: DataFrame, cfg: Model) -> tuple[DataFrame, DataFrame, list[Fold]]:

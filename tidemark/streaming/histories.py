@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import Prep
@@ -10,20 +12,27 @@ from ..plans.scoring import scoring_features
 from ..sources.raw import ingest
 
 
+SHARDS = 256  # folders of a batch's history, by a hash of the id
+
+
 def refresh_features(arriving: DataFrame, history_path: str, grid: DataFrame, cfg: Prep, out_path: str, checkpoint: str) -> StreamingQuery:
     """Appends each micro-batch to the history and writes new feature rows of the customers in it.
 
     A batch's folder is named by its number and overwritten on a rerun, so a batch that is
-    repeated after a failure neither doubles the history nor the output.  Histories of
-    other customers are pruned by a semi-join on the batch's ids.
+    repeated after a failure neither doubles the history nor the output.  The history lies
+    in SHARDS folders by a hash of the id; of it, a batch reads those its customers are in.
     """
+    shard = F.pmod(F.xxhash64(cfg.columns.id), F.lit(SHARDS)).cast("int")
 
     def batch(rows: DataFrame, number: int) -> None:
         spark = rows.sparkSession
-        rows.write.mode("overwrite").parquet(f"{history_path}/batch={number}")
-        history = spark.read.schema(rows.schema).option("recursiveFileLookup", True).parquet(history_path)
-        touched = rows.select(cfg.columns.id).distinct()
-        own = history.join(touched, cfg.columns.id, "left_semi")
+        rows = rows.withColumn("_shard", shard)
+        rows.repartition("_shard").write.mode("overwrite").partitionBy("_shard").parquet(f"{history_path}/batch={number}")
+        touched = rows.select("_shard", cfg.columns.id).distinct()
+        shards = [r[0] for r in touched.select("_shard").distinct().collect()]
+        schema = T.StructType([*rows.drop("_shard").schema, T.StructField("batch", T.LongType()), T.StructField("_shard", T.IntegerType())])
+        history = spark.read.schema(schema).parquet(history_path).where(F.col("_shard").isin(shards))
+        own = history.join(touched.select(cfg.columns.id), cfg.columns.id, "left_semi").drop("batch", "_shard")
         scoring_features(ingest(own, cfg), grid, cfg).write.mode("overwrite").parquet(f"{out_path}/batch={number}")
 
     return arriving.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
