@@ -23,7 +23,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near duplicates."""
+    """One document, that of the smallest id, of each group of near duplicates.
+
+    Documents with a null id or without words stay; rows that share the id of a document
+    that stays do so too.  An empty table gives an empty one; further columns stay.
+    """
     ship(spark)
     return drop_near_duplicates(docs)
 
@@ -35,13 +39,20 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with personal data masked."""
+    """Documents with personal data masked; null texts stay null, repeated rows and null ids are masked row by row.
+
+    An empty table gives an empty one; all columns stay, and n_chars is counted anew.
+    """
     ship(spark)
     return redact(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document's length bucket, batch and place in it."""
+    """Each document's length bucket, batch and place in it, by its number of words.
+
+    Null texts count as length 0; repeated rows and null ids are packed each; an empty
+    table gives an empty result.
+    """
     ship(spark)
     return pack(docs)
 
