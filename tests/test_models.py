@@ -168,11 +168,22 @@ def test_permutation_importance_reports_the_boosted_trees(monkeypatch):
 
     runs = []
     monkeypatch.setattr(queries, "_model_input", lambda spark, d: "rows")
-    monkeypatch.setattr(modelling, "report", lambda df, cfg: runs.append((df, cfg)) or {"features": "every feature"})
+    monkeypatch.setattr(modelling, "importance", lambda df, cfg: runs.append((df, cfg)) or "every feature")
     assert queries.permutation_importance(None, "") == "every feature"
     assert runs == [("rows", Model(type="gbm"))] and runs[0][1].permutation_repeats == 5
 
 
+def test_importance_equals_the_features_of_the_report(spark):
+    from tidemark.plans import modelling
+
+    rng = np.random.default_rng(4)
+    rows = [(i // 2, str(i % 2 + 1), float(rng.normal()), 1.0, int(rng.random() < 0.3)) for i in range(400)]
+    df = spark.createDataFrame(rows, "customer long, interval string, x double, exposure_frac double, event int")
+    cfg = Model(type="gbm", gbm_max_iter=2, gbm_min_samples_leaf=5, n_splits=2, n_repeats=2, permutation_repeats=2, negative_customer_fraction=1.0)
+    one, two = (sorted(map(tuple, x.collect())) for x in (modelling.importance(df, cfg), modelling.report(df, cfg)["features"]))
+    assert one == two and {r[0] for r in one} == {"x", "interval"}
+
+
 def test_draws_hold_for_ids_of_any_size(spark):
     from tidemark.functions.exprs import draw, draw_sql
 

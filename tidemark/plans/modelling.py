@@ -71,8 +71,11 @@ def scored(df: DataFrame, fold: Fold) -> DataFrame:
     return fold.model.transform(fold.encoder.transform(df)).withColumn("score", vector_to_array("probability")[1])
 
 
-def cross_validate(df: DataFrame, cfg: Model, parallel: int = 4) -> tuple[DataFrame, list[Fold]]:
-    """(out-of-fold predictions of every repeat, fitted folds).  Folds are fitted in parallel threads of the driver."""
+def cross_validate(df: DataFrame, cfg: Model, parallel: int = 8, last_only: bool = False) -> tuple[DataFrame, list[Fold]]:
+    """(out-of-fold predictions of every repeat, fitted folds).  Folds are fitted in parallel threads of the driver.
+
+    ``last_only`` fits the last fold of the last repeat alone.
+    """
     reserved = {cfg.id, cfg.group, cfg.label, cfg.weight, "_sample_weight", *cfg.drop}
     numeric, categorical, _ = column_roles(df, reserved, cfg.force_categorical)
     carried = list(dict.fromkeys([cfg.id, cfg.group, cfg.label, *([cfg.weight] if cfg.weight else []), *(["interval"] if "interval" in df.columns else [])]))
@@ -83,10 +86,10 @@ def cross_validate(df: DataFrame, cfg: Model, parallel: int = 4) -> tuple[DataFr
         return scored(rows.where(F.col("_fold") == k), fitted).select(F.lit(repeat).alias("repeat"), *carried, "score"), fitted
 
     jobs = []
-    for repeat in range(cfg.n_repeats):
+    for repeat in range(cfg.n_repeats - 1 if last_only else 0, cfg.n_repeats):
         folds = group_folds(df, cfg.group, cfg.label, cfg.n_splits, cfg.random_state + repeat)
         rows = stored(df.join(folds.select(F.col(cfg.group), F.col("fold").alias("_fold")), cfg.group), "folds")
-        jobs += [(repeat, k, rows) for k in range(cfg.n_splits)]
+        jobs += [(repeat, k, rows) for k in range(cfg.n_splits - 1 if last_only else 0, cfg.n_splits)]
     with ThreadPoolExecutor(parallel) as pool:
         done = list(pool.map(one, jobs))
     out = done[0][0]
@@ -143,10 +146,22 @@ def permutation_importance(df: DataFrame, fold: Fold, cfg: Model, features: list
     return spark.createDataFrame(out, "feature string, mean_importance double, std_importance double").orderBy(F.desc("mean_importance"), "feature")
 
 
+def sampled(df: DataFrame, cfg: Model) -> DataFrame:
+    """The modelling rows of a dataset."""
+    return stored(downsample_negatives(load(df, cfg), cfg.group, cfg.label, cfg.negative_customer_fraction, cfg.random_state), "modelling")
+
+
+def importance(df: DataFrame, cfg: Model) -> DataFrame:
+    """The features part of ``report`` for boosted trees: every feature of the last fold, which alone is fitted for it."""
+    cfg = cfg.checked()
+    rows = sampled(df, cfg)
+    return permutation_importance(rows, cross_validate(rows, cfg, last_only=True)[1][-1], cfg)
+
+
 def out_of_fold(df: DataFrame, cfg: Model) -> tuple[DataFrame, DataFrame, list[Fold]]:
     """(scores of the customers in every repeat, the sampled modelling rows, fitted folds) of a dataset."""
     cfg = cfg.checked()
-    rows = stored(downsample_negatives(load(df, cfg), cfg.group, cfg.label, cfg.negative_customer_fraction, cfg.random_state), "modelling")
+    rows = sampled(df, cfg)
     predictions, folds = cross_validate(rows, cfg)
     return stored(customer_scores(predictions, cfg), "scores"), rows, folds
 

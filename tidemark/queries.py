@@ -515,9 +515,9 @@ def cv_gbt_oof(spark: SparkSession, d: str) -> DataFrame:
 
 @query(None)
 def permutation_importance(spark: SparkSession, d: str) -> DataFrame:
-    from .plans.modelling import report
+    from .plans.modelling import importance
 
-    return report(_model_input(spark, d), Model(type="gbm"))["features"]
+    return importance(_model_input(spark, d), Model(type="gbm"))
 
 
 @query(None)
