@@ -222,3 +222,14 @@ def test_lang_and_source_are_never_inputs(spark):
     swapped = df.withColumn("lang", F.lit("xx")).withColumn("doc_id", F.lit(1))
     one, two = (language_id.predict(x, model).groupBy("_lang.lang_pred").count().collect() for x in (df, swapped))
     assert sorted(map(str, one)) == sorted(map(str, two))
+
+
+def test_language_id_of_long_and_repeated_texts_and_many_labels(spark):
+    rows = [(i, "der und nicht" if i % 2 else "the of and", "de" if i % 2 else "en") for i in range(60)]
+    rows += [(100, "der und nicht " * 40000, None), (101, "the of and", None), (101, "the of and", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = sorted((r.doc_id, r.lang_pred) for r in language_id.identify(df, F.lit(True)).collect() if r.doc_id >= 100)
+    assert got == [(100, "de"), (101, "en"), (101, "en")]
+    with pytest.raises(ValueError, match="more than"):
+        language_id.train(df.withColumn("lang", F.concat(F.lit("x"), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 1000)).unionByName(
+            spark.range(200).select(F.col("id").alias("doc_id"), F.lit("some text").alias("text"), F.col("id").cast("string").alias("lang"))), F.lit(True))

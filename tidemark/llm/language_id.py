@@ -1,7 +1,7 @@
 """Language identification with string kernels.
 
 The kernel of two texts is the normalised overlap of their sets of character n-grams
-(blended spectrum, presence only).  Nystrom landmarks turn it into a feature map, on
+(blended spectrum, presence only); n-grams are hashed to 2**18 cells, so two may share one.  Nystrom landmarks turn it into a feature map, on
 which one-versus-rest kernel ridge regression is solved; batches of texts are scored by
 matrix products.
 """
@@ -21,6 +21,7 @@ UNDETERMINED = "und"
 SPECTRUM = (1, 2, 3)  # n-gram lengths
 BUCKETS = 1 << 18  # n-grams are hashed to so many features
 TRAIN_PER_LANGUAGE = 96  # the bound of the labelled sample
+LANGUAGES = 64  # labels at most; more are an error, for the model would not fit a task
 LANDMARKS_PER_LANGUAGE = 24
 RIDGE = 0.05
 SHARPNESS = 4.0  # of the softmax that maps ridge outputs to scores
@@ -81,11 +82,7 @@ class KernelModel:
         self.landmarks = np.zeros((len(active), len(marks)), np.float32)
         for j, i in enumerate(marks):
             self.landmarks[self.column[sample[i]], j] = 1 / np.sqrt(len(sample[i]))
-        rows = [np.zeros(len(active), np.float32) for _ in sample]
-        for row, ids in zip(rows, sample):
-            at = self.column[ids]
-            row[at[at >= 0]] = 1 / np.sqrt(len(ids))
-        kernel = np.stack(rows).astype(np.float64) @ self.landmarks.astype(np.float64)
+        kernel = np.concatenate([self._rows(sample[i : i + BATCH]) @ self.landmarks for i in range(0, len(sample), BATCH)]).astype(np.float64)
         values, vectors = np.linalg.eigh(kernel[marks])
         good = values > 1e-6 * values[-1]
         root = vectors[:, good] / np.sqrt(values[good])
@@ -98,13 +95,17 @@ class KernelModel:
         solved = np.linalg.solve(phi.T @ (weight * phi) + penalty, phi.T @ (weight * target))
         self.weights, self.bias = root @ solved[:-1], solved[-1]
 
-    def scores(self, batch: list[np.ndarray]) -> np.ndarray:
-        """Softmax scores, one row for each bitmap."""
-        x = np.zeros((len(batch), self.landmarks.shape[0]), np.float32)
-        for row, present in zip(x, batch):
-            ids = np.flatnonzero(present)
+    def _rows(self, sample: list[np.ndarray]) -> np.ndarray:
+        """The n-grams of each text as a row over the landmarks' columns, scaled to length 1 over all its n-grams."""
+        x = np.zeros((len(sample), len(self.landmarks)), np.float32)
+        for row, ids in zip(x, sample):
             at = self.column[ids]
             row[at[at >= 0]] = 1 / np.sqrt(len(ids))
+        return x
+
+    def scores(self, batch: list[np.ndarray]) -> np.ndarray:
+        """Softmax scores, one row for each bitmap."""
+        x = self._rows([np.flatnonzero(present) for present in batch])
         out = SHARPNESS * ((x @ self.landmarks) @ self.weights + self.bias)
         out = np.exp(out - out.max(axis=1, keepdims=True))
         return out / out.sum(axis=1, keepdims=True)
@@ -113,9 +114,11 @@ class KernelModel:
 def train(docs: DataFrame, train_on: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> KernelModel | None:
     """A model from at most TRAIN_PER_LANGUAGE rows of each label, chosen by a hash of the id; None without any."""
     labelled = docs.where(train_on & F.col(label_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
-    counts = {r[0]: r[1] for r in labelled.groupBy(label_col).count().collect()}
+    counts = {r[0]: r[1] for r in labelled.groupBy(label_col).count().limit(LANGUAGES + 1).collect()}
     if not counts:
         return None
+    if len(counts) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} values of {label_col}")
     draw = F.xxhash64(F.col(id_col).cast("string"))
     share = reduce(
         lambda col, kv: col.when(F.col(label_col) == kv[0], F.lit(min(1.0, 2.5 * TRAIN_PER_LANGUAGE / kv[1]))),
