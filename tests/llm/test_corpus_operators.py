@@ -287,6 +287,7 @@ def test_class_scores_equal_brute_force(spark, monkeypatch):
     """Given the words' classes, scores follow from plain counts; words carried, joined, rare and unseen alike."""
     monkeypatch.setattr(class_lm, "CORE", 6)
     monkeypatch.setattr(class_lm, "CARRIED", 40)
+    monkeypatch.setattr(class_lm, "ROUNDS", 3)
     texts = sentences(11) | {900: None, 901: "", 902: "a1 unseen B2 never"}
     df = spark.createDataFrame([(i, t, i) for i, t in texts.items()] + [(None, "a1 b1", 1), (5, texts[5], 5)], "doc_id long, text string, _id long")
     train = (F.col("_id") % 4 != 0) & (F.col("_id") < 900)
@@ -351,6 +352,7 @@ def test_word_keys_equal_those_of_spark(spark):
 def test_carried_and_joined_words_score_alike(spark, monkeypatch):
     df = spark.createDataFrame(list(sentences(13, 80).items()), "doc_id long, text string")
     monkeypatch.setattr(class_lm, "CORE", 3)
+    monkeypatch.setattr(class_lm, "ROUNDS", 2)
     scores = lambda: {r.doc_id: (r.n_known, round(r.base_score, 9), round(r.score, 9)) for r in class_lm.class_scores(df, F.col("doc_id") < 60).collect()}
     one = scores()
     monkeypatch.setattr(class_lm, "CARRIED", 12)

@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, text_or_empty
+from .common import Memo, ship, text_or_empty
 
 MEMO_WORDS = 700_000  # remembered words a worker, identifiers and token strings; about 200 MB
 MEMO_LENGTH = 40
@@ -166,6 +166,7 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     alone: repeated rows, null ids and further columns change nothing.  A scan without
     shuffle; the vocabulary is broadcast, its size is the tokenizer file's.
     """
+    ship(docs.sparkSession)
     with open(tokenizer_path, encoding="utf-8") as f:
         spec = docs.sparkSession.sparkContext.broadcast(f.read())
 
@@ -181,6 +182,7 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
 
 def decode_ids(coded: DataFrame, tokenizer_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """id, decoded: the text of identifiers that ``encode_decode`` or another encoder stored; null decodes to empty."""
+    ship(coded.sparkSession)
     with open(tokenizer_path, encoding="utf-8") as f:
         spec = coded.sparkSession.sparkContext.broadcast(f.read())
 

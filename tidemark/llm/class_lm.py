@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, discard, stored, text_or_empty
+from .common import Memo, discard, ship, stored, text_or_empty
 
 CORE = 4000  # most frequent words, which are exchanged until the likelihood settles; the others are placed after them
 ROUNDS = 40  # of the exchange at most; each moves half of the words
@@ -439,6 +439,7 @@ def _own(docs: DataFrame, train_on, id_col: str, text_col: str) -> DataFrame:
 def learn(own: DataFrame) -> Learned:
     """The model of the rows with _train, and all rows with the classes of their words."""
     spark = own.sparkSession
+    ship(spark)
     vocabulary = stored(word_counts(own.where("_train").select("_text")), "vocabulary")
     total, distinct = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     end = vocabulary.where(F.octet_length("word") == 0).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]

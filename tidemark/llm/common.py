@@ -26,8 +26,9 @@ _shipped: set[str] = set()
 def ship(spark: SparkSession) -> None:
     """Give this package to the Python workers, once an application; they need not have it installed.
 
-    Python operators see texts in Arrow batches; a batch of the default 10,000 very long
-    texts would not fit a worker, so an unset limit is lowered.
+    Every operator with Python in its tasks calls it.  They see texts in Arrow batches; a
+    batch of 10,000 very long texts would not fit a worker, so the session's
+    spark.sql.execution.arrow.maxRecordsPerBatch is lowered to 1,000 where it has its default.
     """
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from .common import ship
+
 UNDETERMINED = "und"
 SPECTRUM = (1, 2, 3)  # n-gram lengths
 BUCKETS = 1 << 18  # n-grams are hashed to so many features
@@ -113,6 +115,7 @@ class KernelModel:
 
 def train(docs: DataFrame, train_on: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> KernelModel | None:
     """A model from at most TRAIN_PER_LANGUAGE rows of each label, chosen by a hash of the id; None without any."""
+    ship(docs.sparkSession)
     labelled = docs.where(train_on & F.col(label_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
     counts = {r[0]: r[1] for r in labelled.groupBy(label_col).count().limit(LANGUAGES + 1).collect()}
     if not counts:
@@ -138,6 +141,7 @@ def train(docs: DataFrame, train_on: Column, id_col: str = "doc_id", text_col: s
 
 def predict(docs: DataFrame, model: KernelModel | None, text_col: str = "text") -> DataFrame:
     """_doc (the row as a struct) and _lang (struct of lang_pred and score), from the text alone."""
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")

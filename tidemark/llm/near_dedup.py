@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, mix64, stored
+from .common import discard, mix64, ship, stored
 from .components import components
 from .word_hash import Rolling, hashed, words_of
 
@@ -286,6 +286,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     document.  Identical shingle sequences are settled first, so copies, however many,
     enter the search as one.  Ids are integers; further columns are not read.
     """
+    ship(docs.sparkSession)
     keyed = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
     signed = stored(_signatures(keyed.where("_id IS NOT NULL")), "signatures")
     # Grouped tables are stored before they are joined, so that the rows of a hot key can be split over tasks.

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import ship, text_or_empty
 
 #: In the order that breaks ties of equal starts; the first four are the base kinds.
 KINDS = ("email", "ip", "card", "phone", "account", "url")
@@ -181,6 +181,8 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     further columns of ``docs`` are not read.  A scan without shuffle.
     """
 
+    ship(docs.sparkSession)
+
     @F.pandas_udf("n_email long, n_ip long, n_card long, n_phone long, base string, spans string, masked string")
     def found(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         cues = _cues()
@@ -202,6 +204,8 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str = "n_chars")
     A null text stays null.
     """
 
+    ship(docs.sparkSession)
+
     @F.pandas_udf("string")
     def clean(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         cues = _cues()

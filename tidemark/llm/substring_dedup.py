@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, WORD, discard, mix64, stored
+from .common import SPACE, WORD, discard, mix64, ship, stored
 from .word_hash import BASE_B, Rolling, hashed, words_of
 
 WIDTH = 50
@@ -103,6 +103,7 @@ def repeated_intervals(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_i
 
     Rows whose id is null neither lose words nor take them from others.
     """
+    ship(docs.sparkSession)
     keyed = _keyed(docs, id_col, text_col).where("_id IS NOT NULL")
     rows = stored(stretches(keyed, width), "stretches")
     # Equal stretches count as one class before anything meets by its gram, however many documents hold them.

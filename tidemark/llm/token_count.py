@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, text_or_empty
+from .common import Memo, ship, text_or_empty
 
 MARK = "▁"  # stands for a space inside pieces
 MEMO_FRAGMENTS = 1_200_000  # remembered fragments a worker; about 150 MB
@@ -104,6 +104,7 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     names.  A scan without shuffle: work and memory follow one batch of texts, and a
     single text takes O(n log n) even where it has no space at all.
     """
+    ship(docs.sparkSession)
     costs = docs.sparkSession.sparkContext.broadcast(piece_costs(model_path))
 
     @F.pandas_udf("long")
