@@ -387,7 +387,7 @@ _DRAW = draw_sql("customer", SEED)
 
 
 @query(_select(_BOTH_SQL + _SKELETON_SQL + f"ever AS (SELECT customer, max(event) AS ever FROM skeleton GROUP BY 1),",
-    f"SELECT customer, \"interval\", CASE WHEN ever = 1 THEN 1.0 ELSE {1 / FRACTION} END AS weight FROM skeleton JOIN ever USING (customer) WHERE ever = 1 OR {_DRAW} < {FRACTION * 4294967296}"))
+    f"SELECT customer, \"interval\", CAST(CASE WHEN ever = 1 THEN 1.0 ELSE {1 / FRACTION} END AS DOUBLE) AS weight FROM skeleton JOIN ever USING (customer) WHERE ever = 1 OR {_DRAW} < {FRACTION * 4294967296}"))
 def downsample_weights(spark: SparkSession, d: str) -> DataFrame:
     rows = downsample_negatives(hazard_intervals(spark, d), "customer", "event", FRACTION, SEED)
     return rows.select("customer", "interval", F.col("_sample_weight").alias("weight"))
