@@ -1,5 +1,8 @@
 """Quantiles, metrics, folds, encoding and the logistic fit, against plain versions."""
 
+from collections import Counter
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.config import Model, model_config
 from tidemark.functions.exprs import quantiles
 from tidemark.operators import metrics
-from tidemark.operators.encode import Encoder, imputation_scaling
+from tidemark.operators.encode import Encoder, coded, fold_encoders, imputation_scaling, vocabulary_of
 from tidemark.operators.sampling import downsample_negatives, group_folds
 from tidemark.sources.synthetic import acquisitions
 
@@ -83,6 +86,64 @@ def test_folds_and_sampling(spark):
         downsample_negatives(df, "customer", "event", 0, 42)
 
 
+def plain_encoding(train, rows, numeric, categorical, least):
+    """The encoded rows by name: medians, standardised values and indicators, frequent and pooled levels of ``train``."""
+    out = {}
+    for c in numeric:
+        x = np.array([np.nan if r[c] is None else float(r[c]) for r in train])
+        if not np.isnan(x).all():
+            middle = np.nanmedian(x)
+            filled = np.where(np.isnan(x), middle, x)
+            out[c] = [((middle if r[c] is None or r[c] != r[c] else float(r[c])) - filled.mean()) / (filled.std() or 1.0) for r in rows]
+    for c in numeric:
+        lost = np.array([r[c] is None or r[c] != r[c] for r in train])
+        if lost.any():
+            out[f"missing_{c}"] = [((r[c] is None or r[c] != r[c]) - lost.mean()) / (lost.std() or 1.0) for r in rows]
+    for c in categorical:
+        level = lambda r: "MISSING" if r[c] is None else r[c]  # noqa: E731, B023
+        counts = Counter(level(r) for r in train)
+        often = sorted(v for v, n in counts.items() if n >= least * len(train))
+        out |= {f"{c}={v}": [float(level(r) == v) for r in rows] for v in often}
+        if len(often) < len(counts):
+            out[f"{c}=__infrequent__"] = [float(level(r) not in often) for r in rows]
+    return out
+
+
+def encoder_rows(n=300):
+    rng = np.random.default_rng(9)
+    out = []
+    for i in range(n):
+        out.append({"customer": i // 2, "event": int(rng.random() < 0.25), "x": None if rng.random() < 0.2 else float(rng.normal()), "k": 5.0, "none": None,
+                    "z": float("nan") if i % 9 == 0 else float(rng.integers(0, 5)), "c": None if i % 11 == 0 else str(rng.choice(["a", "b", "c"])) if i % 40 else f"rare{i}", "flag": bool(i % 3)})
+    return out
+
+
+ENCODED = "customer long, event int, x double, k double, none double, z double, c string, flag boolean"
+
+
+def test_encoders_of_folds_equal_a_plain_encoding(spark):
+    rows = encoder_rows()
+    folds = [[i // 2 % 3, i // 2 * 7 % 5 % 3] for i in range(len(rows))]
+    df = spark.createDataFrame([(*r.values(), f) for r, f in zip(rows, folds)], ENCODED + ", _folds array<int>")
+    numeric, categorical, least = ["x", "k", "none", "z", "flag"], ["c"], 0.02
+    jobs = [(r, k) for r in range(2) for k in range(3)]
+    found = fold_encoders(df, numeric, categorical, least, jobs, 3)
+    vocabulary = vocabulary_of(found)
+    table = coded(df, numeric, categorical, vocabulary).orderBy("customer", "x").select("_num", "_cat").toPandas()
+    order = [r for r in df.orderBy("customer", "x").collect()]
+    num, cat = np.array(list(table["_num"]), float), np.stack(table["_cat"])
+    for job, encoder in zip(jobs, found):
+        train = [r for r, f in zip(rows, folds) if f[job[0]] != job[1]]
+        want = plain_encoding(train, order, numeric, categorical, least)
+        assert encoder.names() == list(want) and encoder.rows == len(train)
+        assert "missing_none" in want and "none" not in want
+        np.testing.assert_allclose(encoder.matrix(num, cat, vocabulary), np.array(list(want.values())).T, atol=1e-12)
+    encoder = found[0]
+    unknown = spark.createDataFrame([(0, 0, None, 5.0, 1.0, 2.0, "new", True)], ENCODED)
+    want = plain_encoding([r for r, f in zip(rows, folds) if f[0] != 0], unknown.collect(), numeric, categorical, least)
+    np.testing.assert_allclose(encoder.transform(unknown).first()["_features"], [v[0] for v in want.values()], atol=1e-12)
+
+
 def test_encoder(spark):
     rows = [(float(i) if i % 4 else None, "common" if i % 50 else f"rare{i}", 5.0) for i in range(200)]
     df = spark.createDataFrame(rows, "x double, c string, k double")
@@ -94,24 +155,133 @@ def test_encoder(spark):
     encoder = Encoder.fit(df, ["x", "k"], ["c"], 0.01)
     assert list(encoder.columns()) == ["x", "k", "missing_x", "c=common", "c=__infrequent__"]
     unknown = spark.createDataFrame([(None, "new", 5.0)], df.schema)
-    assert encoder.transform(unknown).first()["_features"].toArray().tolist()[2:] == [1.0, 0.0, 1.0]
+    assert encoder.transform(unknown).first()["_features"][2:] == pytest.approx([0.75 / (0.25 * 0.75) ** 0.5, 0.0, 1.0])
 
 
-def test_logistic_fit_is_optimal(spark):
-    from tidemark.plans.modelling import fit
+def model_rows(spark, n=600, seed=4):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, 3))
+    y = (rng.random(n) < 1 / (1 + np.exp(-(x @ [1.0, -0.5, 0.0])))).astype(int)
+    kind = rng.choice(["p", "q", "r"], n)
+    rows = [(i // 2, *[None if rng.random() < 0.1 else float(v) for v in r], str(k), int(t), float(rng.integers(1, 4))) for i, (r, k, t) in enumerate(zip(x, kind, y))]
+    return spark.createDataFrame(rows, "customer long, a double, b double, c double, kind string, event int, w double").withColumn("_sample_weight", F.lit(1.0))
 
-    rng = np.random.default_rng(4)
-    x = rng.normal(size=(400, 3))
-    y = (rng.random(400) < 1 / (1 + np.exp(-(x @ [1.0, -0.5, 0.0])))).astype(int)
-    df = spark.createDataFrame([(*map(float, r), int(t)) for r, t in zip(x, y)], "a double, b double, c double, event int").withColumn("_sample_weight", F.lit(1.0))
-    cfg = Model(weight=None, c_grid=(0.05,), tol=1e-10, max_iter=500)
-    encoder, model, names = fit(df, ["a", "b", "c"], [], cfg)
-    z = (x - x.mean(0)) / x.std(0)
-    w = np.where(y == 1, 400 / (2 * y.sum()), 400 / (2 * (400 - y.sum())))
-    beta, c = model.coefficients.toArray(), 0.05
-    gradient = c * ((w * (1 / (1 + np.exp(-(z @ beta + model.intercept))) - y)) @ z) + 0.9 * beta
-    for g, b in zip(gradient, beta):
-        assert abs(g + 0.1 * np.sign(b)) < 1e-3 if b else abs(g) <= 0.1 + 1e-3
+
+def distance_from_stationary(x, y, w, beta, intercept, c, l1):
+    w = w * np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))
+    off = w * (1 / (1 + np.exp(-(x @ beta + intercept))) - y)
+    gradient = c * off @ x + (1 - l1) * beta
+    return max(abs(c * off.sum()), max(abs(g + l1 * np.sign(b)) if b else max(0.0, abs(g) - l1) for g, b in zip(gradient, beta)))
+
+
+@pytest.mark.parametrize("c, l1", [(0.05, 0.1), (1.0, 0.1), (0.01, 0.9)])
+def test_every_fold_of_the_logistic_model_is_optimal(spark, c, l1):
+    from tidemark.plans import modelling
+
+    df, cfg = model_rows(spark), Model(weight="w", c_grid=(c,), l1_ratio=l1, n_splits=3, n_repeats=2)
+    predictions, folds = modelling.cross_validate(df, cfg)
+    rows = modelling.with_folds(df, cfg, [0, 1]).toPandas()
+    num = rows[["a", "b", "c"]].to_numpy(float)
+    vocabulary = vocabulary_of([f.encoder for f in folds])
+    cat = np.array([[vocabulary["kind"][k]] for k in rows["kind"]])
+    assert [(f.repeat, f.fold) for f in folds] == [(r, k) for r in range(2) for k in range(3)]
+    scores = {(r.repeat, r.customer, r.score) for r in predictions.collect()}
+    assert predictions.count() == 2 * len(rows) and len({f.model.intercept for f in folds}) == 6
+    for f in folds:
+        mine = np.array([x[f.repeat] != f.fold for x in rows["_folds"]])
+        x = f.encoder.matrix(num, cat, vocabulary)
+        assert distance_from_stationary(x[mine], rows["event"].to_numpy()[mine], rows["w"].to_numpy()[mine], f.model.coefficients, f.model.intercept, c, l1) < 1e-3
+        want = 1 / (1 + np.exp(-(x[~mine] @ f.model.coefficients + f.model.intercept)))
+        got = {(r, i): [] for r, i, _ in scores}
+        for r, i, s in scores:
+            got[r, i].append(s)
+        assert all(min(abs(np.array(got[f.repeat, i]) - p)) < 1e-9 for i, p in zip(rows["customer"].to_numpy()[~mine], want))
+
+
+def test_minimum_by_signs_equals_slow_descent():
+    from tidemark.operators.linear import quadratic_minimum
+
+    rng = np.random.default_rng(5)
+    for _ in range(20):
+        a = rng.normal(size=(12, 9))
+        h, q, l1 = a.T @ a + 0.1 * np.eye(9), rng.normal(size=9) * 4, np.where(np.arange(9) == 0, 0.0, 1.0)
+        x = np.zeros(9)
+        for _ in range(5000):
+            for j in range(9):
+                r = q[j] + h[j] @ x - h[j, j] * x[j]
+                x[j] = -np.sign(r) * max(abs(r) - l1[j], 0) / h[j, j]
+        np.testing.assert_allclose(quadratic_minimum(q, h, l1, rng.normal(size=9)), x, atol=1e-7)
+
+
+def plain_boost(x, y, w, rate, rounds, depth, least, l2):
+    """Raw scores of the training rows after each round, by trying every cut of every column."""
+    w = w * np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))
+    cuts = [np.unique((np.unique(c)[:-1] + np.unique(c)[1:]) / 2) if len(np.unique(c)) <= 255 else np.unique(np.percentile(c, np.linspace(0, 100, 256)[1:-1], method="midpoint")) for c in x.T]
+    p = (w * y).sum() / w.sum()
+    raw, out = np.full(len(y), np.log(p / (1 - p))), []
+
+    def split(rows, level, g, h):
+        best = (0.0, None, None)
+        score = lambda r: g[r].sum() ** 2 / (h[r].sum() + l2)
+        if level < depth:
+            for f, cs in enumerate(cuts):
+                for cut in cs:
+                    side = x[rows, f] <= cut
+                    a, b = rows[side], rows[~side]
+                    if min(len(a), len(b)) >= least and (gain := score(a) + score(b) - score(rows)) > best[0] + 1e-9:
+                        best = (gain, a, b)
+        if best[1] is None:
+            raw[rows] -= rate * g[rows].sum() / (h[rows].sum() + l2)
+        else:
+            split(best[1], level + 1, g, h)
+            split(best[2], level + 1, g, h)
+
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-raw))
+        split(np.arange(len(y)), 0, w * (p - y), w * p * (1 - p))
+        out.append(raw.copy())
+    return out
+
+
+def test_boosting_equals_a_plain_search():
+    from tidemark.operators.boosting import boost
+
+    rng = np.random.default_rng(6)
+    x = np.column_stack([rng.normal(size=400), rng.integers(0, 4, 400), rng.random(400) < 0.3, np.full(400, 2.0)]).astype(float)
+    y = (rng.random(400) < 1 / (1 + np.exp(-2 * x[:, 0] * x[:, 2] - x[:, 1] + 2))).astype(float)
+    w = rng.uniform(0.5, 2, 400)
+    for l2 in (0.0, 5.0):
+        want = plain_boost(x, y, w, 0.1, 8, 3, 20, l2)
+        for rounds in (1, 8):
+            found = boost(list(x.T), y, w, 0.1, rounds, 3, 20, l2, 42)
+            np.testing.assert_allclose(found.raw(x), want[rounds - 1], atol=1e-9)
+    assert not np.allclose(want[-1], plain_boost(x, y, w, 0.1, 8, 3, 20, 0.0)[-1], atol=1e-3)
+    assert found.uses([0]) and not found.uses([3])
+    new = x.copy()
+    new[:, 0] = new[::-1, 0]
+    np.testing.assert_allclose(found.raw(x) + found.change(x, new, [0]), found.raw(new), atol=1e-12)
+    assert boost([], y, w, 0.1, 3, 3, 20, 1.0, 42).raw(np.zeros((2, 0))) == pytest.approx([0.0, 0.0], abs=0.3)
+
+
+def test_boosting_stops_early_only_on_large_data():
+    from tidemark.operators.boosting import boost
+
+    rng = np.random.default_rng(7)
+    for n, stops in ((10_000, False), (10_001, True)):
+        x, y = rng.normal(size=(n, 2)), (rng.random(n) < 0.5).astype(float)
+        found = boost(list(x.T), y, np.ones(n), 0.3, 40, 3, 20, 0.0, 1)
+        assert (len(found.feature) < 40) == stops and len(found.feature) >= 10
+
+
+def test_boosted_trees_fit_a_bounded_sample(spark):
+    from tidemark.plans import modelling
+
+    df, cfg = model_rows(spark), Model(type="gbm", weight="w", gbm_max_iter=4, gbm_min_samples_leaf=10, n_splits=3, n_repeats=1)
+    whole = modelling.cross_validate(df, cfg)[1]
+    part = modelling.cross_validate(df, replace(cfg, gbm_fit_rows=150))[1]
+    again = modelling.cross_validate(df, replace(cfg, gbm_fit_rows=150))[1]
+    same = lambda a, b: all(np.array_equal(p.model.value, q.model.value) for p, q in zip(a, b))
+    assert len(whole) == len(part) == 3 and same(part, again) and not same(whole, part)
 
 
 def test_stability_and_config(spark):
@@ -246,9 +416,22 @@ def test_permutation_importance_finds_the_column_that_matters(spark):
     df = spark.createDataFrame([(i, float(a), float(b), k, int(y)) for i, (a, b, k, y) in enumerate(zip(x, noise, kind, label))], "customer long, x double, noise double, kind string, event int")
     df = df.withColumn("_sample_weight", F.lit(1.0))
     cfg = Model(weight=None, type="gbm", gbm_max_iter=5, permutation_repeats=3)
-    fold = modelling.Fold(0, 0, *modelling.fit(df, ["x", "noise"], ["kind"], cfg))
+    fold = modelling.fit(df, ["x", "noise"], ["kind"], cfg)
     got = {r.feature: r for r in modelling.permutation_importance(df, fold, cfg).collect()}
     assert set(got) == {"x", "noise", "kind"} and got["x"].mean_importance > 0.3 and got["x"].std_importance > 0
     assert abs(got["noise"].mean_importance) < 0.05 and abs(got["kind"].mean_importance) < 0.05
+    # the same as scoring every row anew with the column of the row dealt to it
+    rows = coded(df, ["x", "noise"], ["kind"], vocabulary_of([fold.encoder])).withColumn("_r", F.monotonically_increasing_id())
+    lost, vocabulary = [], vocabulary_of([fold.encoder])
+    for turn in range(3):
+        dealt = modelling.shuffled(rows, ["_num", "_cat"], cfg.random_state + 10 * turn).toPandas()
+        num, cat, other = np.stack(dealt["_num"]), np.stack(dealt["_cat"]), np.stack([o["_num"] for o in dealt["_other"]])
+        new = num.copy()
+        new[:, 0] = other[:, 0]
+        ap = lambda s, y: (lambda o: (np.cumsum(y[o]) / np.arange(1, len(y) + 1))[y[o] == 1].mean())(np.argsort(-s, kind="stable"))
+        y = dealt["event"].to_numpy()
+        jitter = np.arange(len(y)) * 0.0
+        lost.append(ap(fold.model.predict(fold.encoder.matrix(num, cat, vocabulary)) + jitter, y) - ap(fold.model.predict(fold.encoder.matrix(new, cat, vocabulary)) + jitter, y))
+    assert got["x"].mean_importance == pytest.approx(np.mean(lost), abs=0.05)
     dealt = modelling.shuffled(df.withColumn("_r", F.monotonically_increasing_id()), ["x"], 1).collect()
     assert sorted(r._other.x for r in dealt) == sorted(x) and sum(r._other.x == r.x for r in dealt) < 20

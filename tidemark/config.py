@@ -116,6 +116,8 @@ class Model:
     gbm_learning_rate: float = 0.05
     gbm_max_iter: int = 300
     gbm_min_samples_leaf: int = 200
+    gbm_l2_regularization: float = 1.0
+    gbm_fit_rows: int = 200_000  # training rows of a fold that trees are fitted on, by expectation; all if there are fewer
     permutation_repeats: int = 5
     negative_customer_fraction: float = 0.25
     n_splits: int = 5
@@ -183,14 +185,10 @@ def prep_config(raw: dict) -> Prep:
 
 
 def model_config(raw: dict) -> Model:
-    """A modelling configuration from the nested mapping of a YAML file.
-
-    ``model.gbm.l2_regularization`` is read over: Spark's boosted trees have no such term.
-    """
+    """A modelling configuration from the nested mapping of a YAML file."""
     _sections(raw, "io", "design", "columns", "encoding", "model", "sampling", "cv", "evaluation")
     model, gbm = raw.get("model", {}), dict(raw.get("model", {}).get("gbm", {}))
     _sections(model, "type", "logistic", "gbm")
-    gbm.pop("l2_regularization", None)
     flat = {**raw.get("io", {}), **raw.get("columns", {}), **raw.get("encoding", {}), **raw.get("cv", {}), **raw.get("evaluation", {})}
     flat |= {"type": model.get("type", "logistic"), **model.get("logistic", {})}
     flat |= {"permutation_repeats": gbm.pop("permutation_repeats", 5), "design": raw.get("design", "hazard")}

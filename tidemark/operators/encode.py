@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.exprs import quantiles
+from ..functions.exprs import quantiles, running_sums
+from ..sources.shared import stored
 
 MISSING, INFREQUENT = "MISSING", "__infrequent__"
 
@@ -64,57 +67,184 @@ def category_levels(df: DataFrame, categorical: list[str], least: float) -> Data
     return rows.join(F.broadcast(total)).select("feature", "level", "n", (F.col("n") >= F.lit(least) * F.col("_total")).alias("frequent"))
 
 
+def indicator_scaling(share: float) -> tuple[float, float]:
+    """(mean, scale) of a missing-value indicator: of a 0/1 column with that share of ones, 1 where it is constant."""
+    return share, (share * (1 - share)) ** 0.5 or 1.0
+
+
 @dataclass
 class Encoder:
-    """Fitted encodings as column expressions; their number follows the columns and frequent levels."""
+    """Fitted encodings, as column expressions and over arrays; their number follows the columns and frequent levels.
+
+    Numeric columns are imputed by the median and standardised, then come standardised
+    indicators of the values that were missing, then a column for each frequent level and one for
+    the pooled ones.  A numeric column without any training value gives its indicator only.
+    An unknown level counts as pooled if there was such a level, else as none.
+    """
 
     numeric: list[str]
     categorical: list[str]
-    stats: dict[str, tuple[float, int, float, float]] = field(default_factory=dict)
+    stats: dict[str, tuple[float, int, float, float]] = field(default_factory=dict)  # median, missing, mean, scale
     levels: dict[str, tuple[list[str], bool]] = field(default_factory=dict)
     indicators: bool = True
+    rows: int = 0  # fitted on
 
     @classmethod
     def fit(cls, df: DataFrame, numeric: list[str], categorical: list[str], least: float, indicators: bool = True) -> Encoder:
-        out = cls(numeric, categorical, indicators=indicators)
-        if numeric:
-            out.stats = {r[0]: tuple(r[1:]) for r in imputation_scaling(df, numeric).collect()}
-        # At most 1 / least levels of a column are frequent, so what comes to the driver is bounded.
-        known = category_levels(df, categorical, least) if categorical else None
-        if known is not None:
-            rare = {r[0] for r in known.where("NOT frequent").select("feature").distinct().collect()}
-            frequent = known.where("frequent").collect()
-            out.levels = {c: (sorted(r.level for r in frequent if r.feature == c), c in rare) for c in categorical}
-        return out
+        """Fitted on all rows of ``df``."""
+        return fold_encoders(df.withColumn("_folds", F.array(F.lit(0))), numeric, categorical, least, [(0, -1)], 1, indicators)[0]
 
-    def columns(self) -> dict[str, Column]:
-        """Name -> encoded column.  An unknown level counts as infrequent if there was such a level, else as none."""
-        out: dict[str, Column] = {}
+    def parts(self) -> Iterator[tuple[str, str, str, object]]:
+        """(name, source column, kind, detail) of the encoded columns in order."""
         for c in self.numeric:
-            median, _, mean, scale = self.stats[c]
-            out[c] = (F.coalesce(F.col(c).cast("double"), F.lit(median)) - mean) / scale
+            if self.stats[c][1] < self.rows:
+                yield c, c, "value", self.stats[c]
         for c in self.numeric if self.indicators else []:
-            if self.stats[c][1]:  # missing in training
-                share = F.col(c).isNull().cast("double")
-                out[f"missing_{c}"] = share
+            if missing := self.stats[c][1]:
+                yield f"missing_{c}", c, "missing", indicator_scaling(missing / self.rows)
         for c in self.categorical:
             levels, rare = self.levels[c]
-            value = F.coalesce(F.col(c).cast("string"), F.lit(MISSING))
             for level in levels:
-                out[f"{c}={level}"] = (value == level).cast("double")
+                yield f"{c}={level}", c, "level", level
             if rare:
-                out[f"{c}={INFREQUENT}"] = (~value.isin(levels) if levels else F.lit(True)).cast("double")
+                yield f"{c}={INFREQUENT}", c, "pooled", levels
+
+    def names(self) -> list[str]:
+        return [name for name, *_ in self.parts()]
+
+    def columns(self) -> dict[str, Column]:
+        """Name -> encoded column."""
+        out: dict[str, Column] = {}
+        for name, c, kind, detail in self.parts():
+            if kind == "value":
+                median, _, mean, scale = detail
+                out[name] = (F.coalesce(number(c), F.lit(median)) - mean) / scale
+            elif kind == "missing":
+                out[name] = (number(c).isNull().cast("double") - detail[0]) / detail[1]
+            elif kind == "level":
+                out[name] = (level_of(c) == detail).cast("double")
+            else:
+                out[name] = (~level_of(c).isin(detail) if detail else F.lit(True)).cast("double")
         return out
 
+    def each(self, num: np.ndarray, cat: np.ndarray, vocabulary: dict[str, dict[str, int]], source: str | None = None) -> Iterator[np.ndarray]:
+        """The encoded columns of rows as ``coded`` gives them, one at a time; with ``source``, those of that column."""
+        for _, c, kind, detail in self.parts():
+            if source not in (None, c):
+                continue
+            if kind in ("value", "missing"):
+                x = num[:, self.numeric.index(c)]
+                empty = np.isnan(x)
+                yield (np.where(empty, detail[0], x) - detail[2]) / detail[3] if kind == "value" else (empty - detail[0]) / detail[1]
+            else:
+                x, known = cat[:, self.categorical.index(c)], vocabulary[c]
+                yield (x == known[detail]).astype(float) if kind == "level" else (~np.isin(x, [known[v] for v in detail])).astype(float)
+
+    def matrix(self, num: np.ndarray, cat: np.ndarray, vocabulary: dict[str, dict[str, int]], source: str | None = None) -> np.ndarray:
+        found = list(self.each(num, cat, vocabulary, source))
+        return np.column_stack(found) if found else np.zeros((len(num), 0))
+
     def transform(self, df: DataFrame, vector: str = "_features") -> DataFrame:
-        from pyspark.ml.functions import array_to_vector
+        """``df`` with an array of the encoded columns."""
+        return df.withColumn(vector, F.array(*self.columns().values()).cast("array<double>"))
+
 
-        return df.withColumn(vector, array_to_vector(F.array(*self.columns().values())))
+def number(c: str) -> Column:
+    """A numeric column as a double, NaN as null."""
+    value = F.col(f"`{c}`").cast("double")
+    return F.when(~F.isnan(value), value)
 
 
-def balanced_weights(df: DataFrame, label: str, weight: Column) -> DataFrame:
-    """``df`` with _weight = weight * n / (2 * rows of the class)."""
-    counts = {int(r[0]): r[1] for r in df.groupBy(F.col(label).cast("int")).count().collect()}
-    total = sum(counts.values())
-    factor = reduce(lambda col, kv: col.when(F.col(label).cast("int") == kv[0], F.lit(total / (2 * kv[1]))), counts.items(), F.when(F.lit(False), F.lit(1.0)))
-    return df.withColumn("_weight", weight * factor)
+def level_of(c: str) -> Column:
+    return F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(MISSING))
+
+
+def vocabulary_of(encoders: Sequence[Encoder]) -> dict[str, dict[str, int]]:
+    """For each categorical column, numbers of the levels that some encoder knows."""
+    names = encoders[0].categorical if encoders else []
+    return {c: {v: i for i, v in enumerate(sorted({v for e in encoders for v in e.levels[c][0]}))} for c in names}
+
+
+def coded(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], vocabulary: dict[str, dict[str, int]]) -> DataFrame:
+    """``df`` with _num (the numeric columns, null if missing) and _cat (the number of the level, -1 for one that no encoder knows).
+
+    It serves all encoders at once: each one's matrix follows from the two arrays within a task.
+    """
+    def at(c: str) -> Column:
+        known = vocabulary[c]
+        table = F.create_map(*[F.lit(x) for kv in known.items() for x in kv]) if known else F.create_map().cast("map<string,int>")
+        return F.coalesce(F.element_at(table, level_of(c)), F.lit(-1))
+
+    num = F.array(*map(number, numeric)).cast("array<double>")
+    return df.withColumns({"_num": num, "_cat": F.array(*map(at, categorical)).cast("array<int>")})
+
+
+def arrays(batch: pa.RecordBatch | pa.Table, *names: str) -> list[np.ndarray]:
+    """Columns of equally long lists as matrices, others as vectors; null numbers are NaN."""
+    out = []
+    for name in names:
+        column = batch.column(batch.schema.get_field_index(name))
+        if pa.types.is_list(column.type):
+            out.append(column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1 if len(column) and len(column.flatten()) else 0))
+        else:
+            out.append(column.to_numpy(zero_copy_only=False))
+    return out
+
+
+Job = tuple[int, int]  # (repeat, fold): the model of the rows whose _folds[repeat] is another
+
+
+def fold_encoders(df: DataFrame, numeric: list[str], categorical: list[str], least: float, jobs: Sequence[Job], splits: int, indicators: bool = True) -> list[Encoder]:
+    """The encoders of all ``jobs``, fitted in passes that they share.
+
+    ``df`` has _folds, the fold of the row in every repeat.  Counts, moments and running
+    counts are kept for each (repeat, fold); what a job trains on is the sum over the other folds, so rows
+    are neither repeated for the jobs nor read again for them.  Medians are exact.
+    """
+    lanes = [(r, k) for r in sorted({r for r, _ in jobs}) for k in range(splits)]
+    used = {job: [i for i, (r, k) in enumerate(lanes) if r == job[0] and k != job[1]] for job in jobs}
+    hit = [F.col("_folds")[r] == k for r, k in lanes]
+    totals = df.agg(*[F.count(F.when(h, 1)) for h in hit]).first()
+    out = [Encoder(numeric, categorical, indicators=indicators, rows=sum(totals[i] for i in used[job])) for job in jobs]
+    if numeric:
+        cells = F.array(*[F.struct(F.lit(c).alias("feature"), number(c).alias("value")) for c in numeric])
+        tall = df.select("_folds", F.explode(cells).alias("x")).select("_folds", "x.*").where("value IS NOT NULL")
+        moments = tall.groupBy("feature").agg(*[
+            f(F.when(h, F.col("value"))).alias(f"{n}{i}") for i, h in enumerate(hit) for n, f in (("n", F.count), ("m", F.avg), ("v", F.var_pop))])
+        moments = {row.feature: row for row in moments.collect()}
+        counts = tall.groupBy("feature", "value").agg(*[F.count(F.when(h, 1)).alias(f"_c{i}") for i, h in enumerate(hit)])
+        placed = running_sums(counts, ["feature"], [F.col("value")], {f"_lo{i}": f"_c{i}" for i in range(len(lanes))})
+        of = lambda job, stem, tail="": sum((F.col(f"{stem}{i}{tail}") for i in used[job]), F.lit(0))
+        middle = []
+        for j, job in enumerate(jobs):
+            lo, n = of(job, "_lo"), of(job, "_lo", "_all")
+            for name, place in ((f"a{j}", F.floor((n - 1) / 2)), (f"b{j}", F.floor(n / 2))):
+                middle.append(F.max(F.when((place >= lo) & (place < lo + of(job, "_c")), F.col("value"))).alias(name))
+        medians = {row.feature: row for row in placed.groupBy("feature").agg(*middle).collect()}
+        for j, job in enumerate(jobs):
+            for c in numeric:
+                m, found = moments.get(c), medians.get(c)
+                parts = [(m[f"n{i}"], m[f"m{i}"], m[f"v{i}"]) for i in used[job] if m[f"n{i}"]] if m else []
+                low, high = (found[f"a{j}"], found[f"b{j}"]) if found else (None, None)
+                out[j].stats[c] = imputed_moments(out[j].rows, parts, 0.0 if low is None else high - (high - low) * 0.5)
+    if categorical:
+        cells = F.array(*[F.struct(F.lit(c).alias("feature"), level_of(c).alias("level")) for c in categorical])
+        levels = df.select("_folds", F.explode(cells).alias("x")).groupBy("x.feature", "x.level")
+        levels = levels.agg(*[F.count(F.when(h, 1)).alias(f"_c{i}") for i, h in enumerate(hit)])
+        n = [sum((F.col(f"_c{i}") for i in used[job]), F.lit(0)) for job in jobs]
+        often = [n[j] >= F.lit(least) * out[j].rows for j in range(len(jobs))]
+        levels = stored(levels.select("feature", "level", *[(o & (x > 0)).alias(f"often{j}") for j, (o, x) in enumerate(zip(often, n))], *[(~o & (x > 0)).alias(f"rare{j}") for j, (o, x) in enumerate(zip(often, n))]), "levels")
+        # At most 1 / least levels of a column are frequent in a job, so what comes to the driver is bounded.
+        frequent = levels.where(" OR ".join(f"often{j}" for j in range(len(jobs)))).collect()
+        rare = {row.feature: row for row in levels.groupBy("feature").agg(*[F.max(f"rare{j}").alias(f"rare{j}") for j in range(len(jobs))]).collect()}
+        for j in range(len(jobs)):
+            out[j].levels = {c: (sorted(r.level for r in frequent if r.feature == c and r[f"often{j}"]), bool(c in rare and rare[c][f"rare{j}"])) for c in categorical}
+    return out
+
+
+def imputed_moments(rows: int, parts: Sequence[tuple[int, float, float]], median: float) -> tuple[float, int, float, float]:
+    """(median, missing, mean, scale) from the (count, mean, population variance) of parts; missing values count as the median."""
+    parts = [*parts, (rows - sum(n for n, _, _ in parts), median, 0.0)]
+    mean = sum(n * m for n, m, _ in parts) / max(1, rows)
+    variance = sum(n * (v + (m - mean) ** 2) for n, m, v in parts) / max(1, rows)
+    return median, parts[-1][0], mean, variance**0.5 or 1.0

@@ -1,34 +1,47 @@
-"""Cross-validated models on the datasets: out-of-fold scores, measures, calibration, feature reports."""
+"""Cross-validated models on the datasets: out-of-fold scores, measures, calibration, feature reports.
+
+All folds of all repeats share their passes: one coded table holds the rows with their
+fold in every repeat, and encoders, models and scores of all folds come from it.
+"""
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from ..config import Model, load_yaml, model_config
 from ..operators import metrics
-from ..operators.encode import Encoder, balanced_weights, column_roles
+from ..operators.boosting import Trees, fit_trees
+from ..operators.encode import Encoder, Job, arrays, coded, column_roles, fold_encoders, vocabulary_of
+from ..operators.linear import Linear, fit_linear, sigmoid
 from ..operators.sampling import downsample_negatives, group_folds
 from ..sources.raw import require
-from ..sources.shared import stored
+from ..sources.shared import ship, stored
 
 
-FIT_ROWS = 50_000  # of a partition that a model is fitted on
 SHARD_ROWS = 20_000  # among which values are dealt anew
 
 
 @dataclass
 class Fold:
+    """A fitted model and its encoder; ``repeat`` and ``fold`` name the rows it has not seen, fold -1 none."""
+
     repeat: int
     fold: int
     encoder: Encoder
-    model: object
-    names: list[str]
+    model: Linear | Trees
+
+    @property
+    def names(self) -> list[str]:
+        return self.encoder.names()
 
 
 def load(df: DataFrame, cfg: Model) -> DataFrame:
@@ -38,64 +51,86 @@ def load(df: DataFrame, cfg: Model) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("string") for c in cfg.force_categorical if c in df.columns})
 
 
-def estimator(cfg: Model, total_weight: float):
-    """Elastic-net logistic regression with the last C of the grid, or boosted trees."""
-    if cfg.type == "logistic":
-        from pyspark.ml.classification import LogisticRegression
+def fit_jobs(df: DataFrame, numeric: list[str], categorical: list[str], cfg: Model, jobs: Sequence[Job], splits: int) -> tuple[DataFrame, list[Fold]]:
+    """(coded rows, a fitted model for each job) of rows with _folds and _sample_weight, in passes that all jobs share."""
+    encoders = fold_encoders(df, numeric, categorical, cfg.min_category_frequency, jobs, splits, cfg.add_missing_indicators)
+    vocabulary = vocabulary_of(encoders)
+    weight = F.col("_sample_weight") * (F.coalesce(F.col(cfg.weight).cast("double"), F.lit(0.0)) if cfg.weight else F.lit(1.0))
+    rows = coded(df, numeric, categorical, vocabulary).select(
+        *_carried(df, cfg), "_folds", "_num", "_cat", F.col(cfg.label).cast("int").alias("_y"), weight.alias("_w"), F.monotonically_increasing_id().alias("_r"))
+    rows = stored(rows, "coded")
+    if cfg.type == "gbm":
+        models: Sequence[Linear | Trees] = fit_trees(
+            rows, encoders, jobs, vocabulary, cfg.gbm_learning_rate, cfg.gbm_max_iter, cfg.gbm_max_depth, cfg.gbm_min_samples_leaf,
+            cfg.gbm_l2_regularization, cfg.random_state, cfg.gbm_fit_rows)
+    else:
+        models = fit_linear(rows, encoders, jobs, vocabulary, class_factors(rows, jobs), cfg.c_grid[-1], cfg.l1_ratio, cfg.tol, cfg.max_iter)
+    return rows, [Fold(r, k, e, m) for (r, k), e, m in zip(jobs, encoders, models)]
 
-        return LogisticRegression(
-            featuresCol="_features", labelCol=cfg.label, weightCol="_weight", standardization=False,
-            regParam=1.0 / (cfg.c_grid[-1] * total_weight), elasticNetParam=cfg.l1_ratio, maxIter=cfg.max_iter, tol=cfg.tol)
-    from pyspark.ml.classification import GBTClassifier
 
-    return GBTClassifier(
-        featuresCol="_features", labelCol=cfg.label, weightCol="_weight", maxDepth=cfg.gbm_max_depth, stepSize=cfg.gbm_learning_rate,
-        maxIter=cfg.gbm_max_iter, minInstancesPerNode=cfg.gbm_min_samples_leaf, seed=cfg.random_state)
+def class_factors(rows: DataFrame, jobs: Sequence[Job]) -> list[tuple[float, float]]:
+    """(weight of the negatives, of the positives) of each job that balances its classes: rows / (2 * rows of the class)."""
+    counts = [F.count(F.when((F.col("_folds")[r] != k) & (F.col("_y") == y), 1)) for r, k in jobs for y in (0, 1)]
+    found = list(rows.agg(*counts).first())
+    return [((n0 + n1) / (2 * max(n0, 1)), (n0 + n1) / (2 * max(n1, 1))) for n0, n1 in zip(found[::2], found[1::2])]
 
 
-def fit(train: DataFrame, numeric: list[str], categorical: list[str], cfg: Model) -> tuple[Encoder, object, list[str]]:
-    encoder = Encoder.fit(train, numeric, categorical, cfg.min_category_frequency, cfg.add_missing_indicators)
-    weight = F.col("_sample_weight") * (F.coalesce(F.col(cfg.weight).cast("double"), F.lit(0.0)) if cfg.weight else F.lit(1.0))
-    rows = balanced_weights(encoder.transform(train), cfg.label, weight).select("_features", cfg.label, "_weight")
-    count, total = rows.agg(F.count("*"), F.sum("_weight")).first()
-    # Hundreds of passes go over the rows: small sets are held in few partitions, large ones in as many as they have.
-    rows = rows.coalesce(max(1, -(-count // FIT_ROWS))).cache()
-    model = estimator(cfg, total or 1.0).fit(rows)
-    rows.unpersist()
-    return encoder, model, list(encoder.columns())
+def fit(df: DataFrame, numeric: list[str], categorical: list[str], cfg: Model) -> Fold:
+    """One model on all rows of ``df``, which has _sample_weight."""
+    ship(df.sparkSession)
+    return fit_jobs(df.withColumn("_folds", F.array(F.lit(0))), numeric, categorical, cfg, [(0, -1)], 1)[1][0]
 
 
-def scored(df: DataFrame, fold: Fold) -> DataFrame:
-    from pyspark.ml.functions import vector_to_array
+def _carried(df: DataFrame, cfg: Model) -> list[str]:
+    return list(dict.fromkeys([cfg.id, cfg.group, cfg.label, *([cfg.weight] if cfg.weight else []), *(["interval"] if "interval" in df.columns else [])]))
 
-    return fold.model.transform(fold.encoder.transform(df)).withColumn("score", vector_to_array("probability")[1])
 
+def scores_of(rows: DataFrame, folds: Sequence[Fold], keep: Sequence[str], unseen: bool) -> DataFrame:
+    """repeat, model, ``keep``, score: a row of coded ``rows`` for each fold, or with ``unseen`` for those that have not been fitted on it."""
+    vocabulary = vocabulary_of([f.encoder for f in folds])
+    named = T.StructType([T.StructField("repeat", T.IntegerType()), T.StructField("model", T.IntegerType()), *rows.select(*keep).schema, T.StructField("score", T.DoubleType())])
 
-def cross_validate(df: DataFrame, cfg: Model, parallel: int = 8, last_only: bool = False) -> tuple[DataFrame, list[Fold]]:
-    """(out-of-fold predictions of every repeat, fitted folds).  Folds are fitted in parallel threads of the driver.
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            num, cat = arrays(batch, "_num", "_cat")
+            mine = arrays(batch, "_folds")[0] if unseen else None
+            for i, f in enumerate(folds):
+                at = np.flatnonzero(mine[:, f.repeat] == f.fold) if unseen else np.arange(len(num))
+                found = f.model.predict(f.encoder.matrix(num[at], cat[at], vocabulary))
+                own = batch.select(list(keep)).take(pa.array(at))
+                whole = [pa.array(np.full(len(at), n, np.int32)) for n in (f.repeat, i)]
+                yield pa.RecordBatch.from_arrays([*whole, *own.columns, pa.array(found, pa.float64())], named.names)
 
-    ``last_only`` fits the last fold of the last repeat alone.
-    """
+    return rows.select(*keep, "_num", "_cat", *(["_folds"] if unseen else [])).mapInArrow(score, named)
+
+
+def scored(df: DataFrame, folds: Sequence[Fold], keep: Sequence[str]) -> DataFrame:
+    """repeat, model, ``keep``, score of raw rows for every fold."""
+    ship(df.sparkSession)
+    encoder = folds[0].encoder
+    rows = coded(df, encoder.numeric, encoder.categorical, vocabulary_of([f.encoder for f in folds]))
+    return scores_of(rows, folds, keep, False)
+
+
+def with_folds(df: DataFrame, cfg: Model, repeats: Sequence[int]) -> DataFrame:
+    """``df`` with _folds, the fold of the row's group in each of ``repeats``, null for others; rows without a group go."""
+    groups = None
+    for r in repeats:
+        one = group_folds(df, cfg.group, cfg.label, cfg.n_splits, cfg.random_state + r).select(F.col(cfg.group).alias("_g"), F.col("fold").alias(f"_f{r}"))
+        groups = one if groups is None else groups.join(one, "_g")
+    groups = groups.select("_g", F.array(*[F.col(f"_f{r}") if r in repeats else F.lit(None).cast("int") for r in range(max(repeats) + 1)]).alias("_folds"))
+    return df.join(groups, F.col(cfg.group) == F.col("_g")).drop("_g")
+
+
+def cross_validate(df: DataFrame, cfg: Model, last_only: bool = False) -> tuple[DataFrame, list[Fold]]:
+    """(out-of-fold predictions of every repeat, fitted folds).  ``last_only`` fits the last fold of the last repeat alone."""
+    ship(df.sparkSession)
     reserved = {cfg.id, cfg.group, cfg.label, cfg.weight, "_sample_weight", *cfg.drop}
     numeric, categorical, _ = column_roles(df, reserved, cfg.force_categorical)
-    carried = list(dict.fromkeys([cfg.id, cfg.group, cfg.label, *([cfg.weight] if cfg.weight else []), *(["interval"] if "interval" in df.columns else [])]))
-
-    def one(job: tuple[int, int, DataFrame]) -> tuple[DataFrame, Fold]:
-        repeat, k, rows = job
-        fitted = Fold(repeat, k, *fit(rows.where(F.col("_fold") != k), numeric, categorical, cfg))
-        return scored(rows.where(F.col("_fold") == k), fitted).select(F.lit(repeat).alias("repeat"), *carried, "score"), fitted
-
-    jobs = []
-    for repeat in range(cfg.n_repeats - 1 if last_only else 0, cfg.n_repeats):
-        folds = group_folds(df, cfg.group, cfg.label, cfg.n_splits, cfg.random_state + repeat)
-        rows = stored(df.join(folds.select(F.col(cfg.group), F.col("fold").alias("_fold")), cfg.group), "folds")
-        jobs += [(repeat, k, rows) for k in range(cfg.n_splits - 1 if last_only else 0, cfg.n_splits)]
-    with ThreadPoolExecutor(parallel) as pool:
-        done = list(pool.map(one, jobs))
-    out = done[0][0]
-    for part, _ in done[1:]:
-        out = out.unionByName(part)
-    return out, [f for _, f in done]
+    jobs = [(r, k) for r in range(cfg.n_repeats) for k in range(cfg.n_splits)][-1 if last_only else 0 :]
+    rows = stored(with_folds(df, cfg, sorted({r for r, _ in jobs})), "folds")
+    rows, folds = fit_jobs(rows, numeric, categorical, cfg, jobs, cfg.n_splits)
+    return scores_of(rows, folds, _carried(df, cfg), True).drop("model"), folds
 
 
 def customer_scores(predictions: DataFrame, cfg: Model) -> DataFrame:
@@ -125,27 +160,62 @@ def shuffled(df: DataFrame, columns: list[str], seed: int) -> DataFrame:
 def permutation_importance(df: DataFrame, fold: Fold, cfg: Model, features: list[str] | None = None) -> DataFrame:
     """feature, mean_importance, std_importance: the loss of average precision when a column is dealt anew, on all rows.
 
-    A repeat deals one order for all columns.  Every (repeat, column) is a group of one pass:
-    a row is scored once for each with that column taken from the row dealt to it, and the
-    measures of all groups come from one aggregation.
+    A repeat deals one order for all columns.  Every (repeat, column) is a group of one pass
+    and the measures of all groups come from one aggregation.  A row is scored once; for a column dealt
+    anew, only the trees that split on it, or its coefficients, are asked again, and a
+    column that the model doesn't use makes no rows: its loss is 0.
     """
-    names, spark = features or [*fold.encoder.numeric, *fold.encoder.categorical], df.sparkSession
-    df = stored(df.withColumn("_r", F.monotonically_increasing_id()), "importance")
-    parts = [shuffled(df, names, cfg.random_state + 10 * r).withColumn("_turn", F.lit(r)) for r in range(cfg.permutation_repeats)]
-    rows = reduce(DataFrame.unionByName, parts).withColumn("_f", F.explode(F.sequence(F.lit(0), F.lit(len(names) - 1))))
-    rows = rows.withColumns({c: F.when(F.col("_f") == i, F.col(f"_other.`{c}`")).otherwise(F.col(c)) for i, c in enumerate(names)})
-    keep = [F.col(cfg.id), "score", F.col(cfg.label).alias("actual")]
-    every = scored(rows, fold).select((F.col("_turn") * len(names) + F.col("_f")).alias("repeat"), *keep)
-    every = every.unionByName(scored(df, fold).select(F.lit(-1).alias("repeat"), *keep))
-    found = {r.repeat: r.pr_auc for r in metrics.ranking_metrics(every, cfg.id, []).select("repeat", "pr_auc").collect()}
+    ship(df.sparkSession)
+    encoder, model, spark = fold.encoder, fold.model, df.sparkSession
+    names, sources = features or [*encoder.numeric, *encoder.categorical], [c for _, c, *_ in encoder.parts()]
+    places = {c: [i for i, x in enumerate(sources) if x == c] for c in names}
+    used = [c for c in names if model.uses(places[c])]
+    vocabulary = vocabulary_of([encoder])
+    rows = coded(df, encoder.numeric, encoder.categorical, vocabulary)
+    rows = stored(rows.select(F.col(cfg.id).alias("id"), F.col(cfg.label).cast("int").alias("actual"), "_num", "_cat", F.monotonically_increasing_id().alias("_r")), "importance")
+    kind = rows.schema["id"].dataType.simpleString()
+    shape = f"repeat int, id {kind}, score double, actual int"
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            num, cat, other, others, turn = arrays(batch, "_num", "_cat", "_num2", "_cat2", "_turn")
+            x = encoder.matrix(num, cat, vocabulary)
+            raw = model.raw(x)
+            for i, c in enumerate(used):
+                n, k = num.copy(), cat.copy()
+                if c in encoder.numeric:
+                    n[:, encoder.numeric.index(c)] = other[:, encoder.numeric.index(c)]
+                else:
+                    k[:, encoder.categorical.index(c)] = others[:, encoder.categorical.index(c)]
+                new = x.copy()
+                new[:, places[c]] = encoder.matrix(n, k, vocabulary, c)
+                yield _scored_batch(batch, turn * len(used) + i, sigmoid(raw + model.change(x, new, places[c])))
+
+    def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            num, cat = arrays(batch, "_num", "_cat")
+            yield _scored_batch(batch, np.full(len(num), -1), model.predict(encoder.matrix(num, cat, vocabulary)))
+
+    every = rows.mapInArrow(plain, shape)
+    if used:
+        parts = [shuffled(rows, ["_num", "_cat"], cfg.random_state + 10 * r).withColumn("_turn", F.lit(r)) for r in range(cfg.permutation_repeats)]
+        dealt = reduce(DataFrame.unionByName, parts).select("id", "actual", "_num", "_cat", F.col("_other._num").alias("_num2"), F.col("_other._cat").alias("_cat2"), "_turn")
+        every = every.unionByName(dealt.mapInArrow(ask, shape))
+    found = {r.repeat: r.pr_auc for r in metrics.ranking_metrics(every, "id", []).select("repeat", "pr_auc").collect()}
     out = []
-    for i, name in enumerate(names):
-        lost = [found.get(-1, 0.0) - found.get(r * len(names) + i, 0.0) for r in range(cfg.permutation_repeats)]
+    for name in names:
+        at = used.index(name) if name in used else None
+        lost = [0.0 if at is None else found.get(-1, 0.0) - found.get(r * len(used) + at, 0.0) for r in range(cfg.permutation_repeats)]
         mean = sum(lost) / len(lost)
         out.append((name, mean, (sum((x - mean) ** 2 for x in lost) / len(lost)) ** 0.5))
     return spark.createDataFrame(out, "feature string, mean_importance double, std_importance double").orderBy(F.desc("mean_importance"), "feature")
 
 
+def _scored_batch(batch: pa.RecordBatch, repeat: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
+    own = [batch.column(batch.schema.get_field_index(c)) for c in ("id", "actual")]
+    return pa.RecordBatch.from_arrays([pa.array(repeat.astype(np.int32)), own[0], pa.array(score, pa.float64()), own[1]], ["repeat", "id", "score", "actual"])
+
+
 def sampled(df: DataFrame, cfg: Model) -> DataFrame:
     """The modelling rows of a dataset."""
     return stored(downsample_negatives(load(df, cfg), cfg.group, cfg.label, cfg.negative_customer_fraction, cfg.random_state), "modelling")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,8 +26,7 @@ def score(features: DataFrame, folds: list[Fold], id_col: str = "customer", bins
     """id, score: the mean over the folds' models; with ``bins``, 1 - prod(1 - hazard) over intervals 1..bins first."""
     rows = features if bins is None else features.withColumn("interval", F.explode(F.sequence(F.lit(1), F.lit(bins))).cast("string"))
     keys = [id_col] if bins is None else [id_col, "interval"]
-    parts = [scored(rows, f).select(*keys, F.lit(i).alias("_f"), "score") for i, f in enumerate(folds)]
-    every = reduce(DataFrame.unionByName, parts)
+    every = scored(rows, folds, keys).withColumnRenamed("model", "_f")
     if bins is not None:
         every = every.groupBy(id_col, "_f").agg((1 - F.product(1 - F.col("score"))).alias("score"))
     return every.groupBy(id_col).agg(F.avg("score").alias("score"))

@@ -1,14 +1,28 @@
-"""Tables written to the folder that driver and executors share."""
+"""What driver and executors share: tables in a common folder, and this package."""
 
 from __future__ import annotations
 
 import atexit
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _paths: dict[str, SparkSession] = {}
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once an application; they need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        _shipped.add(context.applicationId)
+        folder = tempfile.mkdtemp(prefix="tidemark-package-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        package = Path(__file__).resolve().parents[1]
+        context.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name))
 
 
 def shared_dir(spark: SparkSession) -> str:
