@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-from pathlib import Path
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources import shared
 from ..sources.shared import discard, stored
 
 __all__ = ["Memo", "SPACE", "WORD", "crc_fold", "discard", "mix64", "ship", "stored", "table", "text_or_empty", "words_col"]
@@ -20,11 +16,8 @@ SPACE = " \t\n\x0b\f\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-_shipped: set[str] = set()
-
-
 def ship(spark: SparkSession) -> None:
-    """Give this package to the Python workers, once an application; they need not have it installed.
+    """Give this package to the Python workers.
 
     Every operator with Python in its tasks calls it.  They see texts in Arrow batches; a
     batch of 10,000 very long texts would not fit a worker, so the session's
@@ -32,13 +25,7 @@ def ship(spark: SparkSession) -> None:
     """
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    context = spark.sparkContext
-    if context.applicationId not in _shipped:
-        _shipped.add(context.applicationId)
-        folder = tempfile.mkdtemp(prefix="tidemark-package-")
-        atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        package = Path(__file__).resolve().parents[1]
-        context.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name))
+    shared.ship(spark)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
