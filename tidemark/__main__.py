@@ -20,6 +20,10 @@ def main(argv: list[str] | None = None) -> None:
     make.add_argument("--seed", type=int, default=7)
     make.add_argument("--base-rate", type=float, default=0.02)
     make.add_argument("--format", default="parquet", choices=("parquet", "csv", "orc"))
+    more = commands.add_parser("extend-grids")
+    more.add_argument("--config", required=True)
+    more.add_argument("--artifact", required=True)
+    more.add_argument("--out", required=True)
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName(f"tidemark {args.command}").getOrCreate()
     if args.command == "synthesize":
@@ -27,6 +31,10 @@ def main(argv: list[str] | None = None) -> None:
 
         rows = acquisitions(spark, args.customers, args.seed, args.base_rate)
         ordered(rows).write.mode("overwrite").option("header", True).format(args.format).save(args.out)
+    elif args.command == "extend-grids":
+        from .plans.preprocess import run_extension
+
+        run_extension(spark, args.config, args.artifact, args.out)
     elif args.command == "preprocess":
         from .plans.preprocess import run
 

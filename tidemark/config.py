@@ -6,7 +6,10 @@ from dataclasses import dataclass, field, fields
 from datetime import datetime
 
 #: Aggregates that may be named for a numeric column.
-REDUCERS = ("sum", "max", "mean", "count_nonnull", "min", "median", "std", "var", "nunique", "prod")
+REDUCERS = (
+    "sum", "max", "mean", "count_nonnull", "min", "median", "std", "var", "nunique", "prod", "product",
+    "count", "skew", "kurt", "kurtosis", "sem", "any", "all", "first", "last",
+)
 LOGGED = ("sum", "max", "mean")  # of which log1p is given too
 
 # Product types and their families.

@@ -69,7 +69,16 @@ def quantiles(df: DataFrame, cell: Sequence[str], value: str, fractions: Sequenc
     some fraction needs are gone before anything is gathered.  ``fractions`` rise from 0 to 1
     in equal steps, or are few.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(*cell, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_c"))
+    return quantiles_of_counts(value_counts(df, cell, value), cell, fractions)
+
+
+def value_counts(df: DataFrame, cell: Sequence[str], value: str) -> DataFrame:
+    """cell columns, _v, _c: how often each non-null value occurs in each cell."""
+    return df.where(F.col(value).isNotNull()).groupBy(*cell, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_c"))
+
+
+def quantiles_of_counts(counts: DataFrame, cell: Sequence[str], fractions: Sequence[float]) -> DataFrame:
+    """``quantiles`` of values that ``value_counts`` has counted."""
     placed = running_sums(counts, cell, [F.col("_v")], {"_lo": "_c"})
     top, last = F.col("_lo_all") - 1, len(fractions) - 1
     even = last > 0 and all(abs(f - i / last) < 1e-12 for i, f in enumerate(fractions))

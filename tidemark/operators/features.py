@@ -12,11 +12,30 @@ from ..sources.raw import FAMILY, ROW
 
 
 def reduced(how: str, value: Column) -> Column:
-    """A named aggregate of the non-null values; null when there are none, but for counts."""
+    """A named aggregate of the non-null values; null when there are none, but for count_nonnull.
+
+    Skewness, excess kurtosis and the standard error are those of a sample: null below 3, 4
+    and 2 values, the first two 0 if all are equal.  ``any`` and ``all`` look for values other than 0 and give 0
+    or 1.  ``first`` and ``last`` go by the order of the history, from rows numbered by ``visible``.
+    """
+    n = F.count(value).cast("double")
+    if how in ("skew", "kurt", "kurtosis"):
+        same = F.var_pop(value) == 0
+        if how == "skew":
+            return F.when(n >= 3, F.when(same, 0.0).otherwise(F.skewness(value) * F.sqrt(n * (n - 1)) / (n - 2)))
+        return F.when(n >= 4, F.when(same, 0.0).otherwise((n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.kurtosis(value) + 6)))
+    if how == "sem":
+        return F.stddev_samp(value) / F.sqrt(n)
+    if how in ("count", "nunique"):
+        return F.when(n > 0, n if how == "count" else F.count_distinct(value))
+    if how in ("any", "all"):
+        return (F.max if how == "any" else F.min)((value != 0).cast("double"))
+    if how in ("first", "last"):
+        return (F.max_by if how == "first" else F.min_by)(value, F.when(value.isNotNull(), F.col("_n")))
     return {
         "sum": F.sum, "max": F.max, "mean": F.avg, "min": F.min, "median": F.median,
-        "std": F.stddev_samp, "var": F.var_samp, "prod": F.product,
-        "nunique": F.count_distinct, "count_nonnull": F.count,
+        "std": F.stddev_samp, "var": F.var_samp, "prod": F.product, "product": F.product,
+        "count_nonnull": F.count,
     }[how](value)
 
 

@@ -23,7 +23,7 @@ from ..operators.boosting import Trees, fit_trees
 from ..operators.encode import Encoder, Job, arrays, coded, column_roles, fold_encoders, vocabulary_of
 from ..operators.linear import Linear, fit_linear, sigmoid
 from ..operators.sampling import downsample_negatives, group_folds
-from ..sources.raw import require
+from ..sources.raw import read_model_input, require
 from ..sources.shared import ship, stored
 
 
@@ -252,8 +252,7 @@ def report(df: DataFrame, cfg: Model) -> dict[str, DataFrame]:
 def run(spark: SparkSession, config_path: str, form: str = "parquet") -> dict[str, dict]:
     """The run of a configuration file: reads a dataset, writes the five reports; returns the size of the input and the mean measures."""
     cfg = model_config(load_yaml(config_path))
-    path = cfg.input_path
-    df = spark.read.option("header", True).option("inferSchema", True).csv(path) if path.endswith(".csv") else spark.read.parquet(path)
+    df = read_model_input(spark, cfg.input_path)
     require(df, [cfg.id, cfg.group, cfg.label, cfg.weight], "model input")
     counts = df.agg(F.count(cfg.label).alias("rows"), F.countDistinct(cfg.group).alias("customers"), F.sum(F.col(cfg.label).cast("int")).alias("events"))
     numeric, categorical, _ = column_roles(load(df, cfg), {cfg.id, cfg.group, cfg.label, cfg.weight, *cfg.drop}, cfg.force_categorical)

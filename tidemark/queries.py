@@ -18,7 +18,7 @@ from .operators.encode import imputation_scaling as imputation_and_scaling
 from .operators.features import build_features, visible
 from .operators.percentiles import apply_percentiles, fit_percentiles
 from .operators.sampling import downsample_negatives, group_folds
-from .sources.raw import FAMILY, ORDERS, ingest, orders_as_raw, split_outcomes
+from .sources.raw import FAMILY, ORDERS, ingest, orders_as_raw, split_outcomes, strict_dates, typed
 from .sources.shared import stored
 
 CFG = ORDERS
@@ -324,6 +324,7 @@ def _reduced_sql(column: str) -> list[str]:
     for how in _REDUCED:
         fn = _REDUCED_SQL.get(how, how)
         value = f"{fn}{column})" if fn.endswith(" ") else f"{fn}({column})"
+        value = f"nullif({value}, 0)" if how == "nunique" else value
         value = f"CASE WHEN {value} > 0 THEN round(log10({value}), 4) END" if how == "prod" else f"round({value}, {0 if how == 'var' else 6})"
         out.append(f"{value} AS agg_{column}_{how}")
     return [*out, f"CASE WHEN avg({column}) >= 0 THEN round(ln(1 + avg({column})), 6) END AS agg_{column}_mean_log1p"]
@@ -340,6 +341,35 @@ def agg_reducers(spark: SparkSession, d: str) -> DataFrame:
     return rounded(f.select("customer", *[c for c in f.columns if c.startswith("agg_deposit") or c.startswith("agg_loan")]))
 
 
+_MOMENTS = ("skew", "kurt", "sem", "any", "all", "first", "last", "count")
+
+
+def _moment_sql(c: str) -> list[str]:
+    """Central moments of the centred column c_<c>, whose count is n_<c>."""
+    n, m = f"CAST(count({c}) AS DOUBLE)", [f"sum(pow(c_{c}, {k}))" for k in (2, 3, 4)]
+    skew = f"CASE WHEN {n} >= 3 THEN CASE WHEN min({c}) = max({c}) THEN 0 ELSE {n} * sqrt({n} - 1) / ({n} - 2) * {m[1]} / pow({m[0]}, 1.5) END END"
+    kurt = f"CASE WHEN {n} >= 4 THEN CASE WHEN min({c}) = max({c}) THEN 0 ELSE {n} * ({n} + 1) * ({n} - 1) * {m[2]} / (({n} - 2) * ({n} - 3) * {m[0]} * {m[0]}) - 3 * pow({n} - 1, 2) / (({n} - 2) * ({n} - 3)) END END"
+    sql = {
+        "skew": f"round({skew}, 4)", "kurt": f"round({kurt}, 4)", "sem": f"round(stddev_samp({c}) / sqrt({n}), 4)",
+        "any": f"CAST(max(CAST({c} <> 0 AS INTEGER)) AS DOUBLE)", "all": f"CAST(min(CAST({c} <> 0 AS INTEGER)) AS DOUBLE)",
+        "first": f"arg_max({c}, rn) FILTER ({c} IS NOT NULL)", "last": f"arg_min({c}, rn) FILTER ({c} IS NOT NULL)", "count": f"CASE WHEN {n} > 0 THEN {n} END",
+    }
+    return [f"{sql[how]} AS agg_{c}_{how}" for how in _MOMENTS]
+
+
+_CENTRED = "centred AS (SELECT *, " + ", ".join(f"{c} - avg({c}) OVER (PARTITION BY customer) AS c_{c}" for c in ("deposit_balance", "loan_balance")) + " FROM hist),"
+
+
+@query(_select(_BOTH_SQL + _hist_sql("hazard") + _CENTRED, f"SELECT customer, {', '.join([*_moment_sql('deposit_balance'), *_moment_sql('loan_balance')])} FROM centred GROUP BY 1"))
+def agg_moments(spark: SparkSession, d: str) -> DataFrame:
+    """Reducers of higher moments and of order."""
+    from .config import Numeric
+
+    both = ("deposit_balance", "loan_balance")
+    f = _features(spark, d, "hazard", ranked=False, cfg=_plain(numerics={c: Numeric(aggregations=_MOMENTS, log1p=False) for c in both}))
+    return rounded(f.select("customer", *[c for c in f.columns if c.startswith("agg_deposit") or c.startswith("agg_loan")]), 4)
+
+
 @query(_select(_BOTH_SQL + _hist_sql("hazard"), f"SELECT customer, {', '.join(_position_sql(percentiles=False))} FROM hist GROUP BY 1"))
 def sequence_positions(spark: SparkSession, d: str) -> DataFrame:
     f = _features(spark, d, "hazard", ranked=False, cfg=_plain())
@@ -393,8 +423,18 @@ def downsample_weights(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("customer", "interval", F.col("_sample_weight").alias("weight"))
 
 
-@query(_select(_BOTH_SQL + _SKELETON_SQL + "ever AS (SELECT customer, max(event) AS has_event FROM skeleton GROUP BY 1),",
-    f"SELECT customer, has_event, CAST((row_number() OVER (PARTITION BY has_event ORDER BY {_DRAW}, customer) - 1) % {SPLITS} AS INTEGER) AS fold FROM ever"))
+_FOLDS_SQL = _BOTH_SQL.replace("WITH kinds", "WITH RECURSIVE kinds") + _SKELETON_SQL + f"""people AS (SELECT customer, max(event) AS has_event, count(*) AS r, sum(event) AS e FROM skeleton GROUP BY 1),
+turns AS (SELECT *, row_number() OVER (PARTITION BY r, e ORDER BY {_DRAW}, customer) - 1 AS t, count(*) OVER (PARTITION BY r, e) // {SPLITS} * {SPLITS} AS even FROM people),
+totals AS (SELECT greatest(1, CAST(sum(r - e) AS HUGEINT)) AS n, greatest(1, CAST(sum(e) AS HUGEINT)) AS p FROM people),
+items AS (SELECT row_number() OVER (ORDER BY r DESC, e DESC, t) AS i, customer, CAST(r - e AS HUGEINT) AS a, CAST(e AS HUGEINT) AS b FROM turns WHERE t >= even),
+walk AS (SELECT CAST(0 AS BIGINT) AS i, CAST([{', '.join('0' * SPLITS)}] AS HUGEINT[]) AS x, CAST([{', '.join('0' * SPLITS)}] AS HUGEINT[]) AS y, CAST(-1 AS BIGINT) AS customer, CAST(-1 AS BIGINT) AS fold
+  UNION ALL SELECT i, list_transform(x, lambda v, k: v + CASE WHEN k = f + 1 THEN a ELSE 0 END), list_transform(y, lambda v, k: v + CASE WHEN k = f + 1 THEN b ELSE 0 END), customer, f FROM (
+    SELECT items.i, x, y, items.a, items.b, items.customer, list_sort(list_transform(range(0, {SPLITS}), lambda k: [x[k + 1] * a * p * p + y[k + 1] * b * n * n, x[k + 1] + y[k + 1], k]))[1][3] AS f
+    FROM walk JOIN items ON items.i = walk.i + 1, totals)),
+"""
+
+
+@query(_select(_FOLDS_SQL, f"SELECT customer, has_event, CAST(CASE WHEN t < even THEN t % {SPLITS} ELSE w.fold END AS INTEGER) AS fold FROM turns LEFT JOIN walk w USING (customer)"))
 def stratified_group_folds(spark: SparkSession, d: str) -> DataFrame:
     return group_folds(hazard_intervals(spark, d), "customer", "event", SPLITS, SEED)
 
@@ -476,6 +516,23 @@ def column_types(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame(rows, "role string, feature string")
 
 
+@query(_TYPES_SQL)
+def inferred_types(spark: SparkSession, d: str) -> DataFrame:
+    """Roles of the columns of the hazard dataset as a CSV would hold it, every value a text: types are found from all rows."""
+    rows = hazard(spark, d)
+    rows = typed(rows.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in rows.columns]))
+    found = column_roles(rows, {"customer", "event", "exposure_frac", "anchor_date", "months_low", "months_high"}, ("interval",))
+    return spark.createDataFrame([(role, name) for role, names in zip(("numeric", "categorical", "skipped"), found) for name in names], "role string, feature string")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 7 > 0 THEN CAST(o_orderdate AS TIMESTAMP) END AS day_first, CASE WHEN o_orderkey % 5 > 0 THEN CAST(o_orderdate AS TIMESTAMP) END AS compact FROM orders")
+def date_forms(spark: SparkSession, d: str) -> DataFrame:
+    """Order dates written in two forms, some missing, and read back by the one form that fits all."""
+    o = spark.read.parquet(f"{d}/orders.parquet").select("o_orderkey", F.when(F.col("o_orderkey") % 7 > 0, F.date_format("o_orderdate", "dd/MM/yyyy")).alias("day_first"),
+        F.when(F.col("o_orderkey") % 5 > 0, F.date_format("o_orderdate", "yyyyMMdd")).alias("compact"))
+    return strict_dates(strict_dates(o, "day_first"), "compact")
+
+
 _COEF = "WITH f AS (SELECT unnest(range(0, 10)) AS i), c AS (SELECT i, k, CASE WHEN (i * 7 + k * 3) % 5 = 0 THEN 0.0 ELSE ((i * 13 + k * 11) % 17 - 6) / CAST(10 AS DOUBLE) END AS coef FROM f, (SELECT unnest(range(0, 40)) AS k)), m AS (SELECT k, avg(coef) AS mc, CASE WHEN sum(sign(coef)) >= 0 THEN 1 ELSE -1 END AS dom FROM c GROUP BY 1)"
 
 
@@ -506,6 +563,22 @@ def cv_metrics(spark: SparkSession, d: str) -> DataFrame:
     return M.summary(M.ranking_metrics(out_of_fold(_model_input(spark, d), Model())[0], "customer", LIFTS))
 
 
+@query(None)
+def cv_calibration(spark: SparkSession, d: str) -> DataFrame:
+    """Predicted and observed rates by bins of the out-of-fold scores of the logistic model."""
+    from .plans.modelling import out_of_fold
+
+    return M.calibration(out_of_fold(_model_input(spark, d), Model())[0], CAL_BINS)
+
+
+@query(None)
+def cv_coefficients(spark: SparkSession, d: str) -> DataFrame:
+    """How steady the coefficients of the logistic model are over its folds."""
+    from .plans.modelling import coefficients, out_of_fold
+
+    return M.coefficient_stability(coefficients(spark, out_of_fold(_model_input(spark, d), Model())[2]))
+
+
 @query(None)
 def cv_gbt_oof(spark: SparkSession, d: str) -> DataFrame:
     from .plans.modelling import out_of_fold

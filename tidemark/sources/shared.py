@@ -67,10 +67,15 @@ def _remove_all() -> None:
         _remove(spark, path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder wherever Spark can write."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     try:
-        context = spark.sparkContext
-        target = context._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+        remove(spark, path)
     except Exception:  # the session is gone already; the application's folder goes with it
         pass
