@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -219,13 +220,19 @@ def pairs_at_the_threshold(rng, n=400, dim=64):
     return a, 0.9301 * a + math.sqrt(1 - 0.9301**2) * b / np.linalg.norm(b, axis=1, keepdims=True)
 
 
-def test_bands_keep_their_recall():
-    a, b = (embedding_dedup.encoded(x)[2] for x in pairs_at_the_threshold(np.random.default_rng(5)))
-    assert embedding_dedup.bands_for(5000) == (0, 1)
-    for most in (20_000, 10**6, 10**9):
-        bits, bands = embedding_dedup.bands_for(most)
-        met = (embedding_dedup.band_keys(a, bits, bands) == embedding_dedup.band_keys(b, bits, bands)).any(1)
-        assert met.mean() >= 0.98
+def test_pivots_rule_out_no_pair_at_the_threshold():
+    """Vectors around pivots, some of them clustered: whatever the angles rule out holds no pair."""
+    rng = np.random.default_rng(5)
+    base = rng.standard_normal((12, 16))
+    x = np.repeat(base, 40, axis=0) + rng.standard_normal((480, 16)) * np.repeat(rng.uniform(0.05, 0.9, 12), 40)[:, None]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    pivots = x[rng.choice(480, 20, replace=False)]
+    found = embedding_dedup.angles(x, pivots)
+    home = found.argmin(axis=1)
+    low, high = (np.array([f(found[home == k, k]) for k in range(20)]) for f in (min, max))
+    near = embedding_dedup.may_meet(embedding_dedup.angles(pivots, pivots), low, high)
+    i, j = np.nonzero(x @ x.T >= 0.93)
+    assert near[home[i], home[j]].all() and not near.all() and near.diagonal().all()
 
 
 def test_estimates_are_unbiased_and_keep_the_links():
@@ -240,19 +247,33 @@ def test_estimates_are_unbiased_and_keep_the_links():
     assert keep.diagonal().all() and keep.mean() < 0.2
 
 
-def test_links_in_bands_equal_all_pairs(spark, monkeypatch):
-    """Labels split into bands; each pair counts once."""
-    monkeypatch.setattr(embedding_dedup, "BUCKET", 20)
-    monkeypatch.setattr(embedding_dedup, "MISSED", 1e-9)
+def test_links_around_pivots_equal_all_pairs(spark, monkeypatch):
+    """Labels of many blocks, with pivots that have parts; each pair counts once."""
+    for name, value in (("BLOCK", 20), ("PIVOTS", 6), ("CHUNK", 50)):
+        monkeypatch.setattr(embedding_dedup, name, value)
     rng = np.random.default_rng(14)
     x = np.repeat(rng.standard_normal((60, 32)), 4, axis=0) + rng.standard_normal((240, 32)) * 0.2
-    assert embedding_dedup.bands_for(240)[0] == 4
-    df = spark.createDataFrame([(i, r.tolist(), "a") for i, r in enumerate(x)], "vec_id long, embedding array<double>, label string")
+    df = spark.createDataFrame([(i, r.tolist(), "a" if i < 230 else "b") for i, r in enumerate(x)], "vec_id long, embedding array<double>, label string")
     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-    want = (unit @ unit.T >= 0.93).sum(1) - 1
+    same = (np.arange(240) < 230)[:, None] == (np.arange(240) < 230)
+    want = ((unit @ unit.T >= 0.93) & same).sum(1) - 1
     assert {r.vec_id: r.n_links for r in embedding_dedup.embedding_links(df).collect()} == dict(enumerate(want.tolist())) and want.sum() > 200
 
 
+def test_a_large_label_loses_no_link(spark):
+    """One label of 24,000 vectors in pairs just above the threshold, with the blocks and pivots of production."""
+    rng = np.random.default_rng(1)
+    a, b = rng.standard_normal((2, 12_000, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (b * a).sum(1, keepdims=True) * a
+    b = 0.9305 * a + math.sqrt(1 - 0.9305**2) * b / np.linalg.norm(b, axis=1, keepdims=True)
+    x = np.concatenate([a, b])
+    table = pa.table({"vec_id": np.arange(24_000), "embedding": pa.FixedSizeListArray.from_arrays(x.ravel(), 64).cast(pa.list_(pa.float64())), "label": np.full(24_000, 3)})
+    df = spark.createDataFrame(table)
+    got = embedding_dedup.embedding_links(df).toPandas().sort_values("vec_id")
+    assert (got["n_links"] == 1).all() and (got["component_id"] == np.tile(np.arange(12_000), 2)).all()
+
+
 def test_class_scores(spark):
     rnd = random.Random(6)
     nouns, verbs, ends = [f"N{i}" for i in range(30)], [f"v{i}" for i in range(30)], [f"e{i}" for i in range(30)]

@@ -4,8 +4,11 @@ A vector is rotated at random and kept as its signs, with the inner product of v
 signs as correction factor; dividing by it makes the product of a code with another vector
 an unbiased estimate of their cosine, with a known error (Gao and Long, 2024).  Codes,
 factors and the rotated vectors in a byte a component are computed once and stored; they
-alone travel to the buckets, where the estimate and its confidence bound decide which
+alone travel to where blocks of vectors meet, where the estimate and its confidence bound decide which
 pairs need exact recomputation.  Whole vectors are fetched only for those pairs.
+
+Vectors of a large label gather around pivots.  Blocks of two pivots meet unless the
+triangle inequality of angles rules out that any pair reaches the threshold, so no pair is left to chance.
 """
 
 from __future__ import annotations
@@ -21,14 +24,13 @@ from .common import discard, ship, stored
 from .components import components
 
 COSINE = 0.93
-MISSED = 0.001  # share of pairs at the threshold that no band brings together, where a label is split into bands
-BUCKET = 4096  # vectors of one label in a bucket, by expectation; a label of up to about 1.4 as many is one bucket, and nothing is missed
-BLOCK = 2048  # vectors of a bucket compared at once; larger buckets are dealt out block against block
+BLOCK = 2048  # vectors that meet as many others in one task, by expectation
+PIVOTS = 512  # of a label at most, by expectation; one for each BLOCK of its vectors before that
+CHUNK = 16_384  # vectors that look for their pivot in one task
 DEVIATIONS = 5.0  # of an estimate's error, before a pair is ruled out without exact recomputation
 SLACK = 1e-5  # for the rounding of estimates
 
 _rotations: dict[tuple[int, int], np.ndarray] = {}
-_planes: dict[tuple[int, int], np.ndarray] = {}
 
 
 def rotation(dim: int, turn: int) -> np.ndarray:
@@ -39,23 +41,25 @@ def rotation(dim: int, turn: int) -> np.ndarray:
     return _rotations[dim, turn]
 
 
-def bands_for(most: int) -> tuple[int, int]:
-    """(bits of a band, bands) for labels of up to ``most`` vectors: both follow the logarithm of the input."""
-    bits = min(24, max(0, round(math.log2(max(most, 1) / BUCKET))))
-    if not bits:
-        return 0, 1
-    together = (1 - math.acos(COSINE) / math.pi) ** bits
-    return bits, math.ceil(math.log(MISSED) / math.log(1 - together))
+def unpacked(pdf: pd.DataFrame) -> np.ndarray:
+    """The byte vectors, at length 1."""
+    x = np.frombuffer(b"".join(pdf["small"]), np.int8).reshape(len(pdf), -1).astype(np.float64)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def angles(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(x @ y.T, -1, 1))
+
 
+def may_meet(between: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Whether vectors around two pivots can be as near as COSINE.
 
-def band_keys(small: np.ndarray, bits: int, bands: int) -> np.ndarray:
-    """A key for each byte vector and band, from the signs of further rotations; whole numbers throughout, so every task finds the same."""
-    dim, need = small.shape[1], bits * bands
-    if not bits:
-        return np.zeros((len(small), bands), np.int64)
-    turns = [np.round(rotation(dim, 1 + t) * 4096) for t in range(-(-need // dim))]
-    signs = np.hstack([small.astype(np.float64) @ turn for turn in turns])[:, :need] >= 0
-    return signs.reshape(len(small), bands, bits) @ (1 << np.arange(bits, dtype=np.int64))
+    ``between`` holds the angles of the pivots, ``low`` and ``high`` the bounds of the angles of each
+    pivot's vectors to it.  The angle of two vectors is at least any of the three differences.
+    """
+    widest = math.acos(COSINE) + 1e-6
+    least = np.maximum(between - high[:, None] - high[None, :], np.maximum(low[:, None] - between - high[None, :], low[None, :] - between - high[:, None]))
+    return least <= widest
 
 
 def units(vectors) -> np.ndarray:
@@ -95,13 +99,67 @@ def _forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
             return label
 
 
+def _meetings(codes: DataFrame) -> tuple[DataFrame, list[str], DataFrame]:
+    """(rows of ``codes`` for each pair of blocks they take part in, the columns that name a pair, a stored table to let go later).
+
+    A block is a pivot's share of a label's vectors, or a part of it by hash.  A label of
+    one block has no pivots.  Pairs of pivots are decided on the at most PIVOTS pivots of a label.
+    """
+    group = ["_label", "dim"]
+    draw = F.pmod(F.xxhash64("rep", "_a"), F.lit(1 << 30))
+    sizes = codes.groupBy(*group).agg(F.count("*").alias("n"))
+    sizes = sizes.withColumns({"_k": F.least(F.ceil(F.col("n") / BLOCK), F.lit(PIVOTS)), "_chunks": F.ceil(F.col("n") / CHUNK).cast("int")})
+    sizes = stored(sizes, "vector-sizes")
+    all_rows = codes.join(sizes, group)
+    large = all_rows.where("_k > 1")
+    pivots = stored(large.where(draw < F.col("_k") / F.col("n") * (1 << 30)).select(*group, "rep", "_a", "small", "_chunks"), "vector-pivots")
+    kinds = {f.name: f.dataType.simpleString() for f in codes.schema}
+
+    def settle(rows: pd.DataFrame, around: pd.DataFrame) -> pd.DataFrame:
+        x, out = unpacked(rows), rows[["_label", "dim", "rep", "_a"]]
+        if around.empty:
+            return out.assign(home=0, low=0.0, high=math.pi)
+        found = angles(x, unpacked(around.sort_values(["rep", "_a"])))
+        home = found.argmin(axis=1)
+        angle, off = found[np.arange(len(x)), home], np.arcsin(np.minimum(rows["residual"].to_numpy(), 1.0)) + 1e-6  # of the byte vector from the vector
+        return out.assign(home=home, low=angle - off, high=angle + off)
+
+    chunked = large.select(*group, "rep", "_a", "small", "residual", F.pmod(F.xxhash64("_a", "rep"), F.col("_chunks")).cast("int").alias("_chunk"))
+    sent = pivots.select(*group, "rep", "_a", "small", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)).alias("_chunk"))
+    keys = [*group, "_chunk"]
+    settled = chunked.groupBy(*keys).cogroup(sent.groupBy(*keys)).applyInPandas(settle, f"_label {kinds['_label']}, dim int, rep long, _a long, home int, low double, high double")
+    alone = all_rows.where("_k = 1").select(*group, "rep", "_a", F.lit(0).alias("home"), F.lit(0.0).alias("low"), F.lit(math.pi).alias("high"))
+    homes = stored(settled.unionByName(alone), "vector-homes")
+    shares = homes.groupBy(*group, "home").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"), F.min("low").alias("low"), F.max("high").alias("high"))
+
+    def decide(shares: pd.DataFrame, around: pd.DataFrame) -> pd.DataFrame:
+        shares, around = shares.sort_values("home", ignore_index=True), around.sort_values(["rep", "_a"], ignore_index=True)
+        near = np.ones((len(shares), len(shares)), bool)
+        if len(around):
+            centre = unpacked(around)[shares["home"].to_numpy()]
+            near = may_meet(angles(centre, centre), shares["low"].to_numpy(), shares["high"].to_numpy())
+        p, q = np.nonzero(near | np.eye(len(shares), dtype=bool))
+        own = shares.iloc[p].reset_index(drop=True)
+        return own[["_label", "dim", "home", "parts"]].assign(other=shares["home"].to_numpy()[q], others=shares["parts"].to_numpy()[q])
+
+    meets = shares.groupBy(*group).cogroup(pivots.groupBy(*group)).applyInPandas(decide, f"_label {kinds['_label']}, dim int, home int, parts int, other int, others int")
+    meets = stored(meets.where("parts IS NOT NULL"), "vector-meetings")
+    met = codes.join(homes.drop("low", "high"), [*group, "rep", "_a"]).join(meets, [*group, "home"])
+    block = lambda home, part: F.col(home).cast("long") * (1 << 32) + part
+    met = met.withColumn("at", block("home", F.pmod(F.xxhash64("_a"), F.col("parts"))))
+    met = met.withColumn("with", F.explode(F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda part: block("other", part))))
+    met = met.withColumns({"p": F.least("at", "with"), "q": F.greatest("at", "with")}).drop("home", "parts", "other", "others", "with")
+    return met, [*group, "p", "q"], homes
+
+
 def embedding_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """One row per input row: id, n_links, component_id (smallest id reachable by links), kept (id = component_id).
 
     Vectors link if their labels are equal and not null, their dimensions agree and their cosine, in double
     precision, is at least 0.93.  Vectors that are null, empty, zero or hold null or
     non-finite components, and rows with a null id, link with nothing and are kept.
-    Equal vectors of a label are compared as one and counted in full; repeated rows count
+    Every pair of vectors of a label is compared by its codes, or ruled out by the angles to pivots,
+    however large the label is.  Equal vectors of a label are compared as one and counted in full; repeated rows count
     once.  Ids are integers; further columns are not read.
     """
     ship(vectors.sparkSession)
@@ -121,32 +179,21 @@ def embedding_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     classes = members.groupBy(*same).agg(F.min("_id").alias("rep"), F.count("*").alias("w"))
     values = good.groupBy(*same).agg(F.first("_v").alias("v"))
     classes = stored(classes.join(values, same), "vector-classes")
-    # How many vectors the largest label has sets the bands; one number comes to the driver.
-    most = classes.groupBy("_label").count().agg(F.max("count")).first()[0] or 0
-    bits, bands = bands_for(most)
-
-    @F.pandas_udf("dim int, code binary, factor double, small binary, scale double, residual double, keys array<long>")
+    @F.pandas_udf("dim int, code binary, factor double, small binary, scale double, residual double")
     def coded(vs: pd.Series) -> pd.DataFrame:
         out: list = [None] * len(vs)
         for dim, at in vs.groupby(vs.map(len)).groups.items():
             code, factor, small, scale, residual = encoded(units(vs[at]))
-            keys = band_keys(small, bits, bands)
             for n, i in enumerate(at):
-                out[i] = (dim, code[n].tobytes(), factor[n], small[n].tobytes(), scale[n], residual[n], keys[n])
-        return pd.DataFrame(out, columns=["dim", "code", "factor", "small", "scale", "residual", "keys"])
+                out[i] = (dim, code[n].tobytes(), factor[n], small[n].tobytes(), scale[n], residual[n])
+        return pd.DataFrame(out, columns=["dim", "code", "factor", "small", "scale", "residual"])
 
     codes = stored(classes.select("_label", "rep", "_a", coded("v").alias("c")).select("_label", "rep", "_a", "c.*"), "vector-codes")
-    bucket = ["_label", "dim", "band", "key"]
-    met = codes.select("*", F.posexplode("keys").alias("band", "key")).drop("keys")
-    crowds = stored(met.groupBy(*bucket).count().where("count > 1"), "vector-buckets")
-    met = met.join(crowds, bucket).withColumn("n", F.ceil(F.col("count") / BLOCK).cast("int"))
-    met = met.withColumn("at", F.pmod(F.xxhash64("rep"), F.col("n")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    pair = [*bucket, "p", "q"]
-    met = met.withColumns({"p": F.least("at", "other"), "q": F.greatest("at", "other")}).drop("count", "n", "other")
+    met, pair, homes = _meetings(codes)
 
     def estimate(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["rep", "_a"], ignore_index=True)
-        p, q, band = (int(pdf[c].iloc[0]) for c in ("p", "q", "band"))
+        p, q = (int(pdf[c].iloc[0]) for c in ("p", "q"))
         at = pdf["at"].to_numpy()
         left, right = np.flatnonzero(at == p), np.flatnonzero(at == q)
         code, small = (np.frombuffer(b"".join(pdf[c]), t).reshape(len(pdf), -1) for c, t in (("code", np.uint8), ("small", np.int8)))
@@ -154,10 +201,6 @@ def embedding_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         i, j = np.nonzero(survivors(code[left], factor[left], small[right], scale[right], residual[right]))
         i, j = left[i], right[j]
         good = i < j if p == q else np.ones(len(i), bool)
-        if bands > 1:  # a pair counts in the first band that brings it together
-            all_keys = band_keys(small, bits, bands)
-            for k in range(0, len(i), 65536):
-                good[k : k + 65536] &= (all_keys[i[k : k + 65536]] == all_keys[j[k : k + 65536]]).argmax(axis=1) == band
         i, j = i[good], j[good]
         active = np.unique(np.concatenate([i, j]))
         i, j = np.searchsorted(active, i), np.searchsorted(active, j).astype(np.uint16)
@@ -185,7 +228,7 @@ def embedding_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
 
     exact = found.join(classes.select("_label", "rep", "_a", "w", "v"), ["_label", "rep", "_a"])
     compared = stored(exact.groupBy(*pair).applyInPandas(compare, "rep long, links long, to long"), "vector-links")
-    discard(codes, crowds, found)
+    discard(codes, found, homes)
     groups = components(compared.select(F.col("rep").alias("a"), F.col("to").alias("b")))
     counts = compared.groupBy("rep").agg(F.sum("links").alias("links"))
     classes = classes.join(counts, "rep", "left").join(groups.withColumnRenamed("node", "rep"), "rep", "left")
