@@ -339,29 +339,70 @@ def test_class_scores_equal_brute_force(spark, monkeypatch):
         assert sum(probability(before, w) for w in [*counts, "unseen"]) == pytest.approx(1)
 
 
-def test_placed_words_take_their_best_class(spark):
-    """Words outside the core against the plain likelihood of each choice, with rows of a word spread over batches."""
+def test_words_take_their_best_class():
+    """Choices against the plain likelihood of each class, the word taken out of its own first."""
     rng = np.random.default_rng(12)
-    kinds, words, k = 10, 400, 8
-    matrix = rng.integers(0, 400, (kinds, kinds)).astype(float)
-    seen = [(int(w), rng.integers(0, kinds, (int(rng.integers(1, 9)), 2)).astype(np.uint16)) for w in rng.integers(-200, 200, 3000)]
-    seen.append((9999, np.zeros((1, 2), np.uint16)))
-    df = spark.createDataFrame([(w, x.tobytes()) for w, x in seen], "key long, seen binary")
-    got = {r.key: (r.c, r.kind) for r in class_lm.placed_words(df, matrix).collect()}
-    by_word = defaultdict(list)
-    for w, x in seen:
-        by_word[w].append(x)
-    assert 9999 not in got and set(got) == {w for w, x in by_word.items() if sum(map(len, x)) > 1}
+    kinds, k = 10, 8
+    matrix = rng.integers(40, 400, (kinds, kinds)).astype(float)
+    vectors = rng.integers(0, 3, (300, 2 * kinds)) * rng.integers(0, 2, (300, 2 * kinds)) * rng.choice([1, 1, 7], (300, 1))
+    vectors[:, kinds:] = rng.permuted(vectors[:, :kinds], axis=1)  # as many follow as precede
+    vectors = vectors[vectors.sum(1) > 0].astype(float)
+    own = rng.integers(-1, k, len(vectors))
+    word, j = np.nonzero(vectors)
+    best = class_lm.Choice(matrix).best(word, j, vectors[word, j], own)
     phi = lambda x: float((x * np.log(np.maximum(x, 1))).sum())
-    for w, (c, kind) in got.items():
-        x = np.concatenate(by_word[w])
-        before, after = (np.bincount(x[:, i], minlength=kinds).astype(float) for i in (0, 1))
+    moved = 0
+    for v, mine, got in zip(vectors, own, best):
+        after, before, t = v[:kinds], v[kinds:], v.sum() / 2
         gains = []
         for i in range(k):
-            row, column = matrix[i].sum(), matrix[:, i].sum()
-            gain = phi(matrix[i] + after) - phi(matrix[i]) + phi(matrix[:, i] + before) - phi(matrix[:, i])
-            gains.append(gain - phi(np.array([row + c, column + c])) + phi(np.array([row, column])))
-        assert c == len(x) and gains[kind] == pytest.approx(max(gains))
+            row, column, sign = matrix[i], matrix[:, i], -1 if i == mine else 1
+            gain = phi(row + sign * after) - phi(row) + phi(column + sign * before) - phi(column)
+            gains.append(sign * (gain - phi(np.array([row.sum() + sign * t, matrix[:, i].sum() + sign * t])) + phi(np.array([row.sum(), matrix[:, i].sum()]))))
+        assert gains[got] == pytest.approx(max(gains), rel=1e-5)
+        moved += mine >= 0 and got != mine
+    assert moved > 50
+    empty = matrix.copy()
+    empty[3], empty[:, 3] = 0, 0
+    assert 3 not in class_lm.Choice(empty).best(word, j, vectors[word, j], np.full(len(vectors), -1))
+
+
+def test_contexts_count_all_neighbours(spark, monkeypatch):
+    monkeypatch.setattr(class_lm, "HELD_COUNTS", 40)
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(-1, 12, int(rng.integers(0, 60))).astype(np.int32) for _ in range(80)]
+    df = spark.createDataFrame([(t.tobytes(),) for t in texts], "ids binary").repartition(5)
+    want = Counter()
+    for t in texts:
+        line = [13, *(12 if x < 0 else int(x) for x in t), 13]
+        for a, b in zip(line, line[1:]):
+            want[a, 2 * b] += a < 12
+            want[b, 2 * a + 1] += b < 12
+    rows = class_lm.contexts(df, 12).collect()
+    got = {(r.w, int(code)): int(n) for r in rows for code, n in np.frombuffer(r.seen, np.int32).reshape(-1, 2)}
+    assert got == {k: n for k, n in want.items() if n} and len(rows) == len({r.w for r in rows})
+    kind = np.array([*(i % 4 for i in range(12)), 4, 5], np.uint16)
+    matrix = class_lm.class_matrix(class_lm.contexts(df, 12), spark.sparkContext.broadcast(kind), 6)
+    whole = class_lm.kind_pairs(df, spark.sparkContext.broadcast(kind), 6)
+    whole[4:, 4:] = 0
+    assert (matrix == whole).all() and matrix.sum() > 500
+
+
+def test_exchange_of_all_words_reaches_that_in_turn(spark, monkeypatch):
+    """Words of two sides and several topics: choosing at once is as good as one word after the other."""
+    rnd = random.Random(21)
+    texts = []
+    for _ in range(500):
+        topic = rnd.randrange(4)
+        texts.append(" ".join(f"{side}{topic}x{min(int(rnd.paretovariate(0.8)), 60)}" for _ in range(rnd.randint(2, 20)) for side in "ab"))
+    own = class_lm._own(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), F.lit(True), "doc_id", "text")
+    value = {}
+    for core in (10, 4000):
+        monkeypatch.setattr(class_lm, "CORE", core)
+        learned = class_lm.learn(own)
+        value[core] = class_lm.likelihood(class_lm.kind_pairs(learned.texts, spark.sparkContext.broadcast(learned.kind), learned.classes + 2))
+        assert (learned.kind[:-2] < learned.classes).all() and len(learned.kind) > 300
+    assert value[10] >= 1.003 * value[4000] and value[4000] < 0  # both are negative: at most 0.3 % behind
 
 
 def test_word_keys_equal_those_of_spark(spark):

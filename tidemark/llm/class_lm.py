@@ -1,9 +1,10 @@
 """Language-model scoring with Brown classes.
 
-Exchange clustering assigns words to classes so that class bigrams predict best: first the
-most frequent words, in rounds of exchange until the likelihood settles, then every other
-word that occurs at least twice, by the same criterion and its own neighbours.  Words seen
-once and unseen words share an explicit unknown class.  A word is scored by the transition
+Exchange clustering assigns every word that occurs at least twice to a class, so that class
+bigrams predict best.  The most frequent words start in turn; the others join by the same
+criterion; then all of them choose again, half of the words at a time, until the
+likelihood settles.  Each word chooses where its own neighbours are counted, against one small matrix of
+class bigrams.  Words seen once and unseen words share an explicit unknown class.  A word is scored by the transition
 from the class before it to its own and by its emission from that class, both smoothed, so
 that the probabilities of all words and the unseen one add up to 1.
 """
@@ -22,23 +23,27 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.exprs import running_sums
 from .common import Memo, discard, ship, stored, text_or_empty
 
-CORE = 4000  # most frequent words, which are exchanged until the likelihood settles; the others are placed after them
-ROUNDS = 40  # of the exchange at most; each moves half of the words
+CORE = 4000  # most frequent words, with which the exchange starts: they choose in turn
+ROUNDS = 40  # of the start, and of the exchange of all words, at most; each moves half of the words
 SETTLED = 1e-4  # share of the likelihood that two rounds must gain for the exchange to go on
 LEAST_COUNT = 2  # occurrences of a word with a class of its own choice
+CLASSES = 128  # at most: what a choice costs grows with the classes, and so does the matrix that every task holds
+SMALL = 0.05  # share of the mean mass of a class below which words that choose at once don't enter it
 CARRIED = 150_000  # most frequent words that tasks know by heart; the others are joined by key
 HELD_COUNTS = 1_000_000  # distinct words or pairs a task holds before it hands partial counts on
 SMOOTH = 0.5  # added to counts
 BACKOFF = 20.0  # weight of the class's own probability in a transition
 
-_WAITING = 0xFFFF  # kind of a word whose class is still to be joined
+_WAITING = -2  # number of a word that is still to be joined
+_FAR = 1 << 30  # above the number of any word
 
 
 def classes_for(distinct: int) -> int:
-    """The number of classes grows with the vocabulary: 30 for 86,000 words, 85 for 3 million."""
-    return max(8, min(60_000, round(distinct**0.3)))
+    """The number of classes follows the square root of the vocabulary up to CLASSES: 75 for 90,000 words, 128 from 262,000."""
+    return max(8, min(CLASSES, round(distinct**0.5 / 4)))
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -87,7 +92,7 @@ def most_frequent(vocabulary: DataFrame, most: int) -> list[tuple[bytes, int]]:
         room, least = room - n, s
     if least is None:
         return []
-    return sorted(((bytes(r[0]), r[1]) for r in words.where(step >= least).select("word", "c").collect()), key=lambda x: (-x[1], x[0]))
+    return sorted(((bytes(r[0]), r[1]) for r in words.where(step >= least).select("word", "c").collect()), key=lambda x: (-x[1], word_key(x[0])))
 
 
 def tokenized(rows: DataFrame, places) -> DataFrame:
@@ -111,10 +116,23 @@ def tokenized(rows: DataFrame, places) -> DataFrame:
     return rows.mapInArrow(of, kinds)
 
 
-def core_pairs(tokens: DataFrame, core: int) -> DataFrame:
+def runs(batch: pa.RecordBatch, unknown: int) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens, places of the ends) of the texts of a batch: an end, then each text's words and an end.
+
+    A word is its number, ``unknown`` without one, an end the number after that.
+    """
+    packed = batch.column("ids").to_pylist()
+    ids = np.frombuffer(b"".join(packed), np.int32)
+    sizes = np.array([len(p) // 4 for p in packed], np.int64)
+    tokens = np.full(len(ids) + len(sizes) + 1, unknown + 1, np.int64)
+    tokens[np.arange(len(ids)) + 1 + np.repeat(np.arange(len(sizes)), sizes)] = np.where(ids < 0, unknown, ids)
+    return tokens, np.concatenate([[0], np.cumsum(sizes + 1)])
+
+
+def core_pairs(texts: DataFrame, core: int) -> DataFrame:
     """w1, w2, n: how often two tokens follow each other; a text begins after an end.
 
-    Tokens are places of core words, ``core`` for all other words and core + 1 for the end.
+    Tokens are numbers of core words, ``core`` for all other words and core + 1 for the end.
     """
     width = core + 2
 
@@ -127,19 +145,17 @@ def core_pairs(tokens: DataFrame, core: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array((codes // width).astype(np.int32)), pa.array((codes % width).astype(np.int32)), pa.array(n)], ["w1", "w2", "n"])
 
         for batch in batches:
-            for places in batch.column("places").to_pylist():
-                at = np.frombuffer(places, np.int32)
-                token = np.full(len(at) + 2, width - 1, np.int64)
-                token[1:-1] = np.where((at >= 0) & (at < core), at, core)
-                parts.append(token[:-1] * width + token[1:])
-                held += len(token)
-                if held > 4 * HELD_COUNTS:
-                    held = 0
-                    yield out()
+            token, _ = runs(batch, _FAR)
+            token = np.where(token > _FAR, core + 1, np.minimum(token, core))
+            parts.append(token[:-1] * width + token[1:])
+            held += len(token)
+            if held > 4 * HELD_COUNTS:
+                held = 0
+                yield out()
         if parts:
             yield out()
 
-    return tokens.select("places").mapInArrow(of, "w1 int, w2 int, n long").groupBy("w1", "w2").agg(F.sum("n").alias("n"))
+    return texts.select("ids").mapInArrow(of, "w1 int, w2 int, n long").groupBy("w1", "w2").agg(F.sum("n").alias("n"))
 
 
 def _phi(x: np.ndarray) -> np.ndarray:
@@ -216,121 +232,193 @@ def exchange(pairs: DataFrame, core: int, classes: int) -> tuple[np.ndarray, np.
     return best[1], best[2]
 
 
-def neighbours(tokens: DataFrame, kind: np.ndarray, carried_keys: np.ndarray) -> DataFrame:
-    """key, seen: for every word outside the core, the kinds before and after each occurrence, packed as 16-bit pairs."""
-    core, other = len(kind) - 2, int(kind[-2])
+_SIDE = 1 << 34  # codes of neighbours lie below: 2 * number for one that follows, 1 more for one that precedes
 
-    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, held = [], 0
 
-        def out() -> pa.RecordBatch:
-            keys, seen = (np.concatenate(x) for x in zip(*parts))
-            parts.clear()
-            order = np.argsort(keys, kind="stable")
-            keys, seen = keys[order], np.ascontiguousarray(seen[order])
-            first = np.flatnonzero(np.diff(keys, prepend=keys[0] - 1))
-            ends = np.append(first, len(keys)).astype(np.int32) * 4
-            packed = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(seen)])
-            return pa.RecordBatch.from_arrays([pa.array(keys[first]), packed], ["key", "seen"])
+def _packed(codes: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """w, seen: the sorted codes w * _SIDE + neighbour and their counts, packed for each word as pairs of 32-bit integers."""
+    word = codes // _SIDE
+    first = np.flatnonzero(np.diff(word, prepend=-1))
+    pairs = np.ascontiguousarray(np.stack([codes % _SIDE, n], axis=1).astype(np.int32))
+    ends = np.append(first, len(codes)).astype(np.int32) * 8
+    seen = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(pairs)])
+    return pa.RecordBatch.from_arrays([pa.array(word[first].astype(np.int32)), seen], ["w", "seen"])
+
+
+def _codes(words: np.ndarray, seen: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    pairs = np.frombuffer(b"".join(seen), np.int32).reshape(-1, 2)
+    each = np.repeat(words.astype(np.int64), [len(x) // 8 for x in seen])
+    return each * _SIDE + pairs[:, 0], pairs[:, 1].astype(np.int64)
+
+
+def _summed(codes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    codes, at = np.unique(codes, return_inverse=True)
+    return codes, np.bincount(at, weights=n, minlength=len(codes)).astype(np.int64)
 
+
+def contexts(texts: DataFrame, words: int) -> DataFrame:
+    """w, seen: for each of the ``words`` numbered words, how often every token follows and precedes it.
+
+    Tasks count pairs before anything is shuffled, so of a frequent word, each sends its
+    distinct neighbours only.  The counts of a word meet sorted, as a stream, and add up to one row.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held = [], 0
         for batch in batches:
-            rest = batch.column("rest")
-            ends, values = rest.offsets.to_numpy(), rest.values.to_numpy(zero_copy_only=False)
-            for i, places in enumerate(batch.column("places").to_pylist()):
-                at = np.frombuffer(places, np.int32)
-                ours = (at >= 0) & (at < core)
-                around = np.full(len(at) + 2, other, np.uint16)
-                around[0] = around[-1] = other + 1
-                around[1:-1][ours] = kind[at[ours]]
-                where = np.flatnonzero(~ours)
-                keys = np.where(at >= 0, carried_keys[np.maximum(at, 0)], 0) if len(carried_keys) else np.zeros(len(at), np.int64)
-                keys[at < 0] = values[ends[i] : ends[i + 1]]
-                parts.append((keys[where], np.stack([around[where], around[where + 2]], axis=1)))
-                held += len(where)
-                if held > 2 * HELD_COUNTS:
-                    held = 0
-                    yield out()
+            token, _ = runs(batch, words)
+            a, b = token[:-1], token[1:]
+            parts += [(a * _SIDE + 2 * b)[a < words], (b * _SIDE + 2 * a + 1)[b < words]]
+            held += 2 * len(token)
+            if held > 6 * HELD_COUNTS:
+                yield _packed(*np.unique(np.concatenate(parts), return_counts=True))
+                parts, held = [], 0
         if held:
-            yield out()
+            yield _packed(*np.unique(np.concatenate(parts), return_counts=True))
 
-    return tokens.select("places", "rest").mapInArrow(of, "key long, seen binary")
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, n = np.zeros(0, np.int64), np.zeros(0, np.int64)  # of the last word, which may go on
+        for batch in batches:
+            new = _codes(batch.column("w").to_numpy(), batch.column("seen").to_pylist())
+            codes, n = _summed(np.concatenate([codes, new[0]]), np.concatenate([n, new[1]]))
+            done = int(np.searchsorted(codes, codes[-1] // _SIDE * _SIDE)) if len(codes) else 0
+            if done:
+                yield _packed(codes[:done], n[:done])
+            codes, n = codes[done:], n[done:]
+        if len(codes):
+            yield _packed(codes, n)
 
+    kinds = "w int, seen binary"
+    return texts.select("ids").mapInArrow(count, kinds).repartition("w").sortWithinPartitions("w").mapInArrow(merge, kinds)
 
-def placed_words(seen: DataFrame, matrix: np.ndarray) -> DataFrame:
-    """key, c, kind of every word seen LEAST_COUNT times or more: the class where it adds most to the likelihood.
 
-    Rows are dealt out and sorted by key and read as a stream: of a word, a task holds one
-    vector of kinds at a time, however many rows it has.
-    """
-    kinds, k = len(matrix), len(matrix) - 2
-    counts = np.concatenate([matrix[:, :k], matrix[:k].T])  # a row for each kind before, then for each kind after
-    known, rows, columns = _phi(counts), matrix[:k].sum(1), matrix[:, :k].sum(0)
+def class_matrix(table: DataFrame, kinds_of, kinds: int) -> np.ndarray:
+    """How often kinds follow each other, from ``contexts``, but for pairs of two tokens without a class; those never change."""
 
-    def best(word: np.ndarray, j: np.ndarray, n: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
-        """(occurrences, class) of each word from its sparse vector, sorted by word."""
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind, matrix = kinds_of.value.astype(np.int64), np.zeros(kinds * kinds)
+        for batch in batches:
+            codes, n = _codes(batch.column("w").to_numpy(), batch.column("seen").to_pylist())
+            own, other, before = kind[codes // _SIDE], codes % _SIDE // 2, codes % 2 == 1
+            matrix += np.bincount((own * kinds + kind[other])[~before], n[~before], kinds * kinds)
+            outer = before & (other >= len(kind) - 2)
+            matrix += np.bincount((kind[other] * kinds + own)[outer], n[outer], kinds * kinds)
+        at = np.flatnonzero(matrix)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(matrix[at].astype(np.int64))], ["code", "n"])
+
+    out = np.zeros(kinds * kinds)
+    for code, n in table.mapInArrow(of, "code long, n long").groupBy("code").agg(F.sum("n")).collect():
+        out[code] = n
+    return out.reshape(kinds, kinds)
+
+
+class Choice:
+    """Where words add most to the likelihood, against a matrix of kinds; the last two kinds are no classes."""
+
+    LEVELS = 8  # counts whose logarithms are looked up
+
+    def __init__(self, matrix: np.ndarray):
+        self.kinds, k = len(matrix), len(matrix) - 2
+        self.counts = np.concatenate([matrix[:k].T, matrix[:, :k]])
+        # a row for each kind that follows a class, then for each that precedes one
+        self.known = _phi(self.counts)
+        self.more = np.stack([_phi(self.counts + n) - self.known for n in range(1, self.LEVELS + 1)])
+        self.rows, self.columns = matrix[:k].sum(1), matrix[:, :k].sum(0)
+        # Alone in a small class, any word gains; but words that choose at once would all go there.
+        self.small = self.columns < SMALL * self.columns.mean()
+
+    def best(self, word: np.ndarray, j: np.ndarray, n: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """The class of each word, from its sorted sparse vector over ``counts``; ``own`` is the one it is in, -1 for none.
+
+        A word is taken out of its own class before the classes are compared.
+        """
+        words, k = len(own), self.counts.shape[1]
         starts = np.searchsorted(word, np.arange(words))
         gain = np.empty((words, k))
-        step = max(1, (1 << 21) // k)
-        at = 0
+        step, at = max(1, (1 << 20) // k), 0
         while at < words:  # whole words, about ``step`` entries at once
             to = max(at + 1, int(np.searchsorted(starts, starts[at] + step)))
             lo, hi = starts[at], starts[to] if to < words else len(word)
-            one = _phi(counts[j[lo:hi]] + n[lo:hi, None]) - known[j[lo:hi]]
+            jj, nn = j[lo:hi], n[lo:hi]
+            one = self.more[np.minimum(nn, self.LEVELS).astype(int) - 1, jj]
+            large = np.flatnonzero(nn > self.LEVELS)
+            one[large] = _phi(self.counts[jj[large]] + nn[large, None]) - self.known[jj[large]]
             gain[at:to] = np.add.reduceat(one, starts[at:to] - lo, axis=0)
             at = to
         total = np.bincount(word, weights=n, minlength=words) / 2
         t = total[:, None]
-        gain -= _phi(rows + t) - _phi(rows) + _phi(columns + t) - _phi(columns)
-        return total.astype(np.int64), gain.argmax(1).astype(np.int32)
+        gain -= _phi(self.rows + t) - _phi(self.rows) + _phi(self.columns + t) - _phi(self.columns)
+        gain[:, self.small] = -np.inf
+        placed = np.flatnonzero(own >= 0)
+        mine = own[word]
+        here = self.counts[j, np.maximum(mine, 0)]
+        lost = np.bincount(word, weights=_phi(here) - _phi(np.maximum(here - n, 0)), minlength=words)[placed]
+        for whole in (self.rows, self.columns):
+            lost -= _phi(whole[own[placed]]) - _phi(np.maximum(whole[own[placed]] - total[placed], 0))
+        gain[placed, own[placed]] = lost
+        best = gain.argmax(1)
+        # A tie is no reason to move: words that tie would all leave for the same class at once.
+        ahead = gain[placed, best[placed]] - lost
+        stay = placed[ahead <= 1e-6 * (total[placed] + np.abs(lost))]
+        best[stay] = own[stay]
+        return best
+
+
+def choices(table: DataFrame, kinds_of, matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(words, their new classes) of those words of ``contexts`` that move; a word's row is enough for its choice."""
+    kinds = len(matrix)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, vector = None, np.zeros(2 * kinds)  # the word whose rows may go on
-        held: list[pa.RecordBatch] = []
-
-        def work(end: bool) -> pa.RecordBatch:
-            nonlocal last, vector
-            keys = np.concatenate([b.column("key").to_numpy() for b in held] or [np.zeros(0, np.int64)])
-            packed = [b.column("seen") for b in held]
-            sizes = np.concatenate([np.diff(p.offsets.to_numpy() if hasattr(p, "offsets") else np.frombuffer(p.buffers()[1], np.int32)[p.offset : p.offset + len(p) + 1]) for p in packed] or [np.zeros(0, np.int32)])
-            pairs = np.frombuffer(b"".join(x for p in packed for x in p.to_pylist()), np.uint16).reshape(-1, 2)
-            held.clear()
-            if last is not None:
-                keys = np.concatenate([[last], keys])
-                sizes = np.concatenate([[0], sizes])
-            if not len(keys):
-                return None
-            change = np.diff(keys, prepend=keys[0]) != 0
-            word = np.cumsum(change)
-            names = keys[np.flatnonzero(np.concatenate([[True], change[1:]]))]
-            each = np.repeat(word, sizes // 4)
-            codes = np.concatenate([each * (2 * kinds) + pairs[:, 0], each * (2 * kinds) + kinds + pairs[:, 1]])
-            codes, n = np.unique(codes, return_counts=True)
-            n = n.astype(np.float64)
-            if last is not None:
-                more = np.flatnonzero(vector)
-                codes, place = np.unique(np.concatenate([codes, more]), return_inverse=True)
-                n = np.bincount(place, weights=np.concatenate([n, vector[more]]))
-            words = len(names)
-            if not end:  # the last word waits for further rows
-                words -= 1
-                mine = codes >= words * 2 * kinds
-                last, vector = names[-1], np.zeros(2 * kinds)
-                vector[codes[mine] - words * 2 * kinds] = n[mine]
-                codes, n, names = codes[~mine], n[~mine], names[:-1]
-            if not words:
-                return None
-            total, kind = best(codes // (2 * kinds), codes % (2 * kinds), n, words)
-            good = total >= LEAST_COUNT
-            return pa.RecordBatch.from_arrays([pa.array(names[good]), pa.array(total[good]), pa.array(kind[good])], ["key", "c", "kind"])
-
+        kind, choice = kinds_of.value.astype(np.int64), Choice(matrix)
         for batch in batches:
-            held.append(batch)
-            if sum(map(len, held)) >= 32768 and (found := work(False)):
-                yield found
-        if found := work(True):
-            yield found
-
-    return seen.repartition("key").sortWithinPartitions("key").mapInArrow(of, "key long, c long, kind int")
+            words = batch.column("w").to_numpy()
+            seen = batch.column("seen").to_pylist()
+            for i in range(0, len(words), 1000):
+                w = words[i : i + 1000]
+                codes, n = _codes(np.arange(len(w)), seen[i : i + 1000])
+                place = codes % _SIDE
+                cells = codes // _SIDE * (2 * kinds) + place % 2 * kinds + kind[place // 2]
+                sums = np.bincount(cells, n, len(w) * 2 * kinds)
+                at = np.flatnonzero(sums)
+                own = np.where(kind[w] < kinds - 2, kind[w], -1)
+                best = choice.best(at // (2 * kinds), at % (2 * kinds), sums[at], own)
+                moved = best != own
+                yield pa.RecordBatch.from_arrays([pa.array(w[moved]), pa.array(best[moved].astype(np.int32))], ["w", "kind"])
+
+    found = table.mapInArrow(of, "w int, kind int").toArrow()
+    return found["w"].to_numpy(), found["kind"].to_numpy()
+
+
+def exchange_all(table: DataFrame, kind: np.ndarray, classes: int, matrix: np.ndarray) -> np.ndarray:
+    """The kind of every numbered word once the likelihood settles; the unknown kind and the end come last.
+
+    Words that are still in the unknown kind choose first, against ``matrix``.  Then the words of even and of odd
+    numbers choose by turns, all of a half against the same matrix.  The driver
+    holds two bytes a word.
+    """
+    spark, kinds = table.sparkSession, classes + 2
+    history: list[float] = []
+    best: tuple[float, np.ndarray] | None = None
+    for turn in range(-1, ROUNDS + 1):
+        known = spark.sparkContext.broadcast(kind)
+        if turn < 0:
+            moving = table
+        else:
+            moving = table.where(F.col("w") % 2 == turn % 2)
+            matrix = class_matrix(table, known, kinds)
+            history.append(likelihood(matrix))
+            if best is None or history[-1] > best[0]:
+                best = history[-1], kind
+            if turn == ROUNDS or (turn >= 2 and history[-1] - history[-3] < SETTLED * abs(history[-1])):
+                break
+        words, to = choices(moving, known, matrix)
+        known.destroy()
+        if turn < 0:
+            fresh = kind[words] == classes
+            words, to = words[fresh], to[fresh]
+        kind = kind.copy()
+        kind[words] = to
+    return best[1]
 
 
 @dataclass
@@ -352,70 +440,65 @@ class Tables:
         with np.errstate(divide="ignore"):
             return cls(np.log10(transition), np.log10(emission), float(np.log10(total + SMOOTH * (distinct + 1))))
 
-    def score(self, kinds: np.ndarray, numerators: float) -> float:
-        """Log10 probability of a text from the kinds of its tokens, ends included, and the sum of log10(count + SMOOTH)."""
-        return numerators + float(self.transition[kinds[:-1], kinds[1:]].sum() - self.emission[kinds[1:]].sum())
 
+def _numbered(tokens: DataFrame, others: DataFrame, counts: np.ndarray, end: int) -> DataFrame:
+    """_row, _id, _train, ids (32-bit; -1 for a word without a number), numerators, n_known: tokens with the numbers and counts of all their words.
 
-def _resolved(tokens: DataFrame, words: DataFrame, counts: np.ndarray, kinds: np.ndarray, end: int, classes: int) -> DataFrame:
-    """_row, _id, _train, kinds (16-bit, ends included), numerators, n_known: tokens with the classes and counts of all their words."""
-    logs, unknown = np.log10(counts + SMOOTH), classes
+    ``others`` has key, c and id of the words that tasks don't know by heart.
+    """
+    logs = np.log10(counts + SMOOTH)
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out, numerators, known = [], [], []
             for places in batch.column("places").to_pylist():
                 at = np.frombuffer(places, np.int32)
-                kind = np.full(len(at) + 2, classes + 1, np.uint16)
                 ours = at >= 0
-                kind[1:-1] = _WAITING
-                kind[1:-1][ours] = kinds[at[ours]]
-                out.append(kind.tobytes())
+                out.append(np.where(ours, at, _WAITING).astype(np.int32).tobytes())
                 numerators.append(float(logs[at[ours]].sum()) + float(np.log10(end + SMOOTH)))
                 known.append(int(ours.sum()) + (end > 0))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in ("_row", "_id", "_train")), pa.array(out, pa.binary()), pa.array(numerators, pa.float64()), pa.array(known, pa.int64())],
-                ["_row", "_id", "_train", "kinds", "numerators", "known"])
+                ["_row", "_id", "_train", "ids", "numerators", "known"])
 
-    own = f"_row long, _id {tokens.schema['_id'].dataType.simpleString()}, _train boolean, kinds binary, "
+    own = f"_row long, _id {tokens.schema['_id'].dataType.simpleString()}, _train boolean, ids binary, "
     mine = tokens.select("_row", "_id", "_train", "places").mapInArrow(local, own + "numerators double, known long")
-    others = tokens.select("_row", F.posexplode("rest").alias("pos", "key")).join(words, "key", "left").groupBy("_row").agg(
+    late = tokens.select("_row", F.posexplode("rest").alias("pos", "key")).join(others, "key", "left").groupBy("_row").agg(
         F.sum(F.log10(F.coalesce("c", F.lit(0)) + SMOOTH)).alias("more"), F.count("c").alias("found"),
-        F.array_sort(F.collect_list(F.struct("pos", F.coalesce("kind", F.lit(unknown)).cast("int").alias("kind")))).alias("rest"))
-    others = others.select("_row", "more", "found", F.transform("rest", lambda x: x["kind"]).alias("rest"))
+        F.array_sort(F.collect_list(F.struct("pos", F.coalesce("id", F.lit(-1)).alias("id")))).alias("rest"))
+    late = late.select("_row", "more", "found", F.transform("rest", lambda x: x["id"]).alias("rest"))
 
     @F.pandas_udf("binary")
-    def filled(kinds: pd.Series, rest: pd.Series) -> pd.Series:
+    def filled(ids: pd.Series, rest: pd.Series) -> pd.Series:
         out = []
-        for kind, late in zip(kinds, rest):
-            if late is not None:
-                kind = np.frombuffer(kind, np.uint16).copy()
-                kind[kind == _WAITING] = late
-                kind = kind.tobytes()
-            out.append(kind)
+        for packed, found in zip(ids, rest):
+            if found is not None:
+                at = np.frombuffer(packed, np.int32).copy()
+                at[at == _WAITING] = found
+                packed = at.tobytes()
+            out.append(packed)
         return pd.Series(out)
 
-    both = mine.join(others, "_row", "left")
+    both = mine.join(late, "_row", "left")
     return both.select(
-        "_row", "_id", "_train", filled("kinds", "rest").alias("kinds"),
+        "_row", "_id", "_train", filled("ids", "rest").alias("ids"),
         (F.col("numerators") + F.coalesce("more", F.lit(0.0))).alias("numerators"), (F.col("known") + F.coalesce("found", F.lit(0))).alias("n_known"))
 
 
-def kind_pairs(texts: DataFrame, kinds: int) -> np.ndarray:
-    """How often kinds follow each other in the rows of ``_resolved``; a matrix of kinds comes to the driver."""
+def kind_pairs(texts: DataFrame, kinds_of, kinds: int) -> np.ndarray:
+    """How often kinds follow each other in the rows of ``_numbered``; a matrix of kinds comes to the driver."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = kinds_of.value
         matrix = np.zeros(kinds * kinds, np.int64)
         for batch in batches:
-            for packed in batch.column("kinds").to_pylist():
-                kind = np.frombuffer(packed, np.uint16).astype(np.int64)
-                codes, n = np.unique(kind[:-1] * kinds + kind[1:], return_counts=True)
-                matrix[codes] += n
+            kind = table[runs(batch, len(table) - 2)[0]].astype(np.int64)
+            matrix += np.bincount(kind[:-1] * kinds + kind[1:], minlength=kinds * kinds)
         codes = np.flatnonzero(matrix)
         yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(matrix[codes])], ["code", "n"])
 
     matrix = np.zeros(kinds * kinds)
-    for code, n in texts.select("kinds").mapInArrow(of, "code long, n long").groupBy("code").agg(F.sum("n")).collect():
+    for code, n in texts.select("ids").mapInArrow(of, "code long, n long").groupBy("code").agg(F.sum("n")).collect():
         matrix[code] = n
     return matrix.reshape(kinds, kinds)
 
@@ -424,9 +507,9 @@ def kind_pairs(texts: DataFrame, kinds: int) -> np.ndarray:
 class Learned:
     classes: int  # the unknown class has this number, the end the next
     total: int  # training tokens
-    vocabulary: DataFrame  # word, key, c
-    words: DataFrame  # key, kind of the words with a class
-    texts: DataFrame  # as of ``_resolved``
+    vocabulary: DataFrame  # word, key, c, id (null for words without a class)
+    kind: np.ndarray  # by number, then of the unknown class and of the end
+    texts: DataFrame  # as of ``_numbered``
     tables: Tables
 
 
@@ -437,44 +520,49 @@ def _own(docs: DataFrame, train_on, id_col: str, text_col: str) -> DataFrame:
 
 
 def learn(own: DataFrame) -> Learned:
-    """The model of the rows with _train, and all rows with the classes of their words."""
+    """The model of the rows with _train, and all rows with the numbers of their words.
+
+    Words that occur LEAST_COUNT times are numbered by falling count, equal ones by key.
+    """
     spark = own.sparkSession
     ship(spark)
-    vocabulary = stored(word_counts(own.where("_train").select("_text")), "vocabulary")
-    total, distinct = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    end = vocabulary.where(F.octet_length("word") == 0).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
-    carried = most_frequent(vocabulary, CARRIED)
-    core, classes = min(CORE, sum(c >= LEAST_COUNT for _, c in carried)), classes_for(distinct)
-    keys = np.array([word_key(w) for w, _ in carried], np.int64)
+    counted = stored(word_counts(own.where("_train").select("_text")), "word-counts")
+    total, distinct, named = counted.agg(
+        F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.count(F.when((F.col("c") >= LEAST_COUNT) & (F.octet_length("word") > 0), 1))).first()
+    end = counted.where(F.octet_length("word") == 0).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    numbered = counted.where((F.col("c") >= LEAST_COUNT) & (F.octet_length("word") > 0)).select("key", "c").withColumn("_1", F.lit(1))
+    numbers = running_sums(numbered, [], [F.col("c").desc(), F.col("key")], {"id": "_1"}).select("key", F.col("id").cast("int").alias("id"))
+    vocabulary = stored(counted.join(numbers, "key", "left"), "vocabulary")
+    discard(counted)
+    carried = [x for x in most_frequent(vocabulary, CARRIED) if x[1] >= LEAST_COUNT]  # the first numbers
+    classes = classes_for(distinct)
+    core = min(CORE, len(carried))
     places = spark.sparkContext.broadcast({w: i for i, (w, _) in enumerate(carried)})
     tokens = stored(tokenized(own, places), "tokens")
-    training = tokens.where("_train")
+    counts = np.array([c for _, c in carried], np.float64)
+    others = vocabulary.where((F.col("id") >= len(carried)) | F.col("id").isNull()).select("key", "c", "id")
+    texts = stored(_numbered(tokens, others, counts, end), "numbered-texts")
+    discard(tokens)
+    training = texts.where("_train")
     pairs = stored(core_pairs(training, core), "core-pairs")
-    kind, matrix = exchange(pairs, core, classes)
-    discard(pairs)
-    placed = stored(placed_words(neighbours(training, kind, keys), matrix), "placed-words")
-    # The carried words outside the core are those of the highest counts; their classes come to the driver.
-    found = dict(placed.where(F.col("c") >= carried[-1][1]).select("key", "kind").collect()) if carried else {}
-    of_carried = np.array([kind[i] if i < core else found.get(int(key), classes) for i, key in enumerate(keys)], np.uint16)
-    of_core = spark.createDataFrame(pd.DataFrame({"key": keys[:core], "kind": kind[:core].astype(np.int32)}), "key long, kind int")
-    words = stored(placed.select("key", "kind").unionByName(of_core), "word-classes")
-    types = np.zeros(classes + 2)
-    for k, n in words.groupBy("kind").count().collect():
-        types[k] = n
+    started, matrix = exchange(pairs, core, classes)
+    table = stored(contexts(training, named), "word-contexts")
+    kind = np.full(named + 2, classes, np.uint16)
+    kind[:core], kind[-1] = started[:core], classes + 1
+    kind = exchange_all(table, kind, classes, matrix)
+    discard(pairs, table)
+    types = np.bincount(kind[:-2], minlength=classes + 2).astype(float)
+    types[classes] += max(0, distinct - (1 if end else 0) - named)
     types[classes + 1] = 1
-    types[classes] = max(0, distinct - (1 if end else 0) - types[:classes].sum())
-    counts = np.array([c for _, c in carried], np.float64)
-    known = vocabulary.select("key", "c").join(words, "key", "left")
-    texts = stored(_resolved(tokens, known, counts, of_carried, end, classes), "resolved-texts")
-    discard(tokens, placed)
-    tables = Tables.of(kind_pairs(texts.where("_train"), classes + 2), types, total, distinct)
-    return Learned(classes, total, vocabulary, words, texts, tables)
+    tables = Tables.of(kind_pairs(training, spark.sparkContext.broadcast(kind), classes + 2), types, total, distinct)
+    return Learned(classes, total, vocabulary, kind, texts, tables)
 
 
 def word_classes(docs: DataFrame, train_on, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """word, c, kind of every training word; kind is null in the unknown class."""
     learned = learn(_own(docs, train_on, id_col, text_col))
-    words = learned.vocabulary.where(F.octet_length("word") > 0).join(learned.words, "key", "left")
+    of = docs.sparkSession.createDataFrame(pd.DataFrame({"id": np.arange(len(learned.kind) - 2, dtype=np.int32), "kind": learned.kind[:-2].astype(np.int32)}), "id int, kind int")
+    words = learned.vocabulary.where(F.octet_length("word") > 0).join(of, "id", "left")
     return words.select(F.col("word").cast("string").alias("word"), "c", "kind")
 
 
@@ -492,19 +580,24 @@ def class_scores(docs: DataFrame, train_on, id_col: str = "doc_id", text_col: st
     """
     spark = docs.sparkSession
     learned = learn(_own(docs, train_on, id_col, text_col))
-    discard(learned.vocabulary, learned.words)
-    classes, model = learned.classes, spark.sparkContext.broadcast(learned.tables)
-
-    @F.pandas_udf("n_tokens long, n_classed long, base_score double, score double")
-    def scored(kinds: pd.Series, numerators: pd.Series) -> pd.DataFrame:
-        tables, out = model.value, []
-        for packed, numerator in zip(kinds, numerators):
-            kind = np.frombuffer(packed, np.uint16)
-            n = len(kind) - 1
-            out.append((n, int((kind < classes).sum()), numerator - n * tables.base, tables.score(kind, numerator)))
-        return pd.DataFrame(out, columns=["n_tokens", "n_classed", "base_score", "score"])
-
-    out = learned.texts.select("_id", "n_known", scored("kinds", "numerators").alias("s"))
+    discard(learned.vocabulary)
+    classes, model = learned.classes, spark.sparkContext.broadcast((learned.tables, learned.kind))
+    kept = learned.texts.schema["_id"].dataType.simpleString()
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables, table = model.value
+        for batch in batches:
+            tokens, ends = runs(batch, len(table) - 2)
+            kind = table[tokens].astype(np.int64)
+            numerator = batch.column("numerators").to_numpy()
+            each, n = tables.transition[kind[:-1], kind[1:]] - tables.emission[kind[1:]], np.diff(ends)
+            score = numerator + (np.add.reduceat(each, ends[:-1]) if len(n) else 0.0)
+            classed = np.add.reduceat((kind[1:] < classes).astype(np.int64), ends[:-1]) if len(n) else n
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_id"), pa.array(n), batch.column("n_known"), pa.array(classed), pa.array(numerator - n * tables.base), pa.array(score)],
+                ["_id", "n_tokens", "n_known", "n_classed", "base_score", "score"])
+
+    out = learned.texts.select("_id", "ids", "numerators", "n_known").mapInArrow(scored, f"_id {kept}, n_tokens long, n_known long, n_classed long, base_score double, score double")
     return out.select(
-        F.col("_id").alias(id_col), "s.n_tokens", "n_known", "s.n_classed", F.lit(learned.total).cast("long").alias("train_tokens"), "s.base_score", "s.score",
-        F.pow(F.lit(10.0), -F.col("s.score") / F.col("s.n_tokens")).alias("perplexity"))
+        F.col("_id").alias(id_col), "n_tokens", "n_known", "n_classed", F.lit(learned.total).cast("long").alias("train_tokens"), "base_score", "score",
+        F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))
