@@ -17,7 +17,12 @@ from tidemark.llm.substring_dedup import cut_repeats
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is found, with that language as ``lang``; texts without a letter go."""
+    """Documents whose language is found, with that language as ``lang``; texts without a letter go.
+
+    Null and empty texts go with them; repeated rows and null ids are judged row by row, by
+    their texts alone; further columns stay.  An empty table, or one without any known language to learn
+    from, gives an empty one.
+    """
     ship(spark)
     return keep_identified(docs, crc_fold("doc_id") != 0)
 
@@ -33,7 +38,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages of 50 words and more that a document with a smaller id has."""
+    """Documents without the passages of 50 words and more that a document with a smaller id has.
+
+    A document of which no word is left goes; one that had none, null texts among them,
+    stays as it is, and so do documents with a null id, which repeat nothing.  Rows that share an id
+    repeat nothing of each other.  Further columns stay; an empty table gives an empty one.
+    """
     ship(spark)
     return cut_repeats(docs)
 
