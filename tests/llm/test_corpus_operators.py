@@ -462,8 +462,7 @@ def test_padding_is_least_over_long_lengths(spark):
     assert sum(r.padding for r in got) == least_padding(lengths.tolist(), counts, 6)
 
 
-def test_packing(spark, monkeypatch):
-    monkeypatch.setattr(packing, "SHARD_ROWS", 50)
+def test_packing(spark):
     rnd = random.Random(8)
     rows = [(i, "w " * int(rnd.lognormvariate(3, 1))) for i in range(900)] + [(9000, "w " * 40000), (9001, None), (9002, ""), (None, "w w"), (3, "w")]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("bucket", F.lit("x")).withColumn("n_tokens", F.lit(1))
@@ -479,6 +478,9 @@ def test_packing(spark, monkeypatch):
         sizes[bucket].append(len(members) == each)
     assert all(full.count(False) <= 1 for full in sizes.values())
     assert packing.pack(df.limit(0)).count() == 0
+    nobody = spark.createDataFrame([(None, "w " * (i % 3)) for i in range(300)] + [(7, "w")] * 300, "doc_id long, text string")
+    got = packing.pack(nobody, token_budget=10).collect()
+    assert len({(r.bucket, r.batch, r.slot) for r in got}) == len(got) == 600
 
 
 def test_pipeline_stages_on_edge_rows(spark, tmp_path):

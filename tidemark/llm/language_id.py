@@ -66,6 +66,16 @@ def ngrams(text: str) -> tuple[np.ndarray, bool]:
     return present, True
 
 
+def packed(present: np.ndarray) -> bytes:
+    """The set cells of a bitmap: their numbers, or the bitmap where that is shorter.  No text takes more than BUCKETS bits."""
+    cells = np.flatnonzero(present).astype(np.int32)
+    return cells.tobytes() if 4 * len(cells) < BUCKETS // 8 else np.packbits(present).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.flatnonzero(np.unpackbits(np.frombuffer(data, np.uint8))) if len(data) == BUCKETS // 8 else np.frombuffer(data, np.int32).astype(np.int64)
+
+
 class KernelModel:
     """Landmark columns, map and ridge weights; small arrays whose size the sample bounds."""
 
@@ -130,12 +140,12 @@ def train(docs: DataFrame, train_on: Column, id_col: str = "doc_id", text_col: s
     order = W.partitionBy(label_col).orderBy(draw, id_col)
     few = few.select(id_col, label_col, text_col).withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= TRAIN_PER_LANGUAGE)
 
-    @F.pandas_udf("array<int>")
+    @F.pandas_udf("binary")
     def features(texts: pd.Series) -> pd.Series:
-        return pd.Series([np.flatnonzero(ngrams(t)[0]).astype(np.int32) for t in texts])
+        return pd.Series([packed(ngrams(t)[0]) for t in texts])
 
     rows = few.select(label_col, "_n", features(text_col)).collect()
-    rows = sorted((r[0], r[1], np.asarray(r[2], np.int64)) for r in rows if r[2])
+    rows = sorted((r[0], r[1], unpacked(r[2])) for r in rows if r[2])
     return KernelModel(sorted({r[0] for r in rows}), [r[2] for r in rows], [r[0] for r in rows]) if rows else None
 
 

@@ -9,13 +9,12 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
+from ..functions.exprs import running_sums
 from .common import stored, words_col
 
 BUCKETS = 16
 TOKEN_BUDGET = 16384
-SHARD_ROWS = 20_000  # documents numbered in one task, by expectation
 
 
 def boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int = BUCKETS) -> list[int]:
@@ -68,26 +67,22 @@ def pack(docs: DataFrame, id_col: str = "doc_id", length: Column | None = None,
     lengths above boundary b-1 up to boundary b, and a batch of it holds
     floor(token_budget / boundary) documents, one at least; only the last batch of a
     bucket may hold fewer.  No document is cut or dropped.  Batches are numbered within
-    their bucket by a hash of the id, so they mix sources; rows are numbered shard by
-    shard and shards are joined by running totals, so a bucket with most rows still
-    spreads over tasks.  An empty table gives an empty result; repeated rows are packed each.
+    their bucket in the order of a hash of the id, so they mix sources; rows are numbered by
+    running counts over ranges, so a bucket with most rows, or an id with most, still
+    spreads over tasks.  An empty table gives an empty result; repeated rows and null ids are packed each.
     """
     measured = F.size(words_col(F.coalesce(F.col(text_col), F.lit("")))) if length is None else F.coalesce(length, F.lit(0))
-    rows = stored(docs.select(F.col(id_col), measured.cast("long").alias("n_tokens")), "lengths")
+    rows = stored(docs.select(F.col(id_col), measured.cast("long").alias("n_tokens"), F.monotonically_increasing_id().alias("_row")), "lengths")
     # One cell for each distinct length: the histogram grows with the range of lengths, not with the documents.
     cells = rows.groupBy("n_tokens").count().toPandas().sort_values("n_tokens")
     ends = boundaries(cells["n_tokens"].to_numpy(np.int64), cells["count"].to_numpy(np.int64), buckets)
-    total = int(cells["count"].sum())
     edges = F.array(*[F.lit(e).cast("long") for e in ends]) if ends else F.array().cast("array<long>")
     rows = rows.withColumn("bucket", F.size(F.filter(edges, lambda e: e < F.col("n_tokens"))))
     rows = rows.withColumn("padded_length", F.element_at(edges, F.col("bucket") + 1) if ends else F.lit(0).cast("long"))
-    draw = F.xxhash64(F.col(id_col).cast("string"))
-    rows = rows.withColumn("_draw", draw).withColumn("_shard", F.pmod(draw, F.lit(max(1, -(-total // SHARD_ROWS)))).cast("int"))
-    before = W.partitionBy("bucket").orderBy("_shard").rowsBetween(W.unboundedPreceding, -1)
-    sizes = rows.groupBy("bucket", "_shard").count().withColumn("_before", F.coalesce(F.sum("count").over(before), F.lit(0)))
-    place = F.row_number().over(W.partitionBy("bucket", "_shard").orderBy("_draw", id_col))
-    rows = rows.withColumn("_n", place).join(sizes.drop("count"), ["bucket", "_shard"])
-    at = F.col("_before") + F.col("_n") - 1
+    rows = rows.withColumn("_draw", F.xxhash64(F.col(id_col).cast("string"))).withColumn("_1", F.lit(1))
+    # Rows of one id, or of none, are told apart by their place in the input, so they spread over ranges too.
+    rows = running_sums(rows, ["bucket"], [F.col("_draw"), F.col(id_col), F.col("_row")], {"_at": "_1"})
+    at = F.col("_at")
     each = F.greatest(F.lit(1), F.floor(F.lit(token_budget) / F.greatest("padded_length", F.lit(1))))
     return rows.select(
         id_col, "n_tokens", "bucket", "padded_length",

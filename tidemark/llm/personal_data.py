@@ -27,6 +27,19 @@ IDENTIFIER_CUES = (
     "private_key", "secret", "secret_key", "ssn", "token",
 )
 
+#: Those of them that name a secret, whose value may have no digits after a sign of assignment.
+SECRET_CUES = ("access_key", "api_key", "apikey", "auth_key", "passwd", "password", "private_key", "secret", "secret_key", "token")
+
+# Public forms of access tokens, by the letters they begin with.
+TOKEN_FORMS = {
+    "akia": re.compile(r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])"),
+    "ghp_": re.compile(r"ghp_[0-9A-Za-z]{36}(?![0-9A-Za-z])"),
+    "gho_": re.compile(r"gho_[0-9A-Za-z]{36}(?![0-9A-Za-z])"),
+    "github_pat_": re.compile(r"github_pat_[0-9A-Za-z_]{22,}"),
+    "xoxb-": re.compile(r"xoxb-[0-9A-Za-z-]{20,}"),
+    "xoxp-": re.compile(r"xoxp-[0-9A-Za-z-]{20,}"),
+}
+
 _DIGITS = "0123456789"
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -50,6 +63,8 @@ def automaton():
         found.add_word(cue, (len(cue), cue[0], None))
     for word in IDENTIFIER_CUES:
         found.add_word(word, (len(word), "w", word))
+    for start in TOKEN_FORMS:
+        found.add_word(start, (len(start), "t", start))
     found.make_automaton()
     return found
 
@@ -79,7 +94,8 @@ def identifier(text: str, after: int, cue: str) -> tuple[int, int] | None:
 
     An IBAN is valid by its check digits.  Other values have eight characters or more, four
     of them digits, without an upper bound; digits may stand in groups if a sign or word
-    joins them to the cue.  A date is no identifier.
+    joins them to the cue.  A secret needs no digit after ``=``, and after ``:`` one digit or 16
+    characters.  A date is no identifier.
     """
     m = _BRIDGE.match(text, after)
     at = m.end()
@@ -89,9 +105,12 @@ def identifier(text: str, after: int, cue: str) -> tuple[int, int] | None:
     if m[0].strip(" \t") and (g := _GROUPS.match(text, at)) and 8 <= sum(map(g[0].count, _DIGITS)) <= 24:
         return None if _DATE.fullmatch(g[0]) else (at, g.end())
     v = _VALUE.match(text, at)
-    if not v or at == after or len(v[0]) < 8 or sum(map(v[0].count, _DIGITS)) < 4 or _DATE.fullmatch(v[0]):
+    if not v or at == after or len(v[0]) < 8 or _DATE.fullmatch(v[0]):
         return None
-    return at, v.end()
+    digits = sum(map(v[0].count, _DIGITS))
+    if digits >= 4 or cue in SECRET_CUES and ("=" in m[0] or ":" in m[0] and (digits or len(v[0]) >= 16)):
+        return at, v.end()
+    return None
 
 
 def _lowered(text: str) -> str:
@@ -133,6 +152,10 @@ def find_spans(text: str, cues) -> list[tuple[int, int, int]]:
         elif cue == "+":
             if (m := _PHONE.match(text, at)) and 9 <= sum(map(m[0].count, _DIGITS)) <= 15:
                 spans.append((at, 3, m.end()))
+        elif cue == "t":
+            if at >= end_account and not (at and text[at - 1].isalnum()) and (m := TOKEN_FORMS[word].match(text, at)):
+                end_account = m.end()
+                spans.append((at, 4, end_account))
         elif cue == "w":
             # A cue begins a word, or a part of one that an underscore or a capital sets off.
             inside = at and text[at - 1].isalnum() and not (text[at].isupper() and text[at - 1].islower())
