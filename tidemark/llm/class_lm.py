@@ -26,9 +26,10 @@ from pyspark.sql import functions as F
 from ..functions.exprs import running_sums
 from .common import Memo, discard, ship, stored, text_or_empty
 
-CORE = 4000  # most frequent words, with which the exchange starts: they choose in turn
-ROUNDS = 40  # of the start, and of the exchange of all words, at most; each moves half of the words
-SETTLED = 1e-4  # share of the likelihood that two rounds must gain for the exchange to go on
+CORE = 1000  # most frequent words, with which the exchange starts: they choose in turn
+ROUNDS = 40  # of the exchange at most; each moves half of the words
+STARTING_ROUNDS = 2  # in which the first words choose in turn
+SETTLED = 1e-3  # share of the likelihood that two rounds must gain for the exchange to go on
 LEAST_COUNT = 2  # occurrences of a word with a class of its own choice
 CLASSES = 128  # at most: what a choice costs grows with the classes, and so does the matrix that every task holds
 SMALL = 0.05  # share of the mean mass of a class below which words that choose at once don't enter it
@@ -187,7 +188,7 @@ def best_class(matrix: np.ndarray, own: int, after: np.ndarray, before: np.ndarr
 
 
 def exchange(pairs: DataFrame, core: int, classes: int) -> tuple[np.ndarray, np.ndarray]:
-    """(kind of every token of ``core_pairs``, counts of kind pairs) once the likelihood settles.
+    """(kind of every token of ``core_pairs``, counts of kind pairs) after STARTING_ROUNDS.
 
     In a round, Spark sums for half of the words how often each kind follows and precedes
     each; then the words choose in turn, the most frequent first, and every move changes
@@ -197,9 +198,8 @@ def exchange(pairs: DataFrame, core: int, classes: int) -> tuple[np.ndarray, np.
     """
     spark, kinds = pairs.sparkSession, classes + 2
     kind = np.concatenate([np.arange(core) % classes, [classes, classes + 1]])
-    history: list[float] = []
     best: tuple[float, np.ndarray, np.ndarray] | None = None
-    for turn in range(ROUNDS + 1):
+    for turn in range(STARTING_ROUNDS + 1):
         table = spark.createDataFrame(pd.DataFrame({"w": np.arange(len(kind), dtype=np.int32), "k": kind.astype(np.int32)}))
         one, two = (F.broadcast(table.select(F.col("w").alias(f"w{i}"), F.col("k").alias(f"k{i}"))) for i in (1, 2))
         placed = pairs.join(one, "w1").join(two, "w2")
@@ -209,8 +209,7 @@ def exchange(pairs: DataFrame, core: int, classes: int) -> tuple[np.ndarray, np.
         value = likelihood(matrix)
         if best is None or value > best[0]:
             best = value, kind.copy(), matrix
-        history.append(value)
-        if turn == ROUNDS or not core or (turn > 2 and history[-1] - history[-3] < SETTLED * abs(history[-1])):
+        if turn == STARTING_ROUNDS or not core:
             break
         moving = lambda w: (F.col(w) < core) & (F.col(w) % 2 == turn % 2)
         sides = placed.where(moving("w1")).select(F.col("w1").alias("w"), F.col("k2").alias("k"), "n").unionByName(
