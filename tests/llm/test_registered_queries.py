@@ -194,7 +194,7 @@ def test_null_ids_and_repeated_rows(spark, tmp_path):
     docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     for name, query in QUERIES.items():
-        if name != "op6_embedding_dedup":
+        if name not in ("op6_embedding_dedup", "op11_prefix_trie", "op12_vector_codes"):  # they read other tables
             out = query(spark, str(tmp_path))
             assert out.count() == 4, name
             if "held_out" in out.columns:
