@@ -379,7 +379,8 @@ def test_contexts_count_all_neighbours(spark, monkeypatch):
             want[a, 2 * b] += a < 12
             want[b, 2 * a + 1] += b < 12
     rows = class_lm.contexts(df, 12).collect()
-    got = {(r.w, int(code)): int(n) for r in rows for code, n in np.frombuffer(r.seen, np.int32).reshape(-1, 2)}
+    got = {(r.w, int(code)): int(n) for r in rows for code, n in np.frombuffer(r.after + r.before, np.int32).reshape(-1, 2)}
+    assert all((r.unknown, r.end) == (want[r.w, 2 * 12 + 1], want[r.w, 2 * 13 + 1]) for r in rows)
     assert got == {k: n for k, n in want.items() if n} and len(rows) == len({r.w for r in rows})
     kind = np.array([*(i % 4 for i in range(12)), 4, 5], np.uint16)
     matrix = class_lm.class_matrix(class_lm.contexts(df, 12), spark.sparkContext.broadcast(kind), 6)

@@ -255,8 +255,23 @@ def _summed(codes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return codes, np.bincount(at, weights=n, minlength=len(codes)).astype(np.int64)
 
 
+def _rows(codes: np.ndarray, n: np.ndarray, words: int) -> pa.RecordBatch:
+    """The sorted codes of whole words and their counts, a row for each word, as ``contexts`` gives them."""
+    word, before, other = codes // _SIDE, codes % 2 == 1, codes % _SIDE // 2
+    names, at = np.unique(word, return_inverse=True)
+    sides = []
+    for side in (~before, before):
+        pairs = np.ascontiguousarray(np.stack([codes[side] % _SIDE, n[side]], axis=1).astype(np.int32))
+        ends = np.searchsorted(word[side], np.append(names, names[-1:] + 1)).astype(np.int32) * 8
+        sides.append(pa.Array.from_buffers(pa.binary(), len(names), [None, pa.py_buffer(ends), pa.py_buffer(pairs)]))
+    outer = [np.bincount(at[x], n[x], len(names)).astype(np.int64) for x in (before & (other == words), before & (other > words))]
+    return pa.RecordBatch.from_arrays([pa.array(names.astype(np.int32)), *sides, *map(pa.array, outer)], ["w", "after", "before", "unknown", "end"])
+
+
 def contexts(texts: DataFrame, words: int) -> DataFrame:
-    """w, seen: for each of the ``words`` numbered words, how often every token follows and precedes it.
+    """w, after, before, unknown, end: for each of the ``words`` numbered words, how often every token follows and precedes it.
+
+    The last two are how often a word without a number and an end precede it.
 
     Tasks count pairs before anything is shuffled, so of a frequent word, each sends its
     distinct neighbours only.  The counts of a word meet sorted, as a stream, and add up to one row.
@@ -282,13 +297,13 @@ def contexts(texts: DataFrame, words: int) -> DataFrame:
             codes, n = _summed(np.concatenate([codes, new[0]]), np.concatenate([n, new[1]]))
             done = int(np.searchsorted(codes, codes[-1] // _SIDE * _SIDE)) if len(codes) else 0
             if done:
-                yield _packed(codes[:done], n[:done])
+                yield _rows(codes[:done], n[:done], words)
             codes, n = codes[done:], n[done:]
         if len(codes):
-            yield _packed(codes, n)
+            yield _rows(codes, n, words)
 
-    kinds = "w int, seen binary"
-    return texts.select("ids").mapInArrow(count, kinds).repartition("w").sortWithinPartitions("w").mapInArrow(merge, kinds)
+    counted = texts.select("ids").mapInArrow(count, "w int, seen binary").repartition("w").sortWithinPartitions("w")
+    return counted.mapInArrow(merge, "w int, after binary, before binary, unknown long, end long")
 
 
 def class_matrix(table: DataFrame, kinds_of, kinds: int) -> np.ndarray:
@@ -297,16 +312,16 @@ def class_matrix(table: DataFrame, kinds_of, kinds: int) -> np.ndarray:
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind, matrix = kinds_of.value.astype(np.int64), np.zeros(kinds * kinds)
         for batch in batches:
-            codes, n = _codes(batch.column("w").to_numpy(), batch.column("seen").to_pylist())
-            own, other, before = kind[codes // _SIDE], codes % _SIDE // 2, codes % 2 == 1
-            matrix += np.bincount((own * kinds + kind[other])[~before], n[~before], kinds * kinds)
-            outer = before & (other >= len(kind) - 2)
-            matrix += np.bincount((kind[other] * kinds + own)[outer], n[outer], kinds * kinds)
+            words = batch.column("w").to_numpy()
+            codes, n = _codes(words, batch.column("after").to_pylist())
+            matrix += np.bincount(kind[codes // _SIDE] * kinds + kind[codes % _SIDE // 2], n, kinds * kinds)
+            for before, name in ((kinds - 2, "unknown"), (kinds - 1, "end")):
+                matrix[before * kinds :][:kinds] += np.bincount(kind[words], batch.column(name).to_numpy(), kinds)
         at = np.flatnonzero(matrix)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(matrix[at].astype(np.int64))], ["code", "n"])
 
     out = np.zeros(kinds * kinds)
-    for code, n in table.mapInArrow(of, "code long, n long").groupBy("code").agg(F.sum("n")).collect():
+    for code, n in table.select("w", "after", "unknown", "end").mapInArrow(of, "code long, n long").groupBy("code").agg(F.sum("n")).collect():
         out[code] = n
     return out.reshape(kinds, kinds)
 
@@ -371,10 +386,10 @@ def choices(table: DataFrame, kinds_of, matrix: np.ndarray) -> tuple[np.ndarray,
         kind, choice = kinds_of.value.astype(np.int64), Choice(matrix)
         for batch in batches:
             words = batch.column("w").to_numpy()
-            seen = batch.column("seen").to_pylist()
+            sides = [batch.column(c).to_pylist() for c in ("after", "before")]
             for i in range(0, len(words), 1000):
                 w = words[i : i + 1000]
-                codes, n = _codes(np.arange(len(w)), seen[i : i + 1000])
+                codes, n = map(np.concatenate, zip(*[_codes(np.arange(len(w)), side[i : i + 1000]) for side in sides]))
                 place = codes % _SIDE
                 cells = codes // _SIDE * (2 * kinds) + place % 2 * kinds + kind[place // 2]
                 sums = np.bincount(cells, n, len(w) * 2 * kinds)
@@ -384,7 +399,7 @@ def choices(table: DataFrame, kinds_of, matrix: np.ndarray) -> tuple[np.ndarray,
                 moved = best != own
                 yield pa.RecordBatch.from_arrays([pa.array(w[moved]), pa.array(best[moved].astype(np.int32))], ["w", "kind"])
 
-    found = table.mapInArrow(of, "w int, kind int").toArrow()
+    found = table.select("w", "after", "before").mapInArrow(of, "w int, kind int").toArrow()
     return found["w"].to_numpy(), found["kind"].to_numpy()
 
 
