@@ -15,6 +15,15 @@ from tidemark.llm.packing import pack
 from tidemark.llm.personal_data import redact
 from tidemark.llm.substring_dedup import cut_repeats
 
+BATCH_ROWS = "250"  # documents that a Python worker sees at once: stages follow each other in workers that keep what they once took
+
+
+def prepare(spark: SparkSession) -> None:
+    """Ships the package and lowers the session's Arrow batches from where ``ship`` leaves them; a setting of one's own stays."""
+    ship(spark)
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "1000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is found, with that language as ``lang``; texts without a letter go.
@@ -23,7 +32,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     their texts alone; further columns stay.  An empty table, or one without any known language to learn
     from, gives an empty one.
     """
-    ship(spark)
+    prepare(spark)
     return keep_identified(docs, crc_fold("doc_id") != 0)
 
 
@@ -33,7 +42,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Documents with a null id or without words stay; rows that share the id of a document
     that stays do so too.  An empty table gives an empty one; further columns stay.
     """
-    ship(spark)
+    prepare(spark)
     return drop_near_duplicates(docs)
 
 
@@ -44,7 +53,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     stays as it is, and so do documents with a null id, which repeat nothing.  Rows that share an id
     repeat nothing of each other.  Further columns stay; an empty table gives an empty one.
     """
-    ship(spark)
+    prepare(spark)
     return cut_repeats(docs)
 
 
@@ -53,7 +62,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     An empty table gives an empty one; all columns stay, and n_chars is counted anew.
     """
-    ship(spark)
+    prepare(spark)
     return redact(docs)
 
 
@@ -63,7 +72,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null texts count as length 0; repeated rows and null ids are packed each; an empty
     table gives an empty result.
     """
-    ship(spark)
+    prepare(spark)
     return pack(docs)
 
 
