@@ -435,3 +435,60 @@ def test_permutation_importance_finds_the_column_that_matters(spark):
     assert got["x"].mean_importance == pytest.approx(np.mean(lost), abs=0.05)
     dealt = modelling.shuffled(df.withColumn("_r", F.monotonically_increasing_id()), ["x"], 1).collect()
     assert sorted(r._other.x for r in dealt) == sorted(x) and sum(r._other.x == r.x for r in dealt) < 20
+
+def test_packed_scores_rank_like_single_ones(spark):
+    rng = np.random.default_rng(8)
+    rows, df = scores(spark, rng, n=3000)
+    packed = []
+    for repeat in (0, 1):
+        mine = [x for x in rows if x[0] == repeat]
+        for i in range(0, 3000, 500):
+            part = mine[i : i + 500]
+            packed += metrics.packed_steps(repeat, np.array([x[2] for x in part]), np.array([x[3] for x in part]), np.array([0.1, 0.3, 0.31, 0.8]))
+    packed += metrics.packed_steps(2, np.array([0.2, 0.4]), np.array([0, 0]), np.zeros(0))  # no event, so no measure
+    table = spark.createDataFrame(packed, metrics.STEPS)
+    assert table.count() <= 2 * 6 * 5 + 1 and list(metrics.packed_steps(0, np.zeros(0), np.zeros(0), np.zeros(0))) == []
+    want = {r.repeat: r.pr_auc for r in metrics.ranking_metrics(df, "customer", []).collect()}
+    got = metrics.packed_precision(table)
+    assert set(got) == {0, 1} and all(got[r] == pytest.approx(want[r], abs=1e-12) for r in want)
+
+
+def test_columns_dealt_anew_are_scored_to_the_last_bit():
+    from tidemark.operators.boosting import boost
+
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(3000, 4))
+    y = (x[:, 0] + x[:, 1] * x[:, 2] + rng.normal(size=3000) > 0).astype(float)
+    for depth, least in ((3, 20), (None, 5)):  # values by a table, and by a walk for trees of many splits
+        found = boost(list(x.T), y, np.ones(3000), 0.1, 20, depth, least, 1.0, 42)
+        assert any(t is None for t in found.tables) == (depth is None)
+        new = np.asfortranarray(x.copy())
+        new[:, 1] = new[::-1, 1]
+        assert np.array_equal(found.anew(new, [1], found.leaves(x)), found.raw(new))
+        one = [found.base + sum(walk(found, t, row) for t in range(len(found.feature))) for row in new[:50]]
+        np.testing.assert_allclose(found.raw(new)[:50], one, atol=1e-12)
+
+
+def walk(trees, t, row):
+    n = 0
+    while trees.feature[t, n] >= 0:
+        n = (trees.left if row[trees.feature[t, n]] <= trees.threshold[t, n] else trees.right)[t, n]
+    return trees.value[t, n]
+
+
+def test_bins_are_counted_jointly():
+    from tidemark.operators.boosting import BINS, Bins
+
+    rng = np.random.default_rng(10)
+    kind = rng.integers(0, 4, 900)
+    codes = np.column_stack([rng.integers(0, 256, 900), *[kind == k for k in range(4)], rng.random(900) < 0.5, rng.integers(0, 9, 900), kind == 2, np.zeros(900)]).astype(np.uint8)
+    codes = np.column_stack([codes, codes[:, 0]])
+    bins, g, h = Bins(codes), rng.normal(size=900), rng.random(900)
+    assert len(bins.joint) == 2 and set(bins.feature) == {0, 1, 2, 3, 4, 5, 6}  # equal and constant columns are left out
+    for rows in (None, np.flatnonzero(rng.random(900) < 0.4)):
+        at = np.arange(900) if rows is None else rows
+        sums = bins.of(g, h, rows)
+        for i, (f, last) in enumerate(zip(bins.feature, bins.last)):
+            mine = at[codes[at, f] == (last if f in (0, 6) else 1)]
+            np.testing.assert_allclose(sums[:, 1 + i], [g[mine].sum(), h[mine].sum(), len(mine)], atol=1e-9)
+    assert bins.cells == 2 * (BINS + 1)

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -18,7 +20,9 @@ from .linear import sigmoid
 BINS, LEAVES, LEAST_HESSIAN = 255, 31, 1e-3
 STOPPING_ROWS, HELD_OUT, PATIENCE, STOPPING_TOL = 10_000, 0.1, 10, 1e-7
 
-CHUNK = 16_384  # rows whose bins are counted at once
+CHUNK = 16_384  # rows that a tree is asked for at once
+JOINT = 1 << 14  # cells that columns are counted in at once
+TABLE_SPLITS = 8  # of a tree whose values are looked up by the sides taken
 
 
 @dataclass
@@ -32,22 +36,51 @@ class Trees:
     right: np.ndarray
     value: np.ndarray
 
-    def leaves(self, x: np.ndarray, only: np.ndarray | None = None) -> np.ndarray:
-        """rows x trees: the value each of the trees (or those of the numbers ``only``) gives each row."""
-        feature, threshold, left, right, value = (a if only is None else a[only] for a in (self.feature, self.threshold, self.left, self.right, self.value))
-        tree, row = np.arange(len(feature))[None, :], np.arange(len(x))[:, None]
-        node = np.zeros((len(x), len(feature)), int)
-        while len(feature):
-            f = feature[tree, node]
-            inner = f >= 0
-            if not inner.any():
-                break
-            down = np.where(x[row, np.maximum(f, 0)] <= threshold[tree, node], left[tree, node], right[tree, node])
-            node = np.where(inner, down, node)
-        return value[tree, node]
+    @cached_property
+    def tables(self) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """(nodes that split, value for each pattern of the sides taken at them: bit k is set where the k-th goes left) of each tree; None above 8 splits."""
+        out: list[tuple[np.ndarray, np.ndarray] | None] = []
+        for t, feature in enumerate(self.feature):
+            nodes = np.flatnonzero(feature >= 0)
+            if len(nodes) > TABLE_SPLITS:
+                out.append(None)
+                continue
+            place, at = {int(n): k for k, n in enumerate(nodes)}, np.zeros(1 << len(nodes), int)
+            sides = np.arange(len(at))
+            for n in nodes:  # a node's children have higher numbers
+                goes = sides >> place[int(n)] & 1 == 1
+                at = np.where(at == n, np.where(goes, self.left[t, n], self.right[t, n]), at)
+            out.append((nodes, self.value[t, at]))
+        return out
+
+    def given(self, x: np.ndarray, t: int) -> np.ndarray:
+        """The value tree ``t`` gives each row; fast if the columns of ``x`` are contiguous."""
+        if table := self.tables[t]:
+            nodes, values = table
+            code = np.zeros(len(x), np.uint8)
+            for k, n in enumerate(nodes):
+                code |= (x[:, self.feature[t, n]] <= self.threshold[t, n]).view(np.uint8) << k
+            return values[code]
+        out, at = np.zeros(len(x)), [(0, np.arange(len(x)))]
+        while at:
+            n, rows = at.pop()
+            if self.feature[t, n] < 0:
+                out[rows] = self.value[t, n]
+            else:
+                goes = x[rows, self.feature[t, n]] <= self.threshold[t, n]
+                at += [(self.left[t, n], rows[goes]), (self.right[t, n], rows[~goes])]
+        return out
+
+    def leaves(self, x: np.ndarray) -> np.ndarray:
+        """trees x rows: the value each of the trees gives each row."""
+        return np.stack([self.given(x, t) for t in range(len(self.feature))]) if len(self.feature) else np.zeros((0, len(x)))
 
     def raw(self, x: np.ndarray) -> np.ndarray:
-        return self.base + np.concatenate([self.leaves(x[i : i + CHUNK]).sum(axis=1) for i in range(0, len(x), CHUNK)] or [np.zeros(0)])
+        x, out = np.asfortranarray(x), np.full(len(x), self.base)
+        for i in range(0, len(x), CHUNK):
+            for t in range(len(self.feature)):
+                out[i : i + CHUNK] += self.given(x[i : i + CHUNK], t)
+        return out
 
     def predict(self, x: np.ndarray) -> np.ndarray:
         return sigmoid(self.raw(x))
@@ -59,10 +92,16 @@ class Trees:
     def uses(self, columns: Sequence[int]) -> bool:
         return len(self.using(columns)) > 0
 
+    def anew(self, new: np.ndarray, columns: Sequence[int], leaves: np.ndarray) -> np.ndarray:
+        """The raw score of rows after a change of some columns, to the last bit; ``leaves`` are theirs before, and only trees that split on the columns are asked."""
+        only, out = set(self.using(columns)), np.full(len(new), self.base)
+        for t in range(len(self.feature)):
+            out += self.given(new, t) if t in only else leaves[t]
+        return out
+
     def change(self, x: np.ndarray, new: np.ndarray, columns: Sequence[int]) -> np.ndarray:
-        """By how much the raw score of rows changes when some columns do; only trees that split on them are asked."""
-        only = self.using(columns)
-        return self.leaves(new, only).sum(axis=1) - self.leaves(x, only).sum(axis=1)
+        """By how much the raw score of rows changes when some columns do."""
+        return self.anew(new, columns, self.leaves(x)) - self.raw(x)
 
 
 def thresholds(x: np.ndarray) -> np.ndarray:
@@ -73,75 +112,106 @@ def thresholds(x: np.ndarray) -> np.ndarray:
     return np.unique(np.percentile(x, np.linspace(0, 100, BINS + 1)[1:-1], method="midpoint"))
 
 
-class Histograms:
-    """Sums of gradients, Hessians and rows by feature and bin, for the rows of a node.
+class Bins:
+    """Columns of codes made ready, once for all trees, for sums of gradients, Hessians and rows by feature and bin.
 
-    Features of two bins, as indicators and levels are, come from one matrix product.
+    Columns that are equal to an earlier one, or of one bin, are left out, as the first of equals is split.
+    Columns of two bins, as indicators and levels are, share a count with others that are never set with them.
+    Sums of a node lie in one matrix: all its rows, the bins of the other columns, then the set rows of those of two bins.
     """
 
-    def __init__(self, codes: np.ndarray, g: np.ndarray, h: np.ndarray):
-        self.sides = np.stack([g, h, np.ones(len(g))])
-        two = codes.max(axis=0, initial=0) <= 1
-        self.wide, self.two, self.width = np.flatnonzero(~two), np.flatnonzero(two), codes.shape[1]
-        self.codes, self.flags = codes[:, self.wide], codes[:, self.two]
-        self.offsets = np.arange(len(self.wide)) * (BINS + 1)
-
-    def of(self, rows: np.ndarray) -> np.ndarray:
-        n, size = len(self.wide), len(self.wide) * (BINS + 1)
-        bins, ones = np.zeros((3, size)), np.zeros((3, len(self.two)))
-        for i in range(0, len(rows), CHUNK):
-            at = rows[i : i + CHUNK]
-            cells = (self.codes[at] + self.offsets).ravel()
-            bins[2] += np.bincount(cells, None, size)
-            for k in (0, 1):
-                bins[k] += np.bincount(cells, np.repeat(self.sides[k, at], n), size)
-            ones += self.sides[:, at] @ self.flags[at].astype(float)
-        out = np.zeros((3, self.width, BINS + 1))
-        out[:, self.wide] = bins.reshape(3, n, BINS + 1)
-        out[:, self.two, 1], out[:, self.two, 0] = ones, self.sides[:, rows].sum(axis=1)[:, None] - ones
+    def __init__(self, codes: np.ndarray):
+        self.codes, first = np.asfortranarray(codes), {}
+        for f in range(codes.shape[1]):
+            if self.codes[:, f].any():
+                first.setdefault(self.codes[:, f].tobytes(), f)
+        top = codes.max(axis=0, initial=0).astype(int)
+        wide, two = ([f for f in first.values() if (top[f] > 1) == many] for many in (True, False))
+        self.cells = len(wide) * (BINS + 1)
+        # (codes, number of codes, first code that counts, places of the sums)
+        columns = [(self.codes[:, f], int(top[f]) + 1, 0, 1 + i * (BINS + 1) + np.arange(top[f] + 1)) for i, f in enumerate(wide)]
+        set_ = self.codes[:, two].astype(np.float32)
+        meet = set_.T @ set_ > 0
+        bundles: list[list[int]] = []
+        for i in range(len(two)):
+            free = next((b for b in bundles if not meet[i, b].any()), None)
+            bundles.append([i]) if free is None else free.append(i)
+        for b in bundles:
+            columns.append((set_[:, b] @ np.arange(1, len(b) + 1), len(b) + 1, 1, 1 + self.cells + np.array(b)))
+        # Columns are counted jointly, as many as give ``JOINT`` cells; each one's sums are the margins.
+        groups: list[list] = []
+        for c in sorted(columns, key=lambda c: -c[1]):
+            free = next((g for g in groups if c[1] * math.prod(x[1] for x in g) <= JOINT), None)
+            groups.append([c]) if free is None else free.append(c)
+        self.joint = []
+        for g in groups:
+            sizes = [x[1] for x in g]
+            self.joint.append((np.ravel_multi_index([x[0].astype(np.intp) for x in g], sizes), sizes, [x[2:] for x in g]))
+        self.feature = np.append(np.repeat(np.array(wide, int), BINS + 1), np.array(two, int))
+        self.last = np.append(np.tile(np.arange(BINS + 1), len(wide)), np.zeros(len(two), int))
+
+    def of(self, g: np.ndarray, h: np.ndarray, rows: np.ndarray | None = None) -> np.ndarray:
+        """The sums of a node's rows, or of all."""
+        g, h = (g, h) if rows is None else (g[rows], h[rows])
+        out = np.zeros((3, 1 + len(self.feature)))
+        out[:, 0] = g.sum(), h.sum(), len(g)
+        for column, sizes, places in self.joint:
+            at = column if rows is None else column[rows]
+            for k, w in enumerate((g, h, None)):
+                found = np.bincount(at, w, math.prod(sizes)).reshape(sizes)
+                for axis, (first, to) in enumerate(places):
+                    out[k, to] = found.sum(axis=tuple(i for i in range(len(sizes)) if i != axis))[first:]
         return out
 
-
-def best_split(hist: np.ndarray, l2: float, least_rows: int) -> tuple[float, int, int]:
-    """(gain, feature, last bin of the left side); the first of equals, gain 0 for none."""
-    if not hist.shape[1]:
-        return 0.0, -1, -1
-    left = hist.cumsum(axis=2)
-    whole = left[:, :1, -1:]
-    right = whole - left
-    fine = (left[2] >= least_rows) & (right[2] >= least_rows) & (left[1] >= LEAST_HESSIAN) & (right[1] >= LEAST_HESSIAN)
-    gain = left[0] ** 2 / (left[1] + l2 + 1e-15) + right[0] ** 2 / (right[1] + l2 + 1e-15) - whole[0] ** 2 / (whole[1] + l2 + 1e-15)
-    gain = np.where(fine, gain, 0.0)
-    at = int(gain.argmax())
-    return float(gain.flat[at]), at // (BINS + 1), at % (BINS + 1)
-
-
-def grow(codes: np.ndarray, cuts: list[np.ndarray], g: np.ndarray, h: np.ndarray, rate: float, depth: int | None, least_rows: int, l2: float):
+    def best_split(self, sums: np.ndarray, l2: float, least_rows: int) -> tuple[float, int, int]:
+        """(gain, feature, last bin of the left side); the first of equals, gain 0 for none."""
+        whole = sums[:, :1]
+        wide = sums[:, 1 : 1 + self.cells].reshape(3, -1, BINS + 1).cumsum(axis=2).reshape(3, -1)
+        left = np.concatenate([wide, whole - sums[:, 1 + self.cells :]], axis=1)
+        right = whole - left
+        fine = (left[2] >= least_rows) & (right[2] >= least_rows) & (left[1] >= LEAST_HESSIAN) & (right[1] >= LEAST_HESSIAN)
+        gain = left[0] ** 2 / (left[1] + l2 + 1e-15) + right[0] ** 2 / (right[1] + l2 + 1e-15) - whole[0] ** 2 / (whole[1] + l2 + 1e-15)
+        gain = np.where(fine, gain, 0.0)
+        best = gain.max(initial=0.0)
+        if best <= 0:
+            return 0.0, -1, -1
+        equal = np.flatnonzero(gain == best)
+        at = equal[np.lexsort((self.last[equal], self.feature[equal]))[0]]
+        return float(best), int(self.feature[at]), int(self.last[at])
+
+
+def grow(bins: Bins, cuts: list[np.ndarray], g: np.ndarray, h: np.ndarray, rate: float, depth: int | None, least_rows: int, l2: float):
     """(tree as columns feature, threshold, left, right, value; rows of its leaves): the best leaf is split first."""
-    sums, every = Histograms(codes, g, h), np.arange(len(codes))
     tree, members, waiting = [], {}, []
 
-    def add(rows: np.ndarray, hist: np.ndarray, level: int) -> int:
-        n, total = len(tree), hist[:2, 0].sum(axis=1) if hist.shape[1] else (g[rows].sum(), h[rows].sum())
-        tree.append([-1, 0.0, -1, -1, -rate * total[0] / (total[1] + l2 + 1e-15)])
+    def add(rows: np.ndarray, sums: np.ndarray, level: int) -> int:
+        n = len(tree)
+        tree.append([-1, 0.0, -1, -1, -rate * sums[0, 0] / (sums[1, 0] + l2 + 1e-15)])
         members[n] = rows
-        gain, feature, last = best_split(hist, l2, least_rows) if (depth is None or level < depth) and len(rows) >= 2 * least_rows else (0.0, -1, -1)
+        gain, feature, last = bins.best_split(sums, l2, least_rows) if may_split(rows, level) else (0.0, -1, -1)
         if gain > 0:
-            heapq.heappush(waiting, (-gain, n, feature, last, level, hist))
+            heapq.heappush(waiting, (-gain, n, feature, last, level, sums))
         return n
 
-    add(every, sums.of(every), 0)
+    def may_split(rows: np.ndarray, level: int) -> bool:
+        return (depth is None or level < depth) and len(rows) >= 2 * least_rows
+
+    add(np.arange(len(g)), bins.of(g, h), 0)
     leaves = 1
     while waiting and leaves < LEAVES:
-        _, n, feature, last, level, hist = heapq.heappop(waiting)
+        _, n, feature, last, level, sums = heapq.heappop(waiting)
         rows = members.pop(n)
-        goes = codes[rows, feature] <= last
+        goes = bins.codes[rows, feature] <= last
         sides = rows[goes], rows[~goes]
         small = int(len(sides[1]) < len(sides[0]))  # the other side is what remains
-        part = sums.of(sides[small])
-        hists = (part, hist - part) if small == 0 else (hist - part, part)
+        if any(may_split(side, level + 1) for side in sides):
+            part = bins.of(g, h, sides[small])
+        else:  # leaves need their totals only
+            part = np.zeros_like(sums)
+            part[:, 0] = g[sides[small]].sum(), h[sides[small]].sum(), len(sides[small])
+        both = (part, sums - part) if small == 0 else (sums - part, part)
         tree[n][:2] = feature, float(cuts[feature][last])
-        tree[n][2], tree[n][3] = (add(side, x, level + 1) for side, x in zip(sides, hists))
+        tree[n][2], tree[n][3] = (add(side, x, level + 1) for side, x in zip(sides, both))
         leaves += 1
     return tree, members
 
@@ -167,11 +237,12 @@ def boost(columns: Sequence[np.ndarray], y: np.ndarray, w: np.ndarray, rate: flo
     mean = np.clip((w * y).sum() / max(w.sum(), 1e-300), 1e-15, 1 - 1e-15)
     base = float(np.log(mean / (1 - mean)))
     raw, raw_held = np.full(len(y), base), np.full(len(y_held), base)
+    bins = Bins(codes)
     loss = lambda: float((w_held * (np.logaddexp(0, raw_held) - y_held * raw_held)).sum() / w_held.sum())
     losses, trees = [loss()] if out.any() else [], []
     for _ in range(rounds):
         p = sigmoid(raw)
-        tree, members = grow(codes, cuts, w * (p - y), w * p * (1 - p), rate, depth, least_rows, l2)
+        tree, members = grow(bins, cuts, w * (p - y), w * p * (1 - p), rate, depth, least_rows, l2)
         trees.append(tree)
         for n, rows in members.items():
             raw[rows] += tree[n][4]

@@ -191,6 +191,13 @@ def arrays(batch: pa.RecordBatch | pa.Table, *names: str) -> list[np.ndarray]:
     return out
 
 
+def pieces(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Batches of ``rows`` at most, so that the matrices of one are small whatever comes."""
+    for batch in batches:
+        for i in range(0, len(batch), rows):
+            yield batch.slice(i, rows)
+
+
 Job = tuple[int, int]  # (repeat, fold): the model of the rows whose _folds[repeat] is another
 
 

@@ -30,6 +30,13 @@ class Linear:
     def uses(self, columns: Sequence[int]) -> bool:
         return bool(self.coefficients[list(columns)].any())
 
+    def leaves(self, x: np.ndarray) -> None:
+        """Nothing that ``anew`` could reuse."""
+
+    def anew(self, new: np.ndarray, columns: Sequence[int], leaves: None) -> np.ndarray:
+        """The raw score of rows after a change of some columns."""
+        return self.raw(new)
+
     def change(self, x: np.ndarray, new: np.ndarray, columns: Sequence[int]) -> np.ndarray:
         """By how much the raw score of rows changes when some columns do."""
         at = list(columns)

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from ..functions.exprs import quantiles, running_sums
+from ..sources.shared import stored
+
+STEP = np.dtype([("score", "<f8"), ("n", "<u2"), ("p", "<u2")])  # a score of a batch, its rows and events
+STEPS = "repeat int, range int, n long, p long, steps binary"
 
 
 def survival_scores(predictions: DataFrame, id_col: str, label: str, bins: int) -> DataFrame:
@@ -52,6 +59,49 @@ def ranking_metrics(scores: DataFrame, id_col: str, lift_at: Sequence[float]) ->
     return out
 
 
+def packed_steps(repeat: int, score: np.ndarray, actual: np.ndarray, bounds: np.ndarray) -> Iterator[tuple]:
+    """Rows of ``STEPS``: the scores of a batch of less than 2**16 rows, the highest first, in a row for each range between ``bounds``, which rise."""
+    order = np.argsort(-score)
+    score, actual = score[order], actual[order]
+    first = np.flatnonzero(np.append(True, score[1:] != score[:-1])[: len(score)])
+    steps = np.zeros(len(first), STEP)
+    if len(first):
+        steps["score"], steps["n"], steps["p"] = score[first], np.diff(np.append(first, len(score))), np.add.reduceat(actual.astype(int), first)
+    ranges = len(bounds) - np.searchsorted(bounds, steps["score"], side="right")
+    ends = np.searchsorted(ranges, np.arange(len(bounds) + 2))
+    for r in np.flatnonzero(np.diff(ends)):
+        part = steps[ends[r] : ends[r + 1]]
+        yield repeat, int(r), int(part["n"].sum()), int(part["p"].sum()), part.tobytes()
+
+
+def packed_precision(packed: DataFrame) -> dict[int, float]:
+    """The pr_auc of ``ranking_metrics`` of each repeat with an event, from scores in rows of ``STEPS``.
+
+    Scores travel packed and meet by repeat and range, so a task holds one range of one
+    repeat; the totals of the ranges above it come from the counts of the rows alone.
+    """
+    packed = stored(packed, "steps")
+    totals = packed.groupBy("repeat", "range").agg(F.sum("n").alias("_n"), F.sum("p").alias("_p"))
+    within = W.partitionBy("repeat")
+    before = within.orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    totals = totals.select(
+        "repeat", "range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("seen"), F.coalesce(F.sum("_p").over(before), F.lit(0)).alias("tp"),
+        F.sum("_p").over(within).alias("positives"))
+
+    def part(pdf: pd.DataFrame) -> pd.DataFrame:
+        steps = np.concatenate([np.frombuffer(x, STEP) for x in pdf["steps"]])
+        steps = steps[np.argsort(-steps["score"])]
+        last = np.flatnonzero(np.append(steps["score"][1:] != steps["score"][:-1], True))
+        seen, tp = (np.cumsum(steps[c], dtype=np.int64)[last] for c in ("n", "p"))
+        p = np.diff(tp, prepend=0)
+        area = (p * ((tp + pdf["tp"].iloc[0]) / (seen + pdf["seen"].iloc[0]))).sum() / pdf["positives"].iloc[0]
+        return pd.DataFrame({"repeat": pdf["repeat"].iloc[:1], "area": [float(area)]})
+
+    rows = packed.select("repeat", "range", "steps").join(F.broadcast(totals.where("positives > 0")), ["repeat", "range"])
+    found = rows.groupBy("repeat", "range").applyInPandas(part, "repeat int, area double").groupBy("repeat").agg(F.sum("area").alias("area")).collect()
+    return {r.repeat: r.area for r in found}
+
+
 def summary(by_repeat: DataFrame) -> DataFrame:
     """metric, mean, std (of a sample), min, max over the repeats."""
     names = [c for c in by_repeat.columns if c != "repeat"]

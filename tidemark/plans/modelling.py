@@ -20,7 +20,7 @@ from pyspark.sql import Window as W
 from ..config import Model, load_yaml, model_config
 from ..operators import metrics
 from ..operators.boosting import Trees, fit_trees
-from ..operators.encode import Encoder, Job, arrays, coded, column_roles, fold_encoders, vocabulary_of
+from ..operators.encode import Encoder, Job, arrays, coded, column_roles, fold_encoders, pieces, vocabulary_of
 from ..operators.linear import Linear, fit_linear, sigmoid
 from ..operators.sampling import downsample_negatives, group_folds
 from ..sources.raw import read_model_input, require
@@ -28,6 +28,8 @@ from ..sources.shared import ship, stored
 
 
 SHARD_ROWS = 20_000  # among which values are dealt anew
+ASKED_ROWS = 8_192  # scored at once for all columns
+RANGE_ROWS = 250_000  # scores of a repeat that are ranked in one task
 
 
 @dataclass
@@ -160,8 +162,8 @@ def shuffled(df: DataFrame, columns: list[str], seed: int) -> DataFrame:
 def permutation_importance(df: DataFrame, fold: Fold, cfg: Model, features: list[str] | None = None) -> DataFrame:
     """feature, mean_importance, std_importance: the loss of average precision when a column is dealt anew, on all rows.
 
-    A repeat deals one order for all columns.  Every (repeat, column) is a group of one pass
-    and the measures of all groups come from one aggregation.  A row is scored once; for a column dealt
+    A repeat deals one order for all columns.  Every (repeat, column) is a group of one pass; its
+    scores leave a task packed by ranges, not row by row, and all measures come from one aggregation.  A row is scored once; for a column dealt
     anew, only the trees that split on it, or its coefficients, are asked again, and a
     column that the model doesn't use makes no rows: its loss is 0.
     """
@@ -172,36 +174,42 @@ def permutation_importance(df: DataFrame, fold: Fold, cfg: Model, features: list
     used = [c for c in names if model.uses(places[c])]
     vocabulary = vocabulary_of([encoder])
     rows = coded(df, encoder.numeric, encoder.categorical, vocabulary)
-    rows = stored(rows.select(F.col(cfg.id).alias("id"), F.col(cfg.label).cast("int").alias("actual"), "_num", "_cat", F.monotonically_increasing_id().alias("_r")), "importance")
-    kind = rows.schema["id"].dataType.simpleString()
-    shape = f"repeat int, id {kind}, score double, actual int"
+    rows = stored(rows.select(F.col(cfg.label).cast("int").alias("actual"), "_num", "_cat", F.monotonically_increasing_id().alias("_r")), "importance")
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            num, cat, other, others, turn = arrays(batch, "_num", "_cat", "_num2", "_cat2", "_turn")
-            x = encoder.matrix(num, cat, vocabulary)
-            raw = model.raw(x)
+        for batch in pieces(batches, ASKED_ROWS):
+            num, cat, other, others, turn, actual = arrays(batch, "_num", "_cat", "_num2", "_cat2", "_turn", "actual")
+            x = np.asfortranarray(encoder.matrix(num, cat, vocabulary))
+            leaves, new, steps = model.leaves(x), x.copy(order="F"), []
+            turns = [(int(t), np.flatnonzero(turn == t)) for t in np.unique(turn)]
             for i, c in enumerate(used):
-                n, k = num.copy(), cat.copy()
-                if c in encoder.numeric:
-                    n[:, encoder.numeric.index(c)] = other[:, encoder.numeric.index(c)]
-                else:
-                    k[:, encoder.categorical.index(c)] = others[:, encoder.categorical.index(c)]
-                new = x.copy()
-                new[:, places[c]] = encoder.matrix(n, k, vocabulary, c)
-                yield _scored_batch(batch, turn * len(used) + i, sigmoid(raw + model.change(x, new, places[c])))
+                new[:, places[c]] = encoder.matrix(other, others, vocabulary, c)
+                score = sigmoid(model.anew(new, places[c], leaves))
+                new[:, places[c]] = x[:, places[c]]
+                for t, at in turns:
+                    steps += metrics.packed_steps(t * len(used) + i, score[at], actual[at], bounds)
+            yield _step_batch(steps)
 
     def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            num, cat = arrays(batch, "_num", "_cat")
-            yield _scored_batch(batch, np.full(len(num), -1), model.predict(encoder.matrix(num, cat, vocabulary)))
-
-    every = rows.mapInArrow(plain, shape)
+        for batch in pieces(batches, ASKED_ROWS):
+            num, cat, actual = arrays(batch, "_num", "_cat", "actual")
+            yield _step_batch(list(metrics.packed_steps(-1, model.predict(encoder.matrix(num, cat, vocabulary)), actual, bounds)))
+
+    def only_score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, ASKED_ROWS):
+            yield pa.RecordBatch.from_arrays([pa.array(model.predict(encoder.matrix(*arrays(batch, "_num", "_cat"), vocabulary)), pa.float64())], ["score"])
+
+    # Any bounds give the same result; those of the plain scores make ranges of like sizes.
+    ranges = -(-rows.count() // RANGE_ROWS)
+    bounds = np.zeros(0)
+    if ranges > 1:
+        bounds = np.unique(rows.select("_num", "_cat").mapInArrow(only_score, "score double").approxQuantile("score", [k / ranges for k in range(1, ranges)], 0.1 / ranges))
+    every = rows.select("_num", "_cat", "actual").mapInArrow(plain, metrics.STEPS)
     if used:
         parts = [shuffled(rows, ["_num", "_cat"], cfg.random_state + 10 * r).withColumn("_turn", F.lit(r)) for r in range(cfg.permutation_repeats)]
-        dealt = reduce(DataFrame.unionByName, parts).select("id", "actual", "_num", "_cat", F.col("_other._num").alias("_num2"), F.col("_other._cat").alias("_cat2"), "_turn")
-        every = every.unionByName(dealt.mapInArrow(ask, shape))
-    found = {r.repeat: r.pr_auc for r in metrics.ranking_metrics(every, "id", []).select("repeat", "pr_auc").collect()}
+        dealt = reduce(DataFrame.unionByName, parts).select("actual", "_num", "_cat", F.col("_other._num").alias("_num2"), F.col("_other._cat").alias("_cat2"), "_turn")
+        every = every.unionByName(dealt.mapInArrow(ask, metrics.STEPS))
+    found = metrics.packed_precision(every)
     out = []
     for name in names:
         at = used.index(name) if name in used else None
@@ -211,9 +219,10 @@ def permutation_importance(df: DataFrame, fold: Fold, cfg: Model, features: list
     return spark.createDataFrame(out, "feature string, mean_importance double, std_importance double").orderBy(F.desc("mean_importance"), "feature")
 
 
-def _scored_batch(batch: pa.RecordBatch, repeat: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
-    own = [batch.column(batch.schema.get_field_index(c)) for c in ("id", "actual")]
-    return pa.RecordBatch.from_arrays([pa.array(repeat.astype(np.int32)), own[0], pa.array(score, pa.float64()), own[1]], ["repeat", "id", "score", "actual"])
+def _step_batch(steps: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+    columns = list(zip(*steps)) or [()] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["repeat", "range", "n", "p", "steps"])
 
 
 def sampled(df: DataFrame, cfg: Model) -> DataFrame:
