@@ -492,3 +492,30 @@ def test_bins_are_counted_jointly():
             mine = at[codes[at, f] == (last if f in (0, 6) else 1)]
             np.testing.assert_allclose(sums[:, 1 + i], [g[mine].sum(), h[mine].sum(), len(mine)], atol=1e-9)
     assert bins.cells == 2 * (BINS + 1)
+
+def test_one_basis_serves_the_encoders_of_all_folds(spark):
+    from tidemark.operators.encode import Basis, arrays
+    from tidemark.operators.linear import pass_sums, sigmoid
+    from tidemark.plans import modelling
+
+    cfg = Model(weight="w", n_splits=3, n_repeats=2, min_category_frequency=0.3)
+    jobs = [(r, k) for r in range(2) for k in range(3)]
+    df = modelling.with_folds(model_rows(spark), cfg, [0, 1])
+    encoders = fold_encoders(df, ["a", "b", "c"], ["kind"], 0.3, jobs, 3)
+    assert any(rare for e in encoders for _, rare in e.levels.values()) and any("missing_" in n for e in encoders for n in e.names())
+    vocabulary = vocabulary_of(encoders)
+    rows = coded(df, ["a", "b", "c"], ["kind"], vocabulary).selectExpr("_folds", "_num", "_cat", "event AS _y", "w AS _w").localCheckpoint()
+    num, cat, folds, y, w = arrays(rows.toArrow().combine_chunks().to_batches()[0], "_num", "_cat", "_folds", "_y", "_w")
+    basis = Basis(encoders, vocabulary)
+    width = 1 + max(len(e.names()) for e in encoders)
+    at, factors = np.random.default_rng(11).normal(size=(6, width)), [(0.7, 1.9)] * 6
+    found = pass_sums(rows, encoders, jobs, vocabulary, factors, at)
+    for j, (e, (r, k)) in enumerate(zip(encoders, jobs)):
+        x = np.column_stack([np.ones(len(num)), e.matrix(num, cat, vocabulary)])
+        np.testing.assert_allclose(basis.matrix(num, cat) @ basis.of(e), x, atol=1e-9)
+        mine, n = folds[:, r] != k, x.shape[1]
+        z, t, eta = x[mine], y[mine], x[mine] @ at[j, :n]
+        each, p = w[mine] * np.where(t == 1, 1.9, 0.7), sigmoid(eta)
+        np.testing.assert_allclose(found[j, 0], (each * (np.logaddexp(0, eta) - t * eta)).sum(), rtol=1e-10)
+        np.testing.assert_allclose(found[j, 1 : 1 + n], z.T @ (each * (p - t)), rtol=1e-9, atol=1e-8)
+        np.testing.assert_allclose(found[j, 1 + width :].reshape(width, width)[:n, :n], (z * (each * p * (1 - p))[:, None]).T @ z, rtol=1e-9, atol=1e-8)

@@ -179,6 +179,61 @@ def coded(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], voc
     return df.withColumns({"_num": num, "_cat": F.array(*map(at, categorical)).cast("array<int>")})
 
 
+class Basis:
+    """Columns that the encoded columns of all ``encoders`` are linear in, so that one matrix of a row serves them all.
+
+    A constant, each numeric column (standardised as the first encoder with a value has it, 0 if missing), whether it
+    is missing, and one for each level that some encoder knows.
+    """
+
+    def __init__(self, encoders: Sequence[Encoder], vocabulary: dict[str, dict[str, int]]):
+        first = encoders[0]
+        self.numeric, self.categorical, self.vocabulary = first.numeric, first.categorical, vocabulary
+        with_value = lambda c: next((e.stats[c] for e in encoders if e.stats[c][1] < e.rows), (0.0, 0, 0.0, 1.0))
+        self.scales = {c: with_value(c)[2:] for c in self.numeric}
+        self.places, n = {}, 1
+        for c in self.numeric:
+            self.places[c] = n
+            n += 2
+        for c in self.categorical:
+            self.places[c] = n
+            n += len(vocabulary[c])
+        self.width = n
+
+    def matrix(self, num: np.ndarray, cat: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(num), self.width))
+        out[:, 0] = 1.0
+        for i, c in enumerate(self.numeric):
+            empty, at = np.isnan(num[:, i]), self.places[c]
+            mean, scale = self.scales[c]
+            out[:, at] = np.where(empty, 0.0, (num[:, i] - mean) / scale)
+            out[:, at + 1] = empty
+        for i, c in enumerate(self.categorical):
+            rows = np.flatnonzero(cat[:, i] >= 0)
+            out[rows, self.places[c] + cat[rows, i]] = 1.0
+        return out
+
+    def of(self, encoder: Encoder) -> np.ndarray:
+        """basis x (1 + encoded columns): the constant, then each of the encoder's columns, from the basis."""
+        parts = list(encoder.parts())
+        out = np.zeros((self.width, 1 + len(parts)))
+        out[0, 0] = 1.0
+        for j, (_, c, kind, detail) in enumerate(parts, 1):
+            at = self.places[c]
+            if kind == "value":
+                median, _, mean, scale = detail
+                m, s = self.scales[c]
+                out[[0, at, at + 1], j] = (m - mean) / scale, s / scale, (median - m) / scale
+            elif kind == "missing":
+                out[[0, at + 1], j] = -detail[0] / detail[1], 1 / detail[1]
+            elif kind == "level":
+                out[at + self.vocabulary[c][detail], j] = 1.0
+            else:
+                out[0, j] = 1.0
+                out[[at + self.vocabulary[c][v] for v in detail], j] = -1.0
+        return out
+
+
 def arrays(batch: pa.RecordBatch | pa.Table, *names: str) -> list[np.ndarray]:
     """Columns of equally long lists as matrices, others as vectors; null numbers are NaN."""
     out = []

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .encode import Encoder, Job, arrays
+from .encode import Basis, Encoder, Job, arrays
 
 TASKS_A_SUM = 64  # whose sums one task adds up before the rest meet
 
@@ -50,26 +50,29 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 def pass_sums(rows: DataFrame, encoders: Sequence[Encoder], jobs: Sequence[Job], vocabulary, factors, at: np.ndarray) -> np.ndarray:
     """[loss, gradient, Hessian] of each job's training rows at its row of ``at`` (intercept first), in one pass over ``rows``.
 
+    A row is encoded once, in a basis that every job's columns are linear in, and the sums over the basis give each job's.
     A task adds up its rows for every job; the sums of tasks meet in two steps.  A sum has
-    (columns + 1) ** 2 numbers, whatever the rows.
+    (columns of the basis + 1) ** 2 numbers, whatever the rows.
     """
-    width = at.shape[1]
+    basis = Basis(encoders, vocabulary)
+    maps = [basis.of(e) for e in encoders]
+    width, weights = basis.width, np.stack([m @ b[: m.shape[1]] for m, b in zip(maps, at)], axis=1)
+    by_label = np.array(factors)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(jobs), 1 + width + width * width))
         for batch in batches:
             num, cat, folds, y, w = arrays(batch, "_num", "_cat", "_folds", "_y", "_w")
-            for j, (encoder, (repeat, fold)) in enumerate(zip(encoders, jobs)):
-                mine = folds[:, repeat] != fold
-                z = np.zeros((int(mine.sum()), width))
-                x = encoder.matrix(num[mine], cat[mine], vocabulary)
-                z[:, 0], z[:, 1 : 1 + x.shape[1]] = 1.0, x
-                t, eta = y[mine], z @ at[j]
-                each = w[mine] * np.where(t == 1, factors[j][1], factors[j][0])
-                p = sigmoid(eta)
-                total[j, 0] += (each * (np.logaddexp(0, eta) - t * eta)).sum()
-                total[j, 1 : 1 + width] += z.T @ (each * (p - t))
-                total[j, 1 + width :] += ((z * (each * p * (1 - p))[:, None]).T @ z).ravel()
+            z = basis.matrix(num, cat)
+            eta = z @ weights
+            p, t = sigmoid(eta), y[:, None]
+            mine = np.stack([folds[:, repeat] != fold for repeat, fold in jobs], axis=1)
+            each = np.where(mine, w[:, None] * by_label[:, (y == 1).astype(int)].T, 0.0)
+            total[:, 0] += (each * (np.logaddexp(0, eta) - t * eta)).sum(axis=0)
+            total[:, 1 : 1 + width] += (z.T @ (each * (p - t))).T
+            for j, root in enumerate(np.sqrt(each * p * (1 - p)).T):
+                part = z * root[:, None]
+                total[j, 1 + width :] += (part.T @ part).ravel()
         task = TaskContext.get().partitionId()
         columns = [range(len(jobs)), [task // TASKS_A_SUM] * len(jobs), [task] * len(jobs)]
         yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int32()) for c in columns], pa.array([t.tobytes() for t in total], pa.binary())], ["job", "bucket", "task", "sums"])
@@ -83,9 +86,14 @@ def pass_sums(rows: DataFrame, encoders: Sequence[Encoder], jobs: Sequence[Job],
 
     found = rows.select("_num", "_cat", "_folds", "_y", "_w").mapInArrow(sums, "job int, bucket int, task int, sums binary")
     found = found.groupBy("job", "bucket").applyInPandas(add, found.schema).groupBy("job").applyInPandas(add, found.schema)
-    out = np.zeros((len(jobs), 1 + width + width * width))
+    n = at.shape[1]
+    out = np.zeros((len(jobs), 1 + n + n * n))
     for row in found.collect():
-        out[row.job] = np.frombuffer(row.sums)
+        total, own = np.frombuffer(row.sums), maps[row.job]
+        k = own.shape[1]
+        out[row.job, 0] = total[0]
+        out[row.job, 1 : 1 + k] = own.T @ total[1 : 1 + width]
+        out[row.job, 1 + n :].reshape(n, n)[:k, :k] = own.T @ total[1 + width :].reshape(width, width) @ own
     return out
 
 
