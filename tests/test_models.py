@@ -494,10 +494,14 @@ def test_bins_are_counted_jointly():
     assert bins.cells == 2 * (BINS + 1)
 
 def test_one_basis_serves_the_encoders_of_all_folds(spark):
-    from tidemark.operators.encode import Basis, arrays
-    from tidemark.operators.linear import pass_sums, sigmoid
+    from tidemark.operators.encode import Basis, arrays, pieces
+    from tidemark.operators.linear import PASS_ROWS, pass_sums, sigmoid
     from tidemark.plans import modelling
 
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5000))], ["x"])
+    assert [len(b) for b in pieces(iter([batch]), 2048)] == [2048, 2048, 904] and PASS_ROWS <= 2048
     cfg = Model(weight="w", n_splits=3, n_repeats=2, min_category_frequency=0.3)
     jobs = [(r, k) for r in range(2) for k in range(3)]
     df = modelling.with_folds(model_rows(spark), cfg, [0, 1])

@@ -11,8 +11,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .encode import Basis, Encoder, Job, arrays
+from .encode import Basis, Encoder, Job, arrays, pieces
 
+PASS_ROWS = 2_048  # encoded at once
 TASKS_A_SUM = 64  # whose sums one task adds up before the rest meet
 
 
@@ -51,7 +52,7 @@ def pass_sums(rows: DataFrame, encoders: Sequence[Encoder], jobs: Sequence[Job],
     """[loss, gradient, Hessian] of each job's training rows at its row of ``at`` (intercept first), in one pass over ``rows``.
 
     A row is encoded once, in a basis that every job's columns are linear in, and the sums over the basis give each job's.
-    A task adds up its rows for every job; the sums of tasks meet in two steps.  A sum has
+    A task adds up its rows for every job, some at a time; the sums of tasks meet in two steps.  A sum has
     (columns of the basis + 1) ** 2 numbers, whatever the rows.
     """
     basis = Basis(encoders, vocabulary)
@@ -61,7 +62,7 @@ def pass_sums(rows: DataFrame, encoders: Sequence[Encoder], jobs: Sequence[Job],
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(jobs), 1 + width + width * width))
-        for batch in batches:
+        for batch in pieces(batches, PASS_ROWS):
             num, cat, folds, y, w = arrays(batch, "_num", "_cat", "_folds", "_y", "_w")
             z = basis.matrix(num, cat)
             eta = z @ weights
