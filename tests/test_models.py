@@ -523,3 +523,11 @@ def test_one_basis_serves_the_encoders_of_all_folds(spark):
         np.testing.assert_allclose(found[j, 0], (each * (np.logaddexp(0, eta) - t * eta)).sum(), rtol=1e-10)
         np.testing.assert_allclose(found[j, 1 : 1 + n], z.T @ (each * (p - t)), rtol=1e-9, atol=1e-8)
         np.testing.assert_allclose(found[j, 1 + width :].reshape(width, width)[:n, :n], (z * (each * p * (1 - p))[:, None]).T @ z, rtol=1e-9, atol=1e-8)
+
+
+def test_no_two_jobs_meet_in_a_task(spark):
+    from tidemark.operators.boosting import by_job
+
+    rows = by_job(spark.range(1000).selectExpr("cast(id % 10 AS int) AS job"), 10)
+    places = rows.groupBy("job").applyInPandas(lambda pdf: pdf.iloc[:1], "job int").select("job", F.spark_partition_id().alias("at")).collect()
+    assert len(places) == 10 and len({r["at"] for r in places}) == 10

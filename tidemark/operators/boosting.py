@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -216,7 +216,7 @@ def grow(bins: Bins, cuts: list[np.ndarray], g: np.ndarray, h: np.ndarray, rate:
     return tree, members
 
 
-def boost(columns: Sequence[np.ndarray], y: np.ndarray, w: np.ndarray, rate: float, rounds: int, depth: int | None, least_rows: int, l2: float, seed: int) -> Trees:
+def boost(columns: Iterable[np.ndarray], y: np.ndarray, w: np.ndarray, rate: float, rounds: int, depth: int | None, least_rows: int, l2: float, seed: int) -> Trees:
     """Trees for 0/1 labels and weights, classes balanced; logistic loss.
 
     Above 10,000 rows a tenth of each class is held out, and boosting ends when its loss
@@ -230,8 +230,12 @@ def boost(columns: Sequence[np.ndarray], y: np.ndarray, w: np.ndarray, rate: flo
         for label in (0.0, 1.0):
             at = np.random.default_rng([seed, int(label)]).permutation(np.flatnonzero(y == label))
             out[at[: round(HELD_OUT * len(at))]] = True
-    cuts = [thresholds(x[~out]) for x in columns]
-    codes = np.stack([np.searchsorted(c, x).astype(np.uint8) for c, x in zip(cuts, columns)], axis=1) if cuts else np.zeros((len(y), 0), np.uint8)
+    cuts, found = [], []
+    for x in columns:  # one at a time: codes take an eighth of the room
+        cuts.append(thresholds(x[~out]))
+        found.append(np.searchsorted(cuts[-1], x).astype(np.uint8))
+    codes = np.stack(found, axis=1) if found else np.zeros((len(y), 0), np.uint8)
+    del found
     held, codes_held = out, codes[out]
     codes, y_held, w_held, y, w = codes[~out], y[held], w[held], y[~out], w[~out]
     mean = np.clip((w * y).sum() / max(w.sum(), 1e-300), 1e-15, 1 - 1e-15)
@@ -273,11 +277,16 @@ def _binned(tree: list, codes: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray
     return out
 
 
+def by_job(rows: DataFrame, jobs: int) -> DataFrame:
+    """``rows`` in a partition for each job; hashes of a few numbers would meet."""
+    return rows.repartitionById(jobs, F.col("job"))
+
+
 def fit_trees(rows: DataFrame, encoders: Sequence[Encoder], jobs: Sequence[Job], vocabulary, rate: float, rounds: int, depth: int | None, least_rows: int, l2: float, seed: int, fit_rows: int) -> list[Trees]:
     """Boosted trees of every job, each on all of its training rows, or on a sample of ``fit_rows`` of them if there are more.
 
     The sample is a draw for each row by its number ``_r``, so it is bounded by expectation, whoever owns the rows,
-    and the same on every run.  A job's sample meets in one task; jobs are fitted side by side.
+    and the same on every run.  A job's sample meets in one task, no two jobs in the same; jobs are fitted side by side.
     """
     most = max((e.rows for e in encoders), default=0)
     if most > fit_rows:
@@ -291,13 +300,12 @@ def fit_trees(rows: DataFrame, encoders: Sequence[Encoder], jobs: Sequence[Job],
         pdf = pdf.sort_values("_r", ignore_index=True)
         encoder = encoders[int(pdf["job"].iloc[0])]
         num, cat = (np.stack(pdf[c].to_numpy()).reshape(len(pdf), -1) for c in ("_num", "_cat"))
-        columns = list(encoder.each(num, cat, vocabulary))
-        found = boost(columns, pdf["_y"].to_numpy(), pdf["_w"].to_numpy(), rate, rounds, depth, least_rows, l2, seed)
+        found = boost(encoder.each(num, cat, vocabulary), pdf["_y"].to_numpy(), pdf["_w"].to_numpy(), rate, rounds, depth, least_rows, l2, seed)
         packed = np.stack([found.feature, found.threshold, found.left, found.right, found.value])
         return pd.DataFrame({"job": pdf["job"].iloc[:1], "base": [found.base], "trees": [packed.shape[1]], "packed": [packed.tobytes()]})
 
     got = {}
-    for row in dealt.repartition(4 * len(jobs), "job").groupBy("job").applyInPandas(fit, "job int, base double, trees int, packed binary").collect():
+    for row in by_job(dealt, len(jobs)).groupBy("job").applyInPandas(fit, "job int, base double, trees int, packed binary").collect():
         f, t, left, right, v = np.frombuffer(row.packed).reshape(5, row.trees, -1)
         got[row.job] = Trees(row.base, f.astype(int), t, left.astype(int), right.astype(int), v)
     none = Trees(0.0, *[np.zeros((0, 1), kind) for kind in (int, float, int, int, float)])
