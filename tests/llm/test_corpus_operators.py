@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -389,6 +390,30 @@ def test_contexts_count_all_neighbours(spark, monkeypatch):
     assert (matrix == whole).all() and matrix.sum() > 500
 
 
+def test_contexts_travel_in_groups(spark, monkeypatch):
+    """A task hands on a row for each group of words, not for each word; the counts are those of plain pairs."""
+    monkeypatch.setattr(class_lm, "GROUPS", 1)
+    line = [int(x) for x in np.random.default_rng(5).integers(0, 300, 4000)]
+    rows = class_lm.contexts(spark.createDataFrame([(np.array(line, np.int32).tobytes(),)], "ids binary"), 300).collect()
+    want = Counter(zip([301, *line], [*line, 301]))
+    got = {(r.w, int(code) // 2): int(n) for r in rows for code, n in np.frombuffer(r.after, np.int32).reshape(-1, 2)}
+    assert got == {k: n for k, n in want.items() if k[0] != 301} and len(rows) == 300
+    codes = np.arange(300) * class_lm._SIDE  # a neighbour for each word, in the order in which they are dealt
+    assert class_lm._grouped(codes, np.ones(300, np.int64)).num_rows == 3
+
+
+def test_gains_are_summed_in_small_pieces():
+    """What choices hold besides the gains stays in the cache of a core, however many entries words have."""
+    rng = np.random.default_rng(4)
+    choice = class_lm.Choice(rng.integers(1, 900, (130, 130)).astype(float))
+    word, j = np.repeat(np.arange(200), 100), np.tile(np.arange(100), 200)
+    tracemalloc.start()
+    choice.best(word, j, np.ones(len(word)), np.full(200, -1))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 << 20
+
+
 def test_exchange_of_all_words_reaches_that_in_turn(spark, monkeypatch):
     """Words of two sides and several topics: choosing at once is as good as one word after the other."""
     rnd = random.Random(21)

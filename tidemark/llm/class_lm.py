@@ -11,10 +11,10 @@ that the probabilities of all words and the unseen one add up to 1.
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import running_sums
-from .common import Memo, discard, ship, stored, text_or_empty
+from .common import discard, ship, stored, sweep, text_or_empty
 
 CORE = 1000  # most frequent words, with which the exchange starts: they choose in turn
 ROUNDS = 40  # of the exchange at most; each moves half of the words
@@ -34,12 +34,14 @@ LEAST_COUNT = 2  # occurrences of a word with a class of its own choice
 CLASSES = 128  # at most: what a choice costs grows with the classes, and so does the matrix that every task holds
 SMALL = 0.05  # share of the mean mass of a class below which words that choose at once don't enter it
 CARRIED = 150_000  # most frequent words that tasks know by heart; the others are joined by key
+HELD_WORDS = 300_000  # other words whose keys a task remembers
+GROUP = 128  # words at most whose neighbours a task hands on in one row
+GROUPS = 1 << 14  # of words at least, so that rows stay short where the vocabulary is small
 HELD_COUNTS = 1_000_000  # distinct words or pairs a task holds before it hands partial counts on
 SMOOTH = 0.5  # added to counts
 BACKOFF = 20.0  # weight of the class's own probability in a transition
 
 _WAITING = -2  # number of a word that is still to be joined
-_FAR = 1 << 30  # above the number of any word
 
 
 def classes_for(distinct: int) -> int:
@@ -47,9 +49,9 @@ def classes_for(distinct: int) -> int:
     return max(8, min(CLASSES, round(distinct**0.5 / 4)))
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """The words with A-Z in lower case, in UTF-8; splitting bytes knows the six white-space characters and no others."""
-    return text.encode("utf-8", "surrogatepass").lower().split() if text else []
+def words_of(text: bytes) -> list[bytes]:
+    """The words of a text in UTF-8, with A-Z in lower case; splitting bytes knows the six white-space characters and no others."""
+    return text.lower().split()
 
 
 def word_key(word: bytes) -> int:
@@ -96,69 +98,83 @@ def most_frequent(vocabulary: DataFrame, most: int) -> list[tuple[bytes, int]]:
     return sorted(((bytes(r[0]), r[1]) for r in words.where(step >= least).select("word", "c").collect()), key=lambda x: (-x[1], word_key(x[0])))
 
 
-def tokenized(rows: DataFrame, places) -> DataFrame:
-    """_row, _id, _train, places (of the carried words as 32-bit integers, -1 for others), rest (keys of the others, in order)."""
+class Numbers(dict):
+    """Numbers of the carried words; any other word gets -1, -2 and so on, and its key is added to ``keys``."""
+
+    def __init__(self, places: dict[bytes, int]):
+        super().__init__(places)
+        self.keys = array("q")
+
+    def __missing__(self, word: bytes) -> int:
+        self.keys.append(word_key(word))
+        number = self[word] = -len(self.keys)
+        return number
+
+
+def tokenized(rows: DataFrame, carried, end: int) -> DataFrame:
+    """_row, _id, _train, ids (of the carried words as 32-bit integers, _WAITING for others), numerators, known, rest (keys of the others, in order).
+
+    ``carried`` has the numbers of the carried words and, by number, their log10 numerators.  numerators sums those of a text's carried
+    words and of its end, which occurred ``end`` times; known counts the ones that occurred.
+    """
+    last = float(np.log10(end + SMOOTH))
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, keys = places.value, Memo(word_key, 300_000)
+        places, logs = carried.value
+        numbers = Numbers(places)
         for batch in batches:
-            at, rest, ends = [], [], [0]
+            ids, numerators, known, rest, ends = [], [], [], [np.zeros(0, np.int64)], [0]
             for text in batch.column("_text").to_pylist():
+                if len(numbers.keys) > HELD_WORDS:
+                    numbers = Numbers(places)
                 words = words_of(text)
-                one = np.fromiter(map(place.get, words, repeat(-1)), np.int32, len(words))
-                rest += [keys[words[i]] for i in np.flatnonzero(one < 0)]
-                ends.append(len(rest))
-                at.append(one.tobytes())
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(rest, pa.int64()))
+                one = np.fromiter(map(numbers.__getitem__, words), np.int32, len(words))
+                other = one < 0
+                late = one[other]
+                ours = one[~other]
+                if len(late):
+                    rest.append(np.frombuffer(numbers.keys, np.int64)[-1 - late])
+                    one[other] = _WAITING
+                ends.append(ends[-1] + len(late))
+                ids.append(one.tobytes())
+                numerators.append(float(logs[ours].sum()) + last)
+                known.append(len(ours) + (end > 0))
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(rest)))
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("_row", "_id", "_train")), pa.array(at, pa.binary()), lists], ["_row", "_id", "_train", "places", "rest"])
+                [*(batch.column(c) for c in ("_row", "_id", "_train")), pa.array(ids, pa.binary()), pa.array(numerators, pa.float64()), pa.array(known, pa.int64()), lists],
+                ["_row", "_id", "_train", "ids", "numerators", "known", "rest"])
 
-    kinds = f"_row long, _id {rows.schema['_id'].dataType.simpleString()}, _train boolean, places binary, rest array<long>"
+    kinds = f"_row long, _id {rows.schema['_id'].dataType.simpleString()}, _train boolean, ids binary, numerators double, known long, rest array<long>"
     return rows.mapInArrow(of, kinds)
 
 
+def _held(column: pa.Array, of=np.int32) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers that the values of a binary column hold, one value after the other; how many each holds), read in place."""
+    _, ends, data = column.buffers()
+    if not len(column) or data is None:
+        return np.zeros(0, of), np.zeros(len(column), np.int64)
+    wide = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    ends = np.frombuffer(ends, wide)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].view(of), np.diff(ends) // np.dtype(of).itemsize
+
+
+def _pairs(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(neighbours, their counts, pairs in each value) of a column ``after`` or ``before`` of ``contexts``."""
+    held, sizes = _held(column)
+    return held[::2], held[1::2], sizes // 2
+
+
 def runs(batch: pa.RecordBatch, unknown: int) -> tuple[np.ndarray, np.ndarray]:
     """(tokens, places of the ends) of the texts of a batch: an end, then each text's words and an end.
 
     A word is its number, ``unknown`` without one, an end the number after that.
     """
-    packed = batch.column("ids").to_pylist()
-    ids = np.frombuffer(b"".join(packed), np.int32)
-    sizes = np.array([len(p) // 4 for p in packed], np.int64)
+    ids, sizes = _held(batch.column("ids"))
     tokens = np.full(len(ids) + len(sizes) + 1, unknown + 1, np.int64)
     tokens[np.arange(len(ids)) + 1 + np.repeat(np.arange(len(sizes)), sizes)] = np.where(ids < 0, unknown, ids)
     return tokens, np.concatenate([[0], np.cumsum(sizes + 1)])
 
 
-def core_pairs(texts: DataFrame, core: int) -> DataFrame:
-    """w1, w2, n: how often two tokens follow each other; a text begins after an end.
-
-    Tokens are numbers of core words, ``core`` for all other words and core + 1 for the end.
-    """
-    width = core + 2
-
-    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, held = [], 0
-
-        def out() -> pa.RecordBatch:
-            codes, n = np.unique(np.concatenate(parts), return_counts=True)
-            parts.clear()
-            return pa.RecordBatch.from_arrays([pa.array((codes // width).astype(np.int32)), pa.array((codes % width).astype(np.int32)), pa.array(n)], ["w1", "w2", "n"])
-
-        for batch in batches:
-            token, _ = runs(batch, _FAR)
-            token = np.where(token > _FAR, core + 1, np.minimum(token, core))
-            parts.append(token[:-1] * width + token[1:])
-            held += len(token)
-            if held > 4 * HELD_COUNTS:
-                held = 0
-                yield out()
-        if parts:
-            yield out()
-
-    return texts.select("ids").mapInArrow(of, "w1 int, w2 int, n long").groupBy("w1", "w2").agg(F.sum("n").alias("n"))
-
-
 def _phi(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1.0))
 
@@ -234,38 +250,46 @@ def exchange(pairs: DataFrame, core: int, classes: int) -> tuple[np.ndarray, np.
 _SIDE = 1 << 34  # codes of neighbours lie below: 2 * number for one that follows, 1 more for one that precedes
 
 
-def _packed(codes: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    """w, seen: the sorted codes w * _SIDE + neighbour and their counts, packed for each word as pairs of 32-bit integers."""
-    word = codes // _SIDE
-    first = np.flatnonzero(np.diff(word, prepend=-1))
-    pairs = np.ascontiguousarray(np.stack([codes % _SIDE, n], axis=1).astype(np.int32))
-    ends = np.append(first, len(codes)).astype(np.int32) * 8
-    seen = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(pairs)])
-    return pa.RecordBatch.from_arrays([pa.array(word[first].astype(np.int32)), seen], ["w", "seen"])
+def _spread(ends: np.ndarray, values: np.ndarray) -> pa.Array:
+    """A binary column whose values end at these places of ``values``, the first of them starting at ``ends[0]``."""
+    values = np.ascontiguousarray(values)
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer((ends * values.itemsize).astype(np.int32)), pa.py_buffer(values)])
 
 
-def _codes(words: np.ndarray, seen: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    pairs = np.frombuffer(b"".join(seen), np.int32).reshape(-1, 2)
-    each = np.repeat(words.astype(np.int64), [len(x) // 8 for x in seen])
-    return each * _SIDE + pairs[:, 0], pairs[:, 1].astype(np.int64)
+def _grouped(codes: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """g, place, seen, n: the sorted codes (g * GROUP + place) * _SIDE + seen and their counts, packed for each group of words."""
+    word = codes // _SIDE
+    group = word // GROUP
+    first = np.flatnonzero(np.diff(group, prepend=-1))
+    ends = np.append(first, len(codes))
+    sides = ((word - group * GROUP).astype(np.uint8), (codes & (_SIDE - 1)).astype(np.int32), n.astype(np.int32))
+    return pa.RecordBatch.from_arrays([pa.array(group[first].astype(np.int32)), *[_spread(ends, x) for x in sides]], ["g", "place", "seen", "n"])
 
 
 def _summed(codes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    codes, at = np.unique(codes, return_inverse=True)
-    return codes, np.bincount(at, weights=n, minlength=len(codes)).astype(np.int64)
+    order = np.argsort(codes, kind="stable")
+    codes = codes[order]
+    first = np.flatnonzero(np.diff(codes, prepend=-1))
+    sums = np.append(0, np.cumsum(n[order], dtype=np.int64))
+    return codes[first], np.diff(sums[np.append(first, len(codes))])
 
 
-def _rows(codes: np.ndarray, n: np.ndarray, words: int) -> pa.RecordBatch:
+def _rows(codes: np.ndarray, n: np.ndarray, words: int, groups: int) -> pa.RecordBatch:
     """The sorted codes of whole words and their counts, a row for each word, as ``contexts`` gives them."""
-    word, before, other = codes // _SIDE, codes % 2 == 1, codes % _SIDE // 2
-    names, at = np.unique(word, return_inverse=True)
+    word, seen = codes // _SIDE, (codes & (_SIDE - 1)).astype(np.int32)
+    names = word[np.flatnonzero(np.diff(word, prepend=-1))]
+    before, other = (seen & 1) == 1, seen >> 1
     sides = []
     for side in (~before, before):
-        pairs = np.ascontiguousarray(np.stack([codes[side] % _SIDE, n[side]], axis=1).astype(np.int32))
-        ends = np.searchsorted(word[side], np.append(names, names[-1:] + 1)).astype(np.int32) * 8
-        sides.append(pa.Array.from_buffers(pa.binary(), len(names), [None, pa.py_buffer(ends), pa.py_buffer(pairs)]))
-    outer = [np.bincount(at[x], n[x], len(names)).astype(np.int64) for x in (before & (other == words), before & (other > words))]
-    return pa.RecordBatch.from_arrays([pa.array(names.astype(np.int32)), *sides, *map(pa.array, outer)], ["w", "after", "before", "unknown", "end"])
+        pairs = np.stack([seen[side], n[side].astype(np.int32)], axis=1)
+        ends = np.searchsorted(word[side], np.append(names, names[-1:] + 1))
+        sides.append(_spread(2 * ends, pairs))
+    outer = []
+    for x in (before & (other == words), before & (other > words)):
+        sums = np.zeros(len(names), np.int64)
+        sums[np.searchsorted(names, word[x])] = n[x]  # a word has one such neighbour at most
+        outer.append(pa.array(sums))
+    return pa.RecordBatch.from_arrays([pa.array((names % GROUP * groups + names // GROUP).astype(np.int32)), *sides, *outer], ["w", "after", "before", "unknown", "end"])
 
 
 def contexts(texts: DataFrame, words: int) -> DataFrame:
@@ -274,49 +298,80 @@ def contexts(texts: DataFrame, words: int) -> DataFrame:
     The last two are how often a word without a number and an end precede it.
 
     Tasks count pairs before anything is shuffled, so of a frequent word, each sends its
-    distinct neighbours only.  The counts of a word meet sorted, as a stream, and add up to one row.
+    distinct neighbours only, and words travel in groups, dealt out by their numbers, so that the
+    frequent ones are in different groups.  The counts of a group meet sorted, as a stream, and add up to one row a word.
     """
+    groups = max(1, min(words, GROUPS), -(-words // GROUP))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
         for batch in batches:
             token, _ = runs(batch, words)
-            a, b = token[:-1], token[1:]
-            parts += [(a * _SIDE + 2 * b)[a < words], (b * _SIDE + 2 * a + 1)[b < words]]
+            at = token // groups
+            dealt = (token - at * groups) * GROUP + at
+            for this, other, side in ((slice(None, -1), slice(1, None), 0), (slice(1, None), slice(None, -1), 1)):
+                own = token[this] < words
+                parts.append(dealt[this][own] * _SIDE + 2 * token[other][own] + side)
             held += 2 * len(token)
             if held > 6 * HELD_COUNTS:
-                yield _packed(*np.unique(np.concatenate(parts), return_counts=True))
+                yield _grouped(*np.unique(np.concatenate(parts), return_counts=True))
                 parts, held = [], 0
         if held:
-            yield _packed(*np.unique(np.concatenate(parts), return_counts=True))
+            yield _grouped(*np.unique(np.concatenate(parts), return_counts=True))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, n = np.zeros(0, np.int64), np.zeros(0, np.int64)  # of the last word, which may go on
+        codes, n = np.zeros(0, np.int64), np.zeros(0, np.int64)  # of the last group, which may go on
         for batch in batches:
-            new = _codes(batch.column("w").to_numpy(), batch.column("seen").to_pylist())
-            codes, n = _summed(np.concatenate([codes, new[0]]), np.concatenate([n, new[1]]))
-            done = int(np.searchsorted(codes, codes[-1] // _SIDE * _SIDE)) if len(codes) else 0
+            (seen, sizes), (place, _), (more, _) = _held(batch.column("seen")), _held(batch.column("place"), np.uint8), _held(batch.column("n"))
+            new = (np.repeat(batch.column("g").to_numpy().astype(np.int64) * GROUP, sizes) + place) * _SIDE + seen
+            codes, n = _summed(np.concatenate([codes, new]), np.concatenate([n, more]))
+            done = int(np.searchsorted(codes, codes[-1] // (GROUP * _SIDE) * (GROUP * _SIDE))) if len(codes) else 0
             if done:
-                yield _rows(codes[:done], n[:done], words)
+                yield _rows(codes[:done], n[:done], words, groups)
             codes, n = codes[done:], n[done:]
         if len(codes):
-            yield _rows(codes, n, words)
+            yield _rows(codes, n, words, groups)
 
-    counted = texts.select("ids").mapInArrow(count, "w int, seen binary").repartition("w").sortWithinPartitions("w")
+    counted = texts.select("ids").mapInArrow(count, "g int, place binary, seen binary, n binary").repartition("g").sortWithinPartitions("g")
     return counted.mapInArrow(merge, "w int, after binary, before binary, unknown long, end long")
 
 
+def core_pairs(table: DataFrame, words: int, core: int) -> DataFrame:
+    """w1, w2, n: how often two tokens follow each other, one of them a core word at least; from ``contexts`` of the numbered ``words``.
+
+    Tokens are numbers of core words, ``core`` for all other words and core + 1 for the end.
+    """
+    width = core + 2
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            word = batch.column("w").to_numpy().astype(np.int64)
+            codes, counts = [], []
+            for name in ("after", "before"):
+                seen, n, sizes = _pairs(batch.column(name))
+                token, this = np.where(seen >> 1 > words, core + 1, np.minimum(seen >> 1, core)).astype(np.int64), np.repeat(word, sizes)
+                if name == "before":
+                    outer = token >= core  # a core word has the pair in its own row
+                    token, this, n = token[outer], this[outer], n[outer]
+                codes.append(this * width + token if name == "after" else token * width + this)
+                counts.append(n)
+            code, n = _summed(np.concatenate(codes), np.concatenate(counts))
+            yield pa.RecordBatch.from_arrays([pa.array((code // width).astype(np.int32)), pa.array((code % width).astype(np.int32)), pa.array(n)], ["w1", "w2", "n"])
+
+    return table.where(F.col("w") < core).select("w", "after", "before").mapInArrow(of, "w1 int, w2 int, n long")
+
+
 def class_matrix(table: DataFrame, kinds_of, kinds: int) -> np.ndarray:
     """How often kinds follow each other, from ``contexts``, but for pairs of two tokens without a class; those never change."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind, matrix = kinds_of.value.astype(np.int64), np.zeros(kinds * kinds)
+        kind, matrix = kinds_of.value, np.zeros(kinds * kinds)
         for batch in batches:
-            words = batch.column("w").to_numpy()
-            codes, n = _codes(words, batch.column("after").to_pylist())
-            matrix += np.bincount(kind[codes // _SIDE] * kinds + kind[codes % _SIDE // 2], n, kinds * kinds)
+            own = kind[batch.column("w").to_numpy()].astype(np.int64)
+            seen, n, sizes = _pairs(batch.column("after"))
+            matrix += np.bincount(np.repeat(own * kinds, sizes) + kind[seen >> 1], n, kinds * kinds)
             for before, name in ((kinds - 2, "unknown"), (kinds - 1, "end")):
-                matrix[before * kinds :][:kinds] += np.bincount(kind[words], batch.column(name).to_numpy(), kinds)
+                matrix[before * kinds :][:kinds] += np.bincount(own, batch.column(name).to_numpy(), kinds)
         at = np.flatnonzero(matrix)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(matrix[at].astype(np.int64))], ["code", "n"])
 
@@ -336,7 +391,7 @@ class Choice:
         self.counts = np.concatenate([matrix[:k].T, matrix[:, :k]])
         # a row for each kind that follows a class, then for each that precedes one
         self.known = _phi(self.counts)
-        self.more = np.stack([_phi(self.counts + n) - self.known for n in range(1, self.LEVELS + 1)])
+        self.more = np.concatenate([_phi(self.counts + n) - self.known for n in range(1, self.LEVELS + 1)])
         self.rows, self.columns = matrix[:k].sum(1), matrix[:, :k].sum(0)
         # Alone in a small class, any word gains; but words that choose at once would all go there.
         self.small = self.columns < SMALL * self.columns.mean()
@@ -349,19 +404,22 @@ class Choice:
         words, k = len(own), self.counts.shape[1]
         starts = np.searchsorted(word, np.arange(words))
         gain = np.empty((words, k))
-        step, at = max(1, (1 << 20) // k), 0
-        while at < words:  # whole words, about ``step`` entries at once
+        level = (np.minimum(n, self.LEVELS).astype(np.int64) - 1) * len(self.counts) + j
+        step, at = max(1, (1 << 16) // k), 0
+        while at < words:  # whole words, about ``step`` entries at once, whose rows stay in the cache of a core
             to = max(at + 1, int(np.searchsorted(starts, starts[at] + step)))
             lo, hi = starts[at], starts[to] if to < words else len(word)
-            jj, nn = j[lo:hi], n[lo:hi]
-            one = self.more[np.minimum(nn, self.LEVELS).astype(int) - 1, jj]
-            large = np.flatnonzero(nn > self.LEVELS)
-            one[large] = _phi(self.counts[jj[large]] + nn[large, None]) - self.known[jj[large]]
-            gain[at:to] = np.add.reduceat(one, starts[at:to] - lo, axis=0)
+            one = self.more.take(level[lo:hi], axis=0)
+            large = np.flatnonzero(n[lo:hi] > self.LEVELS)
+            if len(large):
+                jj = j[lo:hi][large]
+                one[large] = _phi(self.counts[jj] + n[lo:hi][large, None]) - self.known[jj]
+            np.add.reduceat(one, starts[at:to] - lo, axis=0, out=gain[at:to])
             at = to
         total = np.bincount(word, weights=n, minlength=words) / 2
-        t = total[:, None]
-        gain -= _phi(self.rows + t) - _phi(self.rows) + _phi(self.columns + t) - _phi(self.columns)
+        t, of = np.unique(total, return_inverse=True)  # most words are rare, so few totals differ
+        t = t[:, None]
+        gain -= (_phi(self.rows + t) - _phi(self.rows) + _phi(self.columns + t) - _phi(self.columns))[of]
         gain[:, self.small] = -np.inf
         placed = np.flatnonzero(own >= 0)
         mine = own[word]
@@ -383,19 +441,19 @@ def choices(table: DataFrame, kinds_of, matrix: np.ndarray) -> tuple[np.ndarray,
     kinds = len(matrix)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind, choice = kinds_of.value.astype(np.int64), Choice(matrix)
+        kind, choice = kinds_of.value, Choice(matrix)
         for batch in batches:
-            words = batch.column("w").to_numpy()
-            sides = [batch.column(c).to_pylist() for c in ("after", "before")]
-            for i in range(0, len(words), 1000):
-                w = words[i : i + 1000]
-                codes, n = map(np.concatenate, zip(*[_codes(np.arange(len(w)), side[i : i + 1000]) for side in sides]))
-                place = codes % _SIDE
-                cells = codes // _SIDE * (2 * kinds) + place % 2 * kinds + kind[place // 2]
-                sums = np.bincount(cells, n, len(w) * 2 * kinds)
+            for i in range(0, batch.num_rows, 1000):
+                rows = batch.slice(i, 1000)
+                w = rows.column("w").to_numpy()
+                sums = np.zeros(len(w) * 2 * kinds)
+                for side, name in enumerate(("after", "before")):
+                    seen, n, sizes = _pairs(rows.column(name))
+                    cells = np.repeat(np.arange(len(w)) * (2 * kinds) + side * kinds, sizes) + kind[seen >> 1]
+                    sums += np.bincount(cells, n, len(sums))
                 at = np.flatnonzero(sums)
-                own = np.where(kind[w] < kinds - 2, kind[w], -1)
-                best = choice.best(at // (2 * kinds), at % (2 * kinds), sums[at], own)
+                own = np.where(kind[w] < kinds - 2, kind[w].astype(np.int64), -1)
+                best = choice.best(*np.divmod(at, 2 * kinds), sums[at], own)
                 moved = best != own
                 yield pa.RecordBatch.from_arrays([pa.array(w[moved]), pa.array(best[moved].astype(np.int32))], ["w", "kind"])
 
@@ -455,28 +513,11 @@ class Tables:
             return cls(np.log10(transition), np.log10(emission), float(np.log10(total + SMOOTH * (distinct + 1))))
 
 
-def _numbered(tokens: DataFrame, others: DataFrame, counts: np.ndarray, end: int) -> DataFrame:
+def _numbered(tokens: DataFrame, others: DataFrame) -> DataFrame:
     """_row, _id, _train, ids (32-bit; -1 for a word without a number), numerators, n_known: tokens with the numbers and counts of all their words.
 
     ``others`` has key, c and id of the words that tasks don't know by heart.
     """
-    logs = np.log10(counts + SMOOTH)
-
-    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out, numerators, known = [], [], []
-            for places in batch.column("places").to_pylist():
-                at = np.frombuffer(places, np.int32)
-                ours = at >= 0
-                out.append(np.where(ours, at, _WAITING).astype(np.int32).tobytes())
-                numerators.append(float(logs[at[ours]].sum()) + float(np.log10(end + SMOOTH)))
-                known.append(int(ours.sum()) + (end > 0))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("_row", "_id", "_train")), pa.array(out, pa.binary()), pa.array(numerators, pa.float64()), pa.array(known, pa.int64())],
-                ["_row", "_id", "_train", "ids", "numerators", "known"])
-
-    own = f"_row long, _id {tokens.schema['_id'].dataType.simpleString()}, _train boolean, ids binary, "
-    mine = tokens.select("_row", "_id", "_train", "places").mapInArrow(local, own + "numerators double, known long")
     late = tokens.select("_row", F.posexplode("rest").alias("pos", "key")).join(others, "key", "left").groupBy("_row").agg(
         F.sum(F.log10(F.coalesce("c", F.lit(0)) + SMOOTH)).alias("more"), F.count("c").alias("found"),
         F.array_sort(F.collect_list(F.struct("pos", F.coalesce("id", F.lit(-1)).alias("id")))).alias("rest"))
@@ -493,7 +534,7 @@ def _numbered(tokens: DataFrame, others: DataFrame, counts: np.ndarray, end: int
             out.append(packed)
         return pd.Series(out)
 
-    both = mine.join(late, "_row", "left")
+    both = tokens.drop("rest").join(late, "_row", "left")
     return both.select(
         "_row", "_id", "_train", filled("ids", "rest").alias("ids"),
         (F.col("numerators") + F.coalesce("more", F.lit(0.0))).alias("numerators"), (F.col("known") + F.coalesce("found", F.lit(0))).alias("n_known"))
@@ -529,7 +570,7 @@ class Learned:
 
 def _own(docs: DataFrame, train_on, id_col: str, text_col: str) -> DataFrame:
     return docs.select(
-        F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"),
+        F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("_id"), text_or_empty(text_col).cast("binary").alias("_text"),
         F.coalesce(train_on, F.lit(False)).alias("_train"))
 
 
@@ -548,19 +589,21 @@ def learn(own: DataFrame) -> Learned:
     numbers = running_sums(numbered, [], [F.col("c").desc(), F.col("key")], {"id": "_1"}).select("key", F.col("id").cast("int").alias("id"))
     vocabulary = stored(counted.join(numbers, "key", "left"), "vocabulary")
     discard(counted)
+    sweep(spark)
     carried = [x for x in most_frequent(vocabulary, CARRIED) if x[1] >= LEAST_COUNT]  # the first numbers
     classes = classes_for(distinct)
     core = min(CORE, len(carried))
-    places = spark.sparkContext.broadcast({w: i for i, (w, _) in enumerate(carried)})
-    tokens = stored(tokenized(own, places), "tokens")
-    counts = np.array([c for _, c in carried], np.float64)
+    known = spark.sparkContext.broadcast(({w: i for i, (w, _) in enumerate(carried)}, np.log10(np.array([c for _, c in carried], np.float64) + SMOOTH)))
+    tokens = stored(tokenized(own, known, end), "tokens")
     others = vocabulary.where((F.col("id") >= len(carried)) | F.col("id").isNull()).select("key", "c", "id")
-    texts = stored(_numbered(tokens, others, counts, end), "numbered-texts")
+    texts = stored(_numbered(tokens, others), "numbered-texts")
     discard(tokens)
+    sweep(spark)
     training = texts.where("_train")
-    pairs = stored(core_pairs(training, core), "core-pairs")
-    started, matrix = exchange(pairs, core, classes)
     table = stored(contexts(training, named), "word-contexts")
+    sweep(spark)
+    pairs = stored(core_pairs(table, named, core), "core-pairs")
+    started, matrix = exchange(pairs, core, classes)
     kind = np.full(named + 2, classes, np.uint16)
     kind[:core], kind[-1] = started[:core], classes + 1
     kind = exchange_all(table, kind, classes, matrix)

@@ -7,9 +7,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import shared
-from ..sources.shared import discard, stored
+from ..sources.shared import discard, stored, sweep
 
-__all__ = ["Memo", "SPACE", "WORD", "crc_fold", "discard", "mix64", "ship", "stored", "table", "text_or_empty", "words_col"]
+__all__ = ["Memo", "SPACE", "WORD", "crc_fold", "discard", "mix64", "ship", "stored", "sweep", "table", "text_or_empty", "words_col"]
 
 #: The white space that separates words, as a character class body: U+0020 and U+0009..U+000D.
 SPACE = " \t\n\x0b\f\r"

@@ -61,6 +61,14 @@ def discard(*tables: DataFrame) -> None:
             _remove(_paths.pop(path), path)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Lets go of the files of shuffles that no plan needs any more.
+
+    Spark removes them when the driver collects garbage, which a driver with little to do puts off while the disks fill.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def _remove_all() -> None:
     while _paths:
         path, spark = _paths.popitem()
