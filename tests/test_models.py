@@ -531,3 +531,44 @@ def test_no_two_jobs_meet_in_a_task(spark):
     rows = by_job(spark.range(1000).selectExpr("cast(id % 10 AS int) AS job"), 10)
     places = rows.groupBy("job").applyInPandas(lambda pdf: pdf.iloc[:1], "job int").select("job", F.spark_partition_id().alias("at")).collect()
     assert len(places) == 10 and len({r["at"] for r in places}) == 10
+
+
+def test_trees_are_fitted_on_all_rows_whether_a_task_holds_them_or_not(spark, monkeypatch):
+    from tidemark.operators import boosting
+    from tidemark.plans import modelling
+
+    df, cfg = model_rows(spark), Model(type="gbm", weight="w", gbm_max_iter=9, gbm_min_samples_leaf=10, n_splits=3, n_repeats=1)
+    assert cfg.gbm_fit_rows is None
+    scores = lambda: modelling.cross_validate(df, cfg)[0].select("repeat", "customer", "event", "score").toPandas().sort_values(["repeat", "customer", "score"]).to_numpy(float)
+    within = scores()
+    monkeypatch.setattr(boosting, "TASK_ROWS", 100)
+    np.testing.assert_allclose(scores(), within, rtol=0, atol=1e-9)
+
+
+@pytest.mark.parametrize("depth", [3, None])
+def test_passes_over_blocks_give_the_trees_of_one_task(spark, depth):
+    from tidemark.operators.boosting import boost
+    from tidemark.operators.boosting_passes import fit_in_passes, marked
+    from tidemark.operators.encode import arrays
+    from tidemark.sources.shared import ship, stored
+
+    ship(spark)
+    rng, n = np.random.default_rng(12), 24_000 if depth else 1500
+    a, b, kind = rng.normal(size=n), rng.integers(0, 6, n), rng.choice(["u", "v", "w"], n)
+    y = (rng.random(n) < 1 / (1 + np.exp(2 - a - 0.5 * b * (kind == "u")))).astype(int)
+    rows = [(i, None if i % 7 == 0 else float(a[i]), float(b[i]), float(2 * b[i]), None if i % 3 else 4.0, f"r{i}" if i % 60 == 0 else str(kind[i]), int(y[i]), 0.5 + i % 3, [i // 5 % 2]) for i in range(n)]
+    df = spark.createDataFrame(rows, "_r long, a double, b double, twice double, c double, kind string, _y int, _w double, _folds array<int>")
+    jobs, numeric, rounds = [(0, 0), (0, 1)], ["a", "b", "twice", "c"], 40 if depth else 2
+    encoders = fold_encoders(df, numeric, ["kind"], 0.02, jobs, 2)
+    vocabulary = vocabulary_of(encoders)
+    table = stored(coded(df, numeric, ["kind"], vocabulary).select("_r", "_num", "_cat", "_y", "_w", "_folds"), "test")
+    found = fit_in_passes(table, encoders, jobs, vocabulary, 0.5, rounds, depth, 20, 1.0, 42)
+    num, cat, t, w, kept, held = arrays(marked(table, encoders, jobs, 42).toArrow().combine_chunks().to_batches()[0], "_num", "_cat", "_y", "_w", "_kept", "_held")
+    kept, held = kept.astype(bool), held.astype(bool)
+    for j, e in enumerate(encoders):
+        x, mine = e.matrix(num, cat, vocabulary), kept[:, j] | held[:, j]
+        assert mine.sum() == e.rows and (0.09 < held[:, j].sum() / e.rows < 0.11 if depth else not held.any())
+        want = boost(list(x[mine].T), t[mine], w[mine], 0.5, rounds, depth, 20, 1.0, 42, held=held[mine, j] if depth else None)
+        assert len(found[j].feature) == len(want.feature) and (not depth or len(want.feature) < rounds)  # stopped early
+        np.testing.assert_allclose(found[j].raw(x), want.raw(x), atol=1e-9)
+        assert not found[j].uses([2])  # of equal columns the first is split

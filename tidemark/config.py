@@ -120,7 +120,7 @@ class Model:
     gbm_max_iter: int = 300
     gbm_min_samples_leaf: int = 200
     gbm_l2_regularization: float = 1.0
-    gbm_fit_rows: int = 200_000  # training rows of a fold that trees are fitted on, by expectation; all if there are fewer
+    gbm_fit_rows: int | None = None  # trees are fitted on all training rows; a number asks for a draw of so many of a fold instead
     permutation_repeats: int = 5
     negative_customer_fraction: float = 0.25
     n_splits: int = 5

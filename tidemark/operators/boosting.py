@@ -20,9 +20,24 @@ from .linear import sigmoid
 BINS, LEAVES, LEAST_HESSIAN = 255, 31, 1e-3
 STOPPING_ROWS, HELD_OUT, PATIENCE, STOPPING_TOL = 10_000, 0.1, 10, 1e-7
 
+TASK_ROWS = 200_000  # training rows up to which a task fits a model alone
 CHUNK = 16_384  # rows that a tree is asked for at once
 JOINT = 1 << 14  # cells that columns are counted in at once
 TABLE_SPLITS = 8  # of a tree whose values are looked up by the sides taken
+TIE = 1e-10  # gains closer than this, relative to the sums they are made of, are equal: sums in another order differ by less
+
+
+def landing(feature: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """(nodes that split, node come to for each pattern of the sides taken at them: bit k is set where the k-th goes left) of a tree; None above 8 splits."""
+    nodes = np.flatnonzero(feature >= 0)
+    if len(nodes) > TABLE_SPLITS:
+        return None
+    place, at = {int(n): k for k, n in enumerate(nodes)}, np.zeros(1 << len(nodes), int)
+    sides = np.arange(len(at))
+    for n in nodes:  # a node's children have higher numbers
+        goes = sides >> place[int(n)] & 1 == 1
+        at = np.where(at == n, np.where(goes, left[n], right[n]), at)
+    return nodes, at
 
 
 @dataclass
@@ -39,19 +54,8 @@ class Trees:
     @cached_property
     def tables(self) -> list[tuple[np.ndarray, np.ndarray] | None]:
         """(nodes that split, value for each pattern of the sides taken at them: bit k is set where the k-th goes left) of each tree; None above 8 splits."""
-        out: list[tuple[np.ndarray, np.ndarray] | None] = []
-        for t, feature in enumerate(self.feature):
-            nodes = np.flatnonzero(feature >= 0)
-            if len(nodes) > TABLE_SPLITS:
-                out.append(None)
-                continue
-            place, at = {int(n): k for k, n in enumerate(nodes)}, np.zeros(1 << len(nodes), int)
-            sides = np.arange(len(at))
-            for n in nodes:  # a node's children have higher numbers
-                goes = sides >> place[int(n)] & 1 == 1
-                at = np.where(at == n, np.where(goes, self.left[t, n], self.right[t, n]), at)
-            out.append((nodes, self.value[t, at]))
-        return out
+        found = [landing(*tree) for tree in zip(self.feature, self.left, self.right)]
+        return [x and (x[0], self.value[t, x[1]]) for t, x in enumerate(found)]
 
     def given(self, x: np.ndarray, t: int) -> np.ndarray:
         """The value tree ``t`` gives each row; fast if the columns of ``x`` are contiguous."""
@@ -112,12 +116,37 @@ def thresholds(x: np.ndarray) -> np.ndarray:
     return np.unique(np.percentile(x, np.linspace(0, 100, BINS + 1)[1:-1], method="midpoint"))
 
 
-class Bins:
+class Splits:
+    """Where the sums of a node lie in its matrix: all its rows, the bins of columns, then the set rows of columns of two bins."""
+
+    def __init__(self, wide: Sequence[int], two: Sequence[int]):
+        self.cells = len(wide) * (BINS + 1)
+        self.feature = np.append(np.repeat(np.array(wide, int), BINS + 1), np.array(two, int))
+        self.last = np.append(np.tile(np.arange(BINS + 1), len(wide)), np.zeros(len(two), int))
+
+    def best_split(self, sums: np.ndarray, l2: float, least_rows: int) -> tuple[float, int, int, np.ndarray]:
+        """(gain, feature, last bin of the left side, its totals); the first of equals, gain 0 for none."""
+        whole = sums[:, :1]
+        wide = sums[:, 1 : 1 + self.cells].reshape(3, -1, BINS + 1).cumsum(axis=2).reshape(3, -1)
+        left = np.concatenate([wide, whole - sums[:, 1 + self.cells :]], axis=1)
+        right = whole - left
+        fine = (left[2] >= least_rows) & (right[2] >= least_rows) & (left[1] >= LEAST_HESSIAN) & (right[1] >= LEAST_HESSIAN)
+        all_ = whole[0] ** 2 / (whole[1] + l2 + 1e-15)
+        gain = left[0] ** 2 / (left[1] + l2 + 1e-15) + right[0] ** 2 / (right[1] + l2 + 1e-15) - all_
+        gain = np.where(fine, gain, 0.0)
+        best = gain.max(initial=0.0)
+        if best <= 0:
+            return 0.0, -1, -1, np.zeros(3)
+        equal = np.flatnonzero((gain > 0) & (gain >= best - TIE * (best + float(all_[0]))))
+        at = equal[np.lexsort((self.last[equal], self.feature[equal]))[0]]
+        return float(gain[at]), int(self.feature[at]), int(self.last[at]), left[:, at].copy()
+
+
+class Bins(Splits):
     """Columns of codes made ready, once for all trees, for sums of gradients, Hessians and rows by feature and bin.
 
     Columns that are equal to an earlier one, or of one bin, are left out, as the first of equals is split.
     Columns of two bins, as indicators and levels are, share a count with others that are never set with them.
-    Sums of a node lie in one matrix: all its rows, the bins of the other columns, then the set rows of those of two bins.
     """
 
     def __init__(self, codes: np.ndarray):
@@ -127,7 +156,7 @@ class Bins:
                 first.setdefault(self.codes[:, f].tobytes(), f)
         top = codes.max(axis=0, initial=0).astype(int)
         wide, two = ([f for f in first.values() if (top[f] > 1) == many] for many in (True, False))
-        self.cells = len(wide) * (BINS + 1)
+        super().__init__(wide, two)
         # (codes, number of codes, first code that counts, places of the sums)
         columns = [(self.codes[:, f], int(top[f]) + 1, 0, 1 + i * (BINS + 1) + np.arange(top[f] + 1)) for i, f in enumerate(wide)]
         set_ = self.codes[:, two].astype(np.float32)
@@ -147,8 +176,6 @@ class Bins:
         for g in groups:
             sizes = [x[1] for x in g]
             self.joint.append((np.ravel_multi_index([x[0].astype(np.intp) for x in g], sizes), sizes, [x[2:] for x in g]))
-        self.feature = np.append(np.repeat(np.array(wide, int), BINS + 1), np.array(two, int))
-        self.last = np.append(np.tile(np.arange(BINS + 1), len(wide)), np.zeros(len(two), int))
 
     def of(self, g: np.ndarray, h: np.ndarray, rows: np.ndarray | None = None) -> np.ndarray:
         """The sums of a node's rows, or of all."""
@@ -163,22 +190,6 @@ class Bins:
                     out[k, to] = found.sum(axis=tuple(i for i in range(len(sizes)) if i != axis))[first:]
         return out
 
-    def best_split(self, sums: np.ndarray, l2: float, least_rows: int) -> tuple[float, int, int]:
-        """(gain, feature, last bin of the left side); the first of equals, gain 0 for none."""
-        whole = sums[:, :1]
-        wide = sums[:, 1 : 1 + self.cells].reshape(3, -1, BINS + 1).cumsum(axis=2).reshape(3, -1)
-        left = np.concatenate([wide, whole - sums[:, 1 + self.cells :]], axis=1)
-        right = whole - left
-        fine = (left[2] >= least_rows) & (right[2] >= least_rows) & (left[1] >= LEAST_HESSIAN) & (right[1] >= LEAST_HESSIAN)
-        gain = left[0] ** 2 / (left[1] + l2 + 1e-15) + right[0] ** 2 / (right[1] + l2 + 1e-15) - whole[0] ** 2 / (whole[1] + l2 + 1e-15)
-        gain = np.where(fine, gain, 0.0)
-        best = gain.max(initial=0.0)
-        if best <= 0:
-            return 0.0, -1, -1
-        equal = np.flatnonzero(gain == best)
-        at = equal[np.lexsort((self.last[equal], self.feature[equal]))[0]]
-        return float(best), int(self.feature[at]), int(self.last[at])
-
 
 def grow(bins: Bins, cuts: list[np.ndarray], g: np.ndarray, h: np.ndarray, rate: float, depth: int | None, least_rows: int, l2: float):
     """(tree as columns feature, threshold, left, right, value; rows of its leaves): the best leaf is split first."""
@@ -188,7 +199,7 @@ def grow(bins: Bins, cuts: list[np.ndarray], g: np.ndarray, h: np.ndarray, rate:
         n = len(tree)
         tree.append([-1, 0.0, -1, -1, -rate * sums[0, 0] / (sums[1, 0] + l2 + 1e-15)])
         members[n] = rows
-        gain, feature, last = bins.best_split(sums, l2, least_rows) if may_split(rows, level) else (0.0, -1, -1)
+        gain, feature, last, _ = bins.best_split(sums, l2, least_rows) if may_split(rows, level) else (0.0, -1, -1, None)
         if gain > 0:
             heapq.heappush(waiting, (-gain, n, feature, last, level, sums))
         return n
@@ -216,17 +227,17 @@ def grow(bins: Bins, cuts: list[np.ndarray], g: np.ndarray, h: np.ndarray, rate:
     return tree, members
 
 
-def boost(columns: Iterable[np.ndarray], y: np.ndarray, w: np.ndarray, rate: float, rounds: int, depth: int | None, least_rows: int, l2: float, seed: int) -> Trees:
+def boost(columns: Iterable[np.ndarray], y: np.ndarray, w: np.ndarray, rate: float, rounds: int, depth: int | None, least_rows: int, l2: float, seed: int, held: np.ndarray | None = None) -> Trees:
     """Trees for 0/1 labels and weights, classes balanced; logistic loss.
 
     Above 10,000 rows a tenth of each class is held out, and boosting ends when its loss
-    has not improved for 10 rounds.  The order of the rows matters for that draw only.
+    has not improved for 10 rounds.  The order of the rows matters for that draw only; ``held`` gives the rows instead.
     """
     y, w = y.astype(float), w.astype(float)
     ones = y.sum()
     w = w * np.where(y == 1, len(y) / (2 * max(ones, 1)), len(y) / (2 * max(len(y) - ones, 1)))
-    out = np.zeros(len(y), bool)
-    if len(y) > STOPPING_ROWS:
+    out = np.zeros(len(y), bool) if held is None else held
+    if held is None and len(y) > STOPPING_ROWS:
         for label in (0.0, 1.0):
             at = np.random.default_rng([seed, int(label)]).permutation(np.flatnonzero(y == label))
             out[at[: round(HELD_OUT * len(at))]] = True
@@ -236,8 +247,8 @@ def boost(columns: Iterable[np.ndarray], y: np.ndarray, w: np.ndarray, rate: flo
         found.append(np.searchsorted(cuts[-1], x).astype(np.uint8))
     codes = np.stack(found, axis=1) if found else np.zeros((len(y), 0), np.uint8)
     del found
-    held, codes_held = out, codes[out]
-    codes, y_held, w_held, y, w = codes[~out], y[held], w[held], y[~out], w[~out]
+    codes_held, y_held, w_held = codes[out], y[out], w[out]
+    codes, y, w = codes[~out], y[~out], w[~out]
     mean = np.clip((w * y).sum() / max(w.sum(), 1e-300), 1e-15, 1 - 1e-15)
     base = float(np.log(mean / (1 - mean)))
     raw, raw_held = np.full(len(y), base), np.full(len(y_held), base)
@@ -282,16 +293,16 @@ def by_job(rows: DataFrame, jobs: int) -> DataFrame:
     return rows.repartitionById(jobs, F.col("job"))
 
 
-def fit_trees(rows: DataFrame, encoders: Sequence[Encoder], jobs: Sequence[Job], vocabulary, rate: float, rounds: int, depth: int | None, least_rows: int, l2: float, seed: int, fit_rows: int) -> list[Trees]:
-    """Boosted trees of every job, each on all of its training rows, or on a sample of ``fit_rows`` of them if there are more.
+def fit_trees(rows: DataFrame, encoders: Sequence[Encoder], jobs: Sequence[Job], vocabulary, rate: float, rounds: int, depth: int | None, least_rows: int, l2: float, seed: int) -> list[Trees]:
+    """Boosted trees of every job, each on all of its training rows.
 
-    The sample is a draw for each row by its number ``_r``, so it is bounded by expectation, whoever owns the rows,
-    and the same on every run.  A job's sample meets in one task, no two jobs in the same; jobs are fitted side by side.
+    Up to 200,000 of them meet in one task, no two jobs in the same, and jobs are fitted side by side.  Beyond that no
+    task holds them: rows stay in blocks, and all jobs share the passes over these.
     """
-    most = max((e.rows for e in encoders), default=0)
-    if most > fit_rows:
-        share = int(fit_rows / most * (1 << 30))
-        rows = rows.where(F.pmod(F.xxhash64(F.lit(seed), "_r"), F.lit(1 << 30)) < share)
+    if max((e.rows for e in encoders), default=0) > TASK_ROWS:
+        from .boosting_passes import fit_in_passes
+
+        return fit_in_passes(rows, encoders, jobs, vocabulary, rate, rounds, depth, least_rows, l2, seed)
     table = F.array(*[F.struct(F.lit(j).alias("job"), F.lit(r).alias("r"), F.lit(k).alias("k")) for j, (r, k) in enumerate(jobs)])
     mine = F.filter(table, lambda x: F.element_at("_folds", x["r"] + 1) != x["k"])
     dealt = rows.select("_r", "_num", "_cat", "_y", "_w", F.explode(F.transform(mine, lambda x: x["job"])).alias("job"))

@@ -63,13 +63,22 @@ def fit_jobs(df: DataFrame, numeric: list[str], categorical: list[str], cfg: Mod
     rows = stored(rows, "coded")
     if cfg.type == "gbm":
         models: Sequence[Linear | Trees] = fit_trees(
-            rows, encoders, jobs, vocabulary, cfg.gbm_learning_rate, cfg.gbm_max_iter, cfg.gbm_max_depth, cfg.gbm_min_samples_leaf,
-            cfg.gbm_l2_regularization, cfg.random_state, cfg.gbm_fit_rows)
+            _asked_for(rows, encoders, cfg), encoders, jobs, vocabulary, cfg.gbm_learning_rate, cfg.gbm_max_iter, cfg.gbm_max_depth, cfg.gbm_min_samples_leaf,
+            cfg.gbm_l2_regularization, cfg.random_state)
     else:
         models = fit_linear(rows, encoders, jobs, vocabulary, class_factors(rows, jobs), cfg.c_grid[-1], cfg.l1_ratio, cfg.tol, cfg.max_iter)
     return rows, [Fold(r, k, e, m) for (r, k), e, m in zip(jobs, encoders, models)]
 
 
+def _asked_for(rows: DataFrame, encoders: Sequence[Encoder], cfg: Model) -> DataFrame:
+    """All rows, unless a configuration names a number of them to fit trees on; then a draw by hash of so many of a fold, by expectation."""
+    most = max((e.rows for e in encoders), default=0)
+    if cfg.gbm_fit_rows is None or most <= cfg.gbm_fit_rows:
+        return rows
+    share = int(cfg.gbm_fit_rows / most * (1 << 30))
+    return rows.where(F.pmod(F.xxhash64(F.lit(cfg.random_state), "_r"), F.lit(1 << 30)) < share)
+
+
 def class_factors(rows: DataFrame, jobs: Sequence[Job]) -> list[tuple[float, float]]:
     """(weight of the negatives, of the positives) of each job that balances its classes: rows / (2 * rows of the class)."""
     counts = [F.count(F.when((F.col("_folds")[r] != k) & (F.col("_y") == y), 1)) for r, k in jobs for y in (0, 1)]
