@@ -572,3 +572,17 @@ def test_passes_over_blocks_give_the_trees_of_one_task(spark, depth):
         assert len(found[j].feature) == len(want.feature) and (not depth or len(want.feature) < rounds)  # stopped early
         np.testing.assert_allclose(found[j].raw(x), want.raw(x), atol=1e-9)
         assert not found[j].uses([2])  # of equal columns the first is split
+
+
+def test_the_fold_that_importance_looks_at_is_fitted_on_all_rows(spark, monkeypatch):
+    from tidemark.operators import boosting
+    from tidemark.plans import modelling
+
+    df, cfg = model_rows(spark), Model(type="gbm", weight="w", gbm_max_iter=4, gbm_min_samples_leaf=10, n_splits=3, n_repeats=1)
+    assert cfg.gbm_fit_rows is None
+    scores = lambda: np.sort([r.score for r in modelling.cross_validate(df, cfg, last_only=True)[0].collect()])
+    within = scores()
+    monkeypatch.setattr(boosting, "TASK_ROWS", 100)
+    found = scores()
+    assert 150 < len(found) < 250
+    np.testing.assert_allclose(found, within, rtol=0, atol=1e-9)
